@@ -12,10 +12,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .checks import oracle_gold
+from .checks import oracle_gold, oracle_silver
 from .checks.oracle import render
 from .params import Params
-from .plans import gold
+from .plans import gold, silver, staging, views
 from .session import apply_conf
 from .sources import Sources
 
@@ -49,6 +49,20 @@ def _entries() -> dict[str, tuple[Callable, str]]:
         "d06_complaints": (gold.d06_complaints, "select * from g_complaints"),
         "d07_complaint_aggregate": (gold.d07_complaint_aggregate, "select * from g_complaint_aggregate"),
         "d12_postsale": (gold.d12_postsale, "select * from g_postsale"),
+        "d13_silver_expanded": (silver.d13_silver_expanded, "select * from s_expanded"),
+        "d14_portfolio_events": (staging.d14_portfolio_events, "select * from st_portfolio_events"),
+        "d15_portfolio_funding": (staging.d15_portfolio_funding, "select * from st_portfolio_funding"),
+        "d16_row_aggregates": (staging.d16_row_aggregates, "select * from st_row_aggregates"),
+        "d17a_bid_aggregates": (staging.d17a_bid_aggregates, "select * from st_bid_aggregates"),
+        "d17b_postsale_aggregates": (staging.d17b_postsale_aggregates, "select * from st_postsale_aggregates"),
+        "d17c_complaints_by_buyer": (staging.d17c_complaints_by_buyer, "select * from st_complaints_by_buyer"),
+        "d17d_complaints_by_pid": (staging.d17d_complaints_by_pid, "select * from st_complaints_by_pid"),
+        "d18_silver_base": (staging.d18_silver_base, "select * from st_silver_base"),
+        "d20_formula_complete": (staging.d20_formula_complete, "select * from st_formula"),
+        "d08_bidders": (views.d08_bidders, "select * from v_bidders"),
+        "d09_board_bid": (views.d09_board_bid, "select * from v_board_bid"),
+        "d10_buyer_activity": (views.d10_buyer_activity, "select * from v_buyer_activity"),
+        "d11_forward_flow": (views.d11_forward_flow, "select * from v_forward_flow"),
     }
     return e
 
@@ -59,5 +73,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     prm = Params.testing()
-    bodies = oracle_gold.bodies(prm)
+    bodies = {**oracle_gold.bodies(prm), **oracle_silver.bodies(prm)}
     return {k: render(sql, bodies) for k, (_, sql) in _entries().items() if sql}
