@@ -12,10 +12,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .checks import oracle_gold, oracle_silver
+from .checks import oracle_gold, oracle_parts, oracle_silver
 from .checks.oracle import render
 from .params import Params
-from .plans import gold, silver, staging, views
+from .plans import gold, parts, silver, staging, views
 from .session import apply_conf
 from .sources import Sources
 
@@ -64,6 +64,9 @@ def _entries() -> dict[str, tuple[Callable, str]]:
         "d10_buyer_activity": (views.d10_buyer_activity, "select * from v_buyer_activity"),
         "d11_forward_flow": (views.d11_forward_flow, "select * from v_forward_flow"),
     }
+    part_sql = oracle_parts.queries(Params.testing())
+    for name in parts.PARTS:
+        e[name] = (getattr(parts, name), part_sql[name])
     return e
 
 
