@@ -140,8 +140,10 @@ def pct_or_zero(c) -> Column:
 
 
 def total_fee_amount(price: Column, buyer_pct="BuyerFeePercent", seller_pct="SellerFeePercent") -> Column:
-    """price*buyer% + price*seller% with NULL fees as 0 (not rounded)."""
-    return price * pct_or_zero(buyer_pct) + price * pct_or_zero(seller_pct)
+    """price*buyer% + price*seller% with NULL fees as 0 (not rounded).
+    The sum's type is pinned to decimal(38,6): the scale both Spark and the
+    reference's warehouse reduce this product to once it passes 38 digits."""
+    return (price * pct_or_zero(buyer_pct) + price * pct_or_zero(seller_pct)).cast("decimal(38,6)")
 
 
 def postsale_price(total: Column, bk_poc="BKPoc", pct="PurchasePricePercent") -> Column:
