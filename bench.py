@@ -8,8 +8,10 @@
 2. Each product is then built from those tables and written (gold, silver)
    or fully evaluated (views); wall seconds per product.
 
-Prints ONE JSON line: metric, value (sum of product seconds), unit, queries,
-sf. ``BENCH_REPEAT`` > 1 repeats the product steps and reports medians.
+Prints ONE JSON line: metric, value (wall seconds of the whole refresh),
+unit, queries (seconds per product step; independent gold steps and views
+run as concurrent jobs, ``BENCH_PARALLEL``, default 4), sf. ``BENCH_REPEAT``
+> 1 repeats the refresh and reports medians.
 """
 
 from __future__ import annotations
@@ -56,26 +58,32 @@ def main() -> None:
     setup = time.monotonic() - t0
     src = Sources.from_tables(spark, os.path.join(scratch, "sources"))
 
+    parallel = int(os.environ.get("BENCH_PARALLEL", "4"))
     runs: list[dict[str, float]] = []
+    walls: list[float] = []
     for i in range(repeat):
         gold_root = os.path.join(scratch, f"run{i}", "gold")
         silver_root = os.path.join(scratch, f"run{i}", "silver")
         secs: dict[str, float] = {}
-        secs.update(pipeline.refresh_gold(spark, src, gold_root, params))
+        w0 = time.monotonic()
+        secs.update(pipeline.refresh_gold(spark, src, gold_root, params, max_parallel=parallel))
         secs.update(pipeline.refresh_silver(spark, src, gold_root, silver_root, params))
-        secs.update(pipeline.run_views(spark, src, gold_root, silver_root, params))
+        secs.update(pipeline.run_views(spark, src, gold_root, silver_root, params, max_parallel=parallel))
+        walls.append(time.monotonic() - w0)
         runs.append(secs)
 
     queries = {STEP_KEYS[k]: round(statistics.median(r[k] for r in runs), 3) for k in runs[0]}
     print(json.dumps({
-        "metric": "refresh_total_sec",
-        "value": round(sum(queries.values()), 3),
+        "metric": "refresh_wall_sec",
+        "value": round(statistics.median(walls), 3),
         "unit": "sec",
         "queries": queries,
         "sf": sf,
         "setup_sources_sec": round(setup, 3),
         "cpus": cpus,
         "repeat": repeat,
+        "parallel_steps": parallel,
+        "sum_of_step_sec": round(sum(queries.values()), 3),
     }))
     spark.stop()
 
