@@ -40,9 +40,14 @@ def d08_bidders(src: Sources, params: Params | None = None, expanded: DataFrame
                .select(F.col("PortfolioId").alias("C_PID"), "C_ClientId"))
 
     bb = b.select(F.col("Id").alias("_bb_id"), F.col("ClientId").alias("B_ClientId"))
-    by_buyer = (pb.select(F.col("PortfolioNumber").alias("PB_PortfolioNumber"), F.col("BuyerId").alias("PB_BuyerId"),
-                          F.col("Status").alias("PB_Status"))
-                .join(bb, ci(F.col("PB_BuyerId")) == ci(F.col("_bb_id")), "left"))
+    # The view keeps only DISTINCT (client, name, month, year) of rows whose bid
+    # status is not NULL, so each portfolio's bids reduce to its distinct
+    # bidders first (map-side): a portfolio holding a third of all bids then
+    # brings at most one row per buyer into the join, not every bid.
+    bidders = (pb.filter(F.col("Status").isNotNull())
+               .select(F.col("PortfolioNumber").alias("PB_PortfolioNumber"), F.col("BuyerId").alias("PB_BuyerId"))
+               .distinct().withColumn("PB_Status", F.lit("bid")))
+    by_buyer = bidders.join(bb, ci(F.col("PB_BuyerId")) == ci(F.col("_bb_id")), "left")
     bn = broadcast_if_small(b.select(F.col("Id").alias("_bn_id"), F.col("BusinessName").alias("_bn_name")))
     p = pe.select(F.col("Id").alias("_pe_id"), "PortfolioNumber", "BuyerClientId", "PortfolioCloseUtc", "Status")
 

@@ -26,7 +26,7 @@ def sources_for(spark: SparkSession, sf_dir: str) -> Sources:
     key = (id(spark), sf_dir)
     if key not in _SOURCES:
         apply_conf(spark)
-        _SOURCES[key] = Sources.from_testdata(spark, sf_dir)
+        _SOURCES[key] = Sources.from_testdata(spark, sf_dir, cache=True)
     return _SOURCES[key]
 
 

@@ -18,6 +18,7 @@ import os
 import re
 from collections.abc import Mapping
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from .contracts import CONTRACTS, conform
@@ -67,7 +68,10 @@ class Sources(Mapping):
         return cls(spark, lambda name: frames[name])
 
     @classmethod
-    def from_testdata(cls, spark: SparkSession, sf_dir: str) -> "Sources":
+    def from_testdata(cls, spark: SparkSession, sf_dir: str, cache: bool = False) -> "Sources":
+        """``cache=True`` persists each derived table (memory, spilling to
+        disk) on first use, for sessions that run many queries over the same
+        small fixtures; a lost block is recomputed from its lineage."""
         carriers: dict[str, DataFrame] = {}
         raw: dict[str, DataFrame] = {}
 
@@ -83,7 +87,8 @@ class Sources(Mapping):
                     # fixtures read carriers and earlier fixtures (unconformed,
                     # so helper columns such as bucket30 stay visible)
                     frames[dep] = carrier(dep) if dep in CARRIER_TABLES else build(dep)
-                raw[name] = spark.sql(FIXTURE_SQL[name], **frames)
+                df = spark.sql(FIXTURE_SQL[name], **frames)
+                raw[name] = df.persist(StorageLevel.MEMORY_AND_DISK) if cache else df
             return raw[name]
 
         return cls(spark, build)
