@@ -53,10 +53,13 @@ def main() -> None:
     scratch = tempfile.mkdtemp(prefix="ledgerline-bench-")
     params = Params.testing()
 
+    # BENCH_SOURCES_DIR: reuse source tables written by an earlier run
+    sources_dir = os.environ.get("BENCH_SOURCES_DIR") or os.path.join(scratch, "sources")
     t0 = time.monotonic()
-    write_sources(Sources.from_testdata(spark, sf_dir), os.path.join(scratch, "sources"))
+    if not os.path.exists(os.path.join(sources_dir, "portfolio")):
+        write_sources(Sources.from_testdata(spark, sf_dir), sources_dir)
     setup = time.monotonic() - t0
-    src = Sources.from_tables(spark, os.path.join(scratch, "sources"))
+    src = Sources.from_tables(spark, sources_dir)
 
     parallel = int(os.environ.get("BENCH_PARALLEL", "4"))
     runs: list[dict[str, float]] = []

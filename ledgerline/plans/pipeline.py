@@ -37,13 +37,39 @@ SILVER_TABLE = "_EC_Portfolio_Expanded"
 STAGING_TABLES = ["FormulaComplete"]
 
 
+CATALOG_PREFIX = "catalog:"
+
+
+def ensure_layers(spark: SparkSession, *schemas: str) -> None:
+    """Create the layer schemas (databases) if they are missing."""
+    for name in schemas:
+        spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{name}`")
+
+
+def _target(root: str, name: str) -> tuple[str, str]:
+    """A root is a folder (parquet per table) or ``catalog:<schema>`` (tables
+    in the session catalog, e.g. a metastore schema per layer)."""
+    if root.startswith(CATALOG_PREFIX):
+        return "table", f"`{root[len(CATALOG_PREFIX):]}`.`{name}`"
+    return "path", os.path.join(root, name)
+
+
 def write_table(df: DataFrame, path: str) -> None:
     """Full rebuild of one table."""
     df.write.mode("overwrite").parquet(path)
 
 
+def save(df: DataFrame, root: str, name: str) -> None:
+    kind, where = _target(root, name)
+    if kind == "table":
+        df.write.mode("overwrite").format("parquet").saveAsTable(where)
+    else:
+        write_table(df, where)
+
+
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(root, name))
+    kind, where = _target(root, name)
+    return spark.table(where) if kind == "table" else spark.read.parquet(where)
 
 
 def _timed(fn) -> float:
@@ -73,33 +99,43 @@ def refresh_gold(spark: SparkSession, src: Sources, gold_root: str, params: Para
     """Build the eight gold tables; seconds per step. No gold table reads
     another, so the steps run concurrently (``max_parallel=1``: the
     reference's serial order)."""
-    steps = [(n, (lambda b=b, n=n: write_table(b(src, params), os.path.join(gold_root, n)))) for n, b in GOLD_STEPS]
+    if gold_root.startswith(CATALOG_PREFIX):
+        ensure_layers(spark, gold_root[len(CATALOG_PREFIX):])
+    steps = [(n, (lambda b=b, n=n: save(b(src, params), gold_root, n))) for n, b in GOLD_STEPS]
     return _run_steps(spark, steps, max_parallel)
 
 
 def drop_tables(spark: SparkSession, root: str, names: list[str]) -> None:
-    """Remove staging tables (a Hadoop FileSystem delete of their folders)."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    """Remove staging tables (DROP TABLE, or a Hadoop FileSystem delete
+    of their folders)."""
     for n in names:
-        p = jvm.org.apache.hadoop.fs.Path(os.path.join(root, n))
-        p.getFileSystem(conf).delete(p, True)
+        kind, where = _target(root, n)
+        if kind == "table":
+            spark.sql(f"DROP TABLE IF EXISTS {where}")
+            continue
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(where)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def refresh_silver(spark: SparkSession, src: Sources, gold_root: str, silver_root: str,
                    params: Params | None = None) -> dict[str, float]:
     """Staging D14–D18/D20 -> FormulaComplete (materialised, cuts lineage)
     -> expanded table D13 -> drop staging; seconds per step."""
-    staging_root = os.path.join(silver_root, "_staging")
+    if silver_root.startswith(CATALOG_PREFIX):
+        staging_root = silver_root + "_staging"
+        ensure_layers(spark, silver_root[len(CATALOG_PREFIX):], staging_root[len(CATALOG_PREFIX):])
+    else:
+        staging_root = os.path.join(silver_root, "_staging")
     portfolio = read_table(spark, gold_root, "Portfolio")
     business = read_table(spark, gold_root, "Business")
     seconds: dict[str, float] = {}
     base = staging.d18_silver_base(src, params, portfolio=portfolio, business=business)
     formula = staging.d20_formula_complete(src, params, base=base)
-    seconds["FormulaComplete"] = _timed(lambda: write_table(formula, os.path.join(staging_root, "FormulaComplete")))
+    seconds["FormulaComplete"] = _timed(lambda: save(formula, staging_root, "FormulaComplete"))
     f15 = read_table(spark, staging_root, "FormulaComplete")
     expanded = silver.d13_silver_expanded(src, params, formula=f15)
-    seconds[SILVER_TABLE] = _timed(lambda: write_table(expanded, os.path.join(silver_root, SILVER_TABLE)))
+    seconds[SILVER_TABLE] = _timed(lambda: save(expanded, silver_root, SILVER_TABLE))
     drop_tables(spark, staging_root, STAGING_TABLES)
     return seconds
 

@@ -41,3 +41,21 @@ def test_first_event_dates_single_predicate_is_filtered_min(spark):
     two = sorted((tuple(r) for r in first_event_dates(df, "p", "t", {"l": F.col("e") == "listed",
                                                                     "r": F.col("e") == "read"}).collect()), key=repr)
     assert two == [("p1", 1, 0), ("p2", None, 5)]
+
+
+def test_broadcast_only_behind_size_check(spark):
+    from ledgerline.operators import broadcast_if_small, estimated_bytes
+
+    small = spark.range(10).withColumnRenamed("id", "k")
+    big = spark.range(1000).withColumnRenamed("id", "k2")
+    assert estimated_bytes(small) is not None
+    hinted = big.join(broadcast_if_small(small, limit=1 << 20), F.col("k2") == F.col("k"))
+    assert "BroadcastHashJoin" in hinted._jdf.queryExecution().executedPlan().toString()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        plain = big.join(broadcast_if_small(small, limit=0), F.col("k2") == F.col("k"))
+        assert "BroadcastHashJoin" not in plain._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")

@@ -47,3 +47,16 @@ def test_bidders_full_outer_join_is_redundant(src):
     full = views.d08_bidders(src, prm)
     plan = full._jdf.queryExecution().optimizedPlan().toString()
     assert "FullOuter" not in plan
+
+
+def test_refresh_into_catalog_schemas(spark, src):
+    prm = Params.testing()
+    pipeline.ensure_layers(spark, "ll_gold_test")
+    steps = pipeline.GOLD_STEPS
+    try:
+        pipeline.GOLD_STEPS = [s for s in steps if s[0] in ("Portfolio", "Business")]
+        pipeline.refresh_gold(spark, src, "catalog:ll_gold_test", prm, max_parallel=2)
+    finally:
+        pipeline.GOLD_STEPS = steps
+    assert spark.table("ll_gold_test.Portfolio").count() == gold.d01_portfolio(src, prm).count()
+    spark.sql("DROP SCHEMA IF EXISTS ll_gold_test CASCADE")
