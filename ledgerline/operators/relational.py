@@ -26,10 +26,18 @@ def estimated_bytes(df: DataFrame) -> int | None:
         return None
 
 
-def broadcast_if_small(df: DataFrame, limit: int = DEFAULT_BROADCAST_LIMIT) -> DataFrame:
+def broadcast_if_small(df: DataFrame, limit: int = DEFAULT_BROADCAST_LIMIT, basis: DataFrame | None = None,
+                       widen: float = 2.0) -> DataFrame:
     """Broadcast hint only behind a size check; otherwise leave the join to the
-    planner (sort-merge with AQE skew splitting, or AQE's runtime broadcast)."""
-    size = estimated_bytes(df)
+    planner (sort-merge with AQE skew splitting, or AQE's runtime broadcast).
+
+    ``basis``: for a chain of N:1 lookups on unique keys, whose row count is
+    bounded by its driving table, check ``widen`` x the driving table's
+    estimate instead (Catalyst's estimate multiplies the sizes of joined
+    sides, which overstates such chains by orders of magnitude)."""
+    size = estimated_bytes(basis if basis is not None else df)
+    if size is not None and basis is not None:
+        size = int(size * widen)
     if size is not None and size <= limit:
         return F.broadcast(df)
     return df

@@ -195,18 +195,20 @@ def sale_portfolios(src: Sources, prm: Params) -> DataFrame:
     bbc = bc.select(F.col("_b_id").alias("_bb_id"), F.col("_c_name").alias("BuyerClient"))
     bsc = bc.select(F.col("_b_id").alias("_bs_id"), F.col("_c_name").alias("SellerClient"))
     ld = C.renamed(C.listed_dates(src), {"PortfolioId": "_ld_pid", "ListedUtc": "Listed"})
-    return (
+    out = (
         p.join(pt, p["PortfolioTypeId"] == pt["_pt_id"], "inner")
         .join(bbc, p["BuyerId"] == bbc["_bb_id"], "inner")
         .join(bsc, p["SellerId"] == bsc["_bs_id"], "inner")
         .join(ld, ld["_ld_pid"] == p["_p_id"], "left")
         .drop("_pt_id", "_bb_id", "_bs_id", "_ld_pid")
     )
+    # every lookup is on a unique key, so the chain has at most |p| rows
+    return broadcast_if_small(out, basis=p)
 
 
 def d03_portfolio_row(src: Sources, params: Params | None = None) -> DataFrame:
     prm = C.params_or_default(params)
-    pid = broadcast_if_small(sale_portfolios(src, prm))
+    pid = sale_portfolios(src, prm)
     pr = src["portfolio_row"]
     prcd = C.renamed(src["portfolio_row_commercial"], {"PortfolioRowGuid": "_cd_guid", "BusinessDBA": "_dba",
                                                       "BusinessLegalName": "_legal", "BusinessCity": "_bcity",
@@ -218,15 +220,19 @@ def d03_portfolio_row(src: Sources, params: Params | None = None) -> DataFrame:
     pif = C.pifsif_hits(src).withColumnRenamed("DebtAccountId", "_pif_id")
     closed = C.account_closed_hits(src).withColumnRenamed("DebtAccountId", "_ac_id")
     guid = pr["PortfolioRowGuid"]
+    # Account-keyed joins first: the satellites are aggregated on the account
+    # key, so the fact meets all of them under one partitioning (none at all
+    # when the sources are bucketed on it, see sources/layout.py); the
+    # portfolio side (one row per sale portfolio) comes last.
     j = (
-        pr.join(pid, pid["_p_id"] == pr["PortfolioId"], "inner")
-        .join(prcd, prcd["_cd_guid"] == guid, "left")
+        pr.join(prcd, prcd["_cd_guid"] == guid, "left")
         .join(psc, psc["_psc_id"] == guid, "left")
         .join(dec, dec["_dec_id"] == guid, "left")
         .join(bk, bk["_bk_id"] == guid, "left")
         .join(scra, scra["_scra_id"] == guid, "left")
         .join(pif, pif["_pif_id"] == guid, "left")
         .join(closed, closed["_ac_id"] == guid, "left")
+        .join(pid, pid["_p_id"] == pr["PortfolioId"], "inner")
     )
     total = R.total_balance()
     price = R.account_price(total)

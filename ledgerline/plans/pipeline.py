@@ -160,3 +160,4 @@ def run_views(spark: SparkSession, src: Sources, gold_root: str, silver_root: st
     views_ = live_views(spark, src, gold_root, silver_root, params)
     steps = [(n, (lambda d=d: d.write.format("noop").mode("overwrite").save())) for n, d in views_.items()]
     return _run_steps(spark, steps, max_parallel)
+

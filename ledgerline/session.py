@@ -27,7 +27,7 @@ def apply_conf(spark: SparkSession) -> SparkSession:
 
 
 def get_session(master: str = "local[*]", shuffle_partitions: int = 8, app: str = "ledgerline",
-                driver_memory: str = "8g") -> SparkSession:
+                driver_memory: str = "8g", warehouse_dir: str | None = None) -> SparkSession:
     builder = (
         SparkSession.builder.master(master)
         .appName(app)
@@ -36,6 +36,8 @@ def get_session(master: str = "local[*]", shuffle_partitions: int = 8, app: str
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
+    if warehouse_dir:
+        builder = builder.config("spark.sql.warehouse.dir", warehouse_dir)
     for k, v in SESSION_CONF.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()

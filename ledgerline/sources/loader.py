@@ -63,6 +63,12 @@ class Sources(Mapping):
 
         return cls(spark, build)
 
+    @classmethod
+    def from_catalog(cls, spark: SparkSession, schema: str) -> "Sources":
+        """Catalog tables ``schema.<name>`` (e.g. written by
+        ``layout.write_source_tables`` with account-key buckets)."""
+        return cls(spark, lambda name: spark.table(f"`{schema}`.`{name}`"))
+
     @classmethod
     def from_frames(cls, spark: SparkSession, frames: dict[str, DataFrame]) -> "Sources":
         return cls(spark, lambda name: frames[name])
