@@ -118,6 +118,25 @@ def active_parties(src: Sources, party: str, as_of) -> DataFrame:
     return src["portfolio"].filter(F.col("PortfolioCloseUtc") > cutoff).select(party).distinct()
 
 
+def party_activity(src: Sources, party: str, as_of) -> DataFrame:
+    """A03/A04 + A07 in ONE pass over the portfolios per party: the statistics
+    over non-purged portfolios (conditional aggregates) and whether a
+    portfolio closed in the year before ``as_of``. A party whose portfolios
+    are all purged gets NULL statistics, which is what the left join of the
+    separate aggregate gives it too."""
+    live = F.lower(F.col("Status")) != "purged"
+    recent = months_crossed("SoldUtc", F.lit(as_of).cast("timestamp")) <= 11
+    cutoff = F.lit(as_of).cast("timestamp") - F.expr("INTERVAL 1 YEAR")
+    return src["portfolio"].groupBy(party).agg(
+        F.min(F.when(live, F.col("PortfolioNumber"))).alias("MinPid"),
+        F.max(F.when(live, F.col("PortfolioNumber"))).alias("MaxPid"),
+        F.sum(F.when(live, F.col("NumberOfAccounts"))).cast("bigint").alias("TotalAccounts"),
+        F.sum(F.when(live, F.when(recent, F.col("NumberOfAccounts")).otherwise(F.lit(0)))).cast("bigint")
+        .alias("PurchLast12"),
+        F.max(F.when(F.col("PortfolioCloseUtc") > cutoff, F.lit(1))).alias("Active"),
+    )
+
+
 def d02_business(src: Sources, params: Params | None = None) -> DataFrame:
     prm = C.params_or_default(params)
     b = src["business"].filter(C.p_not_in("Id", prm.excluded_businesses)).select(*BUSINESS_COLS)
@@ -132,15 +151,14 @@ def d02_business(src: Sources, params: Params | None = None) -> DataFrame:
     bagg = C.renamed(bid_stats(src), {"BuyerId": "_bagg_id", "BuyerLastBidDate": "BuyerLastBidDate",
                                       "BuyerFirstBidDate": "BuyerFirstBidDate", "BuyerTotalBids": "BuyerTotalBids",
                                       "BuyerTotalWon": "BuyerTotalWon"})
-    pagg_b = C.renamed(party_portfolio_stats(src, "BuyerId", prm.as_of_utc),
+    pagg_b = C.renamed(party_activity(src, "BuyerId", prm.as_of_utc),
                        {"BuyerId": "_pb_id", "MaxPid": "BuyerLastPortfolio", "TotalAccounts": "BuyerActsPurch",
-                        "PurchLast12": "PurchLast12"})
-    pagg_s = C.renamed(party_portfolio_stats(src, "SellerId", prm.as_of_utc),
-                       {"SellerId": "_ps_id", "MinPid": "SellerFirstPidListed", "MaxPid": "SellerLastPidListed"})
+                        "PurchLast12": "PurchLast12", "Active": "_ab_active"})
+    pagg_s = C.renamed(party_activity(src, "SellerId", prm.as_of_utc),
+                       {"SellerId": "_ps_id", "MinPid": "SellerFirstPidListed", "MaxPid": "SellerLastPidListed",
+                        "Active": "_as_active"})
     ls = C.renamed(login_stats(src, prm), {"ClientId": "_ls_cid", "FirstLoginDateTime": "FirstLoginDateTime",
                                            "LastLoginDateTime": "LastLoginDateTime"})
-    ab = C.renamed(active_parties(src, "BuyerId", prm.as_of_utc), {"BuyerId": "_ab_id"})
-    asell = C.renamed(active_parties(src, "SellerId", prm.as_of_utc), {"SellerId": "_as_id"})
     ae = awarded_events(src)
     ae_first = C.renamed(ae, {"SellerId": "_aef_sid", "PortfolioNumber": "_aef_pn", "EventUtc": "SellerFirstPidAwardedDate"})
     ae_last = C.renamed(ae, {"SellerId": "_ael_sid", "PortfolioNumber": "_ael_pn", "EventUtc": "SellerLastPidAwardedDate"})
@@ -156,8 +174,6 @@ def d02_business(src: Sources, params: Params | None = None) -> DataFrame:
         .join(pagg_b, b["Id"] == pagg_b["_pb_id"], "left")
         .join(pagg_s, F.col("_bs_id") == pagg_s["_ps_id"], "left")
         .join(ls, b["ClientId"] == ls["_ls_cid"], "left")
-        .join(ab, b["Id"] == ab["_ab_id"], "left")
-        .join(asell, b["Id"] == asell["_as_id"], "left")
         .join(ae_first, (ae_first["_aef_sid"] == F.col("_bs_id")) & (ae_first["_aef_pn"] == F.col("SellerFirstPidListed")), "left")
         .join(ae_last, (ae_last["_ael_sid"] == F.col("_bs_id")) & (ae_last["_ael_pn"] == F.col("SellerLastPidListed")), "left")
     )
@@ -166,11 +182,11 @@ def d02_business(src: Sources, params: Params | None = None) -> DataFrame:
         *[F.coalesce(F.col(f"_bb_{c}"), F.col(f"_bs_{c}")).alias(c) for c in SUBTYPE_SHARED],
         R.exists_flag("_ba_id").alias("IsAgency"), *AGENCY_MAP.values(),
         R.exists_flag("_bb_id").alias("IsBuyer"), *BUYER_MAP.values(),
-        R.active_flag("_ab_id", "_bb_id").alias("ActiveBuyer"),
+        R.active_flag(F.when(F.col("_ab_active") == 1, F.lit(1)), "_bb_id").alias("ActiveBuyer"),
         "BuyerLastBidDate", "BuyerFirstBidDate", "BuyerTotalBids", "BuyerTotalWon",
         "BuyerLastPortfolio", "BuyerActsPurch", "PurchLast12",
         R.exists_flag("_bs_id").alias("IsSeller"), *SELLER_MAP.values(),
-        R.active_flag("_as_id", "_bs_id").alias("ActiveSeller"),
+        R.active_flag(F.when(F.col("_as_active") == 1, F.lit(1)), "_bs_id").alias("ActiveSeller"),
         "SellerFirstPidListed", "SellerLastPidListed", "SellerFirstPidAwardedDate", "SellerLastPidAwardedDate",
         "FirstLoginDateTime", "LastLoginDateTime",
     )

@@ -12,7 +12,10 @@ SF_SMALL = "/root/testdata/sf0.001"
 def spark():
     from ledgerline.session import get_session
 
-    s = get_session(master="local[*]", shuffle_partitions=8, app="ledgerline-tests", driver_memory="4g")
+    import tempfile
+
+    s = get_session(master="local[*]", shuffle_partitions=8, app="ledgerline-tests", driver_memory="4g",
+                    warehouse_dir=tempfile.mkdtemp(prefix="ledgerline-wh-"))
     yield s
     s.stop()
 
