@@ -54,9 +54,25 @@ def _target(root: str, name: str) -> tuple[str, str]:
     return "path", os.path.join(root, name)
 
 
+def _fs_path(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def write_table(df: DataFrame, path: str) -> None:
-    """Full rebuild of one table."""
-    df.write.mode("overwrite").parquet(path)
+    """Full rebuild of one table (K01): write the new version beside the old
+    one, then swap it in. A job that fails while writing leaves the previous
+    table intact, and readers only miss the table for the swap itself."""
+    spark = df.sparkSession
+    incoming = path.rstrip("/") + "._incoming"
+    df.write.mode("overwrite").parquet(incoming)
+    target, fs = _fs_path(spark, path)
+    staged, _ = _fs_path(spark, incoming)
+    if fs.exists(target):
+        fs.delete(target, True)
+    if not fs.rename(staged, target):
+        raise OSError(f"could not move {incoming} to {path}")
 
 
 def save(df: DataFrame, root: str, name: str) -> None:
@@ -113,9 +129,8 @@ def drop_tables(spark: SparkSession, root: str, names: list[str]) -> None:
         if kind == "table":
             spark.sql(f"DROP TABLE IF EXISTS {where}")
             continue
-        jvm = spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(where)
-        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+        p, fs = _fs_path(spark, where)
+        fs.delete(p, True)
 
 
 def refresh_silver(spark: SparkSession, src: Sources, gold_root: str, silver_root: str,
@@ -154,6 +169,16 @@ def live_views(spark: SparkSession, src: Sources, gold_root: str, silver_root: s
     }
 
 
+def register_views(spark: SparkSession, src: Sources, gold_root: str, silver_root: str,
+                   params: Params | None = None) -> list[str]:
+    """Publish the live views under their names (session temp views)."""
+    names = []
+    for name, df in live_views(spark, src, gold_root, silver_root, params).items():
+        df.createOrReplaceTempView(name)
+        names.append(name)
+    return names
+
+
 def run_views(spark: SparkSession, src: Sources, gold_root: str, silver_root: str,
               params: Params | None = None, max_parallel: int = 4) -> dict[str, float]:
     """Evaluate every view fully (noop sink) and time it."""

@@ -19,11 +19,11 @@ from .plans import gold, parts, silver, staging, views
 from .session import apply_conf
 from .sources import Sources
 
-_SOURCES: dict[tuple[int, str], Sources] = {}
+_SOURCES: dict[tuple[str, str], Sources] = {}
 
 
 def sources_for(spark: SparkSession, sf_dir: str) -> Sources:
-    key = (id(spark), sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _SOURCES:
         apply_conf(spark)
         _SOURCES[key] = Sources.from_testdata(spark, sf_dir, cache=True)

@@ -28,6 +28,9 @@ def test_gold_refresh_idempotent_and_silver_views(spark, src):
     vs = pipeline.live_views(spark, src, g, s, prm)
     lazy_bidders = views.d08_bidders(src, prm)
     assert sorted(vs["VW_Bidders"].collect()) == sorted(lazy_bidders.collect())
+    assert "VW_Boardmembers_ForwardFlow" in pipeline.register_views(spark, src, g, s, prm)
+    assert spark.table("VW_Boardmembers_ForwardFlow").count() == views.d11_forward_flow(src, prm).count()
+    assert not [p for p in os.listdir(g) if p.endswith("._incoming")]
 
 
 def test_portfolio_aggregate_row_law(src):
