@@ -42,6 +42,12 @@ STEP_KEYS = {
 }
 
 
+def _event_log_conf() -> dict[str, str]:
+    """BENCH_EVENT_LOG_DIR: write Spark's event log there (stage/task times)."""
+    d = os.environ.get("BENCH_EVENT_LOG_DIR")
+    return {"spark.eventLog.enabled": "true", "spark.eventLog.dir": d} if d else {}
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
@@ -52,20 +58,20 @@ def main() -> None:
     scratch = tempfile.mkdtemp(prefix="ledgerline-bench-")
     spark = get_session(master=f"local[{cpus}]", shuffle_partitions=max(8, 2 * cpus), app="ledgerline-bench",
                         driver_memory=os.environ.get("BENCH_DRIVER_MEMORY", "16g"),
-                        warehouse_dir=os.path.join(scratch, "warehouse"))
+                        warehouse_dir=os.path.join(scratch, "warehouse"), extra_conf=_event_log_conf())
     layout = os.environ.get("BENCH_LAYOUT", "bucketed")
     params = Params.testing()
 
     t0 = time.monotonic()
     if layout == "bucketed":
         # account-keyed tables bucketed on the account key (sources/layout.py)
-        write_source_tables(spark, Sources.from_testdata(spark, sf_dir), "ll_sources", 2 * cpus)
+        write_source_tables(spark, Sources.from_testdata(spark, sf_dir), "ll_sources", 2 * cpus, files=2 * cpus)
         src = Sources.from_catalog(spark, "ll_sources")
     else:
         # BENCH_SOURCES_DIR: reuse plain parquet source tables of an earlier run
         sources_dir = os.environ.get("BENCH_SOURCES_DIR") or os.path.join(scratch, "sources")
         if not os.path.exists(os.path.join(sources_dir, "portfolio")):
-            write_sources(Sources.from_testdata(spark, sf_dir), sources_dir)
+            write_sources(Sources.from_testdata(spark, sf_dir), sources_dir, files=2 * cpus)
         src = Sources.from_tables(spark, sources_dir)
     setup = time.monotonic() - t0
 

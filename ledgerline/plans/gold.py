@@ -202,7 +202,12 @@ def sale_portfolios(src: Sources, prm: Params) -> DataFrame:
         & C.p_not_in_or_null("BuyerId", prm.excluded_buyers)
     ).select(F.col("Id").alias("_p_id"), "SellerName", "SellerId", "BuyerName", "BuyerId", "PortfolioNumber",
              "PortfolioTypeId", "Status", "AssetTypes", "PurchasePricePercent", "PurchasePriceAmount", "SoldUtc",
-             "PortfolioCloseUtc", "BuyerFeePercent", "SellerFeePercent", "ForwardFlowAgreementId", "LicenseType")
+             "PortfolioCloseUtc", "ForwardFlowAgreementId",
+             # portfolio-level rules, evaluated once per portfolio
+             R.pct_or_zero("BuyerFeePercent").alias("BuyerFeePercent"),
+             R.pct_or_zero("SellerFeePercent").alias("SellerFeePercent"),
+             (R.pct_or_zero("BuyerFeePercent") + R.pct_or_zero("SellerFeePercent")).alias("TotalFeePercent"),
+             R.license_class("LicenseType").alias("LicenseType"))
     pt = broadcast_if_small(C.renamed(src["portfolio_type"], {"Id": "_pt_id", "TypeName": "PortfolioTypeStr"}))
     bus = src["business"].select(F.col("Id").alias("_b_id"), F.col("ClientId").alias("_b_cid"))
     cli = src["client"].select(F.col("Id").alias("_c_id"), F.col("Name").alias("_c_name"))
@@ -225,10 +230,17 @@ def sale_portfolios(src: Sources, prm: Params) -> DataFrame:
 def d03_portfolio_row(src: Sources, params: Params | None = None) -> DataFrame:
     prm = C.params_or_default(params)
     pid = sale_portfolios(src, prm)
-    pr = src["portfolio_row"]
-    prcd = C.renamed(src["portfolio_row_commercial"], {"PortfolioRowGuid": "_cd_guid", "BusinessDBA": "_dba",
-                                                      "BusinessLegalName": "_legal", "BusinessCity": "_bcity",
-                                                      "BusinessState": "_bstate"})
+    # account-level rules on the scan side, before any join
+    pr = src["portfolio_row"].select(
+        "*", R.asset_class_folded("Product").alias("AssetType"),
+        F.trim(F.upper(F.col("StateCode"))).alias("ConsumerState"), F.trim(F.col("City")).alias("ConsumerCity"),
+        R.total_balance().alias("TotalBalance"))
+    cd = src["portfolio_row_commercial"]
+    prcd = cd.select(cd["PortfolioRowGuid"].alias("_cd_guid"),
+                     sha256_hex_upper("BusinessDBA").alias("BusinessDBAHashed"),
+                     sha256_hex_upper("BusinessLegalName").alias("BusinessLegalNameHashed"),
+                     F.coalesce(F.col("BusinessCity"), F.lit("")).alias("_bcity"),
+                     F.coalesce(F.col("BusinessState"), F.lit("")).alias("_bstate"))
     psc = C.renamed(C.postsale_counts(src), {"DebtAccountId": "_psc_id", "CountPostSaleRequest": "_psc_n"})
     dec = C.deceased_hits(src).withColumnRenamed("DebtAccountId", "_dec_id")
     bk = C.bankruptcy_hits(src).withColumnRenamed("DebtAccountId", "_bk_id")
@@ -250,33 +262,26 @@ def d03_portfolio_row(src: Sources, params: Params | None = None) -> DataFrame:
         .join(closed, closed["_ac_id"] == guid, "left")
         .join(pid, pid["_p_id"] == pr["PortfolioId"], "inner")
     )
-    total = R.total_balance()
-    price = R.account_price(total)
+    price = R.account_price(F.col("TotalBalance"))
     return j.select(
         "SellerName", "SellerClient", "SellerId", "BuyerName", "BuyerClient", "BuyerId",
         F.col("PortfolioNumber").alias("PID"), "PortfolioTypeId", pr["Product"],
-        F.col("Status").alias("PortfolioStatus"), "Lender", "LenderLoanId",
-        R.asset_class_folded(pr["Product"]).alias("AssetType"),
-        F.col("AssetTypes").alias("PortfolioAssetTypes"),
-        F.trim(F.upper(pr["StateCode"])).alias("ConsumerState"),
-        F.trim(pr["City"]).alias("ConsumerCity"),
-        sha256_hex_upper("_dba").alias("BusinessDBAHashed"),
-        sha256_hex_upper("_legal").alias("BusinessLegalNameHashed"),
+        F.col("Status").alias("PortfolioStatus"), "Lender", "LenderLoanId", "AssetType",
+        F.col("AssetTypes").alias("PortfolioAssetTypes"), "ConsumerState", "ConsumerCity",
+        F.coalesce(F.col("BusinessDBAHashed"), F.lit("")).alias("BusinessDBAHashed"),
+        F.coalesce(F.col("BusinessLegalNameHashed"), F.lit("")).alias("BusinessLegalNameHashed"),
         F.coalesce(F.col("_bcity"), F.lit("")).alias("BusinessCity"),
         F.coalesce(F.col("_bstate"), F.lit("")).alias("BusinessState"),
         "OriginalLoanAmount", "PrincipalBalance", "InterestBalance", "OtherFeesBalance",
         F.col("OriginationDate").alias("FundDate"), "WriteOffDate", "DefaultDate", "FirstDelinquencyDate",
         "LastPaymentDate", "LastPaymentAmount",
-        total.alias("TotalBalance"),
+        "TotalBalance",
         F.col("PurchasePricePercent").alias("PurchaseRate"),
         price.alias("AccountPurchacePrice"),
         F.col("PurchasePriceAmount").alias("PortfolioPurchasePrice"),
         F.col("SoldUtc").alias("PortfolioSoldDate"),
         F.col("PortfolioCloseUtc").alias("PortfolioCloseDate"),
-        "Listed",
-        R.pct_or_zero("BuyerFeePercent").alias("BuyerFeePercent"),
-        R.pct_or_zero("SellerFeePercent").alias("SellerFeePercent"),
-        (R.pct_or_zero("BuyerFeePercent") + R.pct_or_zero("SellerFeePercent")).alias("TotalFeePercent"),
+        "Listed", "BuyerFeePercent", "SellerFeePercent", "TotalFeePercent",
         R.total_fee_amount(price).alias("TotalFeeAmount"),
         guid.alias("PortfolioRowGuid"), "ChainOfTitleId",
         F.col("ComplianceHoldStatus").alias("DTComplianceHold"), "SFComplaintId", "ChargeOffBalance",
@@ -286,7 +291,7 @@ def d03_portfolio_row(src: Sources, params: Params | None = None) -> DataFrame:
         F.col("RemovedUTCDate").alias("RemovedDate"), "RemoveComment",
         R.removed_reason("RemoveComment", "Chapter", "ActiveDutyStatus").alias("RemovedReason"),
         R.sold_flag("RemovedUTCDate").alias("SOLD"),
-        R.license_class("LicenseType").alias("LicenseType"),
+        "LicenseType",
         "PortfolioTypeStr",
         F.coalesce(F.col("_psc_n"), F.lit(0)).alias("CountPostSaleRequest"),
         F.col("DateOfDeath").alias("Deceased_DateOfDeath"),
@@ -449,8 +454,10 @@ def postsale_portfolios(src: Sources) -> DataFrame:
         n = current_names(src["business_name"]).select(F.col("BusinessId").alias(f"_{prefix}n_id"),
                                                        F.col("Name").alias(f"_{prefix}n_name"))
         c = C.renamed(src["client"], {"Id": f"_{prefix}c_id", "Name": f"_{prefix}c_name"})
-        return (b.join(n, F.col(f"_{prefix}_id") == F.col(f"_{prefix}n_id"), "left")
-                .join(broadcast_if_small(c), F.col(f"_{prefix}_cid") == F.col(f"_{prefix}c_id"), "left"))
+        j = (b.join(n, F.col(f"_{prefix}_id") == F.col(f"_{prefix}n_id"), "left")
+             .join(broadcast_if_small(c), F.col(f"_{prefix}_cid") == F.col(f"_{prefix}c_id"), "left"))
+        # C11 once per business, not per request
+        return j.withColumn(f"_{prefix}_display", R.out_of_business_name(f"_{prefix}_st", f"_{prefix}n_name"))
 
     ad = C.renamed(C.awarded_dates(src), {"PortfolioId": "_ad_pid", "PortfolioAwardedUtc": "PortfolioAwardedUtc"})
     return (
@@ -464,7 +471,12 @@ def postsale_portfolios(src: Sources) -> DataFrame:
 
 def d12_postsale(src: Sources, params: Params | None = None) -> DataFrame:
     prm = C.params_or_default(params)
-    r = src["request"]
+    req = src["request"]
+    by = req["InitiatedByBuyer"]
+    # request-level rules on the request side, before any join
+    r = req.select("*", R.initiated_by(by).alias("InitiatedBy"), F.lower(req["Status"]).alias("RequestStatus"),
+                   R.age_days(req["Created"], prm.as_of_local).alias("AgeInDays"),
+                   R.request_category(req["Status"], req["RequestType"], by).alias("Category"))
     rt = broadcast_if_small(C.renamed(src["request_type"], {"Id": "_rt_id", "RequestTypeStr": "_rt_str"}))
     pr = C.renamed(src["portfolio_row"], {
         "PortfolioRowGuid": "_pr_guid", "PortfolioId": "_pr_pid", "LenderLoanId": "LenderLoanId",
@@ -473,6 +485,9 @@ def d12_postsale(src: Sources, params: Params | None = None) -> DataFrame:
         "PrincipalBalance": "PrincipalBalance", "InterestBalance": "InterestBalance",
         "OtherFeesBalance": "OtherFeesBalance", "WriteOffDate": "WriteOffDate", "DefaultDate": "DefaultDate",
         "LastPaymentDate": "LastPaymentDate", "LastPaymentAmount": "LastPaymentAmount", "BKPoc": "BKPoc"})
+    # account-level rules on the account side
+    pr = pr.select("*", R.asset_class_exact("Product").alias("AssetType"),
+                   R.total_balance().alias("AccountTotalBalance"))
     fund = C.renamed(src["funding_notification"], {"Id": "_f_id", "Status": "FundingStatus",
                                                    "Amount": "FundingCheckAmount", "Mailed": "FundingCheckMailDate",
                                                    "ReferenceOrCheckNumber": "FundingReferenceOrCheckNumber",
@@ -501,33 +516,31 @@ def d12_postsale(src: Sources, params: Params | None = None) -> DataFrame:
         .join(ps, ps["_ps_rid"] == rid, "left")
         .join(cd, cd["_cd_rid"] == rid, "left")
     )
-    total = R.total_balance()
+    total = F.col("AccountTotalBalance")
     by = r["InitiatedByBuyer"]
     return j.select(
-        rid.alias("RequestId"), by,
-        R.initiated_by(by).alias("InitiatedBy"),
+        rid.alias("RequestId"), by, "InitiatedBy",
         R.pick_by_initiator(by, "_bbc_name", "_bsc_name").alias("RequestedBy"),
         R.pick_by_initiator(by, "_bsc_name", "_bbc_name").alias("RequestedTo"),
-        F.lower(r["Status"]).alias("RequestStatus"), r["RequestType"],
+        "RequestStatus", r["RequestType"],
         F.upper(F.col("_rt_str")).alias("RequestTypeStr"), r["DebtAccountId"], *[r[c] for c in REQUEST_PASS],
-        R.age_days(r["Created"], prm.as_of_local).alias("AgeInDays"),
-        r["Created"].alias("CreatedDateStr"), *[r[c] for c in REQUEST_PASS_2], "CloseDate",
+        "AgeInDays", r["Created"].alias("CreatedDateStr"), *[r[c] for c in REQUEST_PASS_2], "CloseDate",
         *[r[c] for c in REQUEST_PASS_3],
         "SellerId", "BuyerId", "AssetTypes",
         (total * F.col("_sfp")).alias("DT_SellerFee"), (total * F.col("_bfp")).alias("DT_BuyerFee"),
-        "LenderLoanId", "LenderName", "Product", R.asset_class_exact("Product").alias("AssetType"),
-        "StateCode", "City", "OriginationDate", "OriginalLoanAmount", total.alias("AccountTotalBalance"),
+        "LenderLoanId", "LenderName", "Product", "AssetType",
+        "StateCode", "City", "OriginationDate", "OriginalLoanAmount", "AccountTotalBalance",
         "PrincipalBalance", "InterestBalance", "OtherFeesBalance", "WriteOffDate", "DefaultDate",
         "LastPaymentDate", "LastPaymentAmount",
         R.postsale_price(total, "BKPoc", "_ppp").alias("PurchasePriceAmount"),
         R.postsale_percent("BKPoc", "_bk_pct", "_ppp").alias("PurchasePricePercent"),
         "PortfolioNumber", F.col("_p_id").alias("PortfolioId"), "PortfolioStatus", "PortfolioAwardedUtc",
         "PortfolioSoldUtc", "TemplateName",
-        R.request_category(r["Status"], r["RequestType"], by).alias("Category"),
+        "Category",
         F.col("_bs_cid").alias("SellerClientId"), F.col("_bb_cid").alias("BuyerClientId"),
-        R.out_of_business_name("_bs_st", "_bsn_name").alias("SellerName"),
+        F.col("_bs_display").alias("SellerName"),
         F.col("_bsc_name").alias("ClientName_Seller"),
-        R.out_of_business_name("_bb_st", "_bbn_name").alias("BuyerName"),
+        F.col("_bb_display").alias("BuyerName"),
         F.col("_bbc_name").alias("ClientName_Buyer"),
         "FundingStatus", "FundingCheckAmount", "FundingCheckMailDate", "FundingReferenceOrCheckNumber",
         "FundingConfirmedReceived", "FundingConfirmedSent", "InfoRequested",

@@ -27,7 +27,8 @@ def apply_conf(spark: SparkSession) -> SparkSession:
 
 
 def get_session(master: str = "local[*]", shuffle_partitions: int = 8, app: str = "ledgerline",
-                driver_memory: str = "8g", warehouse_dir: str | None = None) -> SparkSession:
+                driver_memory: str = "8g", warehouse_dir: str | None = None,
+                extra_conf: dict[str, str] | None = None) -> SparkSession:
     builder = (
         SparkSession.builder.master(master)
         .appName(app)
@@ -38,7 +39,7 @@ def get_session(master: str = "local[*]", shuffle_partitions: int = 8, app: str
     )
     if warehouse_dir:
         builder = builder.config("spark.sql.warehouse.dir", warehouse_dir)
-    for k, v in SESSION_CONF.items():
+    for k, v in {**SESSION_CONF, **(extra_conf or {})}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

@@ -31,13 +31,18 @@ ACCOUNT_KEYED = {
 }
 
 
-def write_source_tables(spark: SparkSession, sources: Sources, schema: str, buckets: int) -> None:
+def write_source_tables(spark: SparkSession, sources: Sources, schema: str, buckets: int,
+                        files: int | None = None) -> None:
     """Write every source table into catalog ``schema``; account-keyed tables
-    bucketed and sorted on their account key (``buckets`` each)."""
+    bucketed and sorted on their account key (``buckets`` each), the others
+    spread over ``files`` files when given."""
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{schema}`")
     for name in SOURCE_TABLES:
-        w = sources[name].write.mode("overwrite").format("parquet")
+        df = sources[name]
         key = ACCOUNT_KEYED.get(name)
         if key is not None:
-            w = w.bucketBy(buckets, key).sortBy(key)
-        w.saveAsTable(f"`{schema}`.`{name}`")
+            # one file per bucket: cluster rows by bucket before writing
+            w = df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key)
+        else:
+            w = (df.repartition(files) if files else df).write
+        w.mode("overwrite").format("parquet").saveAsTable(f"`{schema}`.`{name}`")

@@ -100,10 +100,15 @@ class Sources(Mapping):
         return cls(spark, build)
 
 
-def write_sources(sources: Sources, root: str) -> None:
-    """Materialise every source table as parquet under ``root`` (bench set-up)."""
+def write_sources(sources: Sources, root: str, files: int | None = None) -> None:
+    """Materialise every source table as parquet under ``root`` (bench set-up).
+    ``files``: spread each table over that many files (round robin), as real
+    tables are, so scans get one task per file instead of one per table."""
     for name in SOURCE_TABLES:
-        sources[name].write.mode("overwrite").parquet(os.path.join(root, name))
+        df = sources[name]
+        if files:
+            df = df.repartition(files)
+        df.write.mode("overwrite").parquet(os.path.join(root, name))
 
 
 __all__ = ["Sources", "SOURCE_TABLES", "CARRIER_TABLES", "CONTRACTS", "fixture_dependencies", "write_sources"]
