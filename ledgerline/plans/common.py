@@ -134,7 +134,9 @@ def pifsif_hits(src: Sources) -> DataFrame:
     'closed'); first by request id, then the satellite's own sequence."""
     r = src["request"].filter(F.lower(F.col("Status")) == "closed").select(
         F.col("Id").alias("_rid"), "DebtAccountId")
-    ps = src["pifsif"].select("RequestId", "Seq", "PaymentDate", "PaymentAmount")
+    # the satellite is the side to broadcast (size-checked): the request side
+    # then streams and keeps its account-key partitioning for the aggregate
+    ps = broadcast_if_small(src["pifsif"].select("RequestId", "Seq", "PaymentDate", "PaymentAmount"))
     j = r.join(ps, r["_rid"] == ps["RequestId"], "inner")
     return first_hit(j, "DebtAccountId", ["_rid", "Seq"], ["PaymentDate", "PaymentAmount"], "TotalPifSif")
 
@@ -143,7 +145,7 @@ def account_closed_hits(src: Sources) -> DataFrame:
     """Account-closed requests (Status = 'closed', exact case); first by
     request id, then closed date."""
     r = src["request"].filter(F.col("Status") == "closed").select(F.col("Id").alias("_rid"), "DebtAccountId")
-    ac = src["account_closed"].select("RequestId", "ClosedDate")
+    ac = broadcast_if_small(src["account_closed"].select("RequestId", "ClosedDate"))
     j = r.join(ac, r["_rid"] == ac["RequestId"], "inner")
     return first_hit(j, "DebtAccountId", ["_rid", "ClosedDate"], ["ClosedDate"], "TotalAccountClosed")
 

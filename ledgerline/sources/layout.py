@@ -10,7 +10,10 @@ buckets side by side instead of shuffling the largest table.
 
 Choose the bucket count so one bucket of the largest table is a few hundred
 MB (e.g. 16 384 buckets for tens of TB of accounts); every table in the family
-must use the same count.
+must use the same count, and it should be at least the session's
+``spark.sql.shuffle.partitions``: when a shuffled side meets a bucketed side,
+Spark keeps the partitioning with more partitions and re-shuffles the other,
+which must be the small side, never the fact.
 """
 
 from __future__ import annotations

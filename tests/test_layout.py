@@ -9,7 +9,8 @@ from ledgerline.sources import Sources, write_source_tables
 
 def test_bucketed_sources_give_same_rows_without_account_shuffles(spark, src):
     prm = Params.testing()
-    write_source_tables(spark, src, "ll_layout_test", 4)
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))  # >= shuffle partitions (layout.py)
+    write_source_tables(spark, src, "ll_layout_test", buckets)
     try:
         bucketed = Sources.from_catalog(spark, "ll_layout_test")
         d03 = gold.d03_portfolio_row(bucketed, prm)
