@@ -61,22 +61,64 @@ def last_downloads(src: Sources) -> DataFrame:
     return latest_by(src["portfolio_download"], "BusinessId", "DownloadedUtc", "MaxDownloadedUtc")
 
 
-def listed_dates(src: Sources) -> DataFrame:
+EVENT_SUMMARY = "portfolio_event_summary"
+
+
+def event_summary(src: Sources, params: Params | None = None) -> DataFrame:
+    """Every per-portfolio event date the products read, in ONE pass over the
+    event log (SURVEY §4.2): first 'listed' (A09), first awarded case-folded
+    (A10), first 'awarded' (A11), first 'Awarded' (A05), the staging event
+    dates (D14) and the funding events (D15). Rows: portfolios with at least
+    one of these events; joined LEFT everywhere, so a missing event is NULL
+    exactly as with the separate aggregates. A refresh materialises it once
+    (``Sources.with_tables``) and every product reads that table."""
+    if EVENT_SUMMARY in src.derived:
+        return src.derived[EVENT_SUMMARY]
+    prm = params_or_default(params)
+    et = F.col("EventType")
+    funding = et.isin(list(prm.funding_events))
+    specs = {
+        "ListedUtc": et == "listed",
+        "AwardedUtc": F.lower(et) == "awarded",
+        "PortfolioAwardedUtc": et == "awarded",
+        "AwardedEventUtc": et == "Awarded",
+        "D14ListedUtc": et == prm.listed_event,
+        "D14AwardedUtc": et == prm.awarded_event,
+        "PSAConfirmedUtc": et == prm.psa_event,
+        "SoldEventUtc": et == prm.sold_event,
+    }
+    cond = funding
+    for p in specs.values():
+        cond = cond | p
+    ts = F.col("EventUtc")
+    return src["portfolio_event"].filter(cond).groupBy("PortfolioId").agg(
+        *[F.min(F.when(p, ts)).alias(n) for n, p in specs.items()],
+        F.min(F.when(funding, ts)).alias("FirstFundingUtc"),
+        F.max(F.when(funding, ts)).alias("LastFundingUtc"),
+        F.count(F.when(funding, F.lit(1))).alias("FundingEventCount"),
+    )
+
+
+def event_dates(src: Sources, column: str, params: Params | None = None, present_only: bool = False) -> DataFrame:
+    """(PortfolioId, column) from the event summary; ``present_only`` keeps only
+    portfolios that have the event (the standalone aggregate's row set)."""
+    df = event_summary(src, params).select("PortfolioId", column)
+    return df.filter(F.col(column).isNotNull()) if present_only else df
+
+
+def listed_dates(src: Sources, present_only: bool = False) -> DataFrame:
     """First 'listed' event per portfolio (exact case)."""
-    ev = src["portfolio_event"]
-    return first_event_dates(ev, "PortfolioId", "EventUtc", {"ListedUtc": F.col("EventType") == "listed"})
+    return event_dates(src, "ListedUtc", present_only=present_only)
 
 
-def awarded_dates_ci(src: Sources) -> DataFrame:
+def awarded_dates_ci(src: Sources, present_only: bool = False) -> DataFrame:
     """A10: first awarded event per portfolio, case-folded."""
-    ev = src["portfolio_event"]
-    return first_event_dates(ev, "PortfolioId", "EventUtc", {"AwardedUtc": F.lower(F.col("EventType")) == "awarded"})
+    return event_dates(src, "AwardedUtc", present_only=present_only)
 
 
-def awarded_dates(src: Sources) -> DataFrame:
+def awarded_dates(src: Sources, present_only: bool = False) -> DataFrame:
     """First 'awarded' event per portfolio (exact lower-case spelling)."""
-    ev = src["portfolio_event"]
-    return first_event_dates(ev, "PortfolioId", "EventUtc", {"PortfolioAwardedUtc": F.col("EventType") == "awarded"})
+    return event_dates(src, "PortfolioAwardedUtc", present_only=present_only)
 
 
 def postsale_counts(src: Sources) -> DataFrame:

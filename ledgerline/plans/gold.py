@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import rules as R
 from ..functions.core import concat_nullsafe, months_crossed, sha256_hex_upper
-from ..operators import broadcast_if_small, current_names, first_event_dates, prev_period_join
+from ..operators import broadcast_if_small, current_names, prev_period_join
 from ..params import Params
 from ..sources import CONTRACTS, Sources
 from . import common as C
@@ -92,8 +92,7 @@ def awarded_events(src: Sources) -> DataFrame:
     portfolios; NULL when a portfolio has none. Events are reduced to one row
     per portfolio before the join."""
     p = src["portfolio"].filter(F.lower(F.col("Status")) != "purged").select("Id", "SellerId", "PortfolioNumber")
-    ev = first_event_dates(src["portfolio_event"], "PortfolioId", "EventUtc",
-                           {"_first": F.col("EventType") == "Awarded"})
+    ev = C.event_dates(src, "AwardedEventUtc").withColumnRenamed("AwardedEventUtc", "_first")
     j = p.join(ev, p["Id"] == ev["PortfolioId"], "left")
     return j.groupBy("SellerId", "PortfolioNumber").agg(F.min("_first").alias("EventUtc"))
 

@@ -95,15 +95,15 @@ def a_min_name_start(src, params=None):
 
 
 def a_listed_dates(src, params=None):
-    return C.listed_dates(src)
+    return C.listed_dates(src, present_only=True)
 
 
 def a_awarded_dates_ci(src, params=None):
-    return C.awarded_dates_ci(src)
+    return C.awarded_dates_ci(src, present_only=True)
 
 
 def a_awarded_dates(src, params=None):
-    return C.awarded_dates(src)
+    return C.awarded_dates(src, present_only=True)
 
 
 def a_postsale_counts(src, params=None):

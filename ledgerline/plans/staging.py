@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import rules as R
-from ..operators import broadcast_if_small, first_event_dates
+from ..operators import broadcast_if_small
 from ..params import Params
 from ..sources import Sources
 from . import common as C
@@ -30,26 +30,20 @@ CATEGORY_COUNTS = {
 
 
 def d14_portfolio_events(src: Sources, params: Params | None = None) -> DataFrame:
-    """Listed / awarded / PSA-confirmed / sold event dates per portfolio (earliest)."""
-    prm = C.params_or_default(params)
-    et = F.col("EventType")
-    return first_event_dates(src["portfolio_event"], "PortfolioId", "EventUtc", {
-        "ListedUtc": et == prm.listed_event,
-        "AwardedUtc": et == prm.awarded_event,
-        "PSAConfirmedUtc": et == prm.psa_event,
-        "SoldEventUtc": et == prm.sold_event,
-    })
+    """Listed / awarded / PSA-confirmed / sold event dates per portfolio
+    (earliest), for portfolios with at least one of them."""
+    cols = {"D14ListedUtc": "ListedUtc", "D14AwardedUtc": "AwardedUtc", "PSAConfirmedUtc": "PSAConfirmedUtc",
+            "SoldEventUtc": "SoldEventUtc"}
+    s = C.event_summary(src, params)
+    any_event = F.coalesce(*[F.col(c) for c in cols])
+    return s.filter(any_event.isNotNull()).select("PortfolioId", *[F.col(a).alias(b) for a, b in cols.items()])
 
 
 def d15_portfolio_funding(src: Sources, params: Params | None = None) -> DataFrame:
     """First / last funding event and number of funding events per portfolio."""
-    prm = C.params_or_default(params)
-    ev = src["portfolio_event"].filter(F.col("EventType").isin(list(prm.funding_events)))
-    return ev.groupBy("PortfolioId").agg(
-        F.min("EventUtc").alias("FirstFundingUtc"),
-        F.max("EventUtc").alias("LastFundingUtc"),
-        F.count(F.lit(1)).alias("FundingEventCount"),
-    )
+    s = C.event_summary(src, params)
+    return s.filter(F.col("FundingEventCount") > 0).select("PortfolioId", "FirstFundingUtc", "LastFundingUtc",
+                                                          "FundingEventCount")
 
 
 def d16_row_aggregates(src: Sources, params: Params | None = None) -> DataFrame:

@@ -36,10 +36,19 @@ def fixture_dependencies(name: str) -> list[str]:
 class Sources(Mapping):
     """Lazy, memoised mapping of source-table name to conformed DataFrame."""
 
-    def __init__(self, spark: SparkSession, build):
+    def __init__(self, spark: SparkSession, build, derived: dict[str, DataFrame] | None = None):
         self.spark = spark
         self._build = build
         self._cache: dict[str, DataFrame] = {}
+        # tables derived from the sources and materialised once per refresh
+        # (e.g. the per-portfolio event summary), shared by every product
+        self.derived: dict[str, DataFrame] = dict(derived or {})
+
+    def with_tables(self, **frames: DataFrame) -> "Sources":
+        """A view of these sources that also carries materialised derived tables."""
+        out = Sources(self.spark, self._build, {**self.derived, **frames})
+        out._cache = self._cache
+        return out
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._cache:

@@ -19,7 +19,7 @@ def test_gold_refresh_idempotent_and_silver_views(spark, src):
     root = tempfile.mkdtemp(prefix="ledgerline-test-")
     g, s = os.path.join(root, "gold"), os.path.join(root, "silver")
     secs = pipeline.refresh_gold(spark, src, g, prm)
-    assert list(secs) == [n for n, _ in pipeline.GOLD_STEPS]
+    assert list(secs) == [pipeline.SUMMARY_STEP] + [n for n, _ in pipeline.GOLD_STEPS]
     first = {n: _snapshot(spark, g, n) for n, _ in pipeline.GOLD_STEPS}
     pipeline.refresh_gold(spark, src, g, prm)
     assert first == {n: _snapshot(spark, g, n) for n, _ in pipeline.GOLD_STEPS}
