@@ -9,15 +9,20 @@ the fixture values from FIXTURES.md.
 from __future__ import annotations
 
 from dataclasses import dataclass, field, replace
-from datetime import datetime
+from datetime import UTC, datetime
+
+
+def _now_utc() -> datetime:
+    """The current UTC instant as a naive datetime (the session clock is UTC)."""
+    return datetime.now(UTC).replace(tzinfo=None, microsecond=0)
 
 
 @dataclass(frozen=True)
 class Params:
     # "now" for the business dimension (UTC clock calls) and for post-sale ages
     # (server clock call); the reference reads two different clocks.
-    as_of_utc: datetime = field(default_factory=lambda: datetime.utcnow().replace(microsecond=0))
-    as_of_local: datetime = field(default_factory=lambda: datetime.utcnow().replace(microsecond=0))
+    as_of_utc: datetime = field(default_factory=lambda: _now_utc())
+    as_of_local: datetime = field(default_factory=lambda: _now_utc())
 
     # Fixed values that must equal the reference's own (party ids, names, years).
     excluded_seller: str = "47087737-7939-4ddd-8ec2-64bc54b92513"
