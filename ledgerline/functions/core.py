@@ -65,6 +65,13 @@ def quarter_i(c) -> Column:
     return F.quarter(col(c)).cast("int")
 
 
+def ts_lit(value) -> Column:
+    """A timestamp literal read in the session time zone (UTC). A Python
+    ``datetime`` passed to ``F.lit`` would be converted with the Python
+    process's local zone instead, so the value goes through its text form."""
+    return F.lit(value.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp")
+
+
 def flag(cond: Column) -> Column:
     """1 when the condition holds, else 0 (NULL counts as false)."""
     return F.when(cond, F.lit(1)).otherwise(F.lit(0))

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .core import col, days_crossed, flag, hours_crossed, month_end_after
+from .core import col, days_crossed, flag, hours_crossed, month_end_after, ts_lit
 
 # ----------------------------------------------------------------------------
 # FIXED VALUES – asset class, case-folded (C01): product lists in lower case.
@@ -203,7 +203,7 @@ def closed_age_days(status="Status", created="Created", close_date="CloseDate")
 
 def age_days(created, as_of) -> Column:
     """C14: days from creation to the as-of instant."""
-    return days_crossed(created, F.lit(as_of).cast("timestamp"))
+    return days_crossed(created, ts_lit(as_of))
 
 
 def exists_flag(c) -> Column:

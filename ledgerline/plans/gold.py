@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import rules as R
-from ..functions.core import concat_nullsafe, months_crossed, sha256_hex_upper
+from ..functions.core import concat_nullsafe, months_crossed, sha256_hex_upper, ts_lit
 from ..operators import broadcast_if_small, current_names, prev_period_join
 from ..params import Params
 from ..sources import CONTRACTS, Sources
@@ -78,7 +78,7 @@ def party_portfolio_stats(src: Sources, party: str, as_of) -> DataFrame:
     portfolio number (lexicographic), accounts, accounts sold in the last 12
     calendar months before ``as_of``."""
     p = src["portfolio"].filter(F.lower(F.col("Status")) != "purged")
-    recent = months_crossed("SoldUtc", F.lit(as_of).cast("timestamp")) <= 11
+    recent = months_crossed("SoldUtc", ts_lit(as_of)) <= 11
     return p.groupBy(party).agg(
         F.min("PortfolioNumber").alias("MinPid"),
         F.max("PortfolioNumber").alias("MaxPid"),
@@ -100,7 +100,7 @@ def awarded_events(src: Sources) -> DataFrame:
 def login_stats(src: Sources, params: Params | None = None) -> DataFrame:
     """first/last login per client: UserAction -> User -> Tenant -> Client."""
     prm = C.params_or_default(params)
-    ua = src["user_action"].filter(F.col("ActionDate") > F.lit(prm.login_cutoff).cast("timestamp"))
+    ua = src["user_action"].filter(F.col("ActionDate") > ts_lit(prm.login_cutoff))
     u = C.renamed(src["app_user"], {"Id": "_u_id", "TenantId": "_u_tenant"})
     t = broadcast_if_small(C.renamed(src["tenant"], {"Id": "_t_id"}))
     c = broadcast_if_small(C.renamed(src["client"], {"Id": "ClientId", "TenantId": "_c_tenant"}))
@@ -113,7 +113,7 @@ def login_stats(src: Sources, params: Params | None = None) -> DataFrame:
 
 def active_parties(src: Sources, party: str, as_of) -> DataFrame:
     """Distinct parties with a portfolio closing in the year before ``as_of``."""
-    cutoff = F.lit(as_of).cast("timestamp") - F.expr("INTERVAL 1 YEAR")
+    cutoff = ts_lit(as_of) - F.expr("INTERVAL 1 YEAR")
     return src["portfolio"].filter(F.col("PortfolioCloseUtc") > cutoff).select(party).distinct()
 
 
@@ -124,8 +124,8 @@ def party_activity(src: Sources, party: str, as_of) -> DataFrame:
     are all purged gets NULL statistics, which is what the left join of the
     separate aggregate gives it too."""
     live = F.lower(F.col("Status")) != "purged"
-    recent = months_crossed("SoldUtc", F.lit(as_of).cast("timestamp")) <= 11
-    cutoff = F.lit(as_of).cast("timestamp") - F.expr("INTERVAL 1 YEAR")
+    recent = months_crossed("SoldUtc", ts_lit(as_of)) <= 11
+    cutoff = ts_lit(as_of) - F.expr("INTERVAL 1 YEAR")
     return src["portfolio"].groupBy(party).agg(
         F.min(F.when(live, F.col("PortfolioNumber"))).alias("MinPid"),
         F.max(F.when(live, F.col("PortfolioNumber"))).alias("MaxPid"),
