@@ -63,3 +63,20 @@ def test_refresh_into_catalog_schemas(spark, src):
         pipeline.GOLD_STEPS = steps
     assert spark.table("ll_gold_test.Portfolio").count() == gold.d01_portfolio(src, prm).count()
     spark.sql("DROP SCHEMA IF EXISTS ll_gold_test CASCADE")
+
+
+def test_command_line_refresh(spark, src, capsys):
+    import json
+
+    from ledgerline.__main__ import main
+    from ledgerline.sources import write_sources
+
+    root = tempfile.mkdtemp(prefix="ledgerline-cli-")
+    write_sources(src, os.path.join(root, "src"))
+    args = ["--sources", os.path.join(root, "src"), "--gold", os.path.join(root, "gold"),
+            "--as-of-utc", "2001-06-30", "--as-of-local", "2024-06-30"]
+    main(["refresh-gold", *args])
+    gold_secs = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert set(gold_secs) == {pipeline.SUMMARY_STEP} | {n for n, _ in pipeline.GOLD_STEPS}
+    main(["refresh-silver", *args, "--silver", os.path.join(root, "silver")])
+    assert spark.read.parquet(os.path.join(root, "silver", pipeline.SILVER_TABLE)).count() > 0

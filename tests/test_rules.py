@@ -117,3 +117,23 @@ def test_status_rules(spark):
     assert one(spark, "s string, c timestamp, d timestamp", rows2, R.closed_age_days("s", "c", "d")) == [2, -1, None]
     assert one(spark, "s string, n string", [("Terminated - Out Of Business", "Acme"), ("Active", "Acme")],
                R.out_of_business_name("s", "n")) == ["Acme (Out of Business)", "Acme"]
+
+
+def test_timestamp_literal_ignores_python_zone(spark):
+    import os
+    import time
+
+    from ledgerline.functions.core import ts_lit
+
+    old = os.environ.get("TZ")
+    os.environ["TZ"] = "America/Los_Angeles"
+    time.tzset()
+    try:
+        got = spark.range(1).select(F.date_format(ts_lit(dt.datetime(2001, 6, 30)), "yyyy-MM-dd HH:mm:ss")).first()[0]
+    finally:
+        if old is None:
+            os.environ.pop("TZ", None)
+        else:
+            os.environ["TZ"] = old
+        time.tzset()
+    assert got == "2001-06-30 00:00:00"
