@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import os
 import tempfile
 
@@ -20,6 +21,31 @@ SESSION_CONF = {
 }
 
 
+def cluster_conf(input_bytes: int, buckets: int | None = None, partition_bytes: int = 256 * 1024 * 1024,
+                 broadcast_bytes: int = 64 * 1024 * 1024) -> dict[str, str]:
+    """Settings sized for a cluster reading ``input_bytes`` of sources.
+
+    Shuffle partitions are sized so one partition holds about
+    ``partition_bytes`` (AQE coalesces small ones and splits skewed ones).
+    With the bucketed account layout, the bucket count should be at least
+    the shuffle-partition count, so that count is raised to the buckets:
+    Spark then keeps the bucketed fact's partitioning and shuffles only the
+    small side of each account join."""
+    parts = max(200, math.ceil(input_bytes / partition_bytes))
+    if buckets:
+        parts = max(parts, buckets)
+    return {
+        **SESSION_CONF,
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.autoBroadcastJoinThreshold": str(broadcast_bytes),
+        "spark.sql.sources.bucketing.enabled": "true",
+    }
+
+
 def apply_conf(spark: SparkSession) -> SparkSession:
     for k, v in SESSION_CONF.items():
         spark.conf.set(k, v)

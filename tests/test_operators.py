@@ -59,3 +59,12 @@ def test_broadcast_only_behind_size_check(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_cluster_conf_sizes_partitions():
+    from ledgerline.session import cluster_conf
+
+    c = cluster_conf(100 * 1024**4, buckets=16384)
+    assert int(c["spark.sql.shuffle.partitions"]) == 409600
+    assert cluster_conf(10 * 1024**3, buckets=16384)["spark.sql.shuffle.partitions"] == "16384"
+    assert c["spark.sql.adaptive.skewJoin.enabled"] == "true"
