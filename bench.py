@@ -12,7 +12,8 @@
 Prints ONE JSON line: metric, value (wall seconds of the whole refresh),
 unit, queries (seconds per product step; independent gold steps and views
 run as concurrent jobs, ``BENCH_PARALLEL``, default 4), sf. ``BENCH_REPEAT``
-> 1 repeats the refresh and reports medians.
+> 1 repeats the refresh and reports medians. ``BENCH_PARTITIONS`` sets the
+shuffle partitions and the bucket count (default 2 x cpus).
 """
 
 from __future__ import annotations
@@ -57,7 +58,8 @@ def main() -> None:
     sf = float(m.group(1)) if m else None
 
     scratch = tempfile.mkdtemp(prefix="ledgerline-bench-")
-    spark = get_session(master=f"local[{cpus}]", shuffle_partitions=max(8, 2 * cpus), app="ledgerline-bench",
+    parts = int(os.environ.get("BENCH_PARTITIONS", str(max(8, 2 * cpus))))
+    spark = get_session(master=f"local[{cpus}]", shuffle_partitions=parts, app="ledgerline-bench",
                         driver_memory=os.environ.get("BENCH_DRIVER_MEMORY", "16g"),
                         warehouse_dir=os.path.join(scratch, "warehouse"), extra_conf=_event_log_conf())
     layout = os.environ.get("BENCH_LAYOUT", "bucketed")
@@ -66,13 +68,13 @@ def main() -> None:
     t0 = time.monotonic()
     if layout == "bucketed":
         # account-keyed tables bucketed on the account key (sources/layout.py)
-        write_source_tables(spark, Sources.from_testdata(spark, sf_dir), "ll_sources", 2 * cpus, files=2 * cpus)
+        write_source_tables(spark, Sources.from_testdata(spark, sf_dir), "ll_sources", parts, files=parts)
         src = Sources.from_catalog(spark, "ll_sources")
     else:
         # BENCH_SOURCES_DIR: reuse plain parquet source tables of an earlier run
         sources_dir = os.environ.get("BENCH_SOURCES_DIR") or os.path.join(scratch, "sources")
         if not os.path.exists(os.path.join(sources_dir, "portfolio")):
-            write_sources(Sources.from_testdata(spark, sf_dir), sources_dir, files=2 * cpus)
+            write_sources(Sources.from_testdata(spark, sf_dir), sources_dir, files=parts)
         src = Sources.from_tables(spark, sources_dir)
     setup = time.monotonic() - t0
 
@@ -99,6 +101,7 @@ def main() -> None:
         "sf": sf,
         "setup_sources_sec": round(setup, 3),
         "cpus": cpus,
+        "partitions": parts,
         "layout": layout,
         "repeat": repeat,
         "parallel_steps": parallel,
