@@ -81,7 +81,8 @@ def first_hit(df: DataFrame, key: str, order: Sequence[str], payload: Sequence[s
     a window: the aggregate combines map-side, so a key holding a third of all
     rows is reduced in every task before the shuffle, while a window would
     sort the whole hot partition in one task. ``order`` must be unique per key
-    (the reference orders by row id; satellites add a tie-break column)."""
+    (the reference orders by row id; satellites add a tie-break column).
+    A NULL order value sorts first, as in the reference's ascending order."""
     fields = list(order) + [c for c in payload if c not in order]
     first = F.min(F.struct(*[F.col(c) for c in fields])).alias("_first")
     agg = df.groupBy(key).agg(F.count(F.lit(1)).alias(count_alias), first)

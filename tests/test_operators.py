@@ -68,3 +68,10 @@ def test_cluster_conf_sizes_partitions():
     assert int(c["spark.sql.shuffle.partitions"]) == 409600
     assert cluster_conf(10 * 1024**3, buckets=16384)["spark.sql.shuffle.partitions"] == "16384"
     assert c["spark.sql.adaptive.skewJoin.enabled"] == "true"
+
+
+def test_first_hit_null_order_value_sorts_first(spark):
+    rows = [("a", None, "xnull"), ("a", "1", "x1"), ("b", "2", "y2")]
+    df = spark.createDataFrame(rows, "k string, id string, v string")
+    got = sorted(tuple(r) for r in first_hit(df, "k", ["id"], ["v"], "n").collect())
+    assert got == [("a", 2, "xnull"), ("b", 1, "y2")]
