@@ -80,3 +80,25 @@ def test_command_line_refresh(spark, src, capsys):
     assert set(gold_secs) == {pipeline.SUMMARY_STEP} | {n for n, _ in pipeline.GOLD_STEPS}
     main(["refresh-silver", *args, "--silver", os.path.join(root, "silver")])
     assert spark.read.parquet(os.path.join(root, "silver", pipeline.SILVER_TABLE)).count() > 0
+
+
+def test_expanded_table_row_count_law(src):
+    """|D13| = sum over kept FormulaComplete rows of
+    max(1, goals of the listed month) * max(1, distinct macro rows of the close quarter)."""
+    from ledgerline.plans import silver, staging
+
+    prm = Params.testing()
+    f = staging.d20_formula_complete(src, prm).filter(
+        (F.coalesce("SellerLegalName", F.lit("")) != prm.excluded_seller_legal_name)
+        & (F.coalesce("SellerClientName", F.lit("")) != prm.excluded_seller_client))
+    goals = (silver.goals_by_month(src, prm).groupBy("GoalYear", "GoalMonth").count()
+             .withColumnRenamed("count", "g"))
+    macro = (silver.macro_by_quarter(src).groupBy("MacroeconomicDateYear", "MacroeconomicDateQuarter").count()
+             .withColumnRenamed("count", "m"))
+    x = (f.select("ListedUtcYear", "ListedUtcMonth", F.year("PortfolioCloseUtc").alias("y"),
+                  F.quarter("PortfolioCloseUtc").alias("q"))
+         .join(goals, (F.col("ListedUtcYear") == F.col("GoalYear")) & (F.col("ListedUtcMonth") == F.col("GoalMonth")), "left")
+         .join(macro, (F.col("y") == F.col("MacroeconomicDateYear")) & (F.col("q") == F.col("MacroeconomicDateQuarter")), "left"))
+    law = x.select(F.sum(F.greatest(F.coalesce("g", F.lit(1)), F.lit(1))
+                         * F.greatest(F.coalesce("m", F.lit(1)), F.lit(1))).alias("n")).first()["n"]
+    assert silver.d13_silver_expanded(src, prm).count() == law
