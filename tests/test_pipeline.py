@@ -102,3 +102,17 @@ def test_expanded_table_row_count_law(src):
     law = x.select(F.sum(F.greatest(F.coalesce("g", F.lit(1)), F.lit(1))
                          * F.greatest(F.coalesce("m", F.lit(1)), F.lit(1))).alias("n")).first()["n"]
     assert silver.d13_silver_expanded(src, prm).count() == law
+
+
+def test_portfolio_row_count_law(src):
+    """D03 is unaffected by the scrub/payment satellites (first hit only) but
+    multiplied by repeated commercial rows: |D03| = sum over accounts of
+    sale portfolios of max(1, commercial rows of the account)."""
+    prm = Params.testing()
+    pid = gold.sale_portfolios(src, prm).select("_p_id")
+    pr = src["portfolio_row"].select("PortfolioRowGuid", "PortfolioId")
+    comm = src["portfolio_row_commercial"].groupBy(F.col("PortfolioRowGuid").alias("g")).count()
+    x = (pr.join(pid, pr["PortfolioId"] == pid["_p_id"])
+         .join(comm, pr["PortfolioRowGuid"] == comm["g"], "left"))
+    law = x.select(F.sum(F.coalesce("count", F.lit(1))).alias("n")).first()["n"]
+    assert gold.d03_portfolio_row(src, prm).count() == law
