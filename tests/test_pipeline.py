@@ -116,3 +116,38 @@ def test_portfolio_row_count_law(src):
          .join(comm, pr["PortfolioRowGuid"] == comm["g"], "left"))
     law = x.select(F.sum(F.coalesce("count", F.lit(1))).alias("n")).first()["n"]
     assert gold.d03_portfolio_row(src, prm).count() == law
+
+
+def test_postsale_row_count_law(src):
+    """D12 keeps the multiplication by optional satellites and by the
+    open names of seller and buyer."""
+    prm = Params.testing()
+    one = F.lit(1)
+
+    def per(df, key, name):
+        return df.groupBy(F.col(key).alias(f"_{name}")).agg(F.count(one).alias(name))
+
+    r = src["request"].select("Id", "RequestType", "DebtAccountId", "FundingNotificationId")
+    rt = src["request_type"].select(F.col("Id").alias("_rt"))
+    pr = src["portfolio_row"].select(F.col("PortfolioRowGuid").alias("_g"), F.col("PortfolioId").alias("_pid"))
+    p = src["portfolio"].select(F.col("Id").alias("_p"), "SellerId", "BuyerId", "SellerUploadTemplateId")
+    t = src["template"].select(F.col("Id").alias("_t"))
+    names = src["business_name"].filter("EndDateUtc is null")
+    sn = per(names, "BusinessId", "sn")
+    bn = per(names.select("BusinessId"), "BusinessId", "bn")
+    x = (r.join(rt, r["RequestType"] == rt["_rt"]).join(pr, r["DebtAccountId"] == pr["_g"])
+         .join(p, F.col("_pid") == p["_p"]).join(t, F.col("SellerUploadTemplateId") == t["_t"])
+         .join(sn, F.col("SellerId") == sn["_sn"], "left").join(bn, F.col("BuyerId") == bn["_bn"], "left"))
+    factors = ["sn", "bn"]
+    for name in ("info", "legal", "other", "fraud", "bankrupt", "pifsif"):
+        s = per(src[name], "RequestId", name)
+        x = x.join(s, x["Id"] == s[f"_{name}"], "left")
+        factors.append(name)
+    fn = per(src["funding_notification"], "Id", "fund")
+    x = x.join(fn, x["FundingNotificationId"] == fn["_fund"], "left")
+    factors.append("fund")
+    prod = one
+    for c in factors:
+        prod = prod * F.greatest(F.coalesce(F.col(c), one), one)
+    law = x.select(F.sum(prod).alias("n")).first()["n"]
+    assert gold.d12_postsale(src, prm).count() == law
