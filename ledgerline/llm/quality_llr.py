@@ -155,6 +155,7 @@ def judge(docs: DataFrame, ratio_of_bucket: np.ndarray, keep: list[str], thresho
     buckets = len(ratio_of_bucket)
     shared = spark.sparkContext.broadcast(ratio_of_bucket)  # a fixed number of buckets
     fields = [docs.schema[c] for c in keep]
+    names = [f"__k{i}" for i in range(len(keep))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher(SEED)
@@ -175,9 +176,8 @@ def judge(docs: DataFrame, ratio_of_bucket: np.ndarray, keep: list[str], thresho
             kinds = {"long": pa.int64(), "boolean": pa.bool_(), "double": pa.float64()}
             columns = [batch.column(i) for i in range(len(keep))]
             columns += [pa.array(v, kinds[k]) for v, (_, k) in zip(out, RULE_FIELDS, strict=True)]
-            yield pa.RecordBatch.from_arrays(columns, [*(f"k{i}" for i in range(len(keep))), *(f for f, _ in RULE_FIELDS)])
+            yield pa.RecordBatch.from_arrays(columns, [*names, *(f for f, _ in RULE_FIELDS)])
 
-    names = [f"__k{i}" for i in range(len(keep))]
     kinds = {"long": T.LongType(), "boolean": T.BooleanType(), "double": T.DoubleType()}
     schema = T.StructType([T.StructField(f"__k{i}", f.dataType) for i, f in enumerate(fields)]
                           + [T.StructField(f, kinds[k]) for f, k in RULE_FIELDS])

@@ -8,14 +8,37 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe_fst, quality_llr, simhash_ring
-from .common import table
+from . import anchor_pii, bpe_fst, decontaminate, histogram_shards, quality_llr, simhash_ring, token_files
+from .common import table, work_path
 
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.tiktoken")
 BYTE_BPE_PATTERN = public_tokenizers.PATTERN
 
 
+def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = work_path(spark, "token-files")
+    token_files.write(table(spark, sf_dir, "documents").select("doc_id", "text"), WORD_BPE, folder)
+    return token_files.read(spark, folder).drop("ids")
+
+
+def op4_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = histogram_shards.shard(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    crc = F.crc32(F.coalesce(F.encode("text", "UTF-8"), F.lit(b"")))
+    return placed.select("doc_id", "size", crc.alias("text_crc32"), F.lit("bytes").alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return anchor_pii.detect(table(spark, sf_dir, "documents"), ["doc_id"])
+
+
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     ratio = quality_llr.fit(docs, table(spark, sf_dir, "labels"))
@@ -32,7 +55,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op7_quality_rules, op8_simhash_near_dedup, op10_byte_bpe)}
+    return {f.__name__: f for f in (op1_token_files, op4_histogram_shards, op5_personal_data, op6_decontamination, op7_quality_rules, op8_simhash_near_dedup, op10_byte_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
