@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import anchor_pii, bpe_fst, decontaminate, histogram_shards, quality_llr, simhash_ring, token_files
+from . import anchor_pii, bpe_fst, decontaminate, histogram_shards, quality_llr, simhash_ring, token_files, warc_derive
 from .common import table, work_path
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -49,13 +49,18 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_ring.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op9_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    built = warc_derive.derivatives(warc_derive.responses(table(spark, sf_dir, "pages")))
+    return built.select(*(c for c in built.columns if c != "record"), F.sha2("record", 256).alias("record_sha256"))
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return bpe_fst.encode_documents(docs, BYTE_BPE, BYTE_BPE_PATTERN, ["doc_id"], with_ids=False)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_files, op4_histogram_shards, op5_personal_data, op6_decontamination, op7_quality_rules, op8_simhash_near_dedup, op10_byte_bpe)}
+    return {f.__name__: f for f in (op1_token_files, op4_histogram_shards, op5_personal_data, op6_decontamination, op7_quality_rules, op8_simhash_near_dedup, op9_warc_derivatives, op10_byte_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
