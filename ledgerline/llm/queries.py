@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import anchor_pii, bpe_fst, decontaminate, histogram_shards, interpolated_lm, quality_llr, simhash_ring, token_files, warc_derive
+from . import anchor_pii, bpe_fst, decontaminate, histogram_shards, interpolated_lm, quality_llr, simhash_ring, substring_graph, token_files, warc_derive
 from .common import table, work_path
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -28,6 +28,10 @@ def op2_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return interpolated_lm.score(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_graph.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op4_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = histogram_shards.shard(table(spark, sf_dir, "documents").select("doc_id", "text"))
     crc = F.crc32(F.coalesce(F.encode("text", "UTF-8"), F.lit(b"")))
@@ -64,7 +68,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_files, op2_lm_scores, op4_histogram_shards, op5_personal_data, op6_decontamination, op7_quality_rules, op8_simhash_near_dedup, op9_warc_derivatives, op10_byte_bpe)}
+    return {f.__name__: f for f in (op1_token_files, op2_lm_scores, op3_substring_dedup, op4_histogram_shards, op5_personal_data, op6_decontamination, op7_quality_rules, op8_simhash_near_dedup, op9_warc_derivatives, op10_byte_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
