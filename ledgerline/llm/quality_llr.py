@@ -150,12 +150,29 @@ def judge(docs: DataFrame, ratio_of_bucket: np.ndarray, keep: list[str], thresho
 
     NULL and empty texts have no words and fail the base rules; their score is
     NULL. Repeated rows are judged alike; an empty table gives no rows."""
+    names = [f"__k{i}" for i in range(len(keep))]
+    found = _judged(docs, ratio_of_bucket, keep, names, threshold)
+    for name, column in zip(names, keep, strict=True):
+        found = found.withColumnRenamed(name, column)
+    return found
+
+
+def keep(docs: DataFrame, ratio_of_bucket: np.ndarray, threshold: float = THRESHOLD) -> DataFrame:
+    """The documents judged as kept, with all their columns."""
+    columns = docs.columns
+    names = [f"__k{i}" for i in range(len(columns))]
+    kept = _judged(docs, ratio_of_bucket, columns, names, threshold).where("kept")
+    return kept.select(*(F.col(n).alias(c) for n, c in zip(names, columns, strict=True)))
+
+
+def _judged(docs: DataFrame, ratio_of_bucket: np.ndarray, keep: list[str], names: list[str], threshold: float) -> DataFrame:
+    """``judge`` with the kept columns under other names, so that columns of
+    ``docs`` may be called like the rules' own."""
     spark = docs.sparkSession
     prepare(spark)
     buckets = len(ratio_of_bucket)
     shared = spark.sparkContext.broadcast(ratio_of_bucket)  # a fixed number of buckets
     fields = [docs.schema[c] for c in keep]
-    names = [f"__k{i}" for i in range(len(keep))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher(SEED)

@@ -50,7 +50,7 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     ratio = quality_llr.fit(docs, table(spark, sf_dir, "labels"))
-    return quality_llr.judge(docs, ratio, ["doc_id"]).withColumnRenamed("__k0", "doc_id")
+    return quality_llr.judge(docs, ratio, ["doc_id"])
 
 
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
