@@ -71,5 +71,31 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_token_files, op2_lm_scores, op3_substring_dedup, op4_histogram_shards, op5_personal_data, op6_decontamination, op7_quality_rules, op8_simhash_near_dedup, op9_warc_derivatives, op10_byte_bpe)}
 
 
+#: Words by position; windows of 50 words by the digest of their words; a word
+#: goes when a window over it also starts in a document of smaller id.
+SUBSTRING_SQL = r"""
+with split as (
+  select row_number() over () as doc, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as ws from documents
+), windows as (
+  select doc, doc_id, i, md5(array_to_string(ws[i:i + 49], ' ')) as digest
+  from (select doc, doc_id, ws, unnest(range(1, len(ws) - 48)) as i from split)
+), firsts as (
+  select digest, min(doc_id) as first_id from windows group by digest
+), gone as (
+  select distinct doc, unnest(range(i, i + 50)) as i from windows join firsts using (digest) where first_id < doc_id
+), word as (
+  select doc, unnest(ws) as w, unnest(range(1, len(ws) + 1)) as i from split
+), kept as (
+  select word.doc, string_agg(w, ' ' order by word.i) as kept_text
+  from word left join gone on gone.doc = word.doc and gone.i = word.i where gone.i is null group by word.doc
+), lost as (
+  select doc, count(*) as n from gone group by doc
+)
+select doc_id, cast(len(ws) as bigint) as n_words, cast(coalesce(lost.n, 0) as bigint) as n_removed,
+       sha256(coalesce(kept_text, '')) as kept_sha256
+from split left join kept using (doc) left join lost using (doc)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_substring_dedup": SUBSTRING_SQL}
