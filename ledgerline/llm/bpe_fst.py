@@ -338,6 +338,8 @@ class StreamDecoder:
                     i += 1
                 start = i
             state = nxt
+        if start < len(data):  # what follows is not its continuation
+            out.append("\ufffd")
         return "".join(out)
 
     def feed(self, ids) -> str:

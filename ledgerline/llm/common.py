@@ -127,28 +127,42 @@ class WordHasher:
         from xxhash import xxh64_intdigest
 
         self._digest, self.seed, self.limit = xxh64_intdigest, seed, limit
-        self.number = Numbering()
         self._hashes = np.zeros(1024, np.uint64)
+        self._restart()
+
+    def _restart(self) -> None:
+        self.number = _Noted()
         self._done = 0
 
     def ids(self, words: list[bytes]) -> np.ndarray:
         if len(self.number) > self.limit:
-            self.number = Numbering()
-            self._done = 0
+            self._restart()
         return np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
 
     def hashes(self) -> np.ndarray:
         """Hash by number, for every number given out so far."""
-        total = len(self.number)
-        if self._done < total:
+        fresh = self.number.fresh
+        if fresh:
+            total = len(self.number)
             if total > len(self._hashes):
                 grown = np.zeros(max(total, 2 * len(self._hashes)), np.uint64)
                 grown[:self._done] = self._hashes[:self._done]
                 self._hashes = grown
             digest, seed = self._digest, self.seed
-            from itertools import islice
-
-            fresh = islice(self.number, self._done, None)
-            self._hashes[self._done:total] = np.fromiter((digest(w, seed) for w in fresh), np.uint64, total - self._done)
+            self._hashes[self._done:total] = np.fromiter((digest(w, seed) for w in fresh), np.uint64, len(fresh))
             self._done = total
+            fresh.clear()
         return self._hashes
+
+
+class _Noted(dict):
+    """``Numbering`` that lists the words it numbered since last asked."""
+
+    def __init__(self):
+        super().__init__()
+        self.fresh: list[bytes] = []
+
+    def __missing__(self, key):
+        number = self[key] = len(self)
+        self.fresh.append(key)
+        return number
