@@ -1,0 +1,275 @@
+"""The operators' own interfaces: codec and file round trips, transducer,
+streaming decode, index retrieval, ring links, redaction, record files."""
+
+import gzip
+import glob
+import random
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from ledgerline.llm import (anchor_pii, blocks, bpe_fst, decontaminate, histogram_shards, interpolated_lm, quality_llr,
+                            simhash_ring, substring_graph, token_files, warc_derive)
+from ledgerline.llm.common import prepare, work_path
+from ledgerline.llm.queries import WORD_BPE
+
+RANKS = bpe_fst.load_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+FST = bpe_fst.MergeTransducer(RANKS)
+
+
+@given(st.lists(st.integers(0, 2**32 - 1), max_size=60))
+@settings(max_examples=200, deadline=None)
+def test_rank_codec_round_trip(ranks):
+    values = np.asarray(ranks, "<u4")
+    control, data = token_files.encode_ranks(values)
+    assert len(control) == -(-len(ranks) // 4)
+    assert token_files.decode_ranks(control, data, len(ranks)).tolist() == ranks
+
+
+@given(st.binary(min_size=1, max_size=40) | st.text("aeinrst hT.,", min_size=1, max_size=60).map(str.encode))
+@settings(max_examples=300, deadline=None)
+def test_transducer_is_the_merge_loop(piece):
+    expected = [RANKS[piece]] if piece in RANKS else bpe_fst.merge_by_rank(piece, RANKS)
+    assert list(FST.encode_piece(piece)) == expected
+
+
+def test_transducer_state_limit_changes_nothing():
+    small = bpe_fst.MergeTransducer(RANKS, max_states=3, max_pieces=2)
+    for w in (b"internationalisation", b"thereabouts", b"\xff\xfe\x00zz", b"thereabouts"):
+        assert small.encode_piece(w) == FST.encode_piece(w)
+
+
+@given(st.binary(max_size=60), st.integers(1, 5))
+@settings(max_examples=300, deadline=None)
+def test_stream_decode_in_any_chunks(data, step):
+    ids = [RANKS[data[i:i + 1]] for i in range(len(data))]
+    dec = bpe_fst.StreamDecoder(FST.token)
+    out = "".join(dec.feed(ids[i:i + step]) for i in range(0, len(ids), step)) + dec.close()
+    assert out == data.decode("utf-8", "replace")
+
+
+def test_token_files_general_interface(spark, tmp_path):
+    docs = spark.createDataFrame([(3, "c d"), (1, "a b"), (2, None)], "doc_id long, text string")
+    folder = str(tmp_path / "files")
+    token_files.write(docs, WORD_BPE, folder, end_id=49407, frame_ids=1)
+    back = {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in token_files.read(spark, folder).collect()}
+    tok = token_files.tokenizer(WORD_BPE).tokenizer
+    assert back == {1: [*tok.encode("a b").ids, 49407], 2: [49407], 3: [*tok.encode("c d").ids, 49407]}
+    ranks = [r.id for r in spark.read.parquet(f"{folder}/ranks").orderBy("rank").collect()]
+    counts = Counter(i for ids in back.values() for i in ids)
+    assert [counts[i] for i in ranks] == sorted(counts.values(), reverse=True)
+
+
+def test_blocks_answer_like_one_block(spark, llm_dir, monkeypatch):
+    docs = spark.read.parquet(f"{llm_dir}/documents.parquet")
+    whole = sorted(map(repr, substring_graph.remove_repeats(docs).collect()))
+    scores = {repr(r[:5]): (round(r[5], 6), round(r[6], 6)) for r in interpolated_lm.score(docs).collect()}
+    pack = blocks.pack
+    monkeypatch.setattr(blocks, "pack", lambda *a, **k: pack(*a, **k, block_bytes=3000))
+    assert sorted(map(repr, substring_graph.remove_repeats(docs).collect())) == whole
+    assert {repr(r[:5]): (round(r[5], 6), round(r[6], 6)) for r in interpolated_lm.score(docs).collect()} == scores
+
+
+def test_paths_compact_without_branches_and_cycles(spark):
+    links = spark.createDataFrame([(1, 2), (2, 3), (3, 4), (3, 5), (7, 8), (8, 9), (9, 7), (4, 6), (5, 5)], "a long, b long")
+    got = {r.edge: (r.path, r.place) for r in substring_graph.compact(links).collect()}
+    assert got == {1: (1, 0), 2: (1, 1), 3: (1, 2), 4: (4, 0), 6: (4, 1)}
+
+
+def test_sorted_keys_round_trip():
+    rng = np.random.default_rng(1)
+    for n in (1, 2, 1000):
+        keys = np.unique(rng.integers(0, 2**64, n, dtype=np.uint64))
+        assert (blocks.expand_sorted(blocks.squeeze_sorted(keys)) == keys).all()
+
+
+def test_language_model_prefers_the_corpus(spark):
+    rng = random.Random(3)
+    rows = [(i, " ".join(rng.choice(["a b", "c d", "e f"]) for _ in range(40))) for i in range(120)]
+    got = interpolated_lm.score(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    held = [r for r in got if r.held_out]
+    assert held and sum(r.score for r in held) > sum(r.base_score for r in held)
+
+
+@pytest.mark.parametrize("n,shards", [(400, 16), (3, 16), (200, 1)])
+def test_shards_are_even_and_gapless(spark, n, shards):
+    rng = random.Random(n)
+    rows = [(i // 3, "x" * rng.randrange(50), "clash") for i in range(n)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, slot string")
+    got = histogram_shards.shard(docs, shards=shards, piece_bytes=400).collect()
+    assert len(got) == n
+    slots: dict[int, list[int]] = {}
+    for r in got:
+        slots.setdefault(r.shard, []).append(r.slot)
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    total = sum(len(t) + 1 for _, t, _ in rows)
+    assert max(sum(r["size"] for r in got if r.shard == s) for s in slots) <= total / shards + 51
+
+
+def test_shard_of_one_repeated_row(spark):
+    docs = spark.createDataFrame([(7, "same text")] * 320, "doc_id long, text string")
+    got = Counter(r.shard for r in histogram_shards.shard(docs).select("shard").collect())
+    assert len(got) == 16 and max(got.values()) <= 21
+
+
+def test_redaction(spark):
+    docs = spark.createDataFrame([(1, "mail a@b.co or +1 (555) 123-4567", 5, "x"), (2, None, 0, "y"), (3, "clean", 5, None)],
+                                 "doc_id long, text string, n_chars long, spans string")
+    got = {r.doc_id: r for r in anchor_pii.redact(docs).collect()}
+    assert got[1].text == "mail <EMAIL> or <PHONE>" and got[1].n_chars == len(got[1].text)
+    assert got[2].text is None and got[3].text == "clean" and got[3].spans is None
+
+
+def test_addresses_and_accounts():
+    def kinds(t):
+        return [(k, t[a:b]) for k, found in anchor_pii.find(t.encode()).items() for a, b in found]
+
+    assert kinds("at 221 North Baker Street.") == [("address", "221 North Baker Street")]
+    assert kinds("Hauptstraße 12, Ort") == [("address", "Hauptstraße 12")]
+    assert kinds("iban GB82WEST12345698765432 x") == [("account", "GB82WEST12345698765432")]
+    assert kinds("iban GB82WEST12345698765433 x") == []
+    assert kinds("the account of a street in the road, tokens and streets") == []
+
+
+def _index(n=60, threshold=0.6):
+    rng = random.Random(5)
+    vocabulary = [f"w{i}" for i in range(300)] + ["the", "of", "and"] * 40
+    items = [(i, " ".join(rng.choice(vocabulary) for _ in range(rng.randrange(9, 30))) + ". " + " ".join(rng.choice(vocabulary) for _ in range(4)))
+             for i in range(n)]
+    df = Counter(w for _, t in items for w in set(decontaminate.terms_of(t.encode())))
+    mean = sum(len(decontaminate.terms_of(t.encode())) for _, t in items) / n
+    return items, decontaminate.ItemIndex(items, n, mean, df, threshold)
+
+
+@pytest.mark.parametrize("threshold", [0.05, 0.2, 0.6])
+def test_block_max_wand_is_exhaustive_search(threshold):
+    items, index = _index(threshold=threshold)
+    weight = [{} for _ in index.ids]
+    for t, (docs, ws) in enumerate(zip(index.lists, index.weights)):
+        for d, w in zip(docs, ws):
+            weight[d][t] = w
+    rng = random.Random(9)
+    for _ in range(150):
+        terms = sorted(rng.sample(range(len(index.lists)), rng.randrange(1, 80)))
+        expected = {d: sum(w[t] for t in terms if t in w) for d, w in enumerate(weight)}
+        expected = {d: round(s, 9) for d, s in expected.items() if s >= threshold - 1e-9}
+        assert {d: round(s, 9) for d, s in index.retrieve(terms)} == expected
+
+
+def test_block_bounds_lose_no_passage():
+    items, index = _index()
+    rng = random.Random(2)
+    texts = []
+    for _ in range(30):
+        filler = " ".join(rng.choice(["the", "of", "w1", "zz", "yy"]) for _ in range(rng.randrange(0, 200)))
+        texts.append((filler + " " + rng.choice(items)[1].upper() + ", " + filler).encode())
+    for raw, hits in zip(texts, index.leaks(texts)):
+        low = raw.decode().lower()
+        assert {items[s][0] for s in hits} >= {i for i, t in items if t in low}
+
+
+def test_benchmark_in_blocks(spark, llm_dir):
+    docs, items = spark.read.parquet(f"{llm_dir}/documents.parquet"), spark.read.parquet(f"{llm_dir}/benchmark.parquet")
+    one = sorted(tuple(r)[:2] for r in decontaminate.leaks(docs, items).where("doc_id is not null").collect())
+    many = sorted(tuple(r)[:2] for r in decontaminate.leaks(docs, items, block_bytes=200).where("doc_id is not null").collect())
+    assert one == many and one
+    clean = decontaminate.keep_clean(docs, items)
+    assert clean.columns == docs.columns
+    assert {r.doc_id for r in clean.collect()} == {r.doc_id for r in docs.collect()} - {d for d, _ in one}
+
+
+def test_ring_links_connect_what_hamming_connects(spark):
+    rng = random.Random(4)
+    fps = set()
+    for _ in range(25):
+        b = rng.getrandbits(64)
+        for _ in range(20):
+            x = b
+            for _ in range(rng.randrange(4)):
+                x ^= 1 << rng.randrange(64)
+            fps.add(x)
+    dense = rng.getrandbits(64)
+    fps |= {dense ^ rng.getrandbits(11) for _ in range(900)}  # more than PAIRWISE comparisons under one key
+    fps = sorted(fps)
+    signed = [int(np.uint64(x).view(np.int64)) for x in fps]
+    prepare(spark)
+    df = spark.createDataFrame([(s,) for s in signed], "fp long").repartition(3)
+    root = {r.node: r.root for r in simhash_ring.components(simhash_ring.links(df)).collect()}
+    groups: dict[int, set[int]] = {}
+    for s in signed:
+        groups.setdefault(root.get(s, s), set()).add(s)
+    a = np.array(fps, np.uint64)
+    label = np.arange(len(a))
+    for _ in range(len(a)):
+        new = np.array([label[np.bitwise_count(a ^ x) <= 2].min() for x in a])
+        new = np.minimum(new, new[new])
+        if (new == label).all():
+            break
+        label = new
+    expected: dict[int, set[int]] = {}
+    for s, g in zip(signed, label):
+        expected.setdefault(int(g), set()).add(s)
+    assert sorted(map(sorted, groups.values())) == sorted(map(sorted, expected.values()))
+
+
+def test_near_dedup_keeps_one(spark, llm_dir, doc_rows):
+    docs = spark.read.parquet(f"{llm_dir}/documents.parquet")
+    kept = simhash_ring.keep_one(docs)
+    assert kept.columns == docs.columns
+    judged = simhash_ring.near_duplicates(docs).collect()
+    low = {r.component_id for r in judged}
+    ids = Counter(r.doc_id for r in kept.collect())
+    assert set(ids) - {None} == low - {None}
+    assert ids[None] == sum(i is None for i, _ in doc_rows)
+
+
+def test_log_ratio_separates(spark):
+    rng = random.Random(8)
+    good = [(i, " ".join(rng.choice(["the", "river", "stone", "walked", "quiet"]) + str(rng.randrange(30)) for _ in range(80))) for i in range(40)]
+    junk = [(100 + i, " ".join("zz%d | |" % rng.randrange(30) for _ in range(60))) for i in range(20)]
+    docs = spark.createDataFrame(good + junk, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(0, 40, 2)], "doc_id long, quality int, toxic int")
+    ratio = quality_llr.fit(docs, labels)
+    kept = {r.doc_id: r.kept for r in quality_llr.judge(docs, ratio, ["doc_id"]).collect()}
+    assert all(kept[i] for i, _ in good) and not any(kept[i] for i, _ in junk)
+    assert (quality_llr.fit(docs, labels.limit(0)) == 0).all()
+
+
+def test_warc_records_and_files(spark, llm_dir, tmp_path):
+    pages = spark.read.parquet(f"{llm_dir}/pages.parquet")
+    source = warc_derive.responses(pages)
+    built = warc_derive.derivatives(source)
+    rows = built.collect()
+    originals = {warc_derive.parse(bytes(r.record))[0]["warc-record-id"]: warc_derive.parse(bytes(r.record)) for r in source.collect()}
+    for r in rows:
+        head, block = warc_derive.parse(bytes(r.record))
+        source_head, _ = originals[head["warc-refers-to"]]
+        assert head["warc-type"] == r.record_type and head["warc-block-digest"] == warc_derive.digest(block) == r.block_digest
+        assert head["warc-source-payload-digest"] == source_head["warc-payload-digest"]
+        assert head.get("warc-target-uri") == source_head.get("warc-target-uri")
+        assert head["warc-date"] == source_head["warc-date"] and len(block) == r.content_length
+    text = [warc_derive.parse(bytes(r.record))[1].decode() for r in rows if r.record_type == "conversion" and r.target_uri == "http://a.example/x"]
+    assert "One\ntwo three" in text
+    folder = str(tmp_path / "warc")
+    warc_derive.write_files(built, folder)
+    found = []
+    for f in glob.glob(f"{folder}/*.gz"):
+        data = gzip.open(f).read()
+        while data:
+            head, block = warc_derive.parse(data)
+            size = data.index(b"\r\n\r\n") + 4 + len(block) + 4
+            found.append(data[:size])
+            data = data[size:]
+    assert sorted(found) == sorted(bytes(r.record) for r in rows)
+    assert warc_derive.derive(bytes(rows[0].record)) == []
+
+
+def test_working_folder_is_the_configured_one(spark):
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if root:
+        assert work_path(spark, "x").startswith(root.rstrip("/") + "/")
+    assert work_path(spark, "x") != work_path(spark, "x")
