@@ -201,16 +201,16 @@ def compact(links: DataFrame) -> DataFrame:
     # every edge of a chain points back ``place`` steps to ``path``; a first edge points to itself
     heads = chain.select("a").join(chain.select(F.col("b").alias("a")), "a", "left_anti")
     state = materialise(chain.select(F.col("b").alias("edge"), F.col("a").alias("path"), F.lit(1).cast("long").alias("place"))
-                        .union(heads.select("a", "a", F.lit(0).cast("long"))), "graph-paths")
+                        .union(heads.select("a", "a", F.lit(0).cast("long"))).withColumn("moved", F.lit(True)), "graph-paths")
     n = state.count()
-    heads = materialise(state.where("place = 0").select(F.col("edge").alias("head")), "graph-heads")
-    for _ in range(max(1, n.bit_length())):  # doubling reaches any head within log2(n) rounds
+    for _ in range(n.bit_length() + 1):  # doubling reaches any head within log2(n) rounds
+        # only first edges have place 0, so a pointer to place 0 has arrived
         back = state.select(F.col("edge").alias("path"), F.col("path").alias("path2"), F.col("place").alias("place2"))
-        state = materialise(state.join(back, "path").select("edge", F.col("path2").alias("path"), (F.col("place") + F.col("place2")).alias("place")),
-                            "graph-paths")
-        if not state.join(heads, state["path"] == heads["head"], "left_anti").limit(1).count():
+        state = materialise(state.join(back, "path").select("edge", F.col("path2").alias("path"), (F.col("place") + F.col("place2")).alias("place"),
+                                                            (F.col("place2") > 0).alias("moved")), "graph-paths")
+        if not state.where("moved").limit(1).count():
             break
-    return state.join(heads, state["path"] == heads["head"], "left_semi")
+    return state.where("not moved").select("edge", "path", "place")  # cycles never arrive
 
 
 def _edges_of_blocks(sifted: DataFrame) -> DataFrame:
