@@ -180,9 +180,13 @@ def missing_columns(table: str, present: list[str]) -> list[tuple[str, str]]:
     return [(c, pad_type(c)) for c in CONTRACTS.get(table, []) if c not in have]
 
 
-def conform(table: str, df: DataFrame) -> DataFrame:
-    """Add absent contract columns as typed NULLs (a projection; no shuffle)."""
+def conform(table: str, df: DataFrame, pad: bool = False) -> DataFrame:
+    """Check a source against its contract. An absent column is an error that
+    names it; only the test fixtures, which carry a part of each contract, ask
+    for typed NULLs instead (``pad``)."""
     pads = missing_columns(table, df.columns)
     if not pads:
         return df
+    if not pad:
+        raise ValueError(f"source table {table!r} lacks the columns {[c for c, _ in pads]}")
     return df.select("*", *[F.lit(None).cast(t).alias(c) for c, t in pads])

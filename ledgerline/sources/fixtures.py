@@ -87,7 +87,7 @@ select 'P'||cast(o_orderkey as string) as Id,
   cast(o_orderkey%4 as int) as PortfolioTypeId,
   cast(10000+o_orderkey as string) as PortfolioNumber,
   case o_orderpriority when '1-URGENT' then 'Closed' when '2-HIGH' then 'funded' when '3-MEDIUM' then 'Awaiting Seller Fee' when '4-NOT SPECIFIED' then 'pending buyer funding' else case when o_orderkey%2=0 then 'Purged' else 'Listed' end end as Status,
-  case when o_orderkey%97=0 then null else 'S'||cast(o_orderkey%10 as string) end as SellerId,
+  case when o_orderkey%97=0 then null else 'S'||cast(o_orderkey%suppliers as string) end as SellerId,
   case when o_orderkey%9=0 then null else 'B'||cast(o_custkey as string) end as BuyerId,
   cast(o_orderdate as timestamp) as UploadDateUtc,
   cast(o_orderdate + interval '20' day as timestamp) as PortfolioCloseUtc,
@@ -100,7 +100,7 @@ select 'P'||cast(o_orderkey as string) as Id,
   cast(o_orderkey%100 as int) as NumberOfAccounts,
   cast(o_orderkey%3 as int) as SellerUploadTemplateId,
   case o_orderkey%7 when 0 then ' Sovereign ' when 1 then 'Lease to Own' when 2 then 'CSO' when 3 then 'Off Shore' when 4 then 'Other' when 5 then null else 'unknown' end as LicenseType, 'Mixed' as AssetTypes, 'Issuer '||cast(o_orderkey%5 as string) as Issuers
-from {orders}
+from {orders} cross join (select count(*) as suppliers from {supplier}) n
 """
 
 FIXTURE_SQL["auction"] = """
@@ -122,25 +122,24 @@ where o_orderkey%3<>0
 """
 
 FIXTURE_SQL["portfolio_download"] = """
-select case when event_id%3=0 then 'S'||cast(user_id%10 as string) else 'B'||cast(user_id as string) end as BusinessId,
+select case when event_id%3=0 then 'S'||cast(user_id%suppliers as string) else 'B'||cast(user_id as string) end as BusinessId,
   cast(ts as timestamp) as DownloadedUtc
-from {events}
+from {events} cross join (select count(*) as suppliers from {supplier}) n
 """
 
 FIXTURE_SQL["portfolio_event"] = """
-select event_id as Id, 'P'||cast(event_id%1500 as string) as PortfolioId,
+select event_id as Id, 'P'||cast(event_id%fifth*5+event_id%fifth%5 as string) as PortfolioId,
   case event_type when 'click' then 'listed' when 'view' then 'read' when 'signup' then 'Awarded' when 'purchase' then 'awarded' else 'download data-masked' end as EventType,
   cast(ts as timestamp) as EventUtc, 'U'||cast(user_id as string) as UserId
-from {events}
+from {events} cross join (select cast(floor(count(*)/5.0) as bigint) as fifth from {orders}) n
 """
 
 FIXTURE_SQL["portfolio_bid"] = """
-select cast(l_orderkey as string)||'-'||cast(l_linenumber as string)||'-'||cast(l_partkey as string)||'-'||cast(l_suppkey as string)||'-'||cast(cast(l_extendedprice as decimal(18,2)) as string) as Id, 'P'||cast(l_orderkey as string) as PortfolioId, 'B'||cast((l_orderkey+l_partkey)%150 as string) as BuyerId,
-  case l_linenumber%4 when 0 then 'Won' when 1 then 'Placed' when 2 then 'won' else null end as Status, 'U'||cast(l_partkey%160 as string) as PlacedByUserId,
+select cast(l_orderkey as string)||'-'||cast(l_linenumber as string)||'-'||cast(l_partkey as string)||'-'||cast(l_suppkey as string)||'-'||cast(cast(l_extendedprice as decimal(18,2)) as string) as Id, 'P'||cast(l_orderkey as string) as PortfolioId, 'B'||cast((l_orderkey+l_partkey)%customers as string) as BuyerId,
+  case l_linenumber%4 when 0 then 'Won' when 1 then 'Placed' when 2 then 'won' else null end as Status, 'U'||cast(l_partkey%(customers+10) as string) as PlacedByUserId,
   cast(l_shipdate - interval '100' minute as timestamp) as PlacedUtc,
   cast(l_discount as decimal(9,6)) as BidPercent
-from {lineitem}
-where l_linenumber<=4
+from {lineitem} cross join (select count(*) as customers from {customer}) n
 """
 
 FIXTURE_SQL["portfolio_row"] = """
@@ -214,9 +213,10 @@ select event_id as Id, r.g as DebtAccountId,
   case event_id%8 when 0 then 'Closed' when 1 then 'closed' when 2 then 'Withdrawn' when 3 then 'unresolved' when 4 then 'Pending Seller Funding' when 5 then 'rejected' else 'Open' end as Status,
   cast(ts as timestamp) as Created,
   case when event_id%6=0 then event_id end as FundingNotificationId
-from {events} e join (select l_orderkey, min(cast(l_orderkey as string)||'-'||cast(l_linenumber as string)||'-'||cast(l_partkey as string)||'-'||cast(l_suppkey as string)||'-'||cast(cast(l_extendedprice as decimal(18,2)) as string)) as g
+from {events} e cross join (select cast(floor(count(distinct l_orderkey)/4.0) as bigint) as quarter from {lineitem}) n
+join (select g, row_number() over (order by l_orderkey)-1 as place from (select l_orderkey, min(cast(l_orderkey as string)||'-'||cast(l_linenumber as string)||'-'||cast(l_partkey as string)||'-'||cast(l_suppkey as string)||'-'||cast(cast(l_extendedprice as decimal(18,2)) as string)) as g
 from {lineitem}
-group by l_orderkey) r on r.l_orderkey=e.event_id%1500
+group by l_orderkey) keyed) r on r.place=e.event_id%quarter*4+e.event_id%quarter%4
 """
 
 FIXTURE_SQL["request_event"] = """
@@ -319,14 +319,13 @@ where bucket30%5=4
 """
 
 FIXTURE_SQL["complaint_aggregate"] = """
-select 'Buyer' as AggregateType, 'B'||cast(o_custkey%20 as string) as BuyerGuid,
+select 'Buyer' as AggregateType, 'B'||cast(o_custkey as string) as BuyerGuid,
   case when o_orderkey%2=0 then 'S'||cast(o_orderkey%3 as string) end as SellerGuid,
   cast(null as string) as AgencyGuid,
   cast(month(o_orderdate) as int) as Month,
   cast(year(o_orderdate) as int) as Year,
   cast(count(*) as int) as Value
 from {orders}
-where o_orderkey%7<>3
 group by 1,2,3,4,5,6
 union all select 'Total', null, null, null, null,
   cast(year(o_orderdate) as int),

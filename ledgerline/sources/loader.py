@@ -36,8 +36,9 @@ def fixture_dependencies(name: str) -> list[str]:
 class Sources(Mapping):
     """Lazy, memoised mapping of source-table name to conformed DataFrame."""
 
-    def __init__(self, spark: SparkSession, build, derived: dict[str, DataFrame] | None = None):
+    def __init__(self, spark: SparkSession, build, derived: dict[str, DataFrame] | None = None, pad: bool = False):
         self.spark = spark
+        self.pad = pad  # absent contract columns become NULL (fixtures) instead of an error
         self._build = build
         self._cache: dict[str, DataFrame] = {}
         # tables derived from the sources and materialised once per refresh
@@ -46,13 +47,13 @@ class Sources(Mapping):
 
     def with_tables(self, **frames: DataFrame) -> "Sources":
         """A view of these sources that also carries materialised derived tables."""
-        out = Sources(self.spark, self._build, {**self.derived, **frames})
+        out = Sources(self.spark, self._build, {**self.derived, **frames}, self.pad)
         out._cache = self._cache
         return out
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._cache:
-            self._cache[name] = conform(name, self._build(name))
+            self._cache[name] = conform(name, self._build(name), self.pad)
         return self._cache[name]
 
     def __iter__(self):
@@ -79,8 +80,8 @@ class Sources(Mapping):
         return cls(spark, lambda name: spark.table(f"`{schema}`.`{name}`"))
 
     @classmethod
-    def from_frames(cls, spark: SparkSession, frames: dict[str, DataFrame]) -> "Sources":
-        return cls(spark, lambda name: frames[name])
+    def from_frames(cls, spark: SparkSession, frames: dict[str, DataFrame], pad: bool = False) -> "Sources":
+        return cls(spark, lambda name: frames[name], pad=pad)
 
     @classmethod
     def from_testdata(cls, spark: SparkSession, sf_dir: str, cache: bool = False) -> "Sources":
@@ -106,7 +107,7 @@ class Sources(Mapping):
                 raw[name] = df.persist(StorageLevel.MEMORY_AND_DISK) if cache else df
             return raw[name]
 
-        return cls(spark, build)
+        return cls(spark, build, pad=True)
 
 
 def write_sources(sources: Sources, root: str, files: int | None = None) -> None:

@@ -1,4 +1,6 @@
-from ledgerline.sources import CONTRACTS, SOURCE_TABLES
+import pytest
+
+from ledgerline.sources import CONTRACTS, SOURCE_TABLES, Sources
 from ledgerline.sources.fixtures import FIXTURE_COLUMNS
 
 
@@ -16,3 +18,41 @@ def test_conformed_tables_carry_the_contract(src):
     for name in SOURCE_TABLES:
         cols = set(src[name].columns)
         assert set(CONTRACTS[name]) <= cols, name
+
+
+def test_fixtures_grow_with_the_data(spark):
+    """Requests, events, bids and parties follow the carrier tables, and no event or line item is dropped."""
+    def facts(folder):
+        s = Sources.from_testdata(spark, folder)
+        events, items = (spark.read.parquet(f"{folder}/{t}.parquet").count() for t in ("events", "lineitem"))
+        assert s["request"].count() == s["portfolio_event"].count() == events
+        assert s["portfolio_bid"].count() == items
+        return [s["request"].select("DebtAccountId").distinct().count(), s["portfolio_event"].select("PortfolioId").distinct().count(),
+                s["portfolio_bid"].select("BuyerId").distinct().count(), s["portfolio"].where("SellerId is not null").select("SellerId").distinct().count()]
+
+    small, large = facts("/root/testdata/sf0.001"), facts("/root/testdata/sf0.01")
+    assert all(9 <= b / a <= 11 for a, b in zip(small, large, strict=True)), (small, large)
+
+
+def test_absent_columns_are_an_error_outside_the_fixtures(spark, src):
+    frame = src["portfolio"].drop("SoldUtc")
+    strict = Sources.from_frames(spark, {"portfolio": frame})
+    with pytest.raises(ValueError, match="portfolio.*SoldUtc"):
+        strict["portfolio"]
+    assert "SoldUtc" in Sources.from_frames(spark, {"portfolio": frame}, pad=True)["portfolio"].columns
+
+
+def test_names_are_broadcast_not_shuffled(spark):
+    """Seller, buyer and creator names reach the facts of D04 to D07 and D12 by broadcast at sf0.1."""
+    from ledgerline.params import Params
+    from ledgerline.plans import gold
+
+    s = Sources.from_testdata(spark, "/root/testdata/sf0.1")
+    for product in (gold.d04_portfolio_aggregate, gold.d05_portfolio_bid, gold.d06_complaints, gold.d07_complaint_aggregate, gold.d12_postsale):
+        plan = product(s, Params.testing())._jdf.queryExecution().executedPlan().toString()
+        for key in ("_p_sid", "_p_bid", "SellerId", "BuyerId", "SellerGuid#", "BuyerGuid#", "CreatedByBusinessId"):
+            for line in plan.splitlines():
+                if "hashpartitioning" in line and "_p" + "n" not in line:
+                    keys = line[line.index("hashpartitioning("):].split(")")[0]
+                    # D07 joins previous months on all party keys together, which is not a name lookup
+                    assert keys.count(",") > 2 or key not in keys, (product.__name__, line.strip()[:200])
