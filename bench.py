@@ -12,7 +12,9 @@
 Prints ONE JSON line: metric, value (wall seconds of the whole refresh),
 unit, queries (seconds per product step; independent gold steps and views
 run as concurrent jobs, ``BENCH_PARALLEL``, default 4), sf. ``BENCH_REPEAT``
-> 1 repeats the refresh and reports medians. ``BENCH_PARTITIONS`` sets the
+> 1 repeats the refresh and reports medians. ``BENCH_SERIAL=1`` adds a serial
+refresh (``serial_wall_sec``, ``serial_queries``), whose step seconds no other
+step disturbs. ``BENCH_PARTITIONS`` sets the
 shuffle partitions and the bucket count (default 2 x cpus).
 """
 
@@ -38,6 +40,10 @@ STEP_KEYS = {
     "Portfolio": "d01_portfolio", "Business": "d02_business", "Portfolio_Row": "d03_portfolio_row",
     "Portfolio_Aggregate": "d04_portfolio_aggregate", "Portfolio_Bid": "d05_portfolio_bid",
     "Complaints": "d06_complaints", "Complaint_Aggregate": "d07_complaint_aggregate", "PostSale": "d12_postsale",
+    "PortfolioEvents": "d14_portfolio_events", "PortfolioFunding": "d15_portfolio_funding",
+    "RowAggregates": "d16_row_aggregates", "BidAggregates": "d17a_bid_aggregates",
+    "PostSaleAggregates": "d17b_postsale_aggregates", "ComplaintsByBuyer": "d17c_complaints_by_buyer",
+    "ComplaintsByPortfolio": "d17d_complaints_by_pid", "SilverBase": "d18_silver_base",
     "FormulaComplete": "d20_formula_complete", "_EC_Portfolio_Expanded": "d13_silver_expanded",
     "VW_Bidders": "d08_bidders", "VW_Boardmembers_EC_Portfolio_Bid": "d09_board_bid",
     "VW_Boardmembers_Buyer_Activity": "d10_buyer_activity", "VW_Boardmembers_ForwardFlow": "d11_forward_flow",
@@ -93,6 +99,15 @@ def main() -> None:
         runs.append(secs)
 
     queries = {STEP_KEYS[k]: round(statistics.median(r[k] for r in runs), 3) for k in runs[0]}
+    serial: dict[str, object] = {}
+    if os.environ.get("BENCH_SERIAL", "0") == "1":
+        gold_root, silver_root = os.path.join(scratch, "serial", "gold"), os.path.join(scratch, "serial", "silver")
+        w0 = time.monotonic()
+        secs = pipeline.refresh_gold(spark, src, gold_root, params, max_parallel=1)
+        secs.update(pipeline.refresh_silver(spark, src, gold_root, silver_root, params))
+        secs.update(pipeline.run_views(spark, src, gold_root, silver_root, params, max_parallel=1))
+        serial = {"serial_wall_sec": round(time.monotonic() - w0, 3),
+                  "serial_queries": {STEP_KEYS[k]: round(v, 3) for k, v in secs.items()}}
     print(json.dumps({
         "metric": "refresh_wall_sec",
         "value": round(statistics.median(walls), 3),
@@ -106,6 +121,7 @@ def main() -> None:
         "repeat": repeat,
         "parallel_steps": parallel,
         "sum_of_step_sec": round(sum(queries.values()), 3),
+        **serial,
     }))
     spark.stop()
 

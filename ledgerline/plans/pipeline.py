@@ -12,12 +12,15 @@ executor only recomputes the tasks of the current step.
 
 from __future__ import annotations
 
+import hashlib
 import os
 import time
+import warnings
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..params import Params
 from ..sources import Sources
@@ -34,7 +37,10 @@ GOLD_STEPS: list[tuple[str, Callable]] = [
     ("PostSale", gold.d12_postsale),
 ]
 SILVER_TABLE = "_EC_Portfolio_Expanded"
-STAGING_TABLES = ["FormulaComplete"]
+# staging tables of the silver refresh, in the order of the reference's steps
+STAGES = ["PortfolioEvents", "PortfolioFunding", "RowAggregates", "BidAggregates", "PostSaleAggregates",
+          "ComplaintsByBuyer", "ComplaintsByPortfolio", "SilverBase", "FormulaComplete"]
+STAGING_TABLES = STAGES
 
 
 CATALOG_PREFIX = "catalog:"
@@ -62,30 +68,59 @@ def _fs_path(spark: SparkSession, path: str):
 
 def write_table(df: DataFrame, path: str) -> None:
     """Full rebuild of one table (K01): write the new version beside the old
-    one, then swap it in. A job that fails while writing leaves the previous
-    table intact, and readers only miss the table for the swap itself."""
+    one, move the old one aside, move the new one in, then delete the old. A
+    job that fails while writing leaves the previous table intact; if the
+    driver dies between the two moves, the previous version is still there
+    under ``._previous`` and ``read_table`` finds it."""
     spark = df.sparkSession
-    incoming = path.rstrip("/") + "._incoming"
-    df.write.mode("overwrite").parquet(incoming)
+    base = path.rstrip("/")
+    df.write.mode("overwrite").parquet(base + "._incoming")
     target, fs = _fs_path(spark, path)
-    staged, _ = _fs_path(spark, incoming)
+    staged, _ = _fs_path(spark, base + "._incoming")
+    aside, _ = _fs_path(spark, base + "._previous")
     if fs.exists(target):
-        fs.delete(target, True)
+        fs.delete(aside, True)
+        if not fs.rename(target, aside):
+            raise OSError(f"could not move {path} aside")
     if not fs.rename(staged, target):
-        raise OSError(f"could not move {incoming} to {path}")
+        raise OSError(f"could not move {base}._incoming to {path}")
+    fs.delete(aside, True)
+
+
+def save_table(df: DataFrame, schema: str, name: str) -> None:
+    """The same for a catalog table: build under another name, then rename."""
+    spark = df.sparkSession
+    target, incoming, aside = (f"`{schema}`.`{name}{end}`" for end in ("", "__incoming", "__previous"))
+    spark.sql(f"DROP TABLE IF EXISTS {incoming}")
+    # a build that failed half-way leaves files without a table under this reserved name
+    leftover, fs = _fs_path(spark, f"{spark.catalog.getDatabase(schema).locationUri}/{name.lower()}__incoming")
+    fs.delete(leftover, True)
+    df.write.format("parquet").saveAsTable(incoming)
+    if spark.catalog.tableExists(f"{schema}.{name}"):
+        spark.sql(f"DROP TABLE IF EXISTS {aside}")
+        spark.sql(f"ALTER TABLE {target} RENAME TO {aside}")
+    spark.sql(f"ALTER TABLE {incoming} RENAME TO {target}")
+    spark.sql(f"DROP TABLE IF EXISTS {aside}")
 
 
 def save(df: DataFrame, root: str, name: str) -> None:
     kind, where = _target(root, name)
     if kind == "table":
-        df.write.mode("overwrite").format("parquet").saveAsTable(where)
+        save_table(df, root[len(CATALOG_PREFIX):], name)
     else:
         write_table(df, where)
 
 
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """A table; its previous version if a swap was cut off."""
     kind, where = _target(root, name)
-    return spark.table(where) if kind == "table" else spark.read.parquet(where)
+    if kind == "table":
+        schema = root[len(CATALOG_PREFIX):]
+        cut_off = not spark.catalog.tableExists(f"{schema}.{name}") and spark.catalog.tableExists(f"{schema}.{name}__previous")
+        return spark.table(f"`{schema}`.`{name}__previous`" if cut_off else where)
+    if not _exists(spark, root, name) and _exists(spark, root, name + "._previous"):
+        where += "._previous"
+    return spark.read.parquet(where)
 
 
 def _timed(fn) -> float:
@@ -125,14 +160,43 @@ def _exists(spark: SparkSession, root: str, name: str) -> bool:
     return fs.exists(p)
 
 
-def with_shared_tables(spark: SparkSession, src: Sources, gold_root: str) -> Sources:
-    """Sources plus the shared derived tables a gold refresh materialised."""
-    root = _shared_root(gold_root)
-    if _exists(spark, root, common.EVENT_SUMMARY):
-        return src.with_tables(**{common.EVENT_SUMMARY: read_table(spark, root, common.EVENT_SUMMARY)})
+def summary_name(params: Params) -> str:
+    """Name of the event summary for these event literals: the summary bakes
+    them in, so a refresh with other literals must not read it."""
+    literals = (params.listed_event, params.awarded_event, params.psa_event, params.sold_event, params.funding_events)
+    return f"{common.EVENT_SUMMARY}_{hashlib.md5(repr(literals).encode()).hexdigest()[:10]}"
+
+
+def _drop_other_summaries(spark: SparkSession, root: str, keep: str) -> None:
+    """Summaries of other literals are older than the gold tables now built."""
+    if root.startswith(CATALOG_PREFIX):
+        names = [t.name for t in spark.catalog.listTables(root[len(CATALOG_PREFIX):])]
+    else:
+        p, fs = _fs_path(spark, root)
+        names = [str(f.getPath().getName()) for f in fs.listStatus(p)] if fs.exists(p) else []
+    drop_tables(spark, root, [n for n in names if n.startswith(common.EVENT_SUMMARY) and n != keep])
+
+
+def with_shared_tables(spark: SparkSession, src: Sources, gold_root: str, params: Params) -> Sources:
+    """Sources plus the event summary a gold refresh materialised for the same
+    event literals; with other literals the products read the event log."""
+    root, name = _shared_root(gold_root), summary_name(params)
+    if _exists(spark, root, name):
+        return src.with_tables(**{common.EVENT_SUMMARY: read_table(spark, root, name)})
     return src
 
 
+def warn_unmatched_events(summary: DataFrame, params: Params) -> list[str]:
+    """Names of the own-definition event literals that match no event; they
+    leave their dates NULL for every portfolio, so this is warned about."""
+    found = summary.agg(F.count("PSAConfirmedUtc").alias("psa_event"), F.count("SoldEventUtc").alias("sold_event"),
+                        F.coalesce(F.sum("FundingEventCount"), F.lit(0)).alias("funding_events")).first()
+    missing = [n for n in ("psa_event", "sold_event", "funding_events") if not found[n]]
+    for n in missing:
+        warnings.warn(f"no portfolio event matches {n}={getattr(params, n)!r}; set Params.{n}", stacklevel=2)
+    return missing
+
+
 def refresh_gold(spark: SparkSession, src: Sources, gold_root: str, params: Params | None = None,
                  max_parallel: int = 4) -> dict[str, float]:
     """Build the eight gold tables; seconds per step. The per-portfolio
@@ -140,11 +204,13 @@ def refresh_gold(spark: SparkSession, src: Sources, gold_root: str, params: Para
     read by every product instead of each scanning the log. No gold table
     reads another, so the steps then run concurrently (``max_parallel=1``:
     the reference's serial order)."""
+    params = common.params_or_default(params)  # one clock for the whole refresh
     if gold_root.startswith(CATALOG_PREFIX):
         ensure_layers(spark, gold_root[len(CATALOG_PREFIX):])
-    seconds = {SUMMARY_STEP: _timed(lambda: save(common.event_summary(src, params), _shared_root(gold_root),
-                                                 common.EVENT_SUMMARY))}
-    shared = with_shared_tables(spark, src, gold_root)
+    name = summary_name(params)
+    seconds = {SUMMARY_STEP: _timed(lambda: save(common.event_summary(src, params), _shared_root(gold_root), name))}
+    _drop_other_summaries(spark, _shared_root(gold_root), name)
+    shared = with_shared_tables(spark, src, gold_root, params)
     steps = [(n, (lambda b=b, n=n: save(b(shared, params), gold_root, n))) for n, b in GOLD_STEPS]
     seconds.update(_run_steps(spark, steps, max_parallel))
     return seconds
@@ -164,22 +230,37 @@ def drop_tables(spark: SparkSession, root: str, names: list[str]) -> None:
 
 def refresh_silver(spark: SparkSession, src: Sources, gold_root: str, silver_root: str,
                    params: Params | None = None) -> dict[str, float]:
-    """Staging D14–D18/D20 -> FormulaComplete (materialised, cuts lineage)
-    -> expanded table D13 -> drop staging; seconds per step."""
+    """Staging D14–D18 and D20, each a table of its own (one row per
+    portfolio, so lineage stays short and a lost executor costs one step),
+    then the expanded table D13, then drop staging; seconds per step. Warns
+    about own-definition event literals that match nothing."""
+    params = common.params_or_default(params)
     if silver_root.startswith(CATALOG_PREFIX):
         staging_root = silver_root + "_staging"
         ensure_layers(spark, silver_root[len(CATALOG_PREFIX):], staging_root[len(CATALOG_PREFIX):])
     else:
         staging_root = os.path.join(silver_root, "_staging")
-    src = with_shared_tables(spark, src, gold_root)
+    src = with_shared_tables(spark, src, gold_root, params)
+    warn_unmatched_events(common.event_summary(src, params), params)
     portfolio = read_table(spark, gold_root, "Portfolio")
     business = read_table(spark, gold_root, "Business")
     seconds: dict[str, float] = {}
-    base = staging.d18_silver_base(src, params, portfolio=portfolio, business=business)
-    formula = staging.d20_formula_complete(src, params, base=base)
-    seconds["FormulaComplete"] = _timed(lambda: save(formula, staging_root, "FormulaComplete"))
-    f15 = read_table(spark, staging_root, "FormulaComplete")
-    expanded = silver.d13_silver_expanded(src, params, formula=f15)
+    built: dict[str, DataFrame] = {}
+
+    def step(name: str, df: DataFrame) -> None:
+        seconds[name] = _timed(lambda: save(df, staging_root, name))
+        built[name] = read_table(spark, staging_root, name)
+
+    step("PortfolioEvents", staging.d14_portfolio_events(src, params))
+    step("PortfolioFunding", staging.d15_portfolio_funding(src, params))
+    step("RowAggregates", staging.d16_row_aggregates(src, params))
+    step("BidAggregates", staging.d17a_bid_aggregates(src, params))
+    step("PostSaleAggregates", staging.d17b_postsale_aggregates(src, params))
+    step("ComplaintsByPortfolio", staging.d17d_complaints_by_pid(src, params))
+    step("ComplaintsByBuyer", staging.d17c_complaints_by_buyer(src, params, by_pid=built["ComplaintsByPortfolio"]))
+    step("SilverBase", staging.d18_silver_base(src, params, portfolio=portfolio, business=business, built=built))
+    step("FormulaComplete", staging.d20_formula_complete(src, params, base=built["SilverBase"]))
+    expanded = silver.d13_silver_expanded(src, params, formula=built["FormulaComplete"])
     seconds[SILVER_TABLE] = _timed(lambda: save(expanded, silver_root, SILVER_TABLE))
     drop_tables(spark, staging_root, STAGING_TABLES)
     return seconds
@@ -188,7 +269,8 @@ def refresh_silver(spark: SparkSession, src: Sources, gold_root: str, silver_roo
 def live_views(spark: SparkSession, src: Sources, gold_root: str, silver_root: str,
                params: Params | None = None) -> dict[str, DataFrame]:
     """D08–D11 as lazy DataFrames over the persisted tables."""
-    src = with_shared_tables(spark, src, gold_root)
+    params = common.params_or_default(params)
+    src = with_shared_tables(spark, src, gold_root, params)
     expanded = read_table(spark, silver_root, SILVER_TABLE)
     return {
         "VW_Bidders": views.d08_bidders(src, params, expanded=expanded,

@@ -39,6 +39,14 @@ def d14_portfolio_events(src: Sources, params: Params | None = None) -> DataFram
     return s.filter(any_event.isNotNull()).select("PortfolioId", *[F.col(a).alias(b) for a, b in cols.items()])
 
 
+def event_columns(src: Sources, params: Params | None = None) -> DataFrame:
+    """The columns of D14 and D15 side by side, from one read of the summary."""
+    s = C.event_summary(src, params)
+    funded = F.col("FundingEventCount") > 0
+    return s.select("PortfolioId", F.col("D14ListedUtc").alias("ListedUtc"), F.col("D14AwardedUtc").alias("AwardedUtc"), "PSAConfirmedUtc",
+                    "SoldEventUtc", *[F.when(funded, F.col(c)).alias(c) for c in ("FirstFundingUtc", "LastFundingUtc", "FundingEventCount")])
+
+
 def d15_portfolio_funding(src: Sources, params: Params | None = None) -> DataFrame:
     """First / last funding event and number of funding events per portfolio."""
     s = C.event_summary(src, params)
@@ -89,11 +97,13 @@ def _complaint_portfolios(src: Sources) -> DataFrame:
     return ct.join(pr, ct["PortfolioRowId"] == pr["_guid"], "inner")
 
 
-def d17c_complaints_by_buyer(src: Sources, params: Params | None = None) -> DataFrame:
-    """Complaints per buyer of the account's portfolio (NULL buyer is a group)."""
+def d17c_complaints_by_buyer(src: Sources, params: Params | None = None, by_pid: DataFrame | None = None) -> DataFrame:
+    """Complaints per buyer of the account's portfolio (NULL buyer is a group):
+    the counts per portfolio (D17d, one row each) summed by buyer."""
     p = src["portfolio"].select(F.col("Id").alias("_p_id"), "BuyerId")
-    j = _complaint_portfolios(src).join(p, F.col("_pid") == p["_p_id"], "inner")
-    return j.groupBy("BuyerId").agg(F.count(F.lit(1)).alias("ComplaintCount"))
+    counts = by_pid if by_pid is not None else d17d_complaints_by_pid(src, params)
+    j = counts.join(p, counts["PortfolioId"] == p["_p_id"], "inner")
+    return j.groupBy("BuyerId").agg(F.sum("ComplaintCount").alias("ComplaintCount"))
 
 
 def d17d_complaints_by_pid(src: Sources, params: Params | None = None) -> DataFrame:
@@ -114,27 +124,35 @@ def party_names(business: DataFrame) -> DataFrame:
 
 
 def d18_silver_base(src: Sources, params: Params | None = None, portfolio: DataFrame | None = None,
-                    business: DataFrame | None = None) -> DataFrame:
+                    business: DataFrame | None = None, built: dict[str, DataFrame] | None = None) -> DataFrame:
     """Portfolio product + seller and buyer names + D14–D17 per portfolio.
-    ``portfolio``/``business`` may be the persisted gold tables (refresh)."""
+    ``portfolio``/``business`` may be the persisted gold tables, ``built`` the
+    persisted staging tables (refresh). D14 and D15 come from one read of the
+    event summary."""
     prm = C.params_or_default(params)
+    built = built or {}
     p = (portfolio if portfolio is not None else gold.d01_portfolio(src, prm)).select(*BASE_PORTFOLIO_COLS)
-    names = broadcast_if_small(party_names(business if business is not None else gold.d02_business(src, prm)))
+    names = broadcast_if_small(party_names(business if business is not None else gold.d02_business(src, prm)),
+                               basis=src["business_name"])
     seller = names.select(F.col("Id").alias("_s_id"), F.col("LegalName").alias("SellerLegalName"),
                           F.col("ClientName").alias("SellerClientName"))
     buyer = names.select(F.col("Id").alias("_b_id"), F.col("LegalName").alias("BuyerLegalName"),
                          F.col("ClientId").alias("BuyerClientId"), F.col("ClientName").alias("BuyerClientName"))
+    complaints = built["ComplaintsByPortfolio"] if "ComplaintsByPortfolio" in built else d17d_complaints_by_pid(src, prm)
     per_portfolio = [
-        d14_portfolio_events(src, prm), d15_portfolio_funding(src, prm), d16_row_aggregates(src, prm),
-        d17a_bid_aggregates(src, prm), d17b_postsale_aggregates(src, prm),
-        d17d_complaints_by_pid(src, prm).withColumnRenamed("ComplaintCount", "PortfolioComplaintCount"),
+        event_columns(src, prm),
+        built["RowAggregates"] if "RowAggregates" in built else d16_row_aggregates(src, prm),
+        built["BidAggregates"] if "BidAggregates" in built else d17a_bid_aggregates(src, prm),
+        built["PostSaleAggregates"] if "PostSaleAggregates" in built else d17b_postsale_aggregates(src, prm),
+        complaints.withColumnRenamed("ComplaintCount", "PortfolioComplaintCount"),
     ]
     out = (p.join(seller, p["SellerId"] == seller["_s_id"], "left")
            .join(buyer, p["BuyerId"] == buyer["_b_id"], "left"))
     for i, agg in enumerate(per_portfolio):
         a = agg.withColumnRenamed("PortfolioId", f"_pp{i}")
         out = out.join(a, out["Id"] == a[f"_pp{i}"], "left")
-    cb = d17c_complaints_by_buyer(src, prm).select(F.col("BuyerId").alias("_cb_id"),
+    by_buyer = built["ComplaintsByBuyer"] if "ComplaintsByBuyer" in built else d17c_complaints_by_buyer(src, prm, complaints)
+    cb = by_buyer.select(F.col("BuyerId").alias("_cb_id"),
                                                    F.col("ComplaintCount").alias("BuyerComplaintCount"))
     out = out.join(cb, out["BuyerId"] == cb["_cb_id"], "left")
     drop = ["_s_id", "_b_id", "_cb_id"] + [f"_pp{i}" for i in range(len(per_portfolio))]

@@ -3,6 +3,7 @@
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerline.params import Params
@@ -23,14 +24,57 @@ def test_gold_refresh_idempotent_and_silver_views(spark, src):
     first = {n: _snapshot(spark, g, n) for n, _ in pipeline.GOLD_STEPS}
     pipeline.refresh_gold(spark, src, g, prm)
     assert first == {n: _snapshot(spark, g, n) for n, _ in pipeline.GOLD_STEPS}
-    pipeline.refresh_silver(spark, src, g, s, prm)
+    assert list(pipeline.refresh_silver(spark, src, g, s, prm)) == [
+        "PortfolioEvents", "PortfolioFunding", "RowAggregates", "BidAggregates", "PostSaleAggregates", "ComplaintsByPortfolio",
+        "ComplaintsByBuyer", "SilverBase", "FormulaComplete", pipeline.SILVER_TABLE]
     assert not os.path.exists(os.path.join(s, "_staging", "FormulaComplete"))
     vs = pipeline.live_views(spark, src, g, s, prm)
     lazy_bidders = views.d08_bidders(src, prm)
     assert sorted(vs["VW_Bidders"].collect()) == sorted(lazy_bidders.collect())
     assert "VW_Boardmembers_ForwardFlow" in pipeline.register_views(spark, src, g, s, prm)
     assert spark.table("VW_Boardmembers_ForwardFlow").count() == views.d11_forward_flow(src, prm).count()
-    assert not [p for p in os.listdir(g) if p.endswith("._incoming")]
+    assert not [p for p in os.listdir(g) if p.endswith(("._incoming", "._previous"))]
+    # other event literals must not be answered from the summary of these
+    other = prm.with_(psa_event="listed")
+    pipeline.refresh_silver(spark, src, g, s, other)
+    from ledgerline.plans import silver
+
+    lazy = silver.d13_silver_expanded(src, other).where("PSAConfirmedUtc is not null").count()
+    assert spark.read.parquet(os.path.join(s, pipeline.SILVER_TABLE)).where("PSAConfirmedUtc is not null").count() == lazy > 0
+
+
+def _broken(spark):
+    return spark.range(3).select(F.when(F.col("id") == 2, F.raise_error(F.lit("broken on purpose"))).otherwise(F.col("id")).alias("x"))
+
+
+@pytest.mark.parametrize("kind", ["folder", "catalog"])
+def test_failed_rebuild_keeps_the_old_table(spark, kind):
+    root = tempfile.mkdtemp(prefix="ledgerline-swap-") if kind == "folder" else "catalog:ll_swap_test"
+    if kind == "catalog":
+        pipeline.ensure_layers(spark, "ll_swap_test")
+    pipeline.save(spark.range(5), root, "T")
+    with pytest.raises(Exception, match="broken on purpose"):
+        pipeline.save(_broken(spark), root, "T")
+    assert pipeline.read_table(spark, root, "T").count() == 5
+    pipeline.save(spark.range(7), root, "T")
+    assert pipeline.read_table(spark, root, "T").count() == 7
+    if kind == "folder":
+        os.rename(os.path.join(root, "T"), os.path.join(root, "T._previous"))  # a swap cut off between its moves
+    else:
+        spark.sql("ALTER TABLE ll_swap_test.T RENAME TO ll_swap_test.T__previous")
+    assert pipeline.read_table(spark, root, "T").count() == 7
+    pipeline.save(spark.range(2), root, "T")
+    assert pipeline.read_table(spark, root, "T").count() == 2
+    if kind == "catalog":
+        spark.sql("DROP SCHEMA IF EXISTS ll_swap_test CASCADE")
+
+
+def test_unmatched_event_literals_are_reported(spark, src):
+    from ledgerline.plans import common
+
+    prm = Params.testing().with_(sold_event="no such event")
+    with pytest.warns(UserWarning, match="sold_event"):
+        assert pipeline.warn_unmatched_events(common.event_summary(src, prm), prm) == ["sold_event"]
 
 
 def test_portfolio_aggregate_row_law(src):
