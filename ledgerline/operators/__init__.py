@@ -1,9 +1,9 @@
 from .relational import (
-    DEFAULT_BROADCAST_LIMIT, broadcast_if_small, current_names, estimated_bytes, first_event_dates,
+    DEFAULT_BROADCAST_LIMIT, broadcast_if_small, current_names, estimated_bytes,
     first_hit, latest_by, prev_period_join,
 )
 
 __all__ = [
     "DEFAULT_BROADCAST_LIMIT", "broadcast_if_small", "current_names", "estimated_bytes",
-    "first_event_dates", "first_hit", "latest_by", "prev_period_join",
+    "first_hit", "latest_by", "prev_period_join",
 ]

@@ -55,22 +55,6 @@ def latest_by(df: DataFrame, key: str, ts: str, alias: str) -> DataFrame:
     return df.groupBy(key).agg(F.max(ts).alias(alias))
 
 
-def first_event_dates(events: DataFrame, key: str, ts: str, specs: Mapping[str, Column]) -> DataFrame:
-    """Earliest ``ts`` per key for each named predicate,
-    in ONE pass over the event log. Rows are keys with at least one matching
-    event (for a single predicate: exactly ``MIN(ts) WHERE p GROUP BY key``).
-    The OR of the predicates is pushed into the scan."""
-    preds = list(specs.values())
-    cond = preds[0]
-    for p in preds[1:]:
-        cond = cond | p
-    return (
-        events.filter(cond)
-        .groupBy(key)
-        .agg(*[F.min(F.when(p, F.col(ts))).alias(name) for name, p in specs.items()])
-    )
-
-
 def first_hit(df: DataFrame, key: str, order: Sequence[str], payload: Sequence[str],
               count_alias: str) -> DataFrame:
     """Per key, the number of rows and the columns of the first row by

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import broadcast_if_small, current_names, first_event_dates, first_hit, latest_by
+from ..operators import broadcast_if_small, current_names, first_hit, latest_by
 from ..params import Params
 from ..sources import Sources
 
@@ -37,6 +37,7 @@ def p_null_keeping_exclude(c: str, value: str) -> Column:
     return F.coalesce(F.col(c), F.lit("")) != F.lit(value)
 
 
+# FIXED VALUES – statuses of portfolios that were sold or are being sold.
 SALE_STATUSES = ["closed", "funded", "awaiting seller fee", "pending buyer funding"]
 
 
@@ -140,6 +141,15 @@ def open_name_min_start(src: Sources) -> DataFrame:
 
 
 # ------------------------------------------------------------------ satellites
+def _scrub_hits(src: Sources, results: DataFrame, payload: list[str], received_alias: str, count_alias: str) -> DataFrame:
+    """First hit and number of hits per account, then the file of the first
+    hit: the file table (unique ids) meets one row per account, not every
+    scrub row."""
+    own = [c for c in payload if c != received_alias]
+    hits = first_hit(results, "DebtAccountId", ["Id"], [*own, "ResultFileId"], count_alias)
+    return _with_result_file(src, hits, received_alias).select("DebtAccountId", count_alias, *payload)
+
+
 def _with_result_file(src: Sources, df: DataFrame, received_alias: str) -> DataFrame:
     rf = broadcast_if_small(renamed(src["result_file"], {"Id": "_rf_id", "Received": received_alias}))
     return df.join(rf, df["ResultFileId"] == rf["_rf_id"], "left").drop("_rf_id")
@@ -147,8 +157,7 @@ def _with_result_file(src: Sources, df: DataFrame, received_alias: str) -> DataF
 
 def deceased_hits(src: Sources) -> DataFrame:
     """Deceased scrub hits per account, first hit by result id."""
-    d = _with_result_file(src, src["deceased_result"], "DeceasedScrubReceived")
-    return first_hit(d, "DebtAccountId", ["Id"], ["DateOfDeath", "DeceasedScrubReceived"], "TotalDeceasedHits")
+    return _scrub_hits(src, src["deceased_result"], ["DateOfDeath", "DeceasedScrubReceived"], "DeceasedScrubReceived", "TotalDeceasedHits")
 
 
 BK_PAYLOAD = ["FileDate", "Chapter", "CaseStatus", "CaseNumber", "BarDate", "CourtCity", "CourtState", "CourtZip",
@@ -158,8 +167,7 @@ BK_PAYLOAD = ["FileDate", "Chapter", "CaseStatus", "CaseNumber", "BarDate", "Cou
 
 def bankruptcy_hits(src: Sources) -> DataFrame:
     """Bankruptcy scrub hits per account, first hit by result id."""
-    b = _with_result_file(src, src["bankruptcy_result"], "BankruptcyScrubReceived")
-    return first_hit(b, "DebtAccountId", ["Id"], BK_PAYLOAD, "TotalBankruptyHits")
+    return _scrub_hits(src, src["bankruptcy_result"], BK_PAYLOAD, "BankruptcyScrubReceived", "TotalBankruptyHits")
 
 
 SCRA_PAYLOAD = ["ActiveDutyStatus", "ActiveDutyStartDate", "ActiveDutyEndDate", "ServiceAgency", "ScraScrubReceived"]
@@ -167,8 +175,7 @@ SCRA_PAYLOAD = ["ActiveDutyStatus", "ActiveDutyStartDate", "ActiveDutyEndDate",
 
 def scra_hits(src: Sources) -> DataFrame:
     """SCRA scrub hits per account, first hit by result id."""
-    s = _with_result_file(src, src["scra_result"], "ScraScrubReceived")
-    return first_hit(s, "DebtAccountId", ["Id"], SCRA_PAYLOAD, "TotalSCRAHits")
+    return _scrub_hits(src, src["scra_result"], SCRA_PAYLOAD, "ScraScrubReceived", "TotalSCRAHits")
 
 
 def pifsif_hits(src: Sources) -> DataFrame:

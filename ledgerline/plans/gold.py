@@ -329,7 +329,7 @@ def d04_portfolio_aggregate(src: Sources, params: Params | None = None) -> DataF
     pa = src["portfolio_aggregate"]
     p = C.renamed(src["portfolio"], {"Id": "_p_id", "SellerId": "_p_sid", "PortfolioNumber": "PortfolioNumber",
                                      "Status": "PortfolioStatus", "AssetTypes": "PortfolioAssetTypes"})
-    sn = broadcast_if_small(C.business_with_open_name(src, "_bs_id", "SellerName"))
+    sn = broadcast_if_small(C.business_with_open_name(src, "_bs_id", "SellerName"), basis=src["business_name"])
     j = pa.join(p, p["_p_id"] == pa["PortfolioId"], "inner").join(sn, F.col("_p_sid") == sn["_bs_id"], "inner")
     return j.select(*[pa[c] for c in pa.columns], "PortfolioNumber", "PortfolioStatus", "PortfolioAssetTypes",
                     "SellerName",
@@ -344,22 +344,24 @@ def d05_portfolio_bid(src: Sources, params: Params | None = None) -> DataFrame:
                                      "AssetTypes": "AssetTypes", "SoldUtc": "Sold", "Issuers": "Issuers",
                                      "SellerId": "_p_sid"})
     a = C.renamed(src["auction"], {"PortfolioId": "_a_pid", "BidCloseUtc": "BidClose"})
-    nb = broadcast_if_small(C.business_with_open_name(src, "_bb_id", "Buyer"))
+    nb = broadcast_if_small(C.business_with_open_name(src, "_bb_id", "Buyer"), basis=src["business_name"])
     seller = (C.business_with_open_name(src, "_bs_id", "Seller_Name", {"ClientId": "_bs_cid"})
               .join(broadcast_if_small(C.renamed(src["client"], {"Id": "_cs_id", "Name": "SellerClient"})),
                     F.col("_bs_cid") == F.col("_cs_id"), "inner"))
-    ns = broadcast_if_small(seller)
+    ns = broadcast_if_small(seller, basis=src["business_name"])
     su = C.renamed(src["app_user"], {"Id": "_su_id", "FirstName": "_fn", "LastName": "_ln"})
-    ld = C.renamed(C.listed_dates(src), {"PortfolioId": "_ld_pid", "ListedUtc": "Listed"})
-    ad = C.renamed(C.awarded_dates_ci(src), {"PortfolioId": "_ad_pid", "AwardedUtc": "Awarded"})
-    j = (
-        pb.join(p, pb["PortfolioId"] == p["_p_id"], "inner")
+    dates = C.renamed(C.event_summary(src, prm), {"PortfolioId": "_ev_pid", "ListedUtc": "Listed", "AwardedUtc": "Awarded"})
+    # the portfolio side once, with both dates from one read of the summary;
+    # the bids then meet it in a single shuffle on the portfolio id
+    portfolios = (
+        p.join(ns, F.col("_p_sid") == ns["_bs_id"], "inner")
         .join(a, F.col("_p_id") == a["_a_pid"], "left")
-        .join(nb, pb["BuyerId"] == nb["_bb_id"], "inner")
-        .join(ns, F.col("_p_sid") == ns["_bs_id"], "inner")
+        .join(dates, F.col("_p_id") == dates["_ev_pid"], "left")
+    )
+    j = (
+        pb.join(nb, pb["BuyerId"] == nb["_bb_id"], "inner")
+        .join(portfolios, pb["PortfolioId"] == F.col("_p_id"), "inner")
         .join(su, pb["PlacedByUserId"] == su["_su_id"], "left")
-        .join(ld, ld["_ld_pid"] == F.col("_p_id"), "left")
-        .join(ad, ad["_ad_pid"] == F.col("_p_id"), "left")
     )
     return j.select(
         pb["Id"], F.col("_p_id").alias("PortfolioId"), "PortfolioNumber", "PortfolioStatus", "AssetTypes",
@@ -389,10 +391,11 @@ def d06_complaints(src: Sources, params: Params | None = None) -> DataFrame:
                                           "StateCode": "State"})
     pid = C.renamed(src["portfolio"], {"Id": "_p_id", "PortfolioNumber": "PID", "SellerId": "_p_sid",
                                        "BuyerId": "_p_bid"})
-    ns = broadcast_if_small(C.business_with_open_name(src, "_ns_id", "Seller_Issuer"))
-    nb = broadcast_if_small(C.business_with_open_name(src, "_nb_id", "Buyer"))
+    names = src["business_name"]
+    ns = broadcast_if_small(C.business_with_open_name(src, "_ns_id", "Seller_Issuer"), basis=names)
+    nb = broadcast_if_small(C.business_with_open_name(src, "_nb_id", "Buyer"), basis=names)
     # LEFT JOIN Business CB, LEFT JOIN open name NCB: NCB exists only through CB
-    ncb = broadcast_if_small(C.business_with_open_name(src, "_ncb_id", "_creator_name"))
+    ncb = broadcast_if_small(C.business_with_open_name(src, "_ncb_id", "_creator_name"), basis=names)
     j = (
         ct.join(pr, pr["DebtTraderID"] == ct["PortfolioRowId"], "inner")
         .join(pid, pid["_p_id"] == F.col("_pr_pid"), "inner")
@@ -421,8 +424,9 @@ def d07_complaint_aggregate(src: Sources, params: Params | None = None) -> DataF
     seller_names = (C.renamed(src["business_seller"], {"Id": "_bsl_id"})
                     .join(C.business_with_open_name(src, "_s_id", "SellerBusinessName"),
                           F.col("_bsl_id") == F.col("_s_id"), "left").drop("_s_id"))
-    j = (a.join(broadcast_if_small(buyer_names), a["BuyerGuid"] == F.col("_bb_id"), "left")
-         .join(broadcast_if_small(seller_names), a["SellerGuid"] == F.col("_bsl_id"), "left"))
+    names = src["business_name"]
+    j = (a.join(broadcast_if_small(buyer_names, basis=names), a["BuyerGuid"] == F.col("_bb_id"), "left")
+         .join(broadcast_if_small(seller_names, basis=names), a["SellerGuid"] == F.col("_bsl_id"), "left"))
     j = prev_period_join(j, a, ["AggregateType"], ["BuyerGuid", "SellerGuid", "AgencyGuid"], "Month", "Year",
                          {"Value": "PreviousMonthValue"})
     return j.select(*[F.col(c) for c in a.columns], R.bcr("Value").alias("BCR"), "PreviousMonthValue",
@@ -462,8 +466,8 @@ def postsale_portfolios(src: Sources) -> DataFrame:
     return (
         p.join(t, F.col("_tpl") == t["_t_id"], "inner")
         .join(bk, F.col("_p_id") == bk["_bk_pid"], "left")
-        .join(broadcast_if_small(party("bs")), F.col("SellerId") == F.col("_bs_id"), "left")
-        .join(broadcast_if_small(party("bb")), F.col("BuyerId") == F.col("_bb_id"), "left")
+        .join(broadcast_if_small(party("bs"), basis=src["business_name"]), F.col("SellerId") == F.col("_bs_id"), "left")
+        .join(broadcast_if_small(party("bb"), basis=src["business_name"]), F.col("BuyerId") == F.col("_bb_id"), "left")
         .join(ad, F.col("_ad_pid") == F.col("_p_id"), "left")
     )
 
@@ -502,11 +506,17 @@ def d12_postsale(src: Sources, params: Params | None = None) -> DataFrame:
     cd = C.renamed(C.close_dates(src), {"RequestId": "_cd_rid", "CloseDate": "CloseDate"})
     pdim = postsale_portfolios(src)
     rid = r["Id"]
+    # Most requests have no notification: only those that have one meet the
+    # notifications, and the result is one more satellite keyed by request, so
+    # no task gets all the NULL keys.
+    notified = (req.where(req["FundingNotificationId"].isNotNull())
+                .select(F.col("Id").alias("_fn_rid"), F.col("FundingNotificationId").alias("_fn_id")))
+    fund = notified.join(fund, F.col("_fn_id") == F.col("_f_id"), "inner").drop("_fn_id", "_f_id")
+    # The request-keyed satellites first, on the narrow request (one shuffle
+    # on the request id), then the account, then the portfolio.
     j = (
         r.join(rt, r["RequestType"] == rt["_rt_id"], "inner")
-        .join(pr, r["DebtAccountId"] == pr["_pr_guid"], "inner")
-        .join(pdim, F.col("_pr_pid") == F.col("_p_id"), "inner")
-        .join(fund, r["FundingNotificationId"] == fund["_f_id"], "left")
+        .join(fund, F.col("_fn_rid") == rid, "left")
         .join(pin, pin["_pin_rid"] == rid, "left")
         .join(lg, lg["_lg_rid"] == rid, "left")
         .join(ot, ot["_ot_rid"] == rid, "left")
@@ -514,6 +524,8 @@ def d12_postsale(src: Sources, params: Params | None = None) -> DataFrame:
         .join(bkr, bkr["_bkr_rid"] == rid, "left")
         .join(ps, ps["_ps_rid"] == rid, "left")
         .join(cd, cd["_cd_rid"] == rid, "left")
+        .join(pr, r["DebtAccountId"] == pr["_pr_guid"], "inner")
+        .join(pdim, F.col("_pr_pid") == F.col("_p_id"), "inner")
     )
     total = F.col("AccountTotalBalance")
     by = r["InitiatedByBuyer"]

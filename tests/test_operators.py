@@ -3,7 +3,7 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ledgerline.operators import first_event_dates, first_hit, prev_period_join
+from ledgerline.operators import first_hit, prev_period_join
 
 
 def test_first_hit_equals_count_window_plus_row_number(spark):
@@ -33,16 +33,6 @@ def test_prev_period_join_wraps_year_and_matches_null_keys(spark):
                           (None, None, 2001, None)], key=repr)
 
 
-def test_first_event_dates_single_predicate_is_filtered_min(spark):
-    rows = [("p1", "listed", 3), ("p1", "listed", 1), ("p1", "read", 0), ("p2", "read", 5)]
-    df = spark.createDataFrame(rows, "p string, e string, t int")
-    got = sorted(first_event_dates(df, "p", "t", {"first": F.col("e") == "listed"}).collect())
-    assert [tuple(r) for r in got] == [("p1", 1)]
-    two = sorted((tuple(r) for r in first_event_dates(df, "p", "t", {"l": F.col("e") == "listed",
-                                                                    "r": F.col("e") == "read"}).collect()), key=repr)
-    assert two == [("p1", 1, 0), ("p2", None, 5)]
-
-
 def test_broadcast_only_behind_size_check(spark):
     from ledgerline.operators import broadcast_if_small, estimated_bytes
 
