@@ -1,10 +1,14 @@
-"""DuckDB oracle SQL for staging D14–D18/D20, silver D13 and views D08–D11."""
+"""DuckDB oracle SQL for staging D14–D18/D20, silver D13 and views D08–D11.
+
+D13 and the views are written from their definitions: the month goals and the
+macro quarters attached to every portfolio, and, for the bidders, the distinct
+(client, name, close month) of the bids on it.
+"""
 
 from __future__ import annotations
 
 from ..params import Params
 from ..plans import staging as S
-from ..plans.common import VIEWER_EVENTS
 from ..plans.silver import GOAL_COL
 from .oracle import q, sql_list, sql_str
 from .oracle_gold import category_sql
@@ -72,46 +76,37 @@ left join st_complaints_by_buyer cb on p.BuyerId = cb.BuyerId"""
     b["s_goals"] = f"""select Value as {GOAL_COL}, cast(left(YearMonth, 4) as integer) as GoalYear,
  cast(right(YearMonth, 2) as integer) as GoalMonth
 from goals where Metric = {sql_str(prm.goal_metric)}"""
-    b["s_j1"] = f"""select f15.*, g.{GOAL_COL} from st_formula f15
-left join s_goals g on g.GoalYear = f15.ListedUtcYear and g.GoalMonth = f15.ListedUtcMonth"""
-    b["s_f1"] = """select *, cast(month(PortfolioCloseUtc) as integer) as PortfolioCloseUtcMonth,
- cast(year(PortfolioCloseUtc) as integer) as PortfolioCloseUtcYear,
- cast(quarter(PortfolioCloseUtc) as integer) as PortfolioCloseUtcQuarter from s_j1"""
     b["s_macro"] = """select distinct *, cast(year(FormattedDate) as integer) as MacroeconomicDateYear,
  cast(month(FormattedDate) as integer) as MacroeconomicDateMonth,
  cast(quarter(FormattedDate) as integer) as MacroeconomicDateQuarter from macro"""
-    aw = f'F1.{q(S.AVG_WRITE_OFF)}'
+    written_off = q(S.AVG_WRITE_OFF)
 
-    def wh(ev: str) -> str:
-        return (f"case when {ev} is null or F1.PSAConfirmedUtc is null then null "
-                f"when {ev} <= last_day({aw} + interval 6 month) and {ev} >= {aw} then 0 else 1 end")
+    def held(event: str) -> str:
+        """1 unless the event lies between the mean write-off and the end of the sixth month after it."""
+        inside = f"{event} between closing.{written_off} and last_day(closing.{written_off} + to_months(6))"
+        return f"if(closing.PSAConfirmedUtc is null or {event} is null, null, if({inside}, 0, 1))"
 
-    b["s_expanded"] = f"""select F1.*, m.*,
- cast({wh('F1.PSAConfirmedUtc')} as integer) as WarehousedAvgWriteOfftoPSAConfirmed,
- cast({wh('F1.PortfolioCloseUtc')} as integer) as WarehousedAvgWriteOfftoPortfolioClosed,
- cast({wh('F1.SoldUtc')} as integer) as WarehousedAvgWriteOfftoSold
-from s_f1 F1
-left join s_macro m on F1.PortfolioCloseUtcQuarter = m.MacroeconomicDateQuarter
- and F1.PortfolioCloseUtcYear = m.MacroeconomicDateYear
-where coalesce(F1.SellerLegalName, '') <> {sql_str(prm.excluded_seller_legal_name)}
-  and coalesce(F1.SellerClientName, '') <> {sql_str(prm.excluded_seller_client)}"""
+    b["s_expanded"] = f"""with closing as (
+ select all_rows.*, cast(year(PortfolioCloseUtc) as integer) as PortfolioCloseUtcYear, cast(quarter(PortfolioCloseUtc) as integer) as PortfolioCloseUtcQuarter,
+  cast(month(PortfolioCloseUtc) as integer) as PortfolioCloseUtcMonth
+ from st_formula all_rows
+ where ifnull(SellerClientName, '') <> {sql_str(prm.excluded_seller_client)} and ifnull(SellerLegalName, '') <> {sql_str(prm.excluded_seller_legal_name)}
+)
+select closing.*, target.{GOAL_COL}, economy.*, cast({held('closing.PSAConfirmedUtc')} as integer) as WarehousedAvgWriteOfftoPSAConfirmed,
+ cast({held('closing.PortfolioCloseUtc')} as integer) as WarehousedAvgWriteOfftoPortfolioClosed, cast({held('closing.SoldUtc')} as integer) as WarehousedAvgWriteOfftoSold
+from closing
+left join s_goals target on target.GoalMonth = closing.ListedUtcMonth and target.GoalYear = closing.ListedUtcYear
+left join s_macro economy on economy.MacroeconomicDateYear = closing.PortfolioCloseUtcYear
+ and economy.MacroeconomicDateQuarter = closing.PortfolioCloseUtcQuarter"""
 
     # ---------------------------------------------------------------- views
-    b["v_bidders"] = f"""select distinct bbb.B_ClientId as BidderClientId, B.BusinessName as BuyerName,
- cast(month(PE.PortfolioCloseUtc) as integer) as BidderMonth, cast(year(PE.PortfolioCloseUtc) as integer) as BidderYear
-from s_expanded PE
-left join (select PB.PortfolioNumber as PB_PortfolioNumber, PB.BuyerId as PB_BuyerId, PB.Status as PB_Status,
-                  Bx.ClientId as B_ClientId
-           from g_portfolio_bid PB left join g_business Bx on lower(PB.BuyerId) = lower(Bx.Id)) bbb
-  on lower(bbb.PB_PortfolioNumber) = lower(PE.PortfolioNumber)
-left join g_business B on lower(B.Id) = lower(bbb.PB_BuyerId)
-full outer join (select PEv.PortfolioId as C_PID, Bv.ClientId as C_ClientId
-                 from portfolio_event PEv
-                 left join app_user U on PEv.UserId = U.Id
-                 left join g_business Bv on lower(U.TenantId) = lower(Bv.ClientTenantId)
-                 where PEv.EventType in {sql_list(VIEWER_EVENTS)} and Bv.IsBuyer = 1) pv
-  on lower(pv.C_PID) = lower(PE.Id) and lower(PE.BuyerClientId) = lower(pv.C_ClientId)
-where bbb.PB_Status is not null and year(PE.PortfolioCloseUtc) > {prm.min_close_year} and PE.Status <> 'Purged'"""
+    # the viewers of a portfolio can only add rows without a bid, which the view drops: they are left out here
+    b["v_bidders"] = f"""with offered as (select distinct lower(PortfolioNumber) as pid, lower(BuyerId) as bidder from g_portfolio_bid where Status is not null),
+known as (select lower(Id) as bidder, ClientId, BusinessName from g_business),
+closed as (select lower(PortfolioNumber) as pid, PortfolioCloseUtc from s_expanded where Status <> 'Purged' and year(PortfolioCloseUtc) > {prm.min_close_year})
+select distinct firm.ClientId as BidderClientId, called.BusinessName as BuyerName, cast(month(closed.PortfolioCloseUtc) as integer) as BidderMonth,
+ cast(year(closed.PortfolioCloseUtc) as integer) as BidderYear
+from closed join offered on offered.pid = closed.pid left join known firm on firm.bidder = offered.bidder left join known called on called.bidder = offered.bidder"""
     b["v_board_bid"] = """select pb.*, bz.ClientId, cz.Name as ClientName
 from joined_portfolio_bid pb left join business bz on pb.BuyerId = bz.Id left join client cz on bz.ClientId = cz.Id"""
     b["v_buyer_activity"] = """select BuyerClientId, max(PortfolioCloseUtc) as MaxDate, min(PortfolioCloseUtc) as MinDate
