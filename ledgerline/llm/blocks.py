@@ -33,23 +33,31 @@ ANSWER_SCHEMA = "block long, bucket int, payload binary"
 
 
 def squeeze(data: bytes | np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(data if isinstance(data, bytes) else np.ascontiguousarray(data).tobytes())
+    """Compressed bytes; an array's values are stored byte plane by byte
+    plane, because the high bytes of small numbers compress to nothing."""
+    if isinstance(data, np.ndarray):
+        flat = np.ascontiguousarray(data).reshape(-1)
+        data = np.ascontiguousarray(flat.view(np.uint8).reshape(len(flat), -1).T).tobytes() if len(flat) else b""
+    return zstandard.ZstdCompressor(level=3).compress(data)
 
 
 def expand(data: bytes, dtype=None):
+    """The bytes, or the flat array, that ``squeeze`` was given."""
     raw = zstandard.ZstdDecompressor().decompress(data)
-    return raw if dtype is None else np.frombuffer(raw, dtype)
+    if dtype is None:
+        return raw
+    size = np.dtype(dtype).itemsize
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(size, -1).T).reshape(-1).view(dtype)
 
 
 def squeeze_sorted(keys: np.ndarray) -> bytes:
     """Ascending unsigned 64-bit keys as differences, byte plane by byte plane."""
     steps = np.diff(keys, prepend=np.uint64(0)).astype("<u8")
-    return squeeze(steps.view(np.uint8).reshape(-1, 8).T)
+    return squeeze(steps)
 
 
 def expand_sorted(data: bytes) -> np.ndarray:
-    planes = expand(data, np.uint8).reshape(8, -1)
-    return np.cumsum(np.ascontiguousarray(planes.T).view("<u8").reshape(-1), dtype=np.uint64)
+    return np.cumsum(expand(data, "<u8"), dtype=np.uint64)
 
 
 def part_of_id(doc_id: int | None) -> int:
