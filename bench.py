@@ -32,7 +32,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from ledgerline.params import Params  # noqa: E402
 from ledgerline.plans import pipeline  # noqa: E402
-from ledgerline.session import get_session  # noqa: E402
+from ledgerline.session import cluster_conf, get_session  # noqa: E402
 from ledgerline.sources import Sources, write_source_tables, write_sources  # noqa: E402
 
 STEP_KEYS = {
@@ -67,7 +67,8 @@ def main() -> None:
     parts = int(os.environ.get("BENCH_PARTITIONS", str(max(8, 2 * cpus))))
     spark = get_session(master=f"local[{cpus}]", shuffle_partitions=parts, app="ledgerline-bench",
                         driver_memory=os.environ.get("BENCH_DRIVER_MEMORY", "16g"),
-                        warehouse_dir=os.path.join(scratch, "warehouse"), extra_conf=_event_log_conf())
+                        warehouse_dir=os.path.join(scratch, "warehouse"),
+                        extra_conf={**cluster_conf(0, buckets=parts), **_event_log_conf()})
     layout = os.environ.get("BENCH_LAYOUT", "bucketed")
     params = Params.testing()
 

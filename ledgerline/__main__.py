@@ -5,7 +5,8 @@
     python -m ledgerline views          --sources ROOT --gold ROOT --silver ROOT
 
 ``--sources`` is a folder with one parquet dataset per source table, or
-``catalog:<schema>``; output roots likewise. Each command prints the seconds
+``catalog:<schema>``; output roots likewise. ``--shuffle-bytes`` and
+``--buckets`` apply ``session.cluster_conf``. Each command prints the seconds
 per step as JSON. The session comes from ``spark-submit``/the environment;
 the product settings (ANSI, UTC, AQE) are applied on top.
 """
@@ -20,7 +21,7 @@ from pyspark.sql import SparkSession
 
 from .params import Params
 from .plans import pipeline
-from .session import apply_conf, ensure_checkpoint_dir
+from .session import apply_conf, cluster_conf
 from .sources import Sources
 
 
@@ -39,10 +40,14 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--as-of-utc", type=datetime.fromisoformat)
     ap.add_argument("--as-of-local", type=datetime.fromisoformat)
     ap.add_argument("--parallel", type=int, default=4)
+    ap.add_argument("--shuffle-bytes", type=int, help="size of the largest shuffle: sizes the cluster settings")
+    ap.add_argument("--buckets", type=int, help="bucket count of the account-keyed source tables")
     a = ap.parse_args(argv)
 
     spark = apply_conf(SparkSession.builder.appName(f"ledgerline {a.command}").getOrCreate())
-    ensure_checkpoint_dir(spark)
+    if a.shuffle_bytes:
+        for k, v in cluster_conf(a.shuffle_bytes, a.buckets).items():
+            spark.conf.set(k, v)
     kw = {k: v for k, v in (("as_of_utc", a.as_of_utc), ("as_of_local", a.as_of_local)) if v is not None}
     params = Params(**kw)
     src = _sources(spark, a.sources)

@@ -20,10 +20,12 @@ def concat_nullsafe(*parts) -> Column:
     return F.concat(*[F.coalesce(col(p), F.lit("")) for p in parts])
 
 
-def sha256_hex_upper(c) -> Column:
-    """upper-case hex SHA-256 of TRIM(UPPER(x)) as UTF-8; NULL -> ''."""
+def sha256_hex_upper(c, encoding: str = "UTF-8") -> Column:
+    """upper-case hex SHA-256 of TRIM(UPPER(x)); NULL -> ''. The bytes are
+    UTF-8 (VARCHAR columns) or, with ``encoding="UTF-16LE"``, those of an
+    NVARCHAR column."""
     x = col(c)
-    return F.when(x.isNull(), F.lit("")).otherwise(F.upper(F.sha2(F.trim(F.upper(x)), 256)))
+    return F.when(x.isNull(), F.lit("")).otherwise(F.upper(F.sha2(F.encode(F.trim(F.upper(x)), encoding), 256)))
 
 
 def null_as_empty(c) -> Column:

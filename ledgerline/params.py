@@ -44,6 +44,10 @@ class Params:
     # uses its operator's name here; a neutral text is used instead).
     compliance_creator: str = "Platform Compliance"
 
+    # Bytes that the business-name hashes are taken of (F07): "UTF-8", or
+    # "UTF-16LE" where the names are stored as NVARCHAR.
+    hash_encoding: str = "UTF-8"
+
     # Event-type literals of the staging products (own definitions; only
     # 'listed' and 'awarded' are known from the reference).
     listed_event: str = "listed"

@@ -236,8 +236,8 @@ def d03_portfolio_row(src: Sources, params: Params | None = None) -> DataFrame:
         R.total_balance().alias("TotalBalance"))
     cd = src["portfolio_row_commercial"]
     prcd = cd.select(cd["PortfolioRowGuid"].alias("_cd_guid"),
-                     sha256_hex_upper("BusinessDBA").alias("BusinessDBAHashed"),
-                     sha256_hex_upper("BusinessLegalName").alias("BusinessLegalNameHashed"),
+                     sha256_hex_upper("BusinessDBA", prm.hash_encoding).alias("BusinessDBAHashed"),
+                     sha256_hex_upper("BusinessLegalName", prm.hash_encoding).alias("BusinessLegalNameHashed"),
                      F.coalesce(F.col("BusinessCity"), F.lit("")).alias("_bcity"),
                      F.coalesce(F.col("BusinessState"), F.lit("")).alias("_bstate"))
     psc = C.renamed(C.postsale_counts(src), {"DebtAccountId": "_psc_id", "CountPostSaleRequest": "_psc_n"})

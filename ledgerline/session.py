@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import math
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -21,19 +20,24 @@ SESSION_CONF = {
 }
 
 
+MAX_PARTITIONS = 32_768
+
+
 def cluster_conf(input_bytes: int, buckets: int | None = None, partition_bytes: int = 256 * 1024 * 1024,
                  broadcast_bytes: int = 64 * 1024 * 1024) -> dict[str, str]:
     """Settings sized for a cluster reading ``input_bytes`` of sources.
 
-    Shuffle partitions are sized so one partition holds about
-    ``partition_bytes`` (AQE coalesces small ones and splits skewed ones).
-    With the bucketed account layout, the bucket count should be at least
-    the shuffle-partition count, so that count is raised to the buckets:
-    Spark then keeps the bucketed fact's partitioning and shuffles only the
-    small side of each account join."""
-    parts = max(200, math.ceil(input_bytes / partition_bytes))
+    ``input_bytes`` is what the largest single shuffle carries, not the whole
+    warehouse: one partition of it holds about ``partition_bytes`` (AQE
+    coalesces small ones and splits skewed ones). More than
+    ``MAX_PARTITIONS`` would mean more shuffle blocks than a cluster can track,
+    so beyond that partitions grow. With the bucketed account layout there are
+    exactly as many partitions as buckets: with more, Spark would exchange the
+    bucketed fact to the side with more partitions; with as many, only the
+    other side of an account join moves."""
+    parts = min(MAX_PARTITIONS, max(200, math.ceil(input_bytes / partition_bytes)))
     if buckets:
-        parts = max(parts, buckets)
+        parts = buckets
     return {
         **SESSION_CONF,
         "spark.sql.shuffle.partitions": str(parts),
@@ -74,20 +78,8 @@ def get_session(master: str = "local[*]", shuffle_partitions: int = 8, app: str
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's shared checkpoint folder; only set one when unset (tests)."""
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    path = configured or tempfile.mkdtemp(prefix="ledgerline-ckpt-")
-    spark.sparkContext.setCheckpointDir(path)
-    return path
-
-
 def sf_dir_default() -> str:
     return os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")

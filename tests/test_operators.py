@@ -55,8 +55,10 @@ def test_cluster_conf_sizes_partitions():
     from ledgerline.session import cluster_conf
 
     c = cluster_conf(100 * 1024**4, buckets=16384)
-    assert int(c["spark.sql.shuffle.partitions"]) == 409600
+    assert int(c["spark.sql.shuffle.partitions"]) == 16384  # as many as buckets: the bucketed fact is not exchanged
     assert cluster_conf(10 * 1024**3, buckets=16384)["spark.sql.shuffle.partitions"] == "16384"
+    assert cluster_conf(100 * 1024**4)["spark.sql.shuffle.partitions"] == "32768"
+    assert cluster_conf(100 * 1024**3)["spark.sql.shuffle.partitions"] == "400"
     assert c["spark.sql.adaptive.skewJoin.enabled"] == "true"
 
 

@@ -137,3 +137,12 @@ def test_timestamp_literal_ignores_python_zone(spark):
             os.environ["TZ"] = old
         time.tzset()
     assert got == "2001-06-30 00:00:00"
+
+
+def test_name_hash_in_both_encodings(spark):
+    """F07 on literals: the digests of the bytes themselves."""
+    import hashlib
+
+    for encoding in ("UTF-8", "UTF-16LE"):
+        got = one(spark, "a string", [(" Café ",)], sha256_hex_upper("a", encoding))[0]
+        assert got == hashlib.sha256("CAFÉ".encode(encoding.lower())).hexdigest().upper()
