@@ -135,14 +135,11 @@ def shard(docs: DataFrame, shards: int = SHARDS, tolerance: float = TOLERANCE, p
                     out = F.when((key >= F.lit(low)) & (key <= F.lit(high - 1)), step).otherwise(out)
         return out
 
-    counts = (sized.groupBy(shard_of(F.col("key"), cuts).alias("shard"), piece_of(F.col("key")).alias("piece"))
+    counts = (sized.groupBy(shard_of(F.col("key"), cuts).alias("shard"), piece_of(F.col("key")).alias("__piece"))
               .agg(F.count("*").alias("n")))
-    # one row per piece of a shard: numbers of pieces, not of rows
-    starts, sofar = [], {}
-    for r in sorted(counts.collect(), key=lambda r: (r["shard"], r["piece"])):
-        starts.append((r["shard"], r["piece"], sofar.get(r["shard"], 0)))
-        sofar[r["shard"]] = starts[-1][2] + r["n"]
-    offsets = F.broadcast(spark.createDataFrame(starts, "shard int, __piece int, __before long"))
+    # rows of the shard's earlier pieces: a running sum over one row per piece
+    earlier = Window.partitionBy("shard").orderBy("__piece").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("shard", "__piece", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("__before"))
     placed = keyed.withColumn("shard", shard_of(F.col("__key"), cuts)).withColumn("__piece", piece_of(F.col("__key")))
     in_piece = Window.partitionBy("shard", "__piece").orderBy("__key", "__position")
     ranked = placed.withColumn("__rank", F.row_number().over(in_piece)).join(offsets, ["shard", "__piece"])
