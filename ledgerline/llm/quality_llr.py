@@ -29,7 +29,7 @@ SEED = 7
 #: the raw corpus is always counted whole.
 MAX_TRUSTED = 20_000
 #: Mean log ratio a document must reach.
-THRESHOLD = -0.14
+THRESHOLD = -0.11
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 
