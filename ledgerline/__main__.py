@@ -4,7 +4,8 @@
     python -m ledgerline refresh-silver --sources ROOT --gold ROOT --silver ROOT
     python -m ledgerline views          --sources ROOT --gold ROOT --silver ROOT
 
-``--sources`` is a folder with one parquet dataset per source table, or
+``views`` creates persistent catalog views, so its roots must be
+``catalog:<schema>``. ``--sources`` is a folder with one parquet dataset per source table, or
 ``catalog:<schema>``; output roots likewise. ``--shuffle-bytes`` and
 ``--buckets`` apply ``session.cluster_conf``. Each command prints the seconds
 per step as JSON. The session comes from ``spark-submit``/the environment;
@@ -56,7 +57,7 @@ def main(argv: list[str] | None = None) -> None:
     elif a.command == "refresh-silver":
         out = pipeline.refresh_silver(spark, src, a.gold, a.silver, params)
     else:
-        out = {"registered": pipeline.register_views(spark, src, a.gold, a.silver, params)}
+        out = {"created": pipeline.create_views(spark, a.sources, a.gold, a.silver, params)}
     print(json.dumps(out))
 
 

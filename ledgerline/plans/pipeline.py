@@ -292,6 +292,52 @@ def register_views(spark: SparkSession, src: Sources, gold_root: str, silver_roo
     return names
 
 
+def view_sql(sources: str, gold_schema: str, silver_schema: str, params: Params) -> dict[str, str]:
+    """The four live views as SQL over catalog tables. The viewers of a
+    portfolio only add rows without a bid, which VW_Bidders drops (Catalyst
+    removes that side from the DataFrame form too), so they are left out."""
+    expanded = f"`{silver_schema}`.`{SILVER_TABLE}`"
+    return {
+        "VW_Bidders": f"""
+WITH lots AS (SELECT lower(PortfolioNumber) AS pid, PortfolioCloseUtc AS closed FROM {expanded}
+              WHERE Status <> 'Purged' AND year(PortfolioCloseUtc) > {params.min_close_year}),
+     bidders AS (SELECT DISTINCT lower(PortfolioNumber) AS pid, lower(BuyerId) AS bidder
+                 FROM `{gold_schema}`.`Portfolio_Bid` WHERE Status IS NOT NULL),
+     parties AS (SELECT lower(Id) AS bidder, ClientId, BusinessName FROM `{gold_schema}`.`Business`)
+SELECT DISTINCT c.ClientId AS BidderClientId, n.BusinessName AS BuyerName, month(lots.closed) AS BidderMonth, year(lots.closed) AS BidderYear
+FROM lots JOIN bidders ON bidders.pid = lots.pid
+LEFT JOIN parties c ON c.bidder = bidders.bidder LEFT JOIN parties n ON n.bidder = bidders.bidder""",
+        "VW_Boardmembers_EC_Portfolio_Bid": f"""
+SELECT bid.*, firm.ClientId, firm_client.Name AS ClientName FROM `{sources}`.`joined_portfolio_bid` bid
+LEFT JOIN `{sources}`.`business` firm ON firm.Id = bid.BuyerId LEFT JOIN `{sources}`.`client` firm_client ON firm_client.Id = firm.ClientId""",
+        "VW_Boardmembers_Buyer_Activity": f"""
+SELECT BuyerClientId, max(PortfolioCloseUtc) AS MaxDate, min(PortfolioCloseUtc) AS MinDate FROM {expanded}
+WHERE BuyerClientId IS NOT NULL GROUP BY BuyerClientId HAVING max(PortfolioCloseUtc) IS NOT NULL""",
+        "VW_Boardmembers_ForwardFlow": f"""
+SELECT agreement.Id, agreement.EndDate, flow.ForwardFlowAgreementId, flow.MaxUploadDate
+FROM `{sources}`.`forward_flow_agreement` agreement
+JOIN (SELECT ForwardFlowAgreementId, max(UploadDateUtc) AS MaxUploadDate FROM {expanded}
+      WHERE ForwardFlowAgreementId IS NOT NULL GROUP BY ForwardFlowAgreementId HAVING count(*) > 1) flow
+  ON flow.ForwardFlowAgreementId = agreement.Id""",
+    }
+
+
+def create_views(spark: SparkSession, sources: str, gold_root: str, silver_root: str, params: Params | None = None) -> list[str]:
+    """The live views as persistent views of the silver schema. All three
+    roots must be ``catalog:<schema>``: a stored view can only name catalog
+    tables."""
+    roots = {"sources": sources, "gold": gold_root, "silver": silver_root}
+    folders = [n for n, r in roots.items() if not r.startswith(CATALOG_PREFIX)]
+    if folders:
+        raise ValueError(f"persistent views need catalog:<schema> roots; these are folders: {folders}")
+    schemas = [r[len(CATALOG_PREFIX):] for r in roots.values()]
+    made = []
+    for name, sql in view_sql(*schemas, common.params_or_default(params)).items():
+        spark.sql(f"CREATE OR REPLACE VIEW `{schemas[2]}`.`{name}` AS {sql}")
+        made.append(f"{schemas[2]}.{name}")
+    return made
+
+
 def run_views(spark: SparkSession, src: Sources, gold_root: str, silver_root: str,
               params: Params | None = None, max_parallel: int = 4) -> dict[str, float]:
     """Evaluate every view fully (noop sink) and time it."""

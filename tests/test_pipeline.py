@@ -195,3 +195,29 @@ def test_postsale_row_count_law(src):
         prod = prod * F.greatest(F.coalesce(F.col(c), one), one)
     law = x.select(F.sum(prod).alias("n")).first()["n"]
     assert gold.d12_postsale(src, prm).count() == law
+
+
+def test_persistent_views_are_read_by_a_new_session(spark, src):
+    from ledgerline.sources import Sources
+    from ledgerline.sources.layout import write_source_tables
+
+    prm = Params.testing()
+    schemas = ["ll_view_src", "ll_view_gold", "ll_view_silver"]
+    try:
+        write_source_tables(spark, src, schemas[0], 4)
+        roots = [f"catalog:{s}" for s in schemas]
+        catalog = Sources.from_catalog(spark, schemas[0])
+        pipeline.refresh_gold(spark, catalog, roots[1], prm)
+        pipeline.refresh_silver(spark, catalog, roots[1], roots[2], prm)
+        made = pipeline.create_views(spark, *roots, prm)
+        other = spark.newSession()
+        for name, df in pipeline.live_views(spark, catalog, roots[1], roots[2], prm).items():
+            assert f"{schemas[2]}.{name}" in made
+            stored = other.table(f"{schemas[2]}.{name}")
+            assert stored.columns == df.columns
+            assert sorted(map(repr, stored.collect())) == sorted(map(repr, df.collect())), name
+        with pytest.raises(ValueError, match="folders"):
+            pipeline.create_views(spark, "/tmp/sources", *roots[1:], prm)
+    finally:
+        for s in [*schemas, schemas[2] + "_staging"]:
+            spark.sql(f"DROP SCHEMA IF EXISTS {s} CASCADE")
