@@ -170,7 +170,13 @@ def tokenizer(path: str) -> WordTokenizer:
 
 
 # ------------------------------------------------------------------- jobs
-def _tokenise(docs: DataFrame, path: str, end_id: int) -> DataFrame:
+def _width(path: str, end_id: int) -> str:
+    """Two bytes per id between the steps where the vocabulary fits, else four."""
+    largest = max(Tokenizer.from_file(path).get_vocab_size(with_added_tokens=True) - 1, end_id)
+    return "<u2" if largest < 1 << 16 else "<u4"
+
+
+def _tokenise(docs: DataFrame, path: str, end_id: int, width: str) -> DataFrame:
     """(doc_id, ids) per document and, once per task, (counts): how often
     each id came, as (id, count) pairs."""
 
@@ -185,7 +191,7 @@ def _tokenise(docs: DataFrame, path: str, end_id: int) -> DataFrame:
                 if ids.max() >= len(counts):
                     counts = np.concatenate([counts, np.zeros(int(ids.max()) + 1, np.int64)])
                 counts += np.bincount(ids, minlength=len(counts))
-                packed.append(ids.astype("<u4").tobytes())
+                packed.append(ids.astype(width).tobytes())
                 n.append(len(ids))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(packed, pa.binary()),
                                               pa.array(n, pa.int64()), pa.nulls(len(n), pa.binary())], names)
@@ -224,7 +230,8 @@ def write(docs: DataFrame, path: str, folder: str, end_id: int = END_ID, frame_i
     Other columns are ignored."""
     spark = docs.sparkSession
     prepare(spark)
-    tokens = materialise(_tokenise(docs, path, end_id), "token-ids")
+    width = _width(path, end_id)
+    tokens = materialise(_tokenise(docs, path, end_id, width), "token-ids")
     ranked = [i for i, _ in sorted(_frequencies(tokens), key=lambda r: (-r[1], r[0]))]
     spark.createDataFrame(list(enumerate(ranked)), "rank long, id long").coalesce(1).write.parquet(f"{folder}/ranks")
     rank_of = np.zeros(max(ranked, default=0) + 1, np.uint32)  # bounded by the vocabulary
@@ -247,7 +254,7 @@ def write(docs: DataFrame, path: str, folder: str, end_id: int = END_ID, frame_i
         ids, lengths, ranks, held = [], [], [], 0
         for batch in batches:
             for doc_id, raw in zip(batch.column("doc_id").to_pylist(), batch.column("ids"), strict=True):
-                own = shared.value[np.frombuffer(raw.as_py(), "<u4")]
+                own = shared.value[np.frombuffer(raw.as_py(), width)]
                 ids.append(doc_id)
                 lengths.append(len(own))
                 ranks.append(own)
