@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from .common import Numbering, materialise, partitions, prepare, texts_of
 
 #: Text bytes after which a block is closed.
-BLOCK_BYTES = 12 << 20
+BLOCK_BYTES = 8 << 20
 #: Rows per Arrow batch where a row holds a block.
 BLOCK_ROWS = 4
 BLOCK_SCHEMA = "block long, part int, doc_ids array<long>, lengths array<int>, vocabulary binary, tokens binary"
