@@ -3,13 +3,16 @@
 Two multinomials over hashed word n-grams (one and two lower-cased words,
 ``buckets`` buckets) are counted: one over the trusted target (labelled
 documents of good quality that are not toxic), one over the whole raw corpus.
-A document's score is the mean over its n-grams of log p_target / p_raw, so
-its length does not matter; it is kept when the score reaches a fixed
-threshold. Plain rules (word count, repetition) come first.
+Exact copies share the weight of one text, so no text moves the multinomials
+by being repeated. A document's score is the mean over its n-grams of
+log p_target / p_raw, so its length does not matter; it is kept when the score
+reaches a cut-off taken from the trusted documents' own scores. Plain rules
+(word count, repetition) come first.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,8 +31,9 @@ SEED = 7
 #: Trusted labels used at most (the ones with the smallest hash of the id);
 #: the raw corpus is always counted whole.
 MAX_TRUSTED = 20_000
-#: Mean log ratio a document must reach.
-THRESHOLD = -0.11
+#: The cut-off lies so many times the distance between the trusted texts' 1st
+#: and 5th percentile below the 1st, and never above 0 (as in the raw corpus).
+MARGIN = 5.0
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 
@@ -55,24 +59,58 @@ def _ngrams(hasher: WordHasher, words: list[bytes], buckets: int) -> np.ndarray:
     return (both % np.uint64(buckets)).astype(np.int64)
 
 
+class Ratio(np.ndarray):
+    """log p_target / p_raw per bucket, with the cut-off of the same fit."""
+
+    threshold = 0.0
+
+
+def _distinct_texts(rows: DataFrame) -> DataFrame:
+    """Each text of ``rows`` (``__text``, ``__trusted``) once, packed, trusted
+    where one of its copies is. Texts without words are left out.
+
+    Copies meet by digest, first inside a batch and a task, so a text that
+    fills much of the corpus is one row per task."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = pa.Codec("zstd")
+        for batch in batches:
+            found: dict[bytes, list] = {}
+            for text, flag in zip(texts_of(batch, "__text"), batch.column("__trusted").to_pylist(), strict=True):
+                if not text.strip():
+                    continue
+                digest = hashlib.md5(text, usedforsecurity=False).digest()
+                if digest not in found:
+                    found[digest] = [None, len(text), codec.compress(text, asbytes=True)]
+                found[digest][0] = found[digest][0] or flag
+            flags, sizes, packed = zip(*found.values(), strict=True) if found else ((), (), ())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(found), pa.binary()), pa.array(flags, pa.int32()), pa.array(sizes, pa.int64()), pa.array(packed, pa.binary())],
+                ["digest", "trusted", "size", "packed"])
+
+    return (rows.mapInArrow(pack, "digest binary, trusted int, size long, packed binary").groupBy("digest")
+            .agg(F.max("trusted").alias("trusted"), F.first("size").alias("size"), F.first("packed").alias("packed")))
+
+
 def fit(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, smoothing: float = SMOOTHING,
-        max_trusted: int = MAX_TRUSTED) -> np.ndarray:
+        max_trusted: int = MAX_TRUSTED) -> Ratio:
     """log p_target / p_raw per bucket (``buckets`` numbers, the only thing
-    that reaches the driver). Without any trusted document all are zero."""
+    that reaches the driver beside the cut-off). Without any trusted document
+    all are zero."""
     spark = docs.sparkSession
     prepare(spark)
     # at most max_trusted ids: a proven size
     trusted = F.broadcast(trusted_ids(labels, max_trusted).select("__trusted_id", F.lit(1).alias("__trusted")))
-    rows = (docs.select(F.col("doc_id").alias("__doc"), F.col("text").alias("__text"))
-            .join(trusted, F.col("__doc") == F.col("__trusted_id"), "left").select("__text", "__trusted"))
+    source = docs.select(F.col("doc_id").alias("__doc"), F.col("text").alias("__text"))
+    rows = source.join(trusted, F.col("__doc") == F.col("__trusted_id"), "left").select("__text", "__trusted")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = WordHasher(SEED)
+        hasher, codec = WordHasher(SEED), pa.Codec("zstd")
         raw, target = np.zeros(buckets, np.int64), np.zeros(buckets, np.int64)
         for batch in batches:
-            flags = batch.column("__trusted").to_pylist()
             every, good = [], []
-            for text, flag in zip(texts_of(batch, "__text"), flags, strict=True):
+            for flag, size, packed in zip(*(batch.column(c).to_pylist() for c in ("trusted", "size", "packed")), strict=True):
+                text = codec.decompress(packed, size, asbytes=True)
                 grams = _ngrams(hasher, text.lower().split(), buckets)
                 every.append(grams)
                 if flag:
@@ -84,14 +122,55 @@ def fit(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, smoothing: f
             yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(raw[used]), pa.array(target[used])],
                                              ["bucket", "raw", "target"])
 
-    counts = (rows.mapInArrow(count, "bucket long, raw long, target long").groupBy("bucket")
+    counts = (_distinct_texts(rows).mapInArrow(count, "bucket long, raw long, target long").groupBy("bucket")
               .agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).collect())
     raw, target = np.zeros(buckets), np.zeros(buckets)
     for r in counts:
         raw[r["bucket"]], target[r["bucket"]] = r["raw"], r["target"]
     if not target.sum():
-        return np.zeros(buckets)
-    return log_ratio(raw, target, smoothing)
+        return np.zeros(buckets).view(Ratio)
+    ratio = log_ratio(raw, target, smoothing).view(Ratio)
+    ratio.threshold = _cut_off(source.join(trusted, F.col("__doc") == F.col("__trusted_id")).select("__text"),
+                               raw, target, smoothing)
+    return ratio
+
+
+def _cut_off(texts: DataFrame, raw: np.ndarray, target: np.ndarray, smoothing: float) -> float:
+    """Cut-off by ``MARGIN`` from the scores of the trusted texts that pass
+    the base rules, each text once however often it is repeated.
+
+    A text is scored with its own n-grams taken out of the target, as if it
+    had no label: its label alone must not raise the cut-off."""
+    buckets = len(raw)
+    more = smoothing * raw.sum() / target.sum()
+    shared = texts.sparkSession.sparkContext.broadcast((target, np.log((raw + more) / (raw + more).sum())))
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = WordHasher(SEED)
+        others, log_q = shared.value
+        total = others.sum() + smoothing * buckets
+        for batch in batches:
+            digests, scores = [], []
+            for text in texts_of(batch, "__text"):
+                if _base_rules(hasher, text.split())[1]:
+                    continue
+                grams = _ngrams(hasher, text.lower().split(), buckets)
+                used, own = np.unique(grams, return_counts=True)
+                ratio = np.log((others[used] - own + smoothing) / (total - len(grams))) - log_q[used]
+                digests.append(hashlib.md5(text, usedforsecurity=False).digest())
+                scores.append(float((ratio * own).sum() / len(grams)))
+            yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), pa.array(scores, pa.float64())], ["digest", "score"])
+
+    once = texts.mapInArrow(score, "digest binary, score double").groupBy("digest").agg(F.min("score").alias("score"))
+    low = once.agg(F.percentile("score", F.array(F.lit(0.01), F.lit(0.05))).alias("low")).first()["low"]
+    return min(0.0, low[0] - MARGIN * (low[1] - low[0])) if low else 0.0
+
+
+def _base_rules(hasher: WordHasher, words: list[bytes]) -> tuple[int, bool]:
+    """Repeated words of a text, and whether it fails the plain rules."""
+    n = len(words)
+    repeat = repeated_words(hasher.ids(words)) if n else 0
+    return repeat, n < MIN_WORDS or 100 * repeat > MAX_REPEAT_PERCENT * n
 
 
 def log_ratio(raw: np.ndarray, target: np.ndarray, smoothing: float) -> np.ndarray:
@@ -145,11 +224,12 @@ RULE_FIELDS = [("n_words", "long"), ("word_chars", "long"), ("n_symbols", "long"
                ("n_repeat_words", "long"), ("base_failed", "boolean"), ("llr_score", "double"), ("kept", "boolean")]
 
 
-def judge(docs: DataFrame, ratio_of_bucket: np.ndarray, keep: list[str], threshold: float = THRESHOLD) -> DataFrame:
+def judge(docs: DataFrame, ratio_of_bucket: np.ndarray, keep: list[str], threshold: float | None = None) -> DataFrame:
     """One row per document: the ``keep`` columns and ``RULE_FIELDS``.
 
     NULL and empty texts have no words and fail the base rules; their score is
-    NULL. Repeated rows are judged alike; an empty table gives no rows."""
+    NULL. Repeated rows are judged alike; an empty table gives no rows. Without
+    a ``threshold`` the cut-off of the fit holds."""
     names = [f"__k{i}" for i in range(len(keep))]
     found = _judged(docs, ratio_of_bucket, keep, names, threshold)
     for name, column in zip(names, keep, strict=True):
@@ -157,7 +237,7 @@ def judge(docs: DataFrame, ratio_of_bucket: np.ndarray, keep: list[str], thresho
     return found
 
 
-def keep(docs: DataFrame, ratio_of_bucket: np.ndarray, threshold: float = THRESHOLD) -> DataFrame:
+def keep(docs: DataFrame, ratio_of_bucket: np.ndarray, threshold: float | None = None) -> DataFrame:
     """The documents judged as kept, with all their columns."""
     columns = docs.columns
     names = [f"__k{i}" for i in range(len(columns))]
@@ -165,13 +245,15 @@ def keep(docs: DataFrame, ratio_of_bucket: np.ndarray, threshold: float = THRESH
     return kept.select(*(F.col(n).alias(c) for n, c in zip(names, columns, strict=True)))
 
 
-def _judged(docs: DataFrame, ratio_of_bucket: np.ndarray, keep: list[str], names: list[str], threshold: float) -> DataFrame:
+def _judged(docs: DataFrame, ratio_of_bucket: np.ndarray, keep: list[str], names: list[str], threshold: float | None) -> DataFrame:
     """``judge`` with the kept columns under other names, so that columns of
     ``docs`` may be called like the rules' own."""
     spark = docs.sparkSession
     prepare(spark)
     buckets = len(ratio_of_bucket)
-    shared = spark.sparkContext.broadcast(ratio_of_bucket)  # a fixed number of buckets
+    if threshold is None:
+        threshold = getattr(ratio_of_bucket, "threshold", Ratio.threshold)
+    shared = spark.sparkContext.broadcast(np.asarray(ratio_of_bucket))  # a fixed number of buckets
     fields = [docs.schema[c] for c in keep]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -182,8 +264,7 @@ def _judged(docs: DataFrame, ratio_of_bucket: np.ndarray, keep: list[str], names
             for text in texts_of(batch, "__rule_text"):
                 words = text.split()
                 n = len(words)
-                repeat = repeated_words(hasher.ids(words)) if n else 0
-                failed = n < MIN_WORDS or 100 * repeat > MAX_REPEAT_PERCENT * n
+                repeat, failed = _base_rules(hasher, words)
                 grams = _ngrams(hasher, text.lower().split(), buckets)
                 score = float(ratio[grams].mean()) if n else None
                 row = (n, _code_points(text.translate(None, _WHITE)), len(text) - len(text.translate(None, _SYMBOLS)),

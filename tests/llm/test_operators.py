@@ -239,6 +239,28 @@ def test_log_ratio_separates(spark):
     assert (quality_llr.fit(docs, labels.limit(0)) == 0).all()
 
 
+def test_quality_of_a_text_does_not_fall_with_its_copies(spark):
+    """Many unlabelled copies of one clean text: it is scored as one text and
+    kept, and so are the trusted documents; junk still goes."""
+    rng = random.Random(9)
+
+    def clean(i):
+        return i, " ".join(rng.choice(["the", "river", "stone", "walked", "quiet"]) + str(rng.randrange(300)) for _ in range(150))
+
+    good = [clean(i) for i in range(300)]
+    hot = clean(500)[1]
+    junk = [(600 + i, " ".join("zz%d | |" % rng.randrange(30) for _ in range(60))) for i in range(40)]
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(200)], "doc_id long, quality int, toxic int")
+
+    def judged(copies):
+        docs = spark.createDataFrame(good + junk + [(1000 + k, hot) for k in range(copies)], "doc_id long, text string").repartition(4)
+        return {r.doc_id: r for r in quality_llr.judge(docs, quality_llr.fit(docs, labels), ["doc_id"]).collect()}
+
+    one, many = judged(1), judged(400)
+    assert all(many[1000 + k].kept and many[1000 + k].llr_score == one[1000].llr_score for k in range(400))
+    assert all(many[i].kept for i, _ in good) and not any(many[i].kept for i, _ in junk)
+
+
 def test_warc_records_and_files(spark, llm_dir, tmp_path):
     pages = spark.read.parquet(f"{llm_dir}/pages.parquet")
     source = warc_derive.responses(pages)
