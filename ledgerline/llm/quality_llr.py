@@ -7,12 +7,15 @@ Exact copies share the weight of one text, so no text moves the multinomials
 by being repeated. A document's score is the mean over its n-grams of
 log p_target / p_raw, so its length does not matter; it is kept when the score
 reaches a cut-off taken from the trusted documents' own scores. Plain rules
-(word count, repetition) come first.
+(word count, repetition) come first. A mean over hundreds of n-grams hides a
+few toxic words, so a document with two of the words that the toxic labels set
+apart goes whatever its score.
 """
 
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import WordHasher, pair_hash, prepare, texts_of
+from .common import WordHasher, materialise, pair_hash, prepare, texts_of
 
 BUCKETS = 1 << 16
 #: Pseudo-count per bucket, in target n-grams; the raw counts get the same one
@@ -34,11 +37,17 @@ MAX_TRUSTED = 20_000
 #: The cut-off lies so many times the distance between the trusted texts' 1st
 #: and 5th percentile below the 1st, and never above 0 (as in the raw corpus).
 MARGIN = 5.0
+#: A toxic word stands in this share of the toxic texts (and so many texts) at
+#: least, and in so many times the share of the other labelled texts.
+TOXIC_SHARE, TOXIC_TEXTS, TOXIC_RATIO = 0.05, 5, 20.0
+#: Toxic words, repeats counted, that reject a document.
+TOXIC_HITS = 2
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 
 _WHITE = b" \t\n\x0b\x0c\r"
 _SYMBOLS = b"#*$%&|<>"
+_ASCII_MARKS = bytes(32 if c < 128 and not chr(c).isalnum() else c for c in range(256))
 
 
 def trusted_ids(labels: DataFrame, limit: int = MAX_TRUSTED) -> DataFrame:
@@ -60,14 +69,16 @@ def _ngrams(hasher: WordHasher, words: list[bytes], buckets: int) -> np.ndarray:
 
 
 class Ratio(np.ndarray):
-    """log p_target / p_raw per bucket, with the cut-off of the same fit."""
+    """log p_target / p_raw per bucket, with the cut-off and the toxic words
+    of the same fit."""
 
     threshold = 0.0
+    toxic: frozenset[bytes] = frozenset()
 
 
 def _distinct_texts(rows: DataFrame) -> DataFrame:
-    """Each text of ``rows`` (``__text``, ``__trusted``) once, packed, trusted
-    where one of its copies is. Texts without words are left out.
+    """Each text of ``rows`` (``__text``, ``__flag``) once, packed, with the
+    largest flag of its copies. Texts without words are left out.
 
     Copies meet by digest, first inside a batch and a task, so a text that
     fills much of the corpus is one row per task."""
@@ -76,20 +87,21 @@ def _distinct_texts(rows: DataFrame) -> DataFrame:
         codec = pa.Codec("zstd")
         for batch in batches:
             found: dict[bytes, list] = {}
-            for text, flag in zip(texts_of(batch, "__text"), batch.column("__trusted").to_pylist(), strict=True):
+            for text, flag in zip(texts_of(batch, "__text"), batch.column("__flag").to_pylist(), strict=True):
                 if not text.strip():
                     continue
                 digest = hashlib.md5(text, usedforsecurity=False).digest()
                 if digest not in found:
                     found[digest] = [None, len(text), codec.compress(text, asbytes=True)]
-                found[digest][0] = found[digest][0] or flag
+                if flag is not None:
+                    found[digest][0] = max(flag, found[digest][0] or 0)
             flags, sizes, packed = zip(*found.values(), strict=True) if found else ((), (), ())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(list(found), pa.binary()), pa.array(flags, pa.int32()), pa.array(sizes, pa.int64()), pa.array(packed, pa.binary())],
-                ["digest", "trusted", "size", "packed"])
+                ["digest", "flag", "size", "packed"])
 
-    return (rows.mapInArrow(pack, "digest binary, trusted int, size long, packed binary").groupBy("digest")
-            .agg(F.max("trusted").alias("trusted"), F.first("size").alias("size"), F.first("packed").alias("packed")))
+    return (rows.mapInArrow(pack, "digest binary, flag int, size long, packed binary").groupBy("digest")
+            .agg(F.max("flag").alias("flag"), F.first("size").alias("size"), F.first("packed").alias("packed")))
 
 
 def fit(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, smoothing: float = SMOOTHING,
@@ -100,16 +112,16 @@ def fit(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, smoothing: f
     spark = docs.sparkSession
     prepare(spark)
     # at most max_trusted ids: a proven size
-    trusted = F.broadcast(trusted_ids(labels, max_trusted).select("__trusted_id", F.lit(1).alias("__trusted")))
+    trusted = F.broadcast(trusted_ids(labels, max_trusted).select("__trusted_id", F.lit(1).alias("__flag")))
     source = docs.select(F.col("doc_id").alias("__doc"), F.col("text").alias("__text"))
-    rows = source.join(trusted, F.col("__doc") == F.col("__trusted_id"), "left").select("__text", "__trusted")
+    rows = source.join(trusted, F.col("__doc") == F.col("__trusted_id"), "left").select("__text", "__flag")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, codec = WordHasher(SEED), pa.Codec("zstd")
         raw, target = np.zeros(buckets, np.int64), np.zeros(buckets, np.int64)
         for batch in batches:
             every, good = [], []
-            for flag, size, packed in zip(*(batch.column(c).to_pylist() for c in ("trusted", "size", "packed")), strict=True):
+            for flag, size, packed in zip(*(batch.column(c).to_pylist() for c in ("flag", "size", "packed")), strict=True):
                 text = codec.decompress(packed, size, asbytes=True)
                 grams = _ngrams(hasher, text.lower().split(), buckets)
                 every.append(grams)
@@ -127,11 +139,13 @@ def fit(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, smoothing: f
     raw, target = np.zeros(buckets), np.zeros(buckets)
     for r in counts:
         raw[r["bucket"]], target[r["bucket"]] = r["raw"], r["target"]
-    if not target.sum():
-        return np.zeros(buckets).view(Ratio)
-    ratio = log_ratio(raw, target, smoothing).view(Ratio)
-    ratio.threshold = _cut_off(source.join(trusted, F.col("__doc") == F.col("__trusted_id")).select("__text"),
-                               raw, target, smoothing)
+    if target.sum():
+        ratio = log_ratio(raw, target, smoothing).view(Ratio)
+        ratio.threshold = _cut_off(source.join(trusted, F.col("__doc") == F.col("__trusted_id")).select("__text"),
+                                   raw, target, smoothing)
+    else:
+        ratio = np.zeros(buckets).view(Ratio)
+    ratio.toxic = _toxic_words(source, labels, max_trusted)
     return ratio
 
 
@@ -166,6 +180,42 @@ def _cut_off(texts: DataFrame, raw: np.ndarray, target: np.ndarray, smoothing: f
     return min(0.0, low[0] - MARGIN * (low[1] - low[0])) if low else 0.0
 
 
+def _bare_words(text: bytes) -> list[bytes]:
+    """Lower-cased words without ASCII punctuation."""
+    return text.lower().translate(_ASCII_MARKS).split()
+
+
+def _toxic_words(source: DataFrame, labels: DataFrame, limit: int) -> frozenset[bytes]:
+    """Words that set the documents labelled toxic apart from those labelled
+    not toxic, each text once; at most ``limit`` ids of either label.
+
+    A word is in ``TOXIC_SHARE`` of the toxic texts, so at most
+    1 / TOXIC_SHARE times the words of one text reach the driver."""
+    flags = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1)).groupBy(F.col("doc_id").alias("__label_id")).agg(F.max("toxic").cast("int").alias("__flag"))
+    order = [F.xxhash64("__label_id"), F.col("__label_id")]
+    # at most 2 * limit ids: a proven size
+    known = F.broadcast(flags.where("__flag = 1").orderBy(*order).limit(limit).union(flags.where("__flag = 0").orderBy(*order).limit(limit)))
+    texts = materialise(_distinct_texts(source.join(known, F.col("__doc") == F.col("__label_id")).select("__text", "__flag")), "labelled-texts")
+    total = texts.agg(F.count_if(F.col("flag") == 1).alias("toxic"), F.count_if(F.col("flag") == 0).alias("clean")).first()
+    least = max(TOXIC_TEXTS, TOXIC_SHARE * total["toxic"])
+    if total["toxic"] < least:
+        return frozenset()
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = pa.Codec("zstd")
+        for batch in batches:
+            seen: tuple[Counter, Counter] = Counter(), Counter()
+            for flag, size, packed in zip(*(batch.column(c).to_pylist() for c in ("flag", "size", "packed")), strict=True):
+                seen[flag].update(set(_bare_words(codec.decompress(packed, size, asbytes=True))))
+            names = list(seen[0] | seen[1])
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), *(pa.array([c[w] for w in names], pa.int64()) for c in seen)],
+                                             ["word", "clean", "toxic"])
+
+    words = texts.mapInArrow(count, "word binary, clean long, toxic long").groupBy("word").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+    apart = (F.col("toxic") + 0.5) / (total["toxic"] + 1) >= TOXIC_RATIO * (F.col("clean") + 0.5) / (total["clean"] + 1)
+    return frozenset(bytes(r["word"]) for r in words.where((F.col("toxic") >= least) & apart).select("word").collect())
+
+
 def _base_rules(hasher: WordHasher, words: list[bytes]) -> tuple[int, bool]:
     """Repeated words of a text, and whether it fails the plain rules."""
     n = len(words)
@@ -253,12 +303,13 @@ def _judged(docs: DataFrame, ratio_of_bucket: np.ndarray, keep: list[str], names
     buckets = len(ratio_of_bucket)
     if threshold is None:
         threshold = getattr(ratio_of_bucket, "threshold", Ratio.threshold)
-    shared = spark.sparkContext.broadcast(np.asarray(ratio_of_bucket))  # a fixed number of buckets
+    # a fixed number of buckets, and the toxic words
+    shared = spark.sparkContext.broadcast((np.asarray(ratio_of_bucket), getattr(ratio_of_bucket, "toxic", Ratio.toxic)))
     fields = [docs.schema[c] for c in keep]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher(SEED)
-        ratio = shared.value
+        ratio, toxic = shared.value
         for batch in batches:
             out: list[list] = [[] for _ in RULE_FIELDS]
             for text in texts_of(batch, "__rule_text"):
@@ -267,8 +318,11 @@ def _judged(docs: DataFrame, ratio_of_bucket: np.ndarray, keep: list[str], names
                 repeat, failed = _base_rules(hasher, words)
                 grams = _ngrams(hasher, text.lower().split(), buckets)
                 score = float(ratio[grams].mean()) if n else None
+                good = not failed and score >= threshold
+                if good and toxic:
+                    good = sum(map(toxic.__contains__, _bare_words(text))) < TOXIC_HITS
                 row = (n, _code_points(text.translate(None, _WHITE)), len(text) - len(text.translate(None, _SYMBOLS)),
-                       duplicate_lines(text), repeat, failed, score, not failed and score >= threshold)
+                       duplicate_lines(text), repeat, failed, score, good)
                 for column, value in zip(out, row, strict=True):
                     column.append(value)
             kinds = {"long": pa.int64(), "boolean": pa.bool_(), "double": pa.float64()}

@@ -261,6 +261,29 @@ def test_quality_of_a_text_does_not_fall_with_its_copies(spark):
     assert all(many[i].kept for i, _ in good) and not any(many[i].kept for i, _ in junk)
 
 
+def test_toxic_documents_of_good_quality_go(spark):
+    """Two learned words among hundreds reject a document, labelled or not,
+    with punctuation or capitals; one mention does not."""
+    rng = random.Random(10)
+
+    def text(*more):
+        ws = [rng.choice(["the", "river", "stone", "walked", "quiet"]) + str(rng.randrange(99)) for _ in range(300)]
+        for w in more:
+            ws.insert(rng.randrange(len(ws)), w)
+        return " ".join(ws)
+
+    clean = [(i, text()) for i in range(120)]
+    toxic = [(200 + i, text("Scum,", "moron!") if i % 2 else text("you-moron", "SCUM")) for i in range(30)]
+    once = [(300 + i, text("moron")) for i in range(5)]
+    labels = [(i, 1, 0) for i in range(100)] + [(200 + i, 1, 1) for i in range(20)]
+    docs = spark.createDataFrame(clean + toxic + once, "doc_id long, text string").repartition(3)
+    ratio = quality_llr.fit(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    assert {b"scum", b"moron"} <= ratio.toxic
+    kept = {r.doc_id for r in quality_llr.judge(docs, ratio, ["doc_id"]).where("kept").collect()}
+    assert kept == {i for i, _ in clean + once}
+    assert {r.doc_id for r in quality_llr.keep(docs, ratio).collect()} == kept
+
+
 def test_warc_records_and_files(spark, llm_dir, tmp_path):
     pages = spark.read.parquet(f"{llm_dir}/pages.parquet")
     source = warc_derive.responses(pages)
