@@ -38,7 +38,15 @@ _DIGITS = re.compile(r"[0-9]+").match
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+").match
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]").match
 _URL = re.compile(r"[^\s<>\"'{}|\\^`]+").match
-_VALUE = re.compile(r"(?:[ \t]{0,3}(?:no\.?|number|nr\.?|id|key))?[ \t]{0,3}[:=#]?[ \t]{0,3}[\"']?([A-Za-z0-9][A-Za-z0-9_/+-]{5,99})", re.I).match
+_HEAD = re.compile(r"[\"']?(?:[ \t]{0,3}(?:no\.|nr\.|(?:no|nr|number)(?![A-Za-z_/+.-])|(?:id|key)(?![A-Za-z0-9_/+.-]))[\"']?)?[ \t]{0,3}([:=#]?)[ \t]{0,3}([\"'`]?)", re.I).match
+_QUOTED = {q: re.compile(rf"((?:[^{q}\\\n]|\\.)*){q}").match for q in "\"'`"}
+_NAMED = re.compile(r"([A-Za-z_]{1,40})[\"']?[:=]").match
+_TO_SPACE = re.compile(r"\S+").match
+_GROUPED = re.compile(r"[0-9]{2,}(?:[ -][0-9]{2,})+(?![0-9A-Za-z])").match
+_IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?:[ -]?[A-Z0-9]{4}){2,7}(?:[ -]?[A-Z0-9]{1,3})?(?![0-9A-Za-z])").match
+_IBAN_PLAIN = re.compile(r"[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}(?![0-9A-Z])", re.I).match
+#: Marks of the sentence around a value, not of the value.
+_AFTER_VALUE = ".,;:)]}>\"'`"
 _CLOUD_KEY = re.compile(r"AKIA[0-9A-Z]{16}(?![0-9A-Za-z])").match
 _HOUSE_BEFORE = re.compile(r"[0-9]{1,5}[A-Za-z]?(?: [A-ZÀ-Þ][\w'.-]{0,40}){1,4}$")
 _HOUSE_AFTER = re.compile(r"[ ,]{1,2}[0-9]{1,5}[A-Za-z]?(?![0-9A-Za-z])").match
@@ -57,7 +65,7 @@ def luhn(digits: str) -> bool:
 
 
 def iban(value: str) -> bool:
-    value = value.replace(" ", "").upper()
+    value = value.replace(" ", "").replace("-", "").upper()
     if not re.fullmatch(r"[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}", value):
         return False
     return int("".join(str(int(c, 36)) for c in value[4:] + value[:4])) % 97 == 1
@@ -87,7 +95,7 @@ def find(raw: bytes) -> dict[str, list[tuple[int, int]]]:
     folded = raw.lower().decode("utf-8")  # A-Z only, so positions stay
     spans: dict[str, list[tuple[int, int]]] = {k: [] for k in KINDS}
     free = dict.fromkeys(KINDS, 0)  # first position each kind may still use
-    n = len(text)
+    dull = 0  # no account value that runs to a white space starts before this
     for end, (anchor, word) in _ANCHORS[0].iter(folded):
         at = end + 1 - len(word)
         if anchor == "digit":
@@ -139,10 +147,7 @@ def find(raw: bytes) -> dict[str, list[tuple[int, int]]]:
                 m = _CLOUD_KEY(text, at)
                 span = m.span() if m else None
             else:
-                m = _VALUE(text, end + 1) if end + 1 < n and not text[end + 1].isalnum() else None
-                span = m.span(1) if m and any("0" <= c <= "9" for c in m[1]) else None
-                if span and word == "iban" and not iban(m[1]):
-                    span = None
+                span, dull = _value(text, end + 1, word, dull)
             if span:
                 free["account"] = span[1]
                 spans["account"].append(span)
@@ -154,6 +159,45 @@ def find(raw: bytes) -> dict[str, list[tuple[int, int]]]:
     return spans
 
 
+def _value(text: str, at: int, word: str, dull: int) -> tuple[tuple[int, int] | None, int]:
+    """Identifier after a cue that ends at ``at``, and ``dull`` moved on.
+
+    An IBAN or digits may stand in groups; any other value runs to its closing
+    quote, else to the next white space without the punctuation before it.
+    What runs from before ``dull`` to a white space is known to have no digit."""
+    if at >= len(text) or text[at].isalnum():
+        return None, dull
+    head = _HEAD(text, at)
+    sign, quote, start = head[1], head[2], head.end()
+    m = _IBAN(text, start)
+    stop = m.end() if m else start
+    while stop > start and not iban(text[start:stop]):  # a capital word after it may look like a group
+        stop = max(text.rfind(" ", start, stop), text.rfind("-", start, stop), start)
+    if stop > start:
+        return (start, stop), dull
+    m = _IBAN_PLAIN(text, start)
+    if m and iban(m[0]):
+        return m.span(), dull
+    if word == "iban":
+        return None, dull
+    closed = _QUOTED[quote](text, start) if quote and sign else None
+    if closed:
+        return (closed.span(1) if len(closed[1]) >= 6 and any("0" <= c <= "9" for c in closed[1]) else None), dull
+    named = _NAMED(text, start)
+    if named and (not sign or named[1].lower() in CUES):  # the value of that name, found from its own cue
+        return None, dull
+    m = _TO_SPACE(text, start) if start >= dull else None
+    if not m or not (sign or m[0][0].isalnum()):
+        return None, dull
+    if not any("0" <= c <= "9" for c in m[0]):
+        return None, m.end()
+    stop = start + len(m[0].rstrip(_AFTER_VALUE))
+    grouped = _GROUPED(text, start)
+    if grouped:
+        stop = max(stop, grouped.end())
+    return ((start, stop) if stop - start >= 6 else None), dull
+
+
 def _street(text: str, at: int, stop: int, word: str) -> tuple[int, int] | None:
     """Postal address around a street word: house number and name before it,
     name joined to it and number after it, or number, word and name."""

@@ -135,6 +135,27 @@ def test_addresses_and_accounts():
     assert kinds("the account of a street in the road, tokens and streets") == []
 
 
+def test_account_values_reach_their_real_boundary():
+    def accounts(t):
+        return [t[a:b] for a, b in anchor_pii.find(t.encode())["account"]]
+
+    long = "a1" * 100
+    for text, value in [
+            (f'token = "{long}" x', long), (f"token={long} x", long), ("token=eyJhbGc1.eyJzdWIi.c2ln x", "eyJhbGc1.eyJzdWIi.c2ln"),
+            ("password=hunter2x!Zq9 x", "hunter2x!Zq9"), ("password: p@ss12345, x", "p@ss12345"), ("secret: !x?y$z9! x", "!x?y$z9!"),
+            ('password = "two words 7" x', "two words 7"), ('{"token": "ab.cd-1234"}', "ab.cd-1234"), ("token='abc.1234 x", "abc.1234"),
+            ("IBAN DE89 3704 0044 0532 0130 00 and", "DE89 3704 0044 0532 0130 00"), ("iban: ES91-2100-0418-4502-0005-1332.", "ES91-2100-0418-4502-0005-1332"),
+            ("IBAN ES91 2100 0418 4502 0005 1332 BANK X", "ES91 2100 0418 4502 0005 1332"), ("account number: 1234 5678 9012 x", "1234 5678 9012"),
+            ("iban gb82west12345698765432, x", "gb82west12345698765432"), ("SSN 123-45-6789.", "123-45-6789"), ("account no. 12345678.", "12345678"),
+            ("account key-123456 x", "key-123456"), ("account no.ab12345 x", "ab12345"), ("token secret='a1b two 3' x", "a1b two 3"),
+            ("secret: token=\"a1 b2c3\" x", "a1 b2c3"), ("account password=abc.12345", "abc.12345")]:
+        assert accounts(text) == [value], text
+        assert value not in anchor_pii.redact_text(text.encode()) and anchor_pii.redact_text(text.encode()).count("<ACCOUNT>") == 1
+    for text in ["IBAN DE89 3704 0044 0532 0130 01 and", "the token of a 2024 book", "password: short", "account (see page 12345678)", "token 'the 3 kings'"]:
+        assert accounts(text) == [], text
+    assert accounts("token=" * 20_000) == [] and accounts("token=" * 20_000 + "ab1234") == ["ab1234"]
+
+
 def _index(n=60, threshold=0.6):
     rng = random.Random(5)
     vocabulary = [f"w{i}" for i in range(300)] + ["the", "of", "and"] * 40
