@@ -91,7 +91,9 @@ def response_record(page_id: int | None, url: str | None, page: str | None, date
 # -------------------------------------------------------------- plain text
 _BLOCKS = frozenset(("address article aside blockquote br dd div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr li "
                      "main nav ol p pre section table tbody td tfoot th thead title tr ul").split())
-_SILENT = frozenset(("script", "style", "template", "noscript", "iframe"))
+_SILENT = frozenset(("script", "style"))
+#: Silent where they are closed; an unclosed one would take the rest of the page.
+_SILENT_CLOSED = frozenset(("template", "noscript", "iframe"))
 
 
 class _Page(HTMLParser):
@@ -105,6 +107,8 @@ class _Page(HTMLParser):
         self.links: list[str] = []
         self.lang = ""
         self.silent, self.in_title = 0, False
+        self.breaks = 0
+        self.open: list[tuple[str, int, int, int]] = []  # _SILENT_CLOSED tags; parts, title and breaks before them
 
     def handle_starttag(self, tag, attrs):
         named = {k: v for k, v in attrs if v is not None}
@@ -114,18 +118,37 @@ class _Page(HTMLParser):
             self.links.append(named["href"])
         if tag in _SILENT:
             self.silent += 1
+        elif tag in _SILENT_CLOSED:
+            self.open.append((tag, len(self.parts), len(self.title), self.breaks))
         elif tag == "title":
             self.in_title = True
-        if tag in _BLOCKS:
-            self.parts.append("\n")
+        self._break(tag)
 
     def handle_endtag(self, tag):
         if tag in _SILENT:
             self.silent = max(0, self.silent - 1)
+        elif tag in _SILENT_CLOSED:
+            self._leave_out(tag)
         elif tag == "title":
             self.in_title = False
+        self._break(tag)
+
+    def _break(self, tag):
         if tag in _BLOCKS:
             self.parts.append("\n")
+            self.breaks += 1
+
+    def _leave_out(self, tag):
+        """Drop the text since the last open ``tag``; its line ends stay."""
+        if all(t != tag for t, *_ in self.open):
+            return
+        while True:
+            name, parts, title, breaks = self.open.pop()
+            if name == tag:
+                break
+        del self.parts[parts:], self.title[title:]
+        if self.breaks > breaks:
+            self.parts.append("\n")
 
     def handle_data(self, data):
         if self.silent:

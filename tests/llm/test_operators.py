@@ -305,6 +305,22 @@ def test_toxic_documents_of_good_quality_go(spark):
     assert {r.doc_id for r in quality_llr.keep(docs, ratio).collect()} == kept
 
 
+def test_page_text_after_an_unclosed_silent_element():
+    def text(page):
+        return warc_derive.read_page(page)[0]
+
+    for tag in ("noscript", "template", "iframe"):
+        assert text(f"<p>a</p><{tag}><p>gone</p></{tag}><p>b</p>") == "a\nb"
+        assert text(f"<p>a</p></{tag}><p>b</p>") == "a\nb"
+    for tag in ("noscript", "template"):
+        assert text(f"<p>a</p><{tag}><img><p>whole body</p>") == "a\nwhole body"
+        assert text(f"<p>a</p><{tag}><p>b</p><{tag}>gone</{tag}><p>c") == "a\nb\nc"
+    assert "whole body" in text("<p>a</p><iframe src=x><p>whole body</p>")
+    assert text("<p>a<template><noscript>x</template>b</noscript>c") == "abc"
+    assert text("<p>a</p><script>var x") == "a"
+    assert warc_derive.read_page("<noscript><title>T</title><p>b")[:2] == ("b", "T")
+
+
 def test_warc_records_and_files(spark, llm_dir, tmp_path):
     pages = spark.read.parquet(f"{llm_dir}/pages.parquet")
     source = warc_derive.responses(pages)
