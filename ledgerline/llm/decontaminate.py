@@ -33,7 +33,8 @@ THRESHOLD = 0.6
 #: passage must contain.
 SHINGLE_WORDS = 5
 MIN_QUESTION, MIN_ANSWER = 0.6, 0.6
-#: Shorter items cannot be told from chance and are not searched.
+#: Shorter items cannot be told from chance by shares: their full word
+#: sequence must be there.
 MIN_ITEM_WORDS = 8
 #: Item text broadcast at a time.
 BLOCK_BYTES = 1 << 20
@@ -79,9 +80,12 @@ class ItemIndex:
         self.answer: list[set[bytes]] = []
         entries: dict[bytes, list[tuple[int, float]]] = {}
         longest = MIN_ITEM_WORDS
+        short: list[tuple[int, list[bytes]]] = []
         for item_id, text in items:
             words = terms_of(text.encode("utf-8"))
             if len(words) < MIN_ITEM_WORDS:
+                if words:
+                    short.append((item_id, words))
                 continue
             longest = max(longest, len(words))
             slot = len(self.ids)
@@ -97,6 +101,11 @@ class ItemIndex:
             own = sum(weights.values())
             for w, x in weights.items():
                 entries.setdefault(w, []).append((slot, x / own))
+        # items too short to be told from chance by shares: found by their full word sequence, after the others
+        self.short: dict[bytes, list[tuple[int, list[bytes]]]] = {}
+        for item_id, words in short:
+            self.short.setdefault(words[0], []).append((len(self.ids), words))
+            self.ids.append(item_id)
         self.window = 2 * longest
         self.term = {w: i for i, w in enumerate(entries)}
         self.docs = [np.array([d for d, _ in e]) for e in entries.values()]
@@ -198,6 +207,11 @@ class ItemIndex:
             spans.append(np.stack([at + starts, at + np.minimum(starts + self.window, len(own))], 1))
             owner += [(i, at)] * len(starts)
             at += len(own)
+            if self.short:
+                for k, first in enumerate(own):
+                    for slot, sequence in self.short.get(first, ()):
+                        if own[k:k + len(sequence)] == sequence:
+                            found[i][slot] = (found[i].get(slot, (0,))[0] + 1, 1.0, 1.0, 1.0)
         ids = np.fromiter(map(self.term.get, chain.from_iterable(words), repeat(-1)), np.int64, at)
         bounds = np.concatenate(spans) if spans else np.zeros((0, 2), np.int64)
         for w in np.flatnonzero(self.hopeful(ids, bounds[:, 0], bounds[:, 1])):

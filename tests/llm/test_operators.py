@@ -305,6 +305,15 @@ def test_toxic_documents_of_good_quality_go(spark):
     assert {r.doc_id for r in quality_llr.keep(docs, ratio).collect()} == kept
 
 
+def test_short_benchmark_items_are_found_whole(spark):
+    items = spark.createDataFrame([(1, "Which green lamp? Stone."), (2, ""), (3, "word " * 3 + "end")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "Once: which GREEN lamp? Stone. Then which green lamp? stone"), (2, "which green lamp, then stone"),
+                                  (3, "green lamp"), (4, None), (5, "a word word word end")], "doc_id long, text string")
+    got = {(r.doc_id, r.item_id): (r.n_passages, r.question_overlap, r.answer_overlap) for r in decontaminate.leaks(docs, items).collect()}
+    assert got == {(1, 1): (2, 1.0, 1.0), (5, 3): (1, 1.0, 1.0)}
+    assert {r.doc_id for r in decontaminate.keep_clean(docs, items).collect()} == {2, 3, 4}
+
+
 def test_page_text_after_an_unclosed_silent_element():
     def text(page):
         return warc_derive.read_page(page)[0]
