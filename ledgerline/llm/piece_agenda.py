@@ -5,10 +5,11 @@ symbols whose join is a piece; the pair of highest score (leftmost among
 equals) is joined, and the two pairs the new symbol makes enter the agenda.
 When no pair is left, a symbol that is no piece is spelled in byte pieces.
 
-No piece holds a character pair that none of them spells, so a merge never
-crosses such a pair: the text is cut there first, every part has an agenda of
-its own, and parts already seen are remembered in tables of bounded size.
-Neither the cuts nor the tables change a result.
+A merge never crosses two characters that stand together in no piece, so a
+text may be cut there and every part has an agenda of its own: words at their
+spaces, and words of great length wherever they can be cut. Words already seen
+are remembered in a table of bounded size. Neither the cuts nor the table
+change a result.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ import hashlib
 import heapq
 import re
 from collections.abc import Iterator
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -26,10 +28,29 @@ from pyspark.sql import types as T
 from .common import prepare
 
 SPACE = "▁"
-#: Entries after which a table of remembered parts is emptied.
-REMEMBERED = 400_000
-#: Parts longer than this are encoded anew each time, so that the tables stay small.
-REMEMBERED_CHARS = 64
+#: Words in each of the two halves of the table of words seen.
+REMEMBERED = 600_000
+#: Characters up to which a word is remembered, and its agenda is a list
+#: searched for its best pair; longer parts have heaps.
+SHORT = 48
+
+
+class Remembered(dict):
+    """Results by word, worked out at first sight. A full table becomes the
+    older half, out of which words that come again are taken over."""
+
+    def __init__(self, work):
+        super().__init__()
+        self.work, self.older = work, {}
+
+    def __missing__(self, word: str) -> str:
+        found = self.older.get(word) or self.work(word)
+        if len(word) <= SHORT:
+            if len(self) >= REMEMBERED:
+                self.older = dict(self)
+                self.clear()
+            self[word] = found
+        return found
 
 
 class AgendaEncoder:
@@ -73,8 +94,21 @@ class AgendaEncoder:
         apart = not any(j[1] == SPACE and j[0] != SPACE for j in self.joins)
         self.words = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+" if apart else "(?s:.+)").findall
         self.spaced = apart and self.plain and self.prefix == SPACE
-        self._word: dict[str, str] = {}
-        self._part: dict[str, str] = {}
+        self._word = Remembered(self._encode_word)
+        # Symbols as numbers: a piece's id; characters in pieces that are no pieces come after
+        order = {score: place for place, score in enumerate(sorted({s for s, _ in self.pieces.values()}, reverse=True))}
+        self.last = len(order)
+        self.number = {c: found[1] for c in {c for p in self.pieces for c in p} if (found := self.pieces.get(c))}
+        others = sorted({c for p in self.pieces for c in p} - set(self.number))
+        self.number.update({c: len(model.pieces) + k for k, c in enumerate(others)})
+        symbol = {p: number for p, (_, number) in self.pieces.items()} | self.number
+        self.place, self.joined = {}, {}  # of a pair of numbers: place of its piece by score (equal scores: equal places), and its number
+        for piece, (score, number) in self.pieces.items():
+            for cut in range(1, len(piece)):
+                a, b = symbol.get(piece[:cut]), symbol.get(piece[cut:])
+                if a is not None and b is not None:
+                    self.place[a << 32 | b], self.joined[a << 32 | b] = order[score], number
+        self.decimal = [str(i) for i in range(len(model.pieces))] + [",".join(map(str, self._ids(c))) for c in others]
 
     def normalised(self, text: str) -> str:
         """The text the merges work on: the model's own rule."""
@@ -82,8 +116,28 @@ class AgendaEncoder:
             return self.prefix + text.replace(" ", SPACE) if text else ""
         return self.library.normalize(text)
 
-    def agenda(self, part: str) -> list[str]:
-        """Symbols of ``part`` when no adjacent pair joins to a piece."""
+    def short(self, part: str) -> str:
+        """Ids of a short part: the agenda is the list of its pairs' places."""
+        number, place, joined, last = self.number.get, self.place.get, self.joined, self.last
+        symbols = [number(c, -1) for c in part]
+        pairs = [place(a << 32 | b, last) for a, b in zip(symbols, symbols[1:], strict=False)]
+        while pairs and (best := min(pairs)) < last:
+            i = pairs.index(best)  # the leftmost of equal scores
+            del pairs[i]
+            new = joined[symbols[i] << 32 | symbols.pop(i + 1)]
+            symbols[i] = new
+            if i < len(pairs):
+                pairs[i] = place(new << 32 | symbols[i + 1], last)
+            if i:
+                pairs[i - 1] = place(symbols[i - 1] << 32 | new, last)
+        decimal = self.decimal
+        if -1 in symbols:  # characters in no piece: in their order
+            strange = (c for c in part if c not in self.number)
+            return ",".join([decimal[s] if s >= 0 else ",".join(map(str, self._ids(next(strange)))) for s in symbols])
+        return ",".join([decimal[s] for s in symbols])
+
+    def long(self, part: str) -> str:
+        """Ids of a part of any length: the agenda is a heap."""
         symbols: list[str | None] = list(part)
         left, right = list(range(-1, len(part) - 1)), list(range(1, len(part) + 1))
         pieces, end, made = self.pieces, len(part), {}
@@ -112,7 +166,7 @@ class AgendaEncoder:
         out = [s for s in symbols if s is not None]
         while made and any(s in made for s in out):  # unused pieces fall back to what they were joined from
             out = [t for s in out for t in made.get(s, (s,))]
-        return out
+        return ",".join(str(i) for s in out for i in self._ids(s))
 
     def _ids(self, symbol: str) -> list[int]:
         found = self.pieces.get(symbol)
@@ -120,38 +174,25 @@ class AgendaEncoder:
             return [found[1]]
         return [self.byte_ids[b] for b in symbol.encode("utf-8")] if self.byte_ids else [self.unknown]
 
-    def _encode_part(self, part: str) -> str:
-        found = self._part.get(part)
-        if found is None:
-            found = ",".join(str(i) for s in self.agenda(part) for i in self._ids(s))
-            if len(part) <= REMEMBERED_CHARS:
-                if len(self._part) >= REMEMBERED:
-                    self._part.clear()
-                self._part[part] = found
-        return found
-
     def _encode_word(self, key: str) -> str:
         word = SPACE + key if self.spaced and key[0] != SPACE else key
+        if len(word) <= SHORT and not self.unused:
+            return self.short(word)
         joins, at, parts = self.joins, 0, []
-        for i in range(1, len(word)):
-            if word[i - 1:i + 1] not in joins:
+        for i, pair in enumerate(map(add, word, word[1:]), 1):
+            if pair not in joins:
                 parts.append(word[at:i])
                 at = i
         parts.append(word[at:])
-        found = ",".join(map(self._encode_part, parts))
-        if len(word) <= REMEMBERED_CHARS:
-            if len(self._word) >= REMEMBERED:
-                self._word.clear()
-            self._word[key] = found
-        return found
+        return ",".join([self.short(p) if len(p) <= SHORT and not self.unused else self.long(p) for p in parts])
 
     def encode_decimal(self, text: str) -> str:
         """Ids of ``text`` in decimal, joined by commas (no ids: empty)."""
-        known, encode = self._word.get, self._encode_word
         if self.spaced and text and SPACE not in text and "  " not in text and text[0] != " " and text[-1] != " ":
-            out = ",".join([known(w) or encode(w) for w in text.split(" ")])  # words without the space before them
+            words = text.split(" ")  # without the space before them
         else:
-            out = ",".join([known(w) or encode(w) for w in self.words(self.normalised(text))])
+            words = self.words(self.normalised(text))
+        out = ",".join(map(self._word.__getitem__, words))
         if self.byte_ids or not out:
             return out
         unknown = str(self.unknown)  # without byte pieces, neighbouring unknown symbols are one

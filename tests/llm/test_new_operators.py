@@ -178,12 +178,19 @@ def test_agenda_random_texts():
     assert [enc.encode(t) for t in texts] == enc.library.encode(texts)
 
 
+def test_agenda_as_list_and_as_heap():
+    enc, rng = piece_agenda.encoder(MODEL), random.Random(3)
+    for _ in range(3000):
+        part = "".join(rng.choice(["▁", "t", "h", "e", "i", "n", "g", "é", ".", "\U00012345", "日"]) for _ in range(rng.randrange(1, 48)))
+        assert enc.short(part) == enc.long(part)
+
+
 def test_agenda_tables_are_bounded(monkeypatch):
     monkeypatch.setattr(piece_agenda, "REMEMBERED", 8)
     enc = piece_agenda.AgendaEncoder(MODEL)
     text = " ".join(f"word{i} über{i}" for i in range(300))
     assert enc.encode(text) == enc.library.encode(text)
-    assert len(enc._word) <= 8 and len(enc._part) <= 8
+    assert len(enc._word) <= 8 and len(enc._word.older) <= 8
 
 
 def test_agenda_ids_column(spark):
