@@ -2,12 +2,14 @@
 persisted tables.
 
 Each step materialises one product as a parquet table under an output root
-(full rebuild, overwrite) and reports its wall seconds, like the reference's
-orchestrators print per step. Gold steps are independent of one another;
-the silver step reads the persisted gold Portfolio and Business tables, cuts
-lineage at the staging table FormulaComplete, and removes the staging tables
-at the end. Writing whole tables to the shared output root also means a lost
-executor only recomputes the tasks of the current step.
+(full rebuild) and reports its wall seconds, like the reference's
+orchestrators print per step. Gold steps are independent of one another; each
+table is checked against its row law (``laws``), and the set of eight is
+published as one generation (``publish``). The silver step reads the
+Portfolio and Business of one published generation, cuts lineage at the
+staging table FormulaComplete, and removes the staging tables at the end.
+Writing whole tables to the shared output root also means a lost executor only
+recomputes the tasks of the current step.
 """
 
 from __future__ import annotations
@@ -24,7 +26,8 @@ from pyspark.sql import functions as F
 
 from ..params import Params
 from ..sources import Sources
-from . import common, gold, silver, staging, views
+from . import common, gold, laws, publish, silver, staging, views
+from .publish import CATALOG_PREFIX, fs_path as _fs_path
 
 GOLD_STEPS: list[tuple[str, Callable]] = [
     ("Portfolio", gold.d01_portfolio),
@@ -43,9 +46,6 @@ STAGES = ["PortfolioEvents", "PortfolioFunding", "RowAggregates", "BidAggregates
 STAGING_TABLES = STAGES
 
 
-CATALOG_PREFIX = "catalog:"
-
-
 def ensure_layers(spark: SparkSession, *schemas: str) -> None:
     """Create the layer schemas (databases) if they are missing."""
     for name in schemas:
@@ -60,12 +60,6 @@ def _target(root: str, name: str) -> tuple[str, str]:
     return "path", os.path.join(root, name)
 
 
-def _fs_path(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-
 def write_table(df: DataFrame, path: str) -> None:
     """Full rebuild of one table (K01): write the new version beside the old
     one, move the old one aside, move the new one in, then delete the old. A
@@ -112,7 +106,13 @@ def save(df: DataFrame, root: str, name: str) -> None:
 
 
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """A table; its previous version if a swap was cut off."""
+    """A table of the published generation, where the root has one that holds
+    it; else the table of that name, its previous version if a swap was cut
+    off. Tables read one by one may come from two refreshes: readers that need
+    one take ``publish.current`` once."""
+    published = publish.current(spark, root)
+    if published and name in published.rows:
+        return published.read(name)
     kind, where = _target(root, name)
     if kind == "table":
         schema = root[len(CATALOG_PREFIX):]
@@ -148,10 +148,6 @@ def _run_steps(spark: SparkSession, steps: list[tuple[str, Callable[[], None]]],
 SUMMARY_STEP = "PortfolioEventSummary"
 
 
-def _shared_root(gold_root: str) -> str:
-    return gold_root if gold_root.startswith(CATALOG_PREFIX) else os.path.join(gold_root, "_shared")
-
-
 def _exists(spark: SparkSession, root: str, name: str) -> bool:
     kind, where = _target(root, name)
     if kind == "table":
@@ -167,23 +163,19 @@ def summary_name(params: Params) -> str:
     return f"{common.EVENT_SUMMARY}_{hashlib.md5(repr(literals).encode()).hexdigest()[:10]}"
 
 
-def _drop_other_summaries(spark: SparkSession, root: str, keep: str) -> None:
-    """Summaries of other literals are older than the gold tables now built."""
-    if root.startswith(CATALOG_PREFIX):
-        names = [t.name for t in spark.catalog.listTables(root[len(CATALOG_PREFIX):])]
-    else:
-        p, fs = _fs_path(spark, root)
-        names = [str(f.getPath().getName()) for f in fs.listStatus(p)] if fs.exists(p) else []
-    drop_tables(spark, root, [n for n in names if n.startswith(common.EVENT_SUMMARY) and n != keep])
+def published_gold(spark: SparkSession, gold_root: str) -> publish.Published:
+    """The published gold tables, all of one refresh."""
+    found = publish.current(spark, gold_root)
+    if found is None:
+        raise FileNotFoundError(f"no gold refresh was published in {gold_root}")
+    return found
 
 
-def with_shared_tables(spark: SparkSession, src: Sources, gold_root: str, params: Params) -> Sources:
+def with_shared_tables(src: Sources, tables: publish.Published, params: Params) -> Sources:
     """Sources plus the event summary a gold refresh materialised for the same
     event literals; with other literals the products read the event log."""
-    root, name = _shared_root(gold_root), summary_name(params)
-    if _exists(spark, root, name):
-        return src.with_tables(**{common.EVENT_SUMMARY: read_table(spark, root, name)})
-    return src
+    name = summary_name(params)
+    return src.with_tables(**{common.EVENT_SUMMARY: tables.read(name)}) if name in tables.rows else src
 
 
 def warn_unmatched_events(summary: DataFrame, params: Params) -> list[str]:
@@ -198,21 +190,34 @@ def warn_unmatched_events(summary: DataFrame, params: Params) -> list[str]:
 
 
 def refresh_gold(spark: SparkSession, src: Sources, gold_root: str, params: Params | None = None,
-                 max_parallel: int = 4) -> dict[str, float]:
-    """Build the eight gold tables; seconds per step. The per-portfolio
-    event summary (one pass over the event log) is materialised first and
-    read by every product instead of each scanning the log. No gold table
-    reads another, so the steps then run concurrently (``max_parallel=1``:
-    the reference's serial order)."""
+                 max_parallel: int = 4, verify: bool = True) -> dict[str, float]:
+    """Build the eight gold tables and publish them as one generation;
+    seconds per step. The per-portfolio event summary (one pass over the event
+    log) is materialised first and read by every product instead of each
+    scanning the log. No gold table reads another, so the steps then run
+    concurrently (``max_parallel=1``: the reference's serial order).
+
+    ``verify``: every table's rows must meet its row law, or the refresh
+    raises. Whatever fails, readers keep the generation published before."""
     params = common.params_or_default(params)  # one clock for the whole refresh
     if gold_root.startswith(CATALOG_PREFIX):
         ensure_layers(spark, gold_root[len(CATALOG_PREFIX):])
-    name = summary_name(params)
-    seconds = {SUMMARY_STEP: _timed(lambda: save(common.event_summary(src, params), _shared_root(gold_root), name))}
-    _drop_other_summaries(spark, _shared_root(gold_root), name)
-    shared = with_shared_tables(spark, src, gold_root, params)
-    steps = [(n, (lambda b=b, n=n: save(b(shared, params), gold_root, n))) for n, b in GOLD_STEPS]
-    seconds.update(_run_steps(spark, steps, max_parallel))
+    draft, summary = publish.Draft(spark, gold_root), summary_name(params)
+
+    def build(name: str, product: Callable, sources: Sources) -> None:
+        rows = draft.build(name, product(sources, params))
+        if verify:
+            laws.check(name, rows, sources, params)
+
+    try:
+        seconds = {SUMMARY_STEP: _timed(lambda: draft.build(summary, common.event_summary(src, params)))}
+        shared = src.with_tables(**{common.EVENT_SUMMARY: draft.read(summary)})
+        steps = [(n, (lambda b=b, n=n: build(n, b, shared))) for n, b in GOLD_STEPS]
+        seconds.update(_run_steps(spark, steps, max_parallel))
+        draft.publish()
+    except Exception:
+        draft.discard()
+        raise
     return seconds
 
 
@@ -240,10 +245,10 @@ def refresh_silver(spark: SparkSession, src: Sources, gold_root: str, silver_roo
         ensure_layers(spark, silver_root[len(CATALOG_PREFIX):], staging_root[len(CATALOG_PREFIX):])
     else:
         staging_root = os.path.join(silver_root, "_staging")
-    src = with_shared_tables(spark, src, gold_root, params)
+    tables = published_gold(spark, gold_root)
+    src = with_shared_tables(src, tables, params)
     warn_unmatched_events(common.event_summary(src, params), params)
-    portfolio = read_table(spark, gold_root, "Portfolio")
-    business = read_table(spark, gold_root, "Business")
+    portfolio, business = tables.read("Portfolio"), tables.read("Business")
     seconds: dict[str, float] = {}
     built: dict[str, DataFrame] = {}
 
@@ -270,12 +275,12 @@ def live_views(spark: SparkSession, src: Sources, gold_root: str, silver_root: s
                params: Params | None = None) -> dict[str, DataFrame]:
     """D08–D11 as lazy DataFrames over the persisted tables."""
     params = common.params_or_default(params)
-    src = with_shared_tables(spark, src, gold_root, params)
+    tables = published_gold(spark, gold_root)
+    src = with_shared_tables(src, tables, params)
     expanded = read_table(spark, silver_root, SILVER_TABLE)
     return {
         "VW_Bidders": views.d08_bidders(src, params, expanded=expanded,
-                                        bids=read_table(spark, gold_root, "Portfolio_Bid"),
-                                        business=read_table(spark, gold_root, "Business")),
+                                        bids=tables.read("Portfolio_Bid"), business=tables.read("Business")),
         "VW_Boardmembers_EC_Portfolio_Bid": views.d09_board_bid(src, params),
         "VW_Boardmembers_Buyer_Activity": views.d10_buyer_activity(src, params, expanded=expanded),
         "VW_Boardmembers_ForwardFlow": views.d11_forward_flow(src, params, expanded=expanded),
