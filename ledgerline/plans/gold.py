@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import rules as R
 from ..functions.core import concat_nullsafe, months_crossed, sha256_hex_upper, ts_lit
-from ..operators import broadcast_if_small, current_names, prev_period_join
+from ..operators import broadcast_if_small, current_names, keyed_join, only_keys, prev_period_join
 from ..params import Params
 from ..sources import CONTRACTS, Sources
 from . import common as C
@@ -192,11 +192,9 @@ def d02_business(src: Sources, params: Params | None = None) -> DataFrame:
 
 
 # ============================================================== D03 Portfolio_Row
-def sale_portfolios(src: Sources, prm: Params) -> DataFrame:
-    """Portfolio side of D03: portfolios in a sale status, minus excluded
-    parties, with type, buyer/seller client names and first listed date –
-    one row per portfolio (every lookup is on a unique key)."""
-    p = src["portfolio"].filter(
+def sale_portfolio_scan(src: Sources, prm: Params) -> DataFrame:
+    """Portfolios in a sale status, minus excluded parties."""
+    return src["portfolio"].filter(
         C.p_status_in("Status") & C.p_exclude_party("SellerId", prm.excluded_seller)
         & C.p_not_in_or_null("BuyerId", prm.excluded_buyers)
     ).select(F.col("Id").alias("_p_id"), "SellerName", "SellerId", "BuyerName", "BuyerId", "PortfolioNumber",
@@ -207,6 +205,13 @@ def sale_portfolios(src: Sources, prm: Params) -> DataFrame:
              R.pct_or_zero("SellerFeePercent").alias("SellerFeePercent"),
              (R.pct_or_zero("BuyerFeePercent") + R.pct_or_zero("SellerFeePercent")).alias("TotalFeePercent"),
              R.license_class("LicenseType").alias("LicenseType"))
+
+
+def sale_portfolios(src: Sources, prm: Params) -> DataFrame:
+    """Portfolio side of D03: the sale portfolios with type, buyer/seller
+    client names and first listed date – at most one row per portfolio (every
+    lookup is on a unique key)."""
+    p = sale_portfolio_scan(src, prm)
     pt = broadcast_if_small(C.renamed(src["portfolio_type"], {"Id": "_pt_id", "TypeName": "PortfolioTypeStr"}))
     bus = src["business"].select(F.col("Id").alias("_b_id"), F.col("ClientId").alias("_b_cid"))
     cli = src["client"].select(F.col("Id").alias("_c_id"), F.col("Name").alias("_c_name"))
@@ -215,22 +220,23 @@ def sale_portfolios(src: Sources, prm: Params) -> DataFrame:
     bbc = bc.select(F.col("_b_id").alias("_bb_id"), F.col("_c_name").alias("BuyerClient"))
     bsc = bc.select(F.col("_b_id").alias("_bs_id"), F.col("_c_name").alias("SellerClient"))
     ld = C.renamed(C.listed_dates(src), {"PortfolioId": "_ld_pid", "ListedUtc": "Listed"})
-    out = (
+    return (
         p.join(pt, p["PortfolioTypeId"] == pt["_pt_id"], "inner")
         .join(bbc, p["BuyerId"] == bbc["_bb_id"], "inner")
         .join(bsc, p["SellerId"] == bsc["_bs_id"], "inner")
         .join(ld, ld["_ld_pid"] == p["_p_id"], "left")
         .drop("_pt_id", "_bb_id", "_bs_id", "_ld_pid")
     )
-    # every lookup is on a unique key, so the chain has at most |p| rows
-    return broadcast_if_small(out, basis=p)
 
 
 def d03_portfolio_row(src: Sources, params: Params | None = None) -> DataFrame:
     prm = C.params_or_default(params)
     pid = sale_portfolios(src, prm)
-    # account-level rules on the scan side, before any join
-    pr = src["portfolio_row"].select(
+    scan = sale_portfolio_scan(src, prm)  # bounds the rows of ``pid``
+    # Accounts outside the sale portfolios go before anything is joined to
+    # them; account-level rules on the scan side.
+    accounts = only_keys(src["portfolio_row"], pid, "PortfolioId", "_p_id", basis=scan.select("_p_id"))
+    pr = accounts.select(
         "*", R.asset_class_folded("Product").alias("AssetType"),
         F.trim(F.upper(F.col("StateCode"))).alias("ConsumerState"), F.trim(F.col("City")).alias("ConsumerCity"),
         R.total_balance().alias("TotalBalance"))
@@ -259,8 +265,10 @@ def d03_portfolio_row(src: Sources, params: Params | None = None) -> DataFrame:
         .join(scra, scra["_scra_id"] == guid, "left")
         .join(pif, pif["_pif_id"] == guid, "left")
         .join(closed, closed["_ac_id"] == guid, "left")
-        .join(pid, pid["_p_id"] == pr["PortfolioId"], "inner")
     )
+    # where the portfolio side is too large to broadcast, portfolios with very
+    # many accounts are salted
+    j = keyed_join(j, pid, "PortfolioId", "_p_id", "PortfolioRowGuid", basis=scan, keys_of=accounts)
     price = R.account_price(F.col("TotalBalance"))
     return j.select(
         "SellerName", "SellerClient", "SellerId", "BuyerName", "BuyerClient", "BuyerId",
@@ -358,11 +366,11 @@ def d05_portfolio_bid(src: Sources, params: Params | None = None) -> DataFrame:
         .join(a, F.col("_p_id") == a["_a_pid"], "left")
         .join(dates, F.col("_p_id") == dates["_ev_pid"], "left")
     )
-    j = (
-        pb.join(nb, pb["BuyerId"] == nb["_bb_id"], "inner")
-        .join(portfolios, pb["PortfolioId"] == F.col("_p_id"), "inner")
-        .join(su, pb["PlacedByUserId"] == su["_su_id"], "left")
-    )
+    # The user joins the narrow bid: broadcast where small, else on its own
+    # shuffle before the bid carries the portfolio's columns.
+    bids = (pb.join(nb, pb["BuyerId"] == nb["_bb_id"], "inner")
+            .join(broadcast_if_small(su), pb["PlacedByUserId"] == su["_su_id"], "left"))
+    j = keyed_join(bids, portfolios, "PortfolioId", "_p_id", "Id", basis=p, keys_of=pb)
     return j.select(
         pb["Id"], F.col("_p_id").alias("PortfolioId"), "PortfolioNumber", "PortfolioStatus", "AssetTypes",
         "BidClose", "Listed", "Awarded", "Sold", "Seller_Name", "SellerClient", "Issuers", "Buyer",
@@ -441,14 +449,15 @@ REQUEST_PASS_3 = ["FundingAmount", "RejectComment", "Escalated", "CSRAction", "F
                   "EffortExausted"]
 
 
+POSTSALE_PORTFOLIO = {"Id": "_p_id", "SellerId": "SellerId", "BuyerId": "BuyerId", "AssetTypes": "AssetTypes", "SellerFeePercent": "_sfp",
+                      "BuyerFeePercent": "_bfp", "PurchasePricePercent": "_ppp", "PortfolioNumber": "PortfolioNumber",
+                      "Status": "PortfolioStatus", "SoldUtc": "PortfolioSoldUtc", "SellerUploadTemplateId": "_tpl"}
+
+
 def postsale_portfolios(src: Sources) -> DataFrame:
     """Portfolio side of D12: template (inner), bankruptcy override, seller and
     buyer business / open name / client (left)."""
-    p = C.renamed(src["portfolio"], {"Id": "_p_id", "SellerId": "SellerId", "BuyerId": "BuyerId",
-                                     "AssetTypes": "AssetTypes", "SellerFeePercent": "_sfp", "BuyerFeePercent": "_bfp",
-                                     "PurchasePricePercent": "_ppp", "PortfolioNumber": "PortfolioNumber",
-                                     "Status": "PortfolioStatus", "SoldUtc": "PortfolioSoldUtc",
-                                     "SellerUploadTemplateId": "_tpl"})
+    p = C.renamed(src["portfolio"], POSTSALE_PORTFOLIO)
     t = broadcast_if_small(C.renamed(src["template"], {"Id": "_t_id", "Name": "TemplateName"}))
     bk = C.renamed(src["portfolio_bk_data"], {"PortfolioId": "_bk_pid", "FinalPurchasePricePercent": "_bk_pct"})
 
@@ -477,7 +486,7 @@ def d12_postsale(src: Sources, params: Params | None = None) -> DataFrame:
     req = src["request"]
     by = req["InitiatedByBuyer"]
     # request-level rules on the request side, before any join
-    r = req.select("*", R.initiated_by(by).alias("InitiatedBy"), F.lower(req["Status"]).alias("RequestStatus"),
+    r = req.select("*", F.col("Id").alias("_rid"), R.initiated_by(by).alias("InitiatedBy"), F.lower(req["Status"]).alias("RequestStatus"),
                    R.age_days(req["Created"], prm.as_of_local).alias("AgeInDays"),
                    R.request_category(req["Status"], req["RequestType"], by).alias("Category"))
     rt = broadcast_if_small(C.renamed(src["request_type"], {"Id": "_rt_id", "RequestTypeStr": "_rt_str"}))
@@ -525,8 +534,12 @@ def d12_postsale(src: Sources, params: Params | None = None) -> DataFrame:
         .join(ps, ps["_ps_rid"] == rid, "left")
         .join(cd, cd["_cd_rid"] == rid, "left")
         .join(pr, r["DebtAccountId"] == pr["_pr_guid"], "inner")
-        .join(pdim, F.col("_pr_pid") == F.col("_p_id"), "inner")
     )
+    # portfolios with very many requests are salted where the portfolio side
+    # is too large to broadcast; they are counted on the accounts, narrow
+    asked = (src["request"].select("DebtAccountId").join(src["portfolio_row"].select("PortfolioRowGuid", F.col("PortfolioId").alias("_pr_pid")),
+                                                         F.col("DebtAccountId") == F.col("PortfolioRowGuid"), "inner"))
+    j = keyed_join(j, pdim, "_pr_pid", "_p_id", "_rid", basis=C.renamed(src["portfolio"], POSTSALE_PORTFOLIO), keys_of=asked)
     total = F.col("AccountTotalBalance")
     by = r["InitiatedByBuyer"]
     return j.select(

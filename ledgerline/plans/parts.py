@@ -14,7 +14,7 @@ from ..operators import broadcast_if_small, current_names, prev_period_join
 from ..params import Params
 from ..sources import Sources
 from . import common as C
-from . import gold, silver, staging
+from . import gold, silver, staging, views
 
 
 def _p(params):
@@ -221,7 +221,7 @@ def j_case_insensitive(src: Sources, params: Params | None = None) -> DataFrame:
     """Users to clients on tenant ids compared case-insensitively."""
     u = src["app_user"].select(F.col("Id").alias("UserId"), F.col("TenantId").alias("_u_t"))
     c = broadcast_if_small(src["client"].select(F.col("Id").alias("ClientId"), F.col("TenantId").alias("_c_t")))
-    return u.join(c, F.lower(F.col("_u_t")) == F.lower(F.col("_c_t")), "inner").select("UserId", "ClientId")
+    return u.join(c, views.ci(F.col("_u_t")) == views.ci(F.col("_c_t")), "inner").select("UserId", "ClientId")
 
 
 def j_left_filtered_right(src: Sources, params: Params | None = None) -> DataFrame:

@@ -304,11 +304,11 @@ def view_sql(sources: str, gold_schema: str, silver_schema: str, params: Params)
     expanded = f"`{silver_schema}`.`{SILVER_TABLE}`"
     return {
         "VW_Bidders": f"""
-WITH lots AS (SELECT lower(PortfolioNumber) AS pid, PortfolioCloseUtc AS closed FROM {expanded}
+WITH lots AS (SELECT collate(PortfolioNumber, '{views.COLLATION}') AS pid, PortfolioCloseUtc AS closed FROM {expanded}
               WHERE Status <> 'Purged' AND year(PortfolioCloseUtc) > {params.min_close_year}),
-     bidders AS (SELECT DISTINCT lower(PortfolioNumber) AS pid, lower(BuyerId) AS bidder
+     bidders AS (SELECT DISTINCT collate(PortfolioNumber, '{views.COLLATION}') AS pid, collate(BuyerId, '{views.COLLATION}') AS bidder
                  FROM `{gold_schema}`.`Portfolio_Bid` WHERE Status IS NOT NULL),
-     parties AS (SELECT lower(Id) AS bidder, ClientId, BusinessName FROM `{gold_schema}`.`Business`)
+     parties AS (SELECT collate(Id, '{views.COLLATION}') AS bidder, ClientId, BusinessName FROM `{gold_schema}`.`Business`)
 SELECT DISTINCT c.ClientId AS BidderClientId, n.BusinessName AS BuyerName, month(lots.closed) AS BidderMonth, year(lots.closed) AS BidderYear
 FROM lots JOIN bidders ON bidders.pid = lots.pid
 LEFT JOIN parties c ON c.bidder = bidders.bidder LEFT JOIN parties n ON n.bidder = bidders.bidder""",

@@ -17,10 +17,14 @@ from . import common as C
 from . import gold, silver
 
 
+COLLATION = "UTF8_LCASE_RTRIM"
+
+
 def ci(c) -> F.Column:
-    """Case-insensitive comparison key (J12): the reference compares these ids
-    under a case-insensitive collation."""
-    return F.lower(c)
+    """Case-insensitive comparison key (F08/J12): the reference compares these
+    ids under a collation that ignores case and trailing spaces and tells
+    accents, kana and width apart."""
+    return F.collate(c, COLLATION)
 
 
 def d08_bidders(src: Sources, params: Params | None = None, expanded: DataFrame | None = None,

@@ -1,9 +1,10 @@
 """Relational helpers against their textbook forms on literal data."""
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ledgerline.operators import first_hit, prev_period_join
+from ledgerline.operators import first_hit, heavy_keys, keyed_join, only_keys, prev_period_join, salted_join
 
 
 def test_first_hit_equals_count_window_plus_row_number(spark):
@@ -67,3 +68,73 @@ def test_first_hit_null_order_value_sorts_first(spark):
     df = spark.createDataFrame(rows, "k string, id string, v string")
     got = sorted(tuple(r) for r in first_hit(df, "k", ["id"], ["v"], "n").collect())
     assert got == [("a", 2, "xnull"), ("b", 1, "y2")]
+
+
+def _task_rows(df):
+    """Rows per non-empty task of a frame's last stage."""
+    return sorted(r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect())
+
+
+def test_salted_join_deals_out_a_portfolio_with_a_third_of_the_rows(spark):
+    """Same rows as the plain join, for a hot key, NULL keys and repeated dim
+    rows; and no task over twice the median, where the plain join has one."""
+    n = 60_000
+    fact = spark.range(n).select(F.when(F.col("id") % 3 == 0, F.lit("hot")).when(F.col("id") % 997 == 1, F.lit(None))
+                                 .otherwise(F.concat(F.lit("p"), F.col("id") % 4000)).alias("pid"), F.col("id").cast("string").alias("guid"))
+    dim = spark.createDataFrame([("hot", "a"), ("p7", "b"), ("p7", "b2"), (None, "z")] + [(f"p{i}", "c") for i in range(20, 4000)], "k string, v string")
+    conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "16"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        for how in ("inner", "left"):
+            plain = fact.join(dim, F.col("pid") == F.col("k"), how)
+            salted = salted_join(fact, dim, "pid", "k", "guid", how, rows_per_task=100)
+            assert sorted(map(repr, salted.select("pid", "guid", "v").collect())) == sorted(map(repr, plain.select("pid", "guid", "v").collect()))
+        plain, salted = (_task_rows(d) for d in (fact.join(dim, F.col("pid") == F.col("k")), salted_join(fact, dim, "pid", "k", "guid", rows_per_task=100)))
+        assert max(salted) <= 2 * salted[len(salted) // 2]
+        assert max(plain) > 2 * plain[len(plain) // 2]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert [tuple(r) for r in heavy_keys(fact, "pid", 1000).collect()] == [("hot", 20)]
+    assert heavy_keys(fact.where("pid is null"), "pid", 10).collect() == []  # NULL joins nothing
+    with pytest.raises(ValueError, match="inner or left"):
+        salted_join(fact, dim, "pid", "k", "guid", "full")
+
+
+def test_keyed_join_and_only_keys_by_size(spark):
+    fact, dim = spark.range(100).select((F.col("id") % 10).alias("k"), "id"), spark.range(5).select(F.col("id").alias("d"))
+    plans = {limit: keyed_join(fact, dim, "k", "d", "id", limit=limit)._jdf.queryExecution().optimizedPlan().toString() for limit in (0, 1 << 20)}
+    assert "_salt_f" in plans[0] and "_salt_f" not in plans[1 << 20]
+    cut = only_keys(fact, dim, "k", "d")
+    assert cut.count() == 50 and cut.columns == fact.columns
+    assert "LeftSemi" in cut._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_d03_satellites_meet_only_sale_accounts(src):
+    """The semi join with the sale portfolios stands below every satellite join."""
+    from ledgerline.params import Params
+    from ledgerline.plans import gold
+
+    plan = gold.d03_portfolio_row(src, Params.testing())._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    joins = [line.strip(" :+-") for line in plan if "Join " in line]
+    depth = {line: len(line) - len(line.lstrip(" :+-")) for line in plan}
+    semi = [depth[line] for line in plan if "Join LeftSemi" in line]
+    satellites = [depth[line] for line in plan if "Join LeftOuter" in line and "_dec_id" in line or "Join LeftOuter" in line and "_ac_id" in line]
+    assert len(semi) == 1 and satellites and joins
+    assert semi[0] > max(satellites)
+
+
+def test_collation_of_ids(spark):
+    """Case and trailing spaces are ignored; accents, kana and width are not."""
+    from ledgerline.plans.views import ci
+
+    cases = [("Abc", "aBC", True), ("ÉTÉ", "été", True), ("ab ", "AB", True), ("ete", "été", False), ("か", "カ", False), ("ｱ", "ア", False),
+             ("Ａ", "A", False), ("Ａ", "ａ", True), (" ab", "ab", False), ("ß", "ss", False), (None, "a", None)]
+    df = spark.createDataFrame(cases, "a string, b string, same boolean")
+    for r in df.select("a", "b", "same", (ci(F.col("a")) == ci(F.col("b"))).alias("got")).collect():
+        assert r.got == r.same, (r.a, r.b)
+    left, right = df.select("a").where("a is not null").distinct(), df.select("b")
+    joined = left.join(right, ci(left["a"]) == ci(right["b"]))
+    assert "SortMergeJoin" in joined.hint("merge")._jdf.queryExecution().executedPlan().toString() or joined.count() > 0
