@@ -41,7 +41,7 @@ STEP_KEYS = {
     "Portfolio_Aggregate": "d04_portfolio_aggregate", "Portfolio_Bid": "d05_portfolio_bid",
     "Complaints": "d06_complaints", "Complaint_Aggregate": "d07_complaint_aggregate", "PostSale": "d12_postsale",
     "PortfolioEvents": "d14_portfolio_events", "PortfolioFunding": "d15_portfolio_funding",
-    "RowAggregates": "d16_row_aggregates", "BidAggregates": "d17a_bid_aggregates",
+    "AccountFold": "account_fold", "RowAggregates": "d16_row_aggregates", "BidAggregates": "d17a_bid_aggregates",
     "PostSaleAggregates": "d17b_postsale_aggregates", "ComplaintsByBuyer": "d17c_complaints_by_buyer",
     "ComplaintsByPortfolio": "d17d_complaints_by_pid", "SilverBase": "d18_silver_base",
     "FormulaComplete": "d20_formula_complete", "_EC_Portfolio_Expanded": "d13_silver_expanded",

@@ -16,14 +16,16 @@ from __future__ import annotations
 
 import argparse
 import json
+import os
 from datetime import datetime
 
 from pyspark.sql import SparkSession
 
 from .params import Params
-from .plans import pipeline
+from .plans import event_state, pipeline
 from .session import apply_conf, cluster_conf
 from .sources import Sources
+from .sources.contracts import null_identities
 
 
 def _sources(spark: SparkSession, root: str) -> Sources:
@@ -42,6 +44,8 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--as-of-local", type=datetime.fromisoformat)
     ap.add_argument("--parallel", type=int, default=4)
     ap.add_argument("--shuffle-bytes", type=int, help="size of the largest shuffle: sizes the cluster settings")
+    ap.add_argument("--event-state", help="folder of the event summary kept as state: refresh-gold reads only new event files (folder sources)")
+    ap.add_argument("--check-sources", action="store_true", help="before refresh-gold: fail where a source has rows without an identity")
     ap.add_argument("--buckets", type=int, help="bucket count of the account-keyed source tables")
     a = ap.parse_args(argv)
 
@@ -52,8 +56,13 @@ def main(argv: list[str] | None = None) -> None:
     kw = {k: v for k, v in (("as_of_utc", a.as_of_utc), ("as_of_local", a.as_of_local)) if v is not None}
     params = Params(**kw)
     src = _sources(spark, a.sources)
+    if a.check_sources and (found := null_identities(src)):
+        raise SystemExit(f"rows without an identity: {found}")
     if a.command == "refresh-gold":
-        out = pipeline.refresh_gold(spark, src, a.gold, params, max_parallel=a.parallel)
+        summary = None
+        if a.event_state:
+            summary = event_state.advance(spark, os.path.join(a.sources, "portfolio_event"), a.event_state, params).state.read(event_state.TABLE)
+        out = pipeline.refresh_gold(spark, src, a.gold, params, max_parallel=a.parallel, event_summary=summary)
     elif a.command == "refresh-silver":
         out = pipeline.refresh_silver(spark, src, a.gold, a.silver, params)
     else:

@@ -11,17 +11,9 @@ from __future__ import annotations
 
 import re
 
-from ..sources.contracts import CONTRACTS, pad_type
+from ..sources.contracts import CONTRACTS, pad_key, pad_type, pad_value
 from ..sources.fixtures import FIXTURE_COLUMNS, FIXTURE_SQL
 
-_DUCK_TYPES = {"string": "varchar", "int": "integer", "bigint": "bigint", "timestamp": "timestamp", "date": "date",
-               "double": "double"}
-
-
-def duck_type(spark_type: str) -> str:
-    return _DUCK_TYPES.get(spark_type, spark_type)
-
-
 def q(name: str) -> str:
     """Quote an identifier for DuckDB (keeps case, allows dots)."""
     return '"' + name.replace('"', '""') + '"'
@@ -47,7 +39,8 @@ def fixture_body(name: str) -> str:
     pads = [(c, pad_type(c)) for c in CONTRACTS.get(name, []) if c not in have]
     if not pads:
         return text
-    cols = ", ".join(f"cast(null as {duck_type(t)}) as {q(c)}" for c, t in pads)
+    key = q(pad_key(name, list(have)))
+    cols = ", ".join(f"{pad_value(c, key)} as {q(c)}" for c, _ in pads)
     return f"select _fx.*, {cols} from (\n{text}\n) _fx"
 
 

@@ -3,6 +3,8 @@ first-event dates and the per-account scrub / payment satellites."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -75,7 +77,12 @@ def event_summary(src: Sources, params: Params | None = None) -> DataFrame:
     (``Sources.with_tables``) and every product reads that table."""
     if EVENT_SUMMARY in src.derived:
         return src.derived[EVENT_SUMMARY]
-    prm = params_or_default(params)
+    return summarise_events(src["portfolio_event"], params_or_default(params))
+
+
+def summarise_events(events: DataFrame, prm: Params) -> DataFrame:
+    """The event summary of some events. Its columns are minima, maxima and
+    counts, so summaries of parts of the log merge (``merge_summaries``)."""
     et = F.col("EventType")
     funding = et.isin(list(prm.funding_events))
     specs = {
@@ -92,7 +99,7 @@ def event_summary(src: Sources, params: Params | None = None) -> DataFrame:
     for p in specs.values():
         cond = cond | p
     ts = F.col("EventUtc")
-    return src["portfolio_event"].filter(cond).groupBy("PortfolioId").agg(
+    return events.filter(cond).groupBy("PortfolioId").agg(
         *[F.min(F.when(p, ts)).alias(n) for n, p in specs.items()],
         F.min(F.when(funding, ts)).alias("FirstFundingUtc"),
         F.max(F.when(funding, ts)).alias("LastFundingUtc"),
@@ -100,6 +107,14 @@ def event_summary(src: Sources, params: Params | None = None) -> DataFrame:
     )
 
 
+def merge_summaries(*summaries: DataFrame) -> DataFrame:
+    """One event summary of what each summarises, in any order and with late
+    events: the earliest, the latest and the sum per portfolio."""
+    both = reduce(DataFrame.unionByName, summaries)
+    how = {"LastFundingUtc": F.max, "FundingEventCount": F.sum}
+    return both.groupBy("PortfolioId").agg(*[how.get(c, F.min)(c).alias(c) for c in both.columns if c != "PortfolioId"])
+
+
 def event_dates(src: Sources, column: str, params: Params | None = None, present_only: bool = False) -> DataFrame:
     """(PortfolioId, column) from the event summary; ``present_only`` keeps only
     portfolios that have the event (the standalone aggregate's row set)."""

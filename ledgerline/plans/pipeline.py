@@ -41,7 +41,7 @@ GOLD_STEPS: list[tuple[str, Callable]] = [
 ]
 SILVER_TABLE = "_EC_Portfolio_Expanded"
 # staging tables of the silver refresh, in the order of the reference's steps
-STAGES = ["PortfolioEvents", "PortfolioFunding", "RowAggregates", "BidAggregates", "PostSaleAggregates",
+STAGES = ["PortfolioEvents", "PortfolioFunding", "AccountFold", "RowAggregates", "BidAggregates", "PostSaleAggregates",
           "ComplaintsByBuyer", "ComplaintsByPortfolio", "SilverBase", "FormulaComplete"]
 STAGING_TABLES = STAGES
 
@@ -190,13 +190,15 @@ def warn_unmatched_events(summary: DataFrame, params: Params) -> list[str]:
 
 
 def refresh_gold(spark: SparkSession, src: Sources, gold_root: str, params: Params | None = None,
-                 max_parallel: int = 4, verify: bool = True) -> dict[str, float]:
+                 max_parallel: int = 4, verify: bool = True, event_summary: DataFrame | None = None) -> dict[str, float]:
     """Build the eight gold tables and publish them as one generation;
     seconds per step. The per-portfolio event summary (one pass over the event
     log) is materialised first and read by every product instead of each
     scanning the log. No gold table reads another, so the steps then run
     concurrently (``max_parallel=1``: the reference's serial order).
 
+    ``event_summary``: the summary kept as state (``event_state.advance``, for
+    the same literals), instead of a scan of the whole log.
     ``verify``: every table's rows must meet its row law, or the refresh
     raises. Whatever fails, readers keep the generation published before."""
     params = common.params_or_default(params)  # one clock for the whole refresh
@@ -210,7 +212,7 @@ def refresh_gold(spark: SparkSession, src: Sources, gold_root: str, params: Para
             laws.check(name, rows, sources, params)
 
     try:
-        seconds = {SUMMARY_STEP: _timed(lambda: draft.build(summary, common.event_summary(src, params)))}
+        seconds = {SUMMARY_STEP: _timed(lambda: draft.build(summary, common.event_summary(src, params) if event_summary is None else event_summary))}
         shared = src.with_tables(**{common.EVENT_SUMMARY: draft.read(summary)})
         steps = [(n, (lambda b=b, n=n: build(n, b, shared))) for n, b in GOLD_STEPS]
         seconds.update(_run_steps(spark, steps, max_parallel))
@@ -258,10 +260,12 @@ def refresh_silver(spark: SparkSession, src: Sources, gold_root: str, silver_roo
 
     step("PortfolioEvents", staging.d14_portfolio_events(src, params))
     step("PortfolioFunding", staging.d15_portfolio_funding(src, params))
-    step("RowAggregates", staging.d16_row_aggregates(src, params))
+    step("AccountFold", staging.account_fold(src, params))  # the accounts are read once
+    folded = staging.from_fold(built["AccountFold"])
+    step("RowAggregates", folded["RowAggregates"])
     step("BidAggregates", staging.d17a_bid_aggregates(src, params))
-    step("PostSaleAggregates", staging.d17b_postsale_aggregates(src, params))
-    step("ComplaintsByPortfolio", staging.d17d_complaints_by_pid(src, params))
+    step("PostSaleAggregates", folded["PostSaleAggregates"])
+    step("ComplaintsByPortfolio", folded["ComplaintsByPortfolio"])
     step("ComplaintsByBuyer", staging.d17c_complaints_by_buyer(src, params, by_pid=built["ComplaintsByPortfolio"]))
     step("SilverBase", staging.d18_silver_base(src, params, portfolio=portfolio, business=business, built=built))
     step("FormulaComplete", staging.d20_formula_complete(src, params, base=built["SilverBase"]))

@@ -63,6 +63,7 @@ class Published:
     number: int
     generation: str
     rows: dict[str, int]
+    notes: dict = field(default_factory=dict)
 
     def read(self, name: str) -> DataFrame:
         if name not in self.rows:
@@ -93,7 +94,7 @@ def _manifest(spark: SparkSession, root: str) -> dict | None:
 def current(spark: SparkSession, root: str) -> Published | None:
     """The published generation of a root, or None where none was published."""
     m = _manifest(spark, root)
-    return Published(spark, root, m["number"], m["generation"], m["rows"]) if m else None
+    return Published(spark, root, m["number"], m["generation"], m["rows"], m.get("notes", {})) if m else None
 
 
 @dataclass
@@ -103,6 +104,7 @@ class Draft:
     root: str
     generation: str = field(default_factory=lambda: time.strftime("%Y%m%d%H%M%S", time.gmtime()) + uuid.uuid4().hex[:8])
     rows: dict[str, int] = field(default_factory=dict)
+    notes: dict = field(default_factory=dict)  # kept in the manifest, published with the tables
 
     def build(self, name: str, df: DataFrame) -> int:
         """Write one table; its rows, counted while it is written and again
@@ -126,7 +128,7 @@ class Draft:
         """Make this generation the one readers see, then remove older ones."""
         before = _manifest(self.spark, self.root)
         manifest = {"number": (before["number"] if before else 0) + 1, "generation": self.generation,
-                    "previous": before["generation"] if before else None, "rows": self.rows}
+                    "previous": before["generation"] if before else None, "rows": self.rows, "notes": self.notes}
         if is_catalog(self.root):
             schema = schema_of(self.root)
             self.spark.sql(f"ALTER SCHEMA `{schema}` SET DBPROPERTIES ('{PROPERTY}' = '{json.dumps(manifest)}')")
@@ -134,7 +136,7 @@ class Draft:
         else:
             self._rename_manifest(manifest)
         _remove_others(self.spark, self.root, {self.generation, manifest["previous"]})
-        return Published(self.spark, self.root, manifest["number"], self.generation, dict(self.rows))
+        return Published(self.spark, self.root, manifest["number"], self.generation, dict(self.rows), dict(self.notes))
 
     def discard(self) -> None:
         """Remove what a failed refresh has built."""

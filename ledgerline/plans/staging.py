@@ -54,18 +54,47 @@ def d15_portfolio_funding(src: Sources, params: Params | None = None) -> DataFra
                                                           "FundingEventCount")
 
 
-def d16_row_aggregates(src: Sources, params: Params | None = None) -> DataFrame:
-    """Account-level aggregates per portfolio, incl. the mean write-off date."""
-    pr = src["portfolio_row"]
+def _row_aggregates() -> list:
     mean_day = F.floor(F.avg(F.unix_date(F.col("WriteOffDate")))).cast("int")
-    return pr.groupBy("PortfolioId").agg(
+    return [
         F.count(F.lit(1)).alias("AccountCount"),
         F.count(F.when(F.col("RemovedUTCDate").isNull(), F.lit(1))).alias("ActiveAccountCount"),
         F.sum("PrincipalBalance").alias("RowTotalPrincipal"),
         F.sum("InterestBalance").alias("RowTotalInterest"),
         F.sum("OtherFeesBalance").alias("RowTotalFees"),
         F.date_from_unix_date(mean_day).alias(AVG_WRITE_OFF),
-    )
+    ]
+
+
+def d16_row_aggregates(src: Sources, params: Params | None = None) -> DataFrame:
+    """Account-level aggregates per portfolio, incl. the mean write-off date."""
+    return src["portfolio_row"].groupBy("PortfolioId").agg(*_row_aggregates())
+
+
+def account_fold(src: Sources, params: Params | None = None) -> DataFrame:
+    """D16, D17b and D17d in ONE pass over the accounts: requests and
+    complaints are reduced to one row per account, meet the account on its key
+    (no shuffle of it in the bucketed layout), and a single aggregation per
+    portfolio yields the columns of all three. Portfolios without requests or
+    complaints have NULL there, as after the left joins of the separate ones."""
+    r = src["request"].select("DebtAccountId", R.request_category("Status", "RequestType", "InitiatedByBuyer").alias("_cat"))
+    asked = r.groupBy(F.col("DebtAccountId").alias("_r_guid")).agg(
+        F.count(F.lit(1)).alias("RequestCount"), *[F.count(F.when(F.col("_cat") == k, F.lit(1))).alias(v) for k, v in CATEGORY_COUNTS.items()])
+    filed = src["complaint"].groupBy(F.col("PortfolioRowId").alias("_c_guid")).agg(F.count(F.lit(1)).alias("ComplaintCount"))
+    pr = src["portfolio_row"]
+    j = (pr.join(asked, pr["PortfolioRowGuid"] == asked["_r_guid"], "left").join(filed, pr["PortfolioRowGuid"] == filed["_c_guid"], "left"))
+    sums = ["RequestCount", *CATEGORY_COUNTS.values(), "ComplaintCount"]
+    return j.groupBy("PortfolioId").agg(*_row_aggregates(), *[F.sum(c).alias(c) for c in sums])
+
+
+def from_fold(fold: DataFrame) -> dict[str, DataFrame]:
+    """The staging products D16, D17b and D17d of a fold."""
+    rows = ["AccountCount", "ActiveAccountCount", "RowTotalPrincipal", "RowTotalInterest", "RowTotalFees", f"`{AVG_WRITE_OFF}`"]
+    return {
+        "RowAggregates": fold.select("PortfolioId", *rows),
+        "PostSaleAggregates": fold.filter(F.col("RequestCount").isNotNull()).select("PortfolioId", "RequestCount", *CATEGORY_COUNTS.values()),
+        "ComplaintsByPortfolio": fold.filter(F.col("ComplaintCount").isNotNull()).select("PortfolioId", "ComplaintCount"),
+    }
 
 
 def d17a_bid_aggregates(src: Sources, params: Params | None = None) -> DataFrame:
@@ -128,7 +157,8 @@ def d18_silver_base(src: Sources, params: Params | None = None, portfolio: DataF
     """Portfolio product + seller and buyer names + D14–D17 per portfolio.
     ``portfolio``/``business`` may be the persisted gold tables, ``built`` the
     persisted staging tables (refresh). D14 and D15 come from one read of the
-    event summary."""
+    event summary, D16, D17b and D17d from one read of the accounts
+    (``account_fold``)."""
     prm = C.params_or_default(params)
     built = built or {}
     p = (portfolio if portfolio is not None else gold.d01_portfolio(src, prm)).select(*BASE_PORTFOLIO_COLS)
@@ -138,13 +168,12 @@ def d18_silver_base(src: Sources, params: Params | None = None, portfolio: DataF
                           F.col("ClientName").alias("SellerClientName"))
     buyer = names.select(F.col("Id").alias("_b_id"), F.col("LegalName").alias("BuyerLegalName"),
                          F.col("ClientId").alias("BuyerClientId"), F.col("ClientName").alias("BuyerClientName"))
-    complaints = built["ComplaintsByPortfolio"] if "ComplaintsByPortfolio" in built else d17d_complaints_by_pid(src, prm)
+    fold = built["AccountFold"] if "AccountFold" in built else account_fold(src, prm)
+    complaints = from_fold(fold)["ComplaintsByPortfolio"]
     per_portfolio = [
         event_columns(src, prm),
-        built["RowAggregates"] if "RowAggregates" in built else d16_row_aggregates(src, prm),
+        fold.withColumnRenamed("ComplaintCount", "PortfolioComplaintCount"),
         built["BidAggregates"] if "BidAggregates" in built else d17a_bid_aggregates(src, prm),
-        built["PostSaleAggregates"] if "PostSaleAggregates" in built else d17b_postsale_aggregates(src, prm),
-        complaints.withColumnRenamed("ComplaintCount", "PortfolioComplaintCount"),
     ]
     out = (p.join(seller, p["SellerId"] == seller["_s_id"], "left")
            .join(buyer, p["BuyerId"] == buyer["_b_id"], "left"))
@@ -155,8 +184,10 @@ def d18_silver_base(src: Sources, params: Params | None = None, portfolio: DataF
     cb = by_buyer.select(F.col("BuyerId").alias("_cb_id"),
                                                    F.col("ComplaintCount").alias("BuyerComplaintCount"))
     out = out.join(cb, out["BuyerId"] == cb["_cb_id"], "left")
-    drop = ["_s_id", "_b_id", "_cb_id"] + [f"_pp{i}" for i in range(len(per_portfolio))]
-    return out.drop(*drop)
+    bids, asked = per_portfolio[2].columns[1:], ["RequestCount", *CATEGORY_COUNTS.values(), "PortfolioComplaintCount"]
+    keys = {"_s_id", "_b_id", "_cb_id"} | {f"_pp{i}" for i in range(len(per_portfolio))}
+    first = [c for c in out.columns if c not in {*keys, *bids, *asked, "BuyerComplaintCount"}]
+    return out.select(*[f"`{c}`" for c in (*first, *bids, *asked, "BuyerComplaintCount")])
 
 
 def d20_formula_complete(src: Sources, params: Params | None = None, base: DataFrame | None = None) -> DataFrame:

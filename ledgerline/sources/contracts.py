@@ -1,22 +1,26 @@
 """Column contracts of the operational source tables.
 
 Every product reads a fixed set of columns from each source table. A contract
-lists them; ``conform`` adds any column the physical table lacks as a typed
-NULL so that every product has one stable schema, whatever the source holds.
+lists them; ``conform`` raises for a column the physical table lacks, and for
+one whose type cannot hold what the products read from it (``kind``).
 Columns the physical table has beyond the contract pass through untouched
 (several products star-expand their input).
 
-Types of the columns the fixtures carry come from the fixtures themselves;
-padded columns take a type from ``pad_type`` (a naming rule), since the
-reference declares no DDL.
+The reference declares no DDL, so kinds and the types of columns the test
+fixtures make up follow a naming rule with listed exceptions.
 """
 
 from __future__ import annotations
 
 import re
+import zlib
+from collections.abc import Mapping
+from datetime import datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Columns each product reads, per source table (reference column names).
 CONTRACTS: dict[str, list[str]] = {
@@ -156,7 +160,7 @@ CONTRACTS: dict[str, list[str]] = {
     "macro": ["FormattedDate", "MacroIndex"],
 }
 
-_TS = re.compile(r"(Utc|UTC|Date|Time|Received|Created|LastUpdated|Closed|Mailed|Established)$")
+_TS = re.compile(r"^(DateOf|LastDateTo)|(Utc|UTC|Date|Time|Received|Created|LastUpdated|Closed|Mailed|Established)$")
 _PCT = re.compile(r"Percent$")
 _MONEY = re.compile(r"(Amount|Balance|FaceValue|Fee|Principal|Interest|Fees|Price|Threshold)$")
 _FLAG = re.compile(r"^(Is|DT|Has|Allow|Enable|Require|Show|Hold|Include|Military)|Enabled$|Required$|Allowed$|Quantity$|HowLong$|Files$|Escalated$|EffortExausted$")
@@ -175,18 +179,86 @@ def pad_type(column: str) -> str:
     return "string"
 
 
+# What a column may hold, where its name does not tell.
+KINDS = {
+    "Issuers": "text", "NumberOfAccounts": "number", "BKPoc": "number", "InitiatedByBuyer": "number", "Seq": "number", "Month": "number",
+    "Year": "number", "Value": "number", "MacroIndex": "number", "RequestType": "key", "DateSubmitted": "instant", "BusinessId": "key",
+    "PortfolioRowGuid": "key", "YearMonth": "key", "TU_ProductType": "text", "BCOBuyerType": "text",
+}
+_KEY = re.compile(r"(Id|ID|Guid|SqlId|ReferenceOrCheckNumber|PortfolioNumber)$")
+# Column that identifies a row; it must not be NULL.
+IDENTITY = {t: c[0] for t, c in CONTRACTS.items() if c[0] in ("Id", "PortfolioRowGuid") and t not in ("portfolio_row_commercial", "joined_portfolio_bid")}
+
+
+def kind(column: str) -> str:
+    """What a contract column holds: text, a number, an instant (date or
+    timestamp) or a key (text or whole number)."""
+    if column in KINDS:
+        return KINDS[column]
+    if _KEY.search(column):
+        return "key"
+    padded = pad_type(column)
+    return "text" if padded == "string" else "instant" if padded == "timestamp" else "number"
+
+
+def fits(kind_: str, dtype: T.DataType) -> bool:
+    whole = isinstance(dtype, T.IntegralType) or isinstance(dtype, T.DecimalType) and dtype.scale == 0
+    return {"text": isinstance(dtype, T.StringType), "key": isinstance(dtype, T.StringType) or whole,
+            "number": isinstance(dtype, (T.NumericType, T.BooleanType)),
+            "instant": isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType))}[kind_]
+
+
+def wrong_types(table: str, df: DataFrame) -> list[str]:
+    """Contract columns whose type cannot hold what they are read as."""
+    types = {f.name: f.dataType for f in df.schema.fields}
+    asked = {"text": "text", "key": "text or a whole number", "number": "a number", "instant": "a date or timestamp"}
+    return [f"{c} is {types[c].simpleString()}, not {asked[kind(c)]}" for c in CONTRACTS.get(table, [])
+            if c in types and not isinstance(types[c], T.NullType) and not fits(kind(c), types[c])]
+
+
+def null_identities(tables: Mapping[str, DataFrame]) -> dict[str, int]:
+    """Rows without an identity, per table that has such rows: one count over
+    the identity column of every table, in a single job."""
+    counts = [tables[t].agg(F.lit(t).alias("table"), F.count(F.when(F.col(c).isNull(), F.lit(1))).alias("n")) for t, c in IDENTITY.items()]
+    return {r["table"]: r["n"] for r in reduce(DataFrame.unionByName, counts).filter(F.col("n") > 0).collect()}
+
+
+def pad_value(column: str, key: str) -> str:
+    """SQL (Spark's and DuckDB's) of the value the test fixtures give a
+    contract column they do not carry: another one per column, so that a
+    swapped pair of columns shows, and NULL in some rows."""
+    place, dtype = zlib.crc32(column.encode()) % 9973, pad_type(column)
+    if dtype == "string":
+        value = f"concat('{column} ', cast({key} as string))"
+    elif dtype == "timestamp":
+        value = f"timestamp '{datetime(2000, 1, 1) + timedelta(hours=place):%Y-%m-%d %H:%M:%S}'"
+    else:
+        value = f"cast({place / 10000 if dtype == 'decimal(9,6)' else place} as {dtype})"
+    return f"case when cast({key} as string) like '%3' then cast(null as {dtype}) else {value} end"
+
+
 def missing_columns(table: str, present: list[str]) -> list[tuple[str, str]]:
     have = set(present)
     return [(c, pad_type(c)) for c in CONTRACTS.get(table, []) if c not in have]
 
 
+def pad_key(table: str, present: list[str]) -> str:
+    """The column the fixtures' values of absent columns are made from."""
+    return next(c for c in CONTRACTS[table] if c in set(present))
+
+
 def conform(table: str, df: DataFrame, pad: bool = False) -> DataFrame:
-    """Check a source against its contract. An absent column is an error that
-    names it; only the test fixtures, which carry a part of each contract, ask
-    for typed NULLs instead (``pad``)."""
+    """Check a source against its contract. An absent column and a column of a
+    type that cannot hold what it is read as are errors that name it; only the
+    test fixtures, which carry a part of each contract, have made-up values
+    put in instead (``pad``)."""
+    wrong = wrong_types(table, df)
+    if wrong:
+        raise ValueError(f"source table {table!r} has columns of a wrong type: {'; '.join(wrong)}")
     pads = missing_columns(table, df.columns)
     if not pads:
         return df
     if not pad:
         raise ValueError(f"source table {table!r} lacks the columns {[c for c, _ in pads]}")
-    return df.select("*", *[F.lit(None).cast(t).alias(c) for c, t in pads])
+    key = pad_key(table, df.columns)
+    return df.select("*", *[F.expr(pad_value(c, f"`{key}`")).alias(c) for c, _ in pads])

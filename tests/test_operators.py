@@ -138,3 +138,21 @@ def test_collation_of_ids(spark):
     left, right = df.select("a").where("a is not null").distinct(), df.select("b")
     joined = left.join(right, ci(left["a"]) == ci(right["b"]))
     assert "SortMergeJoin" in joined.hint("merge")._jdf.queryExecution().executedPlan().toString() or joined.count() > 0
+
+
+@pytest.mark.parametrize("name", ["d03_portfolio_row", "d05_portfolio_bid", "d12_postsale"])
+def test_products_are_the_same_when_salted(src, monkeypatch, name):
+    """With no broadcast and a low threshold every product salts its heavy portfolios."""
+    from ledgerline.params import Params
+    from ledgerline.plans import gold
+
+    prm, product = Params.testing(), getattr(gold, name)
+    want = sorted(map(repr, product(src, prm).collect()))
+
+    def salted(fact, dim, fact_key, dim_key, spread, how="inner", basis=None, keys_of=None):
+        assert heavy_keys(keys_of, fact_key, 2).count() > 0
+        return salted_join(fact, dim, fact_key, dim_key, spread, how, rows_per_task=2, keys_of=keys_of)
+
+    monkeypatch.setattr(gold, "keyed_join", salted)
+    monkeypatch.setattr(gold, "only_keys", lambda fact, *_, **__: fact)
+    assert sorted(map(repr, product(src, prm).collect())) == want

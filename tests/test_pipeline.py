@@ -1,6 +1,7 @@
 """Refresh jobs: idempotent, views over persisted tables, row-count laws."""
 
 import os
+import re
 import tempfile
 
 import pytest
@@ -25,7 +26,7 @@ def test_gold_refresh_idempotent_and_silver_views(spark, src):
     pipeline.refresh_gold(spark, src, g, prm)
     assert first == {n: _snapshot(spark, g, n) for n, _ in pipeline.GOLD_STEPS}
     assert list(pipeline.refresh_silver(spark, src, g, s, prm)) == [
-        "PortfolioEvents", "PortfolioFunding", "RowAggregates", "BidAggregates", "PostSaleAggregates", "ComplaintsByPortfolio",
+        "PortfolioEvents", "PortfolioFunding", "AccountFold", "RowAggregates", "BidAggregates", "PostSaleAggregates", "ComplaintsByPortfolio",
         "ComplaintsByBuyer", "SilverBase", "FormulaComplete", pipeline.SILVER_TABLE]
     assert not os.path.exists(os.path.join(s, "_staging", "FormulaComplete"))
     vs = pipeline.live_views(spark, src, g, s, prm)
@@ -221,3 +222,27 @@ def test_persistent_views_are_read_by_a_new_session(spark, src):
     finally:
         for s in [*schemas, schemas[2] + "_staging"]:
             spark.sql(f"DROP SCHEMA IF EXISTS {s} CASCADE")
+
+
+def test_fold_equals_the_separate_aggregates_in_one_account_scan(spark, src, tmp_path):
+    from ledgerline.plans import staging
+    from ledgerline.sources import Sources
+
+    prm = Params.testing()
+    folded = staging.from_fold(staging.account_fold(src, prm))
+    for name, separate in (("RowAggregates", staging.d16_row_aggregates), ("PostSaleAggregates", staging.d17b_postsale_aggregates),
+                           ("ComplaintsByPortfolio", staging.d17d_complaints_by_pid)):
+        want = separate(src, prm)
+        assert folded[name].columns == want.columns
+        assert sorted(map(repr, folded[name].collect())) == sorted(map(repr, want.collect())), name
+    path = str(tmp_path / "accounts")
+    src["portfolio_row"].write.parquet(path)
+    stored = Sources.from_frames(spark, {n: (spark.read.parquet(path) if n == "portfolio_row" else src[n]) for n in src})
+
+    def scans(df):
+        return len(re.findall(r"(?<!InMemory)Relation \[PortfolioRowGuid", df._jdf.queryExecution().optimizedPlan().toString()))
+
+    assert scans(staging.account_fold(stored, prm)) == 1
+    fold = staging.account_fold(stored, prm)
+    built = {"AccountFold": fold, "ComplaintsByBuyer": staging.d17c_complaints_by_buyer(src, prm)}
+    assert scans(staging.d18_silver_base(stored, prm, built=built)) == 1

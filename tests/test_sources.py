@@ -56,3 +56,40 @@ def test_names_are_broadcast_not_shuffled(spark):
                     keys = line[line.index("hashpartitioning("):].split(")")[0]
                     # D07 joins previous months on all party keys together, which is not a name lookup
                     assert keys.count(",") > 2 or key not in keys, (product.__name__, line.strip()[:200])
+
+
+def test_a_wrong_type_is_an_error_that_names_the_column(spark, src):
+    from pyspark.sql import functions as F
+
+    good = src["portfolio"]
+    for column, dtype in [("PurchasePriceAmount", "string"), ("SoldUtc", "string"), ("Status", "int"), ("Id", "double")]:
+        frame = good.withColumn(column, F.lit(None).cast(dtype))
+        with pytest.raises(ValueError, match=f"portfolio.*{column} is {dtype}"):
+            Sources.from_frames(spark, {"portfolio": frame})["portfolio"]
+    wider = good.withColumn("PurchasePriceAmount", F.col("PurchasePriceAmount").cast("double")).withColumn("SoldUtc", F.col("SoldUtc").cast("date"))
+    assert Sources.from_frames(spark, {"portfolio": wider})["portfolio"].columns == good.columns  # other types that hold the same are fine
+
+
+def test_rows_without_an_identity_are_counted(spark, src):
+    from pyspark.sql import functions as F
+
+    from ledgerline.sources.contracts import IDENTITY, null_identities
+
+    tables = {t: src[t] for t in IDENTITY}
+    assert null_identities(tables) == {}
+    n = tables["auction"].count()
+    tables["auction"] = tables["auction"].withColumn("Id", F.lit(None).cast("string"))
+    assert null_identities(tables) == {"auction": n}
+
+
+@pytest.mark.parametrize("name", ["d01_portfolio", "d02_business", "d03_portfolio_row", "d05_portfolio_bid", "d06_complaints", "d12_postsale"])
+def test_every_output_column_has_values(src, name):
+    """So a wrong mapping of any column shows in the comparison with the oracle."""
+    from pyspark.sql import functions as F
+
+    from ledgerline.params import Params
+    from ledgerline.plans import gold
+
+    df = getattr(gold, name)(src, Params.testing())
+    row = df.agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in df.columns]).first().asDict()
+    assert [c for c, n in row.items() if not n] == []
