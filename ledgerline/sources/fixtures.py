@@ -213,10 +213,10 @@ select event_id as Id, r.g as DebtAccountId,
   case event_id%8 when 0 then 'Closed' when 1 then 'closed' when 2 then 'Withdrawn' when 3 then 'unresolved' when 4 then 'Pending Seller Funding' when 5 then 'rejected' else 'Open' end as Status,
   cast(ts as timestamp) as Created,
   case when event_id%6=0 then event_id end as FundingNotificationId
-from {events} e cross join (select cast(floor(count(distinct l_orderkey)/4.0) as bigint) as quarter from {lineitem}) n
-join (select g, row_number() over (order by l_orderkey)-1 as place from (select l_orderkey, min(cast(l_orderkey as string)||'-'||cast(l_linenumber as string)||'-'||cast(l_partkey as string)||'-'||cast(l_suppkey as string)||'-'||cast(cast(l_extendedprice as decimal(18,2)) as string)) as g
+from {events} e cross join (select cast(floor(count(*)/4.0) as bigint) as quarter from {orders}) n
+left join (select l_orderkey, min(cast(l_orderkey as string)||'-'||cast(l_linenumber as string)||'-'||cast(l_partkey as string)||'-'||cast(l_suppkey as string)||'-'||cast(cast(l_extendedprice as decimal(18,2)) as string)) as g
 from {lineitem}
-group by l_orderkey) keyed) r on r.place=e.event_id%quarter*4+e.event_id%quarter%4
+group by l_orderkey) r on r.l_orderkey=e.event_id%quarter*4+e.event_id%quarter%4
 """
 
 FIXTURE_SQL["request_event"] = """
@@ -320,12 +320,12 @@ where bucket30%5=4
 
 FIXTURE_SQL["complaint_aggregate"] = """
 select 'Buyer' as AggregateType, 'B'||cast(o_custkey as string) as BuyerGuid,
-  case when o_orderkey%2=0 then 'S'||cast(o_orderkey%3 as string) end as SellerGuid,
+  case when o_orderkey%2=0 then 'S'||cast(o_orderkey%sellers as string) end as SellerGuid,
   cast(null as string) as AgencyGuid,
   cast(month(o_orderdate) as int) as Month,
   cast(year(o_orderdate) as int) as Year,
   cast(count(*) as int) as Value
-from {orders}
+from {orders} cross join (select count(*) as sellers from {supplier}) n
 group by 1,2,3,4,5,6
 union all select 'Total', null, null, null, null,
   cast(year(o_orderdate) as int),
