@@ -29,7 +29,7 @@ from .common import prepare
 
 SPACE = "▁"
 #: Words in each of the two halves of the table of words seen.
-REMEMBERED = 600_000
+REMEMBERED = 1_000_000
 #: Characters up to which a word is remembered, and its agenda is a list
 #: searched for its best pair; longer parts have heaps.
 SHORT = 48
