@@ -36,7 +36,7 @@ from ledgerline.session import cluster_conf, get_session  # noqa: E402
 from ledgerline.sources import Sources, write_source_tables, write_sources  # noqa: E402
 
 STEP_KEYS = {
-    "PortfolioEventSummary": "event_summary",
+    "PortfolioEventSummary": "event_summary", "RowLaws": "row_laws",
     "Portfolio": "d01_portfolio", "Business": "d02_business", "Portfolio_Row": "d03_portfolio_row",
     "Portfolio_Aggregate": "d04_portfolio_aggregate", "Portfolio_Bid": "d05_portfolio_bid",
     "Complaints": "d06_complaints", "Complaint_Aggregate": "d07_complaint_aggregate", "PostSale": "d12_postsale",

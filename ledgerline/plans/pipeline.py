@@ -146,6 +146,7 @@ def _run_steps(spark: SparkSession, steps: list[tuple[str, Callable[[], None]]],
 
 
 SUMMARY_STEP = "PortfolioEventSummary"
+LAWS_STEP = "RowLaws"
 
 
 def _exists(spark: SparkSession, root: str, name: str) -> bool:
@@ -206,16 +207,17 @@ def refresh_gold(spark: SparkSession, src: Sources, gold_root: str, params: Para
         ensure_layers(spark, gold_root[len(CATALOG_PREFIX):])
     draft, summary = publish.Draft(spark, gold_root), summary_name(params)
 
-    def build(name: str, product: Callable, sources: Sources) -> None:
-        rows = draft.build(name, product(sources, params))
-        if verify:
-            laws.check(name, rows, sources, params)
-
+    wanted: dict[str, int] = {}
+    tables = [n for n, _ in GOLD_STEPS]
     try:
         seconds = {SUMMARY_STEP: _timed(lambda: draft.build(summary, common.event_summary(src, params) if event_summary is None else event_summary))}
         shared = src.with_tables(**{common.EVENT_SUMMARY: draft.read(summary)})
-        steps = [(n, (lambda b=b, n=n: build(n, b, shared))) for n, b in GOLD_STEPS]
+        steps = [(n, (lambda b=b, n=n: draft.build(n, b(shared, params)))) for n, b in GOLD_STEPS]
+        if verify:
+            steps.append((LAWS_STEP, lambda: wanted.update(laws.expected(tables, shared, params))))
         seconds.update(_run_steps(spark, steps, max_parallel))
+        for n in wanted:
+            laws.check(n, draft.rows[n], wanted[n])
         draft.publish()
     except Exception:
         draft.discard()

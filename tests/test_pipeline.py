@@ -21,7 +21,7 @@ def test_gold_refresh_idempotent_and_silver_views(spark, src):
     root = tempfile.mkdtemp(prefix="ledgerline-test-")
     g, s = os.path.join(root, "gold"), os.path.join(root, "silver")
     secs = pipeline.refresh_gold(spark, src, g, prm)
-    assert list(secs) == [pipeline.SUMMARY_STEP] + [n for n, _ in pipeline.GOLD_STEPS]
+    assert list(secs) == [pipeline.SUMMARY_STEP] + [n for n, _ in pipeline.GOLD_STEPS] + [pipeline.LAWS_STEP]
     first = {n: _snapshot(spark, g, n) for n, _ in pipeline.GOLD_STEPS}
     pipeline.refresh_gold(spark, src, g, prm)
     assert first == {n: _snapshot(spark, g, n) for n, _ in pipeline.GOLD_STEPS}
@@ -122,7 +122,7 @@ def test_command_line_refresh(spark, src, capsys):
             "--as-of-utc", "2001-06-30", "--as-of-local", "2024-06-30"]
     main(["refresh-gold", *args])
     gold_secs = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
-    assert set(gold_secs) == {pipeline.SUMMARY_STEP} | {n for n, _ in pipeline.GOLD_STEPS}
+    assert set(gold_secs) == {pipeline.SUMMARY_STEP, pipeline.LAWS_STEP} | {n for n, _ in pipeline.GOLD_STEPS}
     main(["refresh-silver", *args, "--silver", os.path.join(root, "silver")])
     assert spark.read.parquet(os.path.join(root, "silver", pipeline.SILVER_TABLE)).count() > 0
 
