@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 import zipfile
@@ -23,10 +24,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def work_root(spark: SparkSession) -> str:
     """Folder shared by the driver and all executors: the cluster's
-    ``spark.checkpoint.dir``. Only where none is configured (tests on one
-    machine) a temporary folder is used."""
+    ``spark.checkpoint.dir``. Where none is configured, a temporary folder is
+    used on one machine (tests) and a cluster is refused: its executors would
+    each write to their own disk."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not re.match(r"local($|\[)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="ledgerline-llm-")
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
