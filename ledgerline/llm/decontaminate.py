@@ -1,8 +1,11 @@
 """Benchmark decontamination: BM25 inverted index of the test items, queried
 by every training passage with block-max WAND.
 
-Each document is cut into overlapping passages long enough to hold any item
-whole. Every passage is a query; all items whose BM25 score reaches the
+Items are indexed by length class: words between two powers of two. For each
+class a document is cut into passages of twice the class's upper bound, half
+overlapping, so a passage holds any item of the class whole and an item is
+looked for in spans that depend on its own length alone, never on the other
+items. Every passage is a query; all items whose BM25 score reaches the
 threshold are retrieved (a fixed share of the score the item gives itself, so
 long and short items are treated alike). A retrieved item counts as a leak
 when the passage also covers its question and its answer.
@@ -23,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from .common import prepare, texts_of
 
@@ -40,8 +44,10 @@ MIN_ITEM_WORDS = 8
 BLOCK_BYTES = 1 << 20
 #: Items per block of the posting lists (blocks are aligned across lists).
 ITEM_BLOCK = 4
-#: Passages bounded together in one step.
+#: Passages bounded together in one step, and words and sums of item blocks
+#: in all of them.
 STEP_PASSAGES = 2048
+STEP_CELLS, STEP_SUMS = 1 << 18, 1 << 22
 
 _TO_SPACE = bytes(c if c >= 0x80 or chr(c).isalnum() else 0x20 for c in range(256))
 
@@ -106,7 +112,8 @@ class ItemIndex:
         for item_id, words in short:
             self.short.setdefault(words[0], []).append((len(self.ids), words))
             self.ids.append(item_id)
-        self.window = 2 * longest
+        #: twice the upper bound of the longest item's length class
+        self.window = 2 << longest.bit_length()
         self.term = {w: i for i, w in enumerate(entries)}
         self.docs = [np.array([d for d, _ in e]) for e in entries.values()]
         self.weights = [[x for _, x in e] for e in entries.values()]
@@ -131,9 +138,16 @@ class ItemIndex:
         over the passage's distinct terms add up to the threshold."""
         column = np.arange(self.window)
         out = np.zeros(len(starts), bool)
+        if not len(self.list_max):
+            return out
+        # with repeats and the lists' maxima: an upper bound that needs no sorting
+        sums = np.concatenate([[0.0], np.cumsum(np.where(ids >= 0, self.list_max[ids], 0.0))])
+        open_ = np.flatnonzero(sums[ends] - sums[starts] >= self.threshold - 1e-6)
         padded = np.concatenate([ids, np.full(self.window, -1, ids.dtype)])
-        for lo in range(0, len(starts), STEP_PASSAGES):
-            s, e = starts[lo:lo + STEP_PASSAGES, None], ends[lo:lo + STEP_PASSAGES, None]
+        step = max(1, min(STEP_PASSAGES, STEP_CELLS // self.window, STEP_SUMS // self.n_blocks))
+        for lo in range(0, len(open_), step):
+            here = open_[lo:lo + step]
+            s, e = starts[here, None], ends[here, None]
             terms = padded[s + column]
             terms[s + column >= e] = -1
             terms.sort(axis=1)
@@ -148,7 +162,7 @@ class ItemIndex:
             entry = np.arange(total) - np.repeat(np.cumsum(size) - size - self.flat_from[term], size)
             slot = np.repeat(passage * self.n_blocks, size) + self.flat_block[entry]
             bound = np.bincount(slot, weights=self.flat_max[entry], minlength=len(s) * self.n_blocks)
-            out[lo:lo + STEP_PASSAGES] = bound.reshape(len(s), -1).max(axis=1) >= self.threshold - 1e-9
+            out[here] = bound.reshape(len(s), -1).max(axis=1) >= self.threshold - 1e-9
         return out
 
     def retrieve(self, terms: list[int]) -> list[tuple[int, float]]:
@@ -194,15 +208,16 @@ class ItemIndex:
         return found
 
     def leaks(self, texts: list[bytes]) -> list[dict[int, tuple[int, float, float, float]]]:
-        """Per text: item slot -> (passages, best score, question share, answer share)."""
-        found: list[dict] = [{} for _ in texts]
+        return self.leaks_in([terms_of(raw) for raw in texts])
+
+    def leaks_in(self, words: list[list[bytes]]) -> list[dict[int, tuple[int, float, float, float]]]:
+        """Per text (its words): item slot -> (passages, best score, question share, answer share)."""
+        found: list[dict] = [{} for _ in words]
         if not self.ids:
             return found
-        words, spans, owner, at = [], [], [], 0
+        spans, owner, at = [], [], 0
         stride = self.window // 2
-        for i, raw in enumerate(texts):
-            own = terms_of(raw)
-            words.append(own)
+        for i, own in enumerate(words):
             starts = np.arange(0, max(1, len(own) - self.window + stride), stride) if own else np.zeros(0, np.int64)
             spans.append(np.stack([at + starts, at + np.minimum(starts + self.window, len(own))], 1))
             owner += [(i, at)] * len(starts)
@@ -234,8 +249,14 @@ class ItemIndex:
         return found
 
 
-def item_indexes(items: DataFrame, block_bytes: int = BLOCK_BYTES, threshold: float = THRESHOLD) -> Iterator[ItemIndex]:
-    """The index, block by block. NULL and empty items are left out; items are
+def length_class(text: str) -> int:
+    """Binary digits of an item's number of words; 0 for the shortest items."""
+    n = len(terms_of(text.encode("utf-8")))
+    return n.bit_length() if n >= MIN_ITEM_WORDS else 0
+
+
+def item_indexes(items: DataFrame, block_bytes: int = BLOCK_BYTES, threshold: float = THRESHOLD) -> Iterator[list[ItemIndex]]:
+    """The index, block by block, one per length class in it. NULL and empty items are left out; items are
     assigned to blocks by a hash, so a block's size follows ``block_bytes``."""
     spark = items.sparkSession
     prepare(spark)
@@ -269,7 +290,10 @@ def item_indexes(items: DataFrame, block_bytes: int = BLOCK_BYTES, threshold: fl
         else:
             known = frequency
         df = {r["word"].encode("utf-8"): r["df"] for r in known.collect()}
-        yield ItemIndex(rows, total[0], total[1], df, threshold)
+        classes: dict[int, list] = {}
+        for r in rows:
+            classes.setdefault(length_class(r[1]), []).append(r)
+        yield [ItemIndex(found, total[0], total[1], df, threshold) for _, found in sorted(classes.items())]
 
 
 def leaks(docs: DataFrame, items: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -283,19 +307,20 @@ def leaks(docs: DataFrame, items: DataFrame, block_bytes: int = BLOCK_BYTES) ->
                            T.StructField("item_id", items.schema["item_id"].dataType),
                            T.StructField("n_passages", T.LongType()), T.StructField("bm25_score", T.DoubleType()),
                            T.StructField("question_overlap", T.DoubleType()), T.StructField("answer_overlap", T.DoubleType())])
+    id_type = to_arrow_type(items.schema["item_id"].dataType)
     result = spark.createDataFrame([], schema)
-    for index in item_indexes(items, block_bytes):
-        shared = spark.sparkContext.broadcast(index)
+    for indexes in item_indexes(items, block_bytes):
+        shared = spark.sparkContext.broadcast(indexes)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            index = shared.value
             for batch in batches:
-                rows = [(i, index.ids[slot], *hit) for i, hits in enumerate(index.leaks(list(texts_of(batch))))
+                words = [terms_of(raw) for raw in texts_of(batch)]
+                rows = [(i, index.ids[slot], *hit) for index in shared.value for i, hits in enumerate(index.leaks_in(words))
                         for slot, hit in sorted(hits.items())]
                 if rows:
                     at, ids, n, score, q, a = zip(*rows, strict=True)
                     yield pa.RecordBatch.from_arrays(
-                        [batch.column("doc_id").take(pa.array(at)), pa.array(ids, pa.int64()), pa.array(n, pa.int64()),
+                        [batch.column("doc_id").take(pa.array(at)), pa.array(ids, id_type), pa.array(n, pa.int64()),
                          pa.array(score, pa.float64()), pa.array(q, pa.float64()), pa.array(a, pa.float64())],
                         schema.names)
 
@@ -308,13 +333,14 @@ def keep_clean(docs: DataFrame, items: DataFrame, block_bytes: int = BLOCK_BYTES
     repeated rows stay, NULL texts are clean."""
     spark = docs.sparkSession
     prepare(spark)
-    for index in item_indexes(items, block_bytes):
-        shared = spark.sparkContext.broadcast(index)
+    for indexes in item_indexes(items, block_bytes):
+        shared = spark.sparkContext.broadcast(indexes)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            index = shared.value
             for batch in batches:
-                yield batch.filter(pa.array([not hits for hits in index.leaks(list(texts_of(batch)))], pa.bool_()))
+                words = [terms_of(raw) for raw in texts_of(batch)]
+                hits = zip(*(index.leaks_in(words) for index in shared.value), strict=True) if shared.value else repeat((), len(words))
+                yield batch.filter(pa.array([not any(found) for found in hits], pa.bool_()))
 
         docs = docs.mapInArrow(run, docs.schema)
     return docs
