@@ -7,19 +7,25 @@ Exact copies share the weight of one text, so no text moves the multinomials
 by being repeated. A document's score is the mean over its n-grams of
 log p_target / p_raw, so its length does not matter; it is kept when the score
 reaches a cut-off taken from the trusted documents' own scores. Plain rules
-(word count, repetition) come first. A mean over hundreds of n-grams hides a
-few toxic words, so a document with two of the words that the toxic labels set
-apart goes whatever its score.
+(word count, repetition) come first.
+
+A mean over hundreds of n-grams hides a few toxic words, so a second ratio of
+the same kind, toxic against not toxic labelled texts, is taken over hashed
+words and word beginnings (which inflected and compound words share). A word's
+value is the largest of its features; a document's is the mean of the second
+and third highest word, so that no single word decides, less what a clean text
+of its length reaches. Its cut-off comes from the clean labelled texts.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,11 +43,18 @@ MAX_TRUSTED = 20_000
 #: The cut-off lies so many times the distance between the trusted texts' 1st
 #: and 5th percentile below the 1st, and never above 0 (as in the raw corpus).
 MARGIN = 5.0
-#: A toxic word stands in this share of the toxic texts (and so many texts) at
-#: least, and in so many times the share of the other labelled texts.
-TOXIC_SHARE, TOXIC_TEXTS, TOXIC_RATIO = 0.05, 5, 20.0
-#: Toxic words, repeats counted, that reject a document.
-TOXIC_HITS = 2
+#: Toxic ratio: buckets, pseudo-count per bucket (in toxic features), and the
+#: lengths in bytes of the word beginnings beside the whole word.
+TOXIC_BUCKETS = 1 << 18
+TOXIC_SMOOTHING = 2.0
+BEGINNINGS = (4, 5, 6, 7)
+#: The cut-off is this quantile of the clean labelled texts' own scores. Fewer
+#: toxic texts than this give no toxic ratio.
+TOXIC_QUANTILE = 0.999
+TOXIC_TEXTS = 5
+#: Labels of either kind used at most; words a task remembers.
+MAX_TOXIC = 20_000
+WORDS_KEPT = 400_000
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 
@@ -69,11 +82,55 @@ def _ngrams(hasher: WordHasher, words: list[bytes], buckets: int) -> np.ndarray:
 
 
 class Ratio(np.ndarray):
-    """log p_target / p_raw per bucket, with the cut-off and the toxic words
+    """log p_target / p_raw per bucket, with the cut-off and the toxic ratio
     of the same fit."""
 
     threshold = 0.0
-    toxic: frozenset[bytes] = frozenset()
+    toxic: ToxicRatio | None = None
+
+
+@dataclass
+class ToxicRatio:
+    """log p_toxic / p_clean per bucket, growth of a clean text's score with
+    the logarithm of its words, and cut-off."""
+
+    values: np.ndarray
+    slope: float = 0.0
+    threshold: float = float("inf")
+
+    def score(self, of_word: WordValues, words: list[bytes]) -> float:
+        return highest(of_word.of(words)) - self.slope * float(np.log(len(words)))
+
+
+class WordValues(dict):
+    """Word -> its value under a toxic ratio; emptied between texts when it
+    holds ``WORDS_KEPT`` words."""
+
+    def __init__(self, values: np.ndarray):
+        super().__init__()
+        self.values = values
+
+    def __missing__(self, word: bytes) -> float:
+        value = self[word] = float(self.values[word_features(word, len(self.values))].max())
+        return value
+
+    def of(self, words: list[bytes]) -> np.ndarray:
+        if len(self) > WORDS_KEPT:
+            self.clear()
+        return np.fromiter(map(self.__getitem__, words), np.float64, len(words))
+
+
+def word_features(word: bytes, buckets: int) -> list[int]:
+    """Buckets of a word and of its beginnings."""
+    digest = xxhash.xxh64_intdigest
+    return [digest(word, SEED) % buckets, *(digest(word[:k], SEED + 1) % buckets for k in BEGINNINGS if k < len(word))]
+
+
+def highest(values: np.ndarray) -> float:
+    """Mean of the second and third highest value; missing ones are zero."""
+    if len(values) > 3:
+        values = np.partition(values, len(values) - 3)[-3:]
+    return float(np.sort(values)[:-1].sum()) / 2
 
 
 def _distinct_texts(rows: DataFrame) -> DataFrame:
@@ -145,7 +202,7 @@ def fit(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, smoothing: f
                                    raw, target, smoothing)
     else:
         ratio = np.zeros(buckets).view(Ratio)
-    ratio.toxic = _toxic_words(source, labels, max_trusted)
+    ratio.toxic = fit_toxic(docs, labels)
     return ratio
 
 
@@ -185,35 +242,75 @@ def _bare_words(text: bytes) -> list[bytes]:
     return text.lower().translate(_ASCII_MARKS).split()
 
 
-def _toxic_words(source: DataFrame, labels: DataFrame, limit: int) -> frozenset[bytes]:
-    """Words that set the documents labelled toxic apart from those labelled
-    not toxic, each text once; at most ``limit`` ids of either label.
-
-    A word is in ``TOXIC_SHARE`` of the toxic texts, so at most
-    1 / TOXIC_SHARE times the words of one text reach the driver."""
-    flags = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1)).groupBy(F.col("doc_id").alias("__label_id")).agg(F.max("toxic").cast("int").alias("__flag"))
+def fit_toxic(docs: DataFrame, labels: DataFrame, buckets: int = TOXIC_BUCKETS, smoothing: float = TOXIC_SMOOTHING,
+              limit: int = MAX_TOXIC) -> ToxicRatio | None:
+    """The toxic ratio from the labelled texts, each text once (toxic if any
+    copy is labelled so); at most ``limit`` ids of either label, in an order
+    that depends on the ids alone. Two counts per bucket reach the driver. None
+    without enough toxic texts, or without a clean one of ``MIN_WORDS`` words."""
+    prepare(docs.sparkSession)
+    source = docs.select(F.col("doc_id").alias("__doc"), F.col("text").alias("__text"))
+    flags = (labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1)).groupBy(F.col("doc_id").alias("__label_id"))
+             .agg(F.max("toxic").cast("int").alias("__flag")))
     order = [F.xxhash64("__label_id"), F.col("__label_id")]
     # at most 2 * limit ids: a proven size
     known = F.broadcast(flags.where("__flag = 1").orderBy(*order).limit(limit).union(flags.where("__flag = 0").orderBy(*order).limit(limit)))
     texts = materialise(_distinct_texts(source.join(known, F.col("__doc") == F.col("__label_id")).select("__text", "__flag")), "labelled-texts")
-    total = texts.agg(F.count_if(F.col("flag") == 1).alias("toxic"), F.count_if(F.col("flag") == 0).alias("clean")).first()
-    least = max(TOXIC_TEXTS, TOXIC_SHARE * total["toxic"])
-    if total["toxic"] < least:
-        return frozenset()
+    if texts.where("flag = 1").count() < TOXIC_TEXTS:
+        return None
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def unpacked(batch: pa.RecordBatch) -> Iterator[tuple[int, list[bytes]]]:
         codec = pa.Codec("zstd")
+        for flag, size, packed in zip(*(batch.column(c).to_pylist() for c in ("flag", "size", "packed")), strict=True):
+            words = _bare_words(codec.decompress(packed, size, asbytes=True))
+            if words:
+                yield flag, words
+
+    def features(words: list[bytes]) -> np.ndarray:
+        return np.fromiter((f for w in words for f in word_features(w, buckets)), np.int64)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros((2, buckets), np.int64)
         for batch in batches:
-            seen: tuple[Counter, Counter] = Counter(), Counter()
-            for flag, size, packed in zip(*(batch.column(c).to_pylist() for c in ("flag", "size", "packed")), strict=True):
-                seen[flag].update(set(_bare_words(codec.decompress(packed, size, asbytes=True))))
-            names = list(seen[0] | seen[1])
-            yield pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), *(pa.array([c[w] for w in names], pa.int64()) for c in seen)],
-                                             ["word", "clean", "toxic"])
+            for flag, words in unpacked(batch):
+                np.add.at(seen[flag], features(words), 1)
+        used = np.flatnonzero(seen.sum(0))
+        if len(used):
+            yield pa.RecordBatch.from_arrays([pa.array(used), *(pa.array(s[used]) for s in seen)], ["bucket", "clean", "toxic"])
+
+    clean, toxic = np.zeros(buckets), np.zeros(buckets)
+    for r in (texts.mapInArrow(count, "bucket long, clean long, toxic long").groupBy("bucket")
+              .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).toLocalIterator()):
+        clean[r["bucket"]], toxic[r["bucket"]] = r["clean"], r["toxic"]
+    if not clean.sum() or not toxic.sum():
+        return None
+    more = smoothing * clean.sum() / toxic.sum()
+    log_p = np.log((toxic + smoothing) / (toxic.sum() + smoothing * buckets))
+    shared = texts.sparkSession.sparkContext.broadcast((clean, log_p))
 
-    words = texts.mapInArrow(count, "word binary, clean long, toxic long").groupBy("word").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-    apart = (F.col("toxic") + 0.5) / (total["toxic"] + 1) >= TOXIC_RATIO * (F.col("clean") + 0.5) / (total["clean"] + 1)
-    return frozenset(bytes(r["word"]) for r in words.where((F.col("toxic") >= least) & apart).select("word").collect())
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # a clean text is scored with its own features taken out, as if it had no label
+        clean, log_p = shared.value
+        total = clean.sum() + more * buckets
+        for batch in batches:
+            scores, sizes = [], []
+            for _, words in unpacked(batch):
+                if len(words) < MIN_WORDS:
+                    continue
+                own = features(words)
+                used, times = np.unique(own, return_counts=True)
+                value = dict(zip(used.tolist(), (log_p[used] - np.log((clean[used] - times + more) / (total - len(own)))).tolist(), strict=True))
+                scores.append(highest(np.array([max(map(value.__getitem__, word_features(w, buckets))) for w in words])))
+                sizes.append(float(np.log(len(words))))
+            yield pa.RecordBatch.from_arrays([pa.array(scores, pa.float64()), pa.array(sizes, pa.float64())], ["score", "size"])
+
+    own = materialise(texts.where("flag = 0").mapInArrow(score, "score double, size double"), "clean-scores")
+    fitted = own.agg(F.covar_pop("score", "size").alias("shared"), F.var_pop("size").alias("spread")).first()
+    if fitted["spread"] is None:
+        return None
+    slope = fitted["shared"] / fitted["spread"] if fitted["spread"] else 0.0
+    cut = own.agg(F.percentile(F.col("score") - F.lit(slope) * F.col("size"), F.lit(TOXIC_QUANTILE)).alias("cut")).first()["cut"]
+    return ToxicRatio(log_p - np.log((clean + more) / (clean.sum() + more * buckets)), slope, cut)
 
 
 def _base_rules(hasher: WordHasher, words: list[bytes]) -> tuple[int, bool]:
@@ -271,15 +368,16 @@ def _code_points(data: bytes) -> int:
 
 
 RULE_FIELDS = [("n_words", "long"), ("word_chars", "long"), ("n_symbols", "long"), ("n_dup_lines", "long"),
-               ("n_repeat_words", "long"), ("base_failed", "boolean"), ("llr_score", "double"), ("kept", "boolean")]
+               ("n_repeat_words", "long"), ("base_failed", "boolean"), ("llr_score", "double"), ("toxic_score", "double"), ("kept", "boolean")]
 
 
 def judge(docs: DataFrame, ratio_of_bucket: np.ndarray, keep: list[str], threshold: float | None = None) -> DataFrame:
     """One row per document: the ``keep`` columns and ``RULE_FIELDS``.
 
     NULL and empty texts have no words and fail the base rules; their score is
-    NULL. Repeated rows are judged alike; an empty table gives no rows. Without
-    a ``threshold`` the cut-off of the fit holds."""
+    NULL. ``toxic_score`` is NULL without a toxic ratio or a word that is more
+    than punctuation. Repeated rows are judged alike; an empty table gives no
+    rows. Without a ``threshold`` the cut-off of the fit holds."""
     names = [f"__k{i}" for i in range(len(keep))]
     found = _judged(docs, ratio_of_bucket, keep, names, threshold)
     for name, column in zip(names, keep, strict=True):
@@ -303,13 +401,14 @@ def _judged(docs: DataFrame, ratio_of_bucket: np.ndarray, keep: list[str], names
     buckets = len(ratio_of_bucket)
     if threshold is None:
         threshold = getattr(ratio_of_bucket, "threshold", Ratio.threshold)
-    # a fixed number of buckets, and the toxic words
+    # a fixed number of buckets in either ratio
     shared = spark.sparkContext.broadcast((np.asarray(ratio_of_bucket), getattr(ratio_of_bucket, "toxic", Ratio.toxic)))
     fields = [docs.schema[c] for c in keep]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher(SEED)
         ratio, toxic = shared.value
+        of_word = WordValues(toxic.values) if toxic else None
         for batch in batches:
             out: list[list] = [[] for _ in RULE_FIELDS]
             for text in texts_of(batch, "__rule_text"):
@@ -319,10 +418,11 @@ def _judged(docs: DataFrame, ratio_of_bucket: np.ndarray, keep: list[str], names
                 grams = _ngrams(hasher, text.lower().split(), buckets)
                 score = float(ratio[grams].mean()) if n else None
                 good = not failed and score >= threshold
-                if good and toxic:
-                    good = sum(map(toxic.__contains__, _bare_words(text))) < TOXIC_HITS
+                bare = _bare_words(text) if toxic else []
+                toxicity = toxic.score(of_word, bare) if bare else None
+                good = good and (toxicity is None or toxicity <= toxic.threshold)
                 row = (n, _code_points(text.translate(None, _WHITE)), len(text) - len(text.translate(None, _SYMBOLS)),
-                       duplicate_lines(text), repeat, failed, score, good)
+                       duplicate_lines(text), repeat, failed, score, toxicity, good)
                 for column, value in zip(out, row, strict=True):
                     column.append(value)
             kinds = {"long": pa.int64(), "boolean": pa.bool_(), "double": pa.float64()}
