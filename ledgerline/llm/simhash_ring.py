@@ -259,20 +259,32 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     any others. Rows with a NULL doc_id take part and may get their
     component's smallest id; it is NULL only if all ids in it are. Repeated
     rows are returned as often as they come. An empty table gives no rows."""
-    fps = materialise(fingerprints(docs), "ring-fingerprints")
+    return (_named(materialise(fingerprints(docs), "ring-fingerprints"))
+            .select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"))
+
+
+def _named(fps: DataFrame) -> DataFrame:
+    """The fingerprints with the smallest ``doc_id`` of their component."""
     # exact copies meet here: one row per distinct fingerprint from now on
     classes = fps.groupBy("fp").agg(F.min("doc_id").alias("low"))
     roots = components(links(classes.select("fp")))
     placed = classes.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
     smallest = placed.groupBy("root").agg(F.min("low").alias("component_id"))
-    named = placed.join(smallest, "root").select("fp", "component_id")
-    return (fps.join(named, "fp")
-            .select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"))
+    return fps.join(placed.join(smallest, "root").select("fp", "component_id"), "fp")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The documents whose id is the smallest of their component; of rows that
-    repeat that id, and of rows without an id, all stay."""
-    judged = near_duplicates(docs).where(F.col("doc_id").isNotNull() & (F.col("doc_id") != F.col("component_id")))
-    drop = judged.select(F.col("doc_id").alias("__drop")).distinct()
-    return docs.join(drop, F.col("doc_id") == F.col("__drop"), "left_anti")
+    """One row of every component: the one with the smallest id (NULL after
+    all ids), and of rows that share it the first one as stored. Rows keep all
+    their columns; an empty table gives no rows.
+
+    The rows get a fixed position by being written to the shared folder; the
+    positions that go are what is joined to them."""
+    columns = docs.columns
+    names = [f"__k{i}" for i in range(len(columns))]
+    placed = materialise(docs.toDF(*names).withColumn("__at", F.monotonically_increasing_id()), "ring-rows")
+    doc_id, text = (names[columns.index(c)] for c in ("doc_id", "text"))
+    fps = materialise(fingerprints(placed.select(F.struct(F.col(doc_id).isNull().alias("gone"), F.col(doc_id).alias("id"), F.col("__at").alias("at"))
+                                                 .alias("doc_id"), F.col(text).alias("text"))), "ring-fingerprints")
+    named = _named(fps).where("doc_id.at <> component_id.at")
+    return placed.join(named.select(F.col("doc_id.at").alias("__at")), "__at", "left_anti").select(*(F.col(n).alias(c) for n, c in zip(names, columns, strict=True)))
