@@ -28,8 +28,13 @@ KINDS = (*BASE_KINDS, "url", "account", "address")
 SCHEMES = ("http://", "https://", "ftp://")
 #: Words before an identifier. The value must contain a digit.
 CUES = ("account", "acct", "iban", "ssn", "passport", "password", "passwd", "token", "secret", "api_key", "apikey", "akia")
-#: Words that end (or, for Romance languages, begin) a street name.
-STREETS = (" street", " avenue", " road", " lane", " boulevard", " drive", "straße", "strasse", "rue ", "calle ")
+#: Words that end a street name of their own, or one joined to them, or (in
+#: Romance languages) begin one.
+STREETS = (" street", " avenue", " road", " lane", " boulevard", " drive", " st", " ave", " rd", " ln", " blvd", " dr", " way", " court", " ct",
+           " place", " square", " sq", " terrace", " crescent", " highway", " parkway",
+           "straße", "strasse", "str.", "platz", "weg", "gasse", "allee", "rue ", "calle ")
+#: Street words that are also other words: the name after them has a capital.
+STREETS_BEFORE_CAPITALS = ("avenue ", "boulevard ", "place ", "avenida ", "paseo ", "plaza ", "via ", "viale ", "piazza ", "corso ")
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+").match
@@ -51,6 +56,7 @@ _CLOUD_KEY = re.compile(r"AKIA[0-9A-Z]{16}(?![0-9A-Za-z])").match
 _HOUSE_BEFORE = re.compile(r"[0-9]{1,5}[A-Za-z]?(?: [A-ZÀ-Þ][\w'.-]{0,40}){1,4}$")
 _HOUSE_AFTER = re.compile(r"[ ,]{1,2}[0-9]{1,5}[A-Za-z]?(?![0-9A-Za-z])").match
 _NAME_AFTER = re.compile(r"(?:[\w'.-]{1,40} ){0,4}[\w'.-]{1,40}[ ,]{1,2}[0-9]{1,5}(?![0-9A-Za-z])").match
+_CAPITAL_AFTER = re.compile(r"(?:(?:de|du|des|d'|del|della|dei|dell'|la|las|le|les|los|l') ?){0,2}[A-ZÀ-Þ]").match
 _HOUSE_FIRST = re.compile(r"[0-9]{1,5}(?: ?bis)?,? $")
 
 
@@ -77,7 +83,7 @@ def _automaton() -> ahocorasick.Automaton:
         a.add_word(c, ("digit", c))
     a.add_word("@", ("at", "@"))
     a.add_word("+", ("plus", "+"))
-    for kind, words in (("scheme", SCHEMES), ("cue", CUES), ("street", STREETS)):
+    for kind, words in (("scheme", SCHEMES), ("cue", CUES), ("street", (*STREETS, *STREETS_BEFORE_CAPITALS))):
         for w in words:
             a.add_word(w, (kind, w))
     a.make_automaton()
@@ -208,7 +214,7 @@ def _street(text: str, at: int, stop: int, word: str) -> tuple[int, int] | None:
         m = _HOUSE_BEFORE.search(text[lead:at])
         return (lead + m.start(), stop) if m else None
     if word.endswith(" "):
-        if at and text[at - 1].isalnum():
+        if at and text[at - 1].isalnum() or word in STREETS_BEFORE_CAPITALS and not _CAPITAL_AFTER(text, stop):
             return None
         lead = max(0, at - 12)
         m = _HOUSE_FIRST.search(text[lead:at])
@@ -216,6 +222,8 @@ def _street(text: str, at: int, stop: int, word: str) -> tuple[int, int] | None:
             after = re.compile(r"(?:[\w'.-]{1,40} ?){1,4}").match(text, stop)
             return (lead + m.start(), after.end()) if after else None
         m = _NAME_AFTER(text, stop)
+        if m and word in STREETS_BEFORE_CAPITALS and not text[at].isupper():
+            return None
         return (at, m.end()) if m else None
     start = at
     while start and text[start - 1].isalpha() and at - start < 60:
