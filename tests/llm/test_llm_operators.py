@@ -3,18 +3,21 @@ streaming decode, index retrieval, ring links, redaction, record files."""
 
 import gzip
 import glob
+import math
 import random
+import re
 from collections import Counter
 
 import numpy as np
 import public_tokenizers
 import pytest
+import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from ledgerline.llm import (anchor_pii, blocks, bpe_fst, decontaminate, histogram_shards, interpolated_lm, quality_llr,
                             simhash_ring, substring_graph, token_files, warc_derive)
-from ledgerline.llm.common import prepare, work_path
+from ledgerline.llm.common import pair_hash, prepare, work_path
 from ledgerline.llm.queries import WORD_BPE
 
 RANKS = bpe_fst.load_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
@@ -135,6 +138,21 @@ def test_addresses_and_accounts():
     assert kinds("the account of a street in the road, tokens and streets") == []
 
 
+@pytest.mark.parametrize("address", [
+    "12 Baker St", "12 Oak Ave", "4 King Rd", "1600 Penn Blvd", "3 Elm Ln", "8 Sunset Dr", "7 Long Way", "9 Fleet Court", "2 Fleet Ct", "1 Kings Place",
+    "10 Trafalgar Square", "5 Union Sq", "6 Hill Terrace", "4 Park Crescent", "77 Coast Highway", "90 Lake Parkway", "Marktplatz 3", "Feldweg 12a", "Lindenallee 5",
+    "Judengasse 7", "Hauptstr. 12", "12 avenue Victor Hugo", "5 place de la Concorde", "3 boulevard Voltaire", "Via Roma 12", "Viale Europa 3", "Corso Italia 9",
+    "Avenida del Sol 44", "Paseo de Gracia 8", "Plaza Mayor 1", "25 Piazza Navona"])
+def test_addresses_of_each_form(address):
+    text = f"x: {address}, then"
+    assert [text[a:b] for a, b in anchor_pii.find(text.encode())["address"]] == [address]
+
+
+def test_street_words_that_are_other_words():
+    for text in ["sent 5 via email", "in 2019 place the", "on the way 3 times", "in the place 12", "some 12 Ways", "deswegen 5", "3 Court orders", "the 1 st"]:
+        assert anchor_pii.find(text.encode())["address"] == [], text
+
+
 def test_account_values_reach_their_real_boundary():
     def accounts(t):
         return [t[a:b] for a, b in anchor_pii.find(t.encode())["account"]]
@@ -203,6 +221,61 @@ def test_benchmark_in_blocks(spark, llm_dir):
     assert {r.doc_id for r in clean.collect()} == {r.doc_id for r in docs.collect()} - {d for d, _ in one}
 
 
+def test_an_item_is_looked_for_in_spans_of_its_own_length(spark):
+    """Another item's length, and the blocks, change no verdict: an item whose
+    answer stands far from its question is not found because a long one exists."""
+    question = "which of the seven rivers crosses the old stone bridge near the quiet harbour"
+    answer = "The blue Orinoco tributary."
+    short, filler = f"{question}? {answer}", " ".join(f"filler{i}" for i in range(120))
+    docs = spark.createDataFrame([(1, f"x {short} y"), (2, f"{question} {filler} {answer}"), (3, filler), (4, " ".join(f"long{i}" for i in range(900)))],
+                                 "doc_id long, text string")
+    other = " ".join(f"long{i}" for i in range(900))
+    few = [("a", short), ("b", "nothing like any of the documents in this table. Truly nothing.")]
+    many = [*few, ("c", other)]
+
+    def pairs(items, **more):
+        return sorted((r.doc_id, r.item_id) for r in decontaminate.leaks(docs, spark.createDataFrame(items, "item_id string, text string"), **more).collect())
+
+    assert pairs(few) == [(1, "a")]
+    assert pairs(many) == pairs(many, block_bytes=100) == [(1, "a"), (4, "c")]
+    assert {r.doc_id for r in decontaminate.keep_clean(docs, spark.createDataFrame(many, "item_id string, text string")).collect()} == {2, 3}
+
+
+def test_leaks_against_brute_force(spark):
+    """Scores, overlaps and passages of every document and item recomputed
+    without index, bounds or skipping."""
+    rng = random.Random(21)
+    vocabulary = [f"w{i}" for i in range(200)] + ["the", "of", "and"] * 30
+    items = [(i, " ".join(rng.choice(vocabulary) for _ in range(n)) + ". " + " ".join(rng.choice(vocabulary) for _ in range(4))) for i, n in enumerate([9, 11, 14, 20, 28, 40, 70, 150])]
+    texts = []
+    for i in range(40):
+        item = rng.choice(items)[1].split()
+        for _ in range(rng.randrange(len(item) // 3 + 1)):
+            item[rng.randrange(len(item))] = rng.choice(vocabulary)
+        texts.append((i, " ".join([*(rng.choice(vocabulary) for _ in range(rng.randrange(150))), *item, *(rng.choice(vocabulary) for _ in range(rng.randrange(150)))])))
+    got = {(r.doc_id, r.item_id): (r.n_passages, round(r.bm25_score, 9), round(r.question_overlap, 9), round(r.answer_overlap, 9))
+           for r in decontaminate.leaks(spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    cut = {i: decontaminate.terms_of(t.encode()) for i, t in items}
+    df, average = Counter(w for ws in cut.values() for w in set(ws)), sum(map(len, cut.values())) / len(cut)
+    expected = {}
+    for d, t in texts:
+        ws = decontaminate.terms_of(t.encode())
+        for i, item in items:
+            own = cut[i]
+            weight = {w: math.log(1 + (len(items) - df[w] + 0.5) / (df[w] + 0.5)) * own.count(w) * 2.2 / (own.count(w) + 1.2 * (0.25 + 0.75 * len(own) / average)) for w in set(own)}
+            half = 1 << len(own).bit_length()
+            for start in range(0, max(1, len(ws) - half), half):
+                passage = ws[start:start + 2 * half]
+                score = sum(weight[w] for w in set(passage) if w in weight) / sum(weight.values())
+                question, answer = decontaminate.split_item(item)
+                wanted, there = decontaminate.shingles(question), {b" ".join(passage[k:k + min(5, len(question))]) for k in range(len(passage))}
+                q, a = len(wanted & there) / len(wanted), len(set(answer) & set(passage)) / len(set(answer))
+                if score >= 0.6 - 1e-9 and q >= 0.6 and a >= 0.6:
+                    old = expected.get((d, i), (0, 0, 0, 0))
+                    expected[d, i] = (old[0] + 1, round(max(old[1], score), 9), round(max(old[2], q), 9), round(max(old[3], a), 9))
+    assert got == expected and len(expected) > 15
+
+
 def test_ring_links_connect_what_hamming_connects(spark):
     rng = random.Random(4)
     fps = set()
@@ -242,10 +315,28 @@ def test_near_dedup_keeps_one(spark, llm_dir, doc_rows):
     kept = simhash_ring.keep_one(docs)
     assert kept.columns == docs.columns
     judged = simhash_ring.near_duplicates(docs).collect()
-    low = {r.component_id for r in judged}
-    ids = Counter(r.doc_id for r in kept.collect())
-    assert set(ids) - {None} == low - {None}
-    assert ids[None] == sum(i is None for i, _ in doc_rows)
+    smallest = {}  # components by brute force over the fingerprints
+    left = {r.fingerprint for r in judged}
+    while left:
+        group, more = set(), {left.pop()}
+        while more:
+            group |= more
+            more = {f for f in left if any((int(f, 16) ^ int(g, 16)).bit_count() <= 2 for g in more)}
+            left -= more
+        ids = [r.doc_id for r in judged if r.fingerprint in group]
+        smallest[min(group)] = min((i for i in ids if i is not None), default=None)
+    assert Counter(r.doc_id for r in kept.collect()) == Counter(smallest.values())
+    of = {}
+    for r in simhash_ring.near_duplicates(kept).collect():
+        of.setdefault(r.fingerprint, []).append(r.doc_id)
+    assert all(len(v) == 1 for v in of.values())
+
+
+def test_near_dedup_keeps_one_of_rows_without_or_with_one_id(spark):
+    texts = {"a": "one two three four five six seven", "b": "quite another text about stones and rivers"}
+    rows = [(None, texts["a"], 1), (None, texts["a"], 2), (7, texts["b"], 3), (7, texts["b"], 4), (7, texts["a"], 5), (9, texts["b"], 6), (None, None, 7), (None, "", 8)]
+    kept = simhash_ring.keep_one(spark.createDataFrame(rows, "doc_id long, text string, row int").coalesce(1)).collect()
+    assert sorted((r.doc_id or -1, r.text or "", r.row) for r in kept) == [(-1, "", 7), (7, texts["a"], 5), (7, texts["b"], 3)]
 
 
 def test_log_ratio_separates(spark):
@@ -283,8 +374,8 @@ def test_quality_of_a_text_does_not_fall_with_its_copies(spark):
 
 
 def test_toxic_documents_of_good_quality_go(spark):
-    """Two learned words among hundreds reject a document, labelled or not,
-    with punctuation or capitals; one mention does not."""
+    """Two toxic words among hundreds reject a document, labelled or not, with
+    punctuation or capitals; one mention does not."""
     rng = random.Random(10)
 
     def text(*more):
@@ -299,12 +390,119 @@ def test_toxic_documents_of_good_quality_go(spark):
     labels = [(i, 1, 0) for i in range(100)] + [(200 + i, 1, 1) for i in range(20)]
     docs = spark.createDataFrame(clean + toxic + once, "doc_id long, text string").repartition(3)
     ratio = quality_llr.fit(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
-    assert {b"scum", b"moron"} <= ratio.toxic
+    of_word = quality_llr.WordValues(ratio.toxic.values)
+    assert min(of_word[b"scum"], of_word[b"moron"]) > 2 > max(of_word[b"river7"], of_word[b"stone3"])
     kept = {r.doc_id for r in quality_llr.judge(docs, ratio, ["doc_id"]).where("kept").collect()}
     assert kept == {i for i, _ in clean + once}
     assert {r.doc_id for r in quality_llr.keep(docs, ratio).collect()} == kept
 
 
+def test_toxic_words_of_many_forms(spark):
+    """Labels teach the beginning of compound words: held-out documents with
+    forms never labelled go, clean ones stay."""
+    rng = random.Random(12)
+    ends = ["heit", "ung", "lich", "ver", "pf", "keit", "er", "sch", "ä", "ß", "bar", "los", "ein", "um"]
+
+    def text(bad):
+        ws = [rng.choice(["der", "die", "und", "mit", "nicht", "fluss", "stein"]) + "".join(rng.choices(ends, k=rng.randrange(3))) for _ in range(rng.randrange(150, 600))]
+        for _ in range(bad):
+            ws.insert(rng.randrange(len(ws)), "grauslump" + "".join(rng.choices(ends, k=3)))
+        return " ".join(ws)
+
+    clean, toxic = [(i, text(0)) for i in range(400)], [(1000 + i, text(4)) for i in range(120)]
+    labels = [(i, 1, 0) for i in range(200)] + [(1000 + i, 1, 1) for i in range(60)]
+    docs = spark.createDataFrame(clean + toxic, "doc_id long, text string").repartition(3)
+    ratio = quality_llr.fit(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    kept = {r.doc_id for r in quality_llr.judge(docs, ratio, ["doc_id"]).where("kept").collect()}
+    assert len(kept & set(range(200, 400))) >= 198 and len(kept & set(range(1060, 1120))) <= 3
+
+
+def test_quality_against_brute_force(spark):
+    """Score, toxic score, both cut-offs and the verdict recomputed in plain
+    Python, over repeated texts, NULL ids and texts, and repeated labels."""
+    rng = random.Random(13)
+
+    def text(n, *more):
+        ws = [rng.choice(["the", "river,", "Stone", "walked", "quiet."]) + str(rng.randrange(60)) for _ in range(n)]
+        for w in more:
+            ws.insert(rng.randrange(len(ws)), w)
+        return " ".join(ws)
+
+    rows = [(i, text(rng.randrange(60, 200))) for i in range(80)] + [(100 + i, text(90, "Scum,", "moron!", "(scummy)")) for i in range(14)]
+    rows += [(200 + i, " ".join("zz%d | |" % rng.randrange(30) for _ in range(60))) for i in range(10)]
+    rows += [(300, rows[3][1]), (301, rows[3][1]), (None, rows[4][1]), (None, None), (302, ""), (303, "few words"), (304, "... " * 60), (3, rows[3][1])]
+    labels = [(i, 1, 0) for i in range(0, 60)] + [(100 + i, 1, 1) for i in range(8)] + [(300, 1, None), (None, 1, 1), (5, 1, 0), (200, 0, 0), (108, None, 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    ratio = quality_llr.fit(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    got = quality_llr.judge(docs, ratio, ["doc_id", "text"]).collect()
+
+    def unsigned(h):
+        return np.array([h], np.uint64)
+
+    def grams(t):
+        hashes = [xxhash.xxh64_intdigest(w, quality_llr.SEED) for w in (t or "").encode().lower().split()]
+        pairs = [int(pair_hash(unsigned(a), unsigned(b))[0]) for a, b in zip(hashes, hashes[1:])]
+        return Counter(h % quality_llr.BUCKETS for h in hashes + pairs)
+
+    def failed(t):
+        ws = (t or "").split()
+        three = Counter(tuple(ws[k:k + 3]) for k in range(len(ws) - 2))
+        again = {k + d for k in range(len(ws) - 2) if three[tuple(ws[k:k + 3])] > 1 for d in range(3)}
+        return len(ws) < 50 or 100 * len(again) > 50 * len(ws)
+
+    def ratio_of(up, down, a, buckets, own=None):
+        u, d = sum(up.values()), sum(down.values())
+        more = a * d / u
+        less_u = own[0] if own and own[1] is up else Counter()
+        less_d = own[0] if own and own[1] is down else Counter()
+        return lambda b: (math.log((up[b] - less_u[b] + a) / (u - sum(less_u.values()) + a * buckets))
+                          - math.log((down[b] - less_d[b] + more) / (d - sum(less_d.values()) + more * buckets)))
+
+    def mean(counts, f):
+        return sum(n * f(b) for b, n in counts.items()) / sum(counts.values())
+
+    good = {i for i, q, t in labels if q == 1 and t == 0 and i is not None}
+    every = {t for _, t in rows if (t or "").strip()}
+    trusted = {t for i, t in rows if i in good}
+    raw, target = sum(map(grams, every), Counter()), sum(map(grams, trusted), Counter())
+    score = ratio_of(target, raw, quality_llr.SMOOTHING, quality_llr.BUCKETS)
+    own = [mean(grams(t), ratio_of(target, raw, quality_llr.SMOOTHING, quality_llr.BUCKETS, (grams(t), target))) for t in sorted(trusted) if not failed(t)]
+    low = np.percentile(own, [1, 5])
+    cut = min(0.0, low[0] - quality_llr.MARGIN * (low[1] - low[0]))
+    assert math.isclose(ratio.threshold, cut, rel_tol=1e-9)
+
+    def bare(t):
+        return [w.encode() for w in re.split(r"[\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+", (t or "").lower()) if w]
+
+    def features(ws):
+        return Counter(f for w in ws for f in quality_llr.word_features(w, quality_llr.TOXIC_BUCKETS))
+
+    def top(ws, f):
+        return sum(sorted(max(map(f, quality_llr.word_features(w, quality_llr.TOXIC_BUCKETS))) for w in ws)[-3:-1]) / 2
+
+    bad = {i for i, _, t in labels if t == 1 and i is not None}
+    fine = {i for i, _, t in labels if t == 0 and i is not None} - bad
+    bad_texts = {t for i, t in rows if i in bad}
+    fine_texts = {t for i, t in rows if i in fine} - bad_texts
+    up, down = (sum((features(bare(t)) for t in ts), Counter()) for ts in (bad_texts, fine_texts))
+    args = up, down, quality_llr.TOXIC_SMOOTHING, quality_llr.TOXIC_BUCKETS
+    scored = [(top(bare(t), ratio_of(*args, (features(bare(t)), down))), math.log(len(bare(t)))) for t in sorted(fine_texts) if len(bare(t)) >= 50]
+    s, x = map(np.array, zip(*scored))
+    slope = ((s - s.mean()) * (x - x.mean())).mean() / x.var()
+    toxic_cut = np.percentile(s - slope * x, 99.9)
+    assert math.isclose(ratio.toxic.slope, slope, rel_tol=1e-6) and math.isclose(ratio.toxic.threshold, toxic_cut, rel_tol=1e-9)
+    toxic = ratio_of(*args)
+    assert len(got) == len(rows)
+    for r in got:
+        n = grams(r.text)
+        assert (r.llr_score is None) == (not n) and (not n or math.isclose(r.llr_score, mean(n, score), rel_tol=1e-9, abs_tol=1e-12))
+        ws = bare(r.text)
+        value = top(ws, toxic) - slope * math.log(len(ws)) if ws else None
+        assert (r.toxic_score is None) == (value is None) and (value is None or math.isclose(r.toxic_score, value, rel_tol=1e-6))
+        assert r.kept == (not failed(r.text) and r.llr_score >= cut and (value is None or value <= toxic_cut))
+    assert {r.doc_id for r in got if r.kept} >= {30, 31, 300, 301, None} and not {r.doc_id for r in got if r.kept} & set(range(100, 114))
+
+
 def test_short_benchmark_items_are_found_whole(spark):
     items = spark.createDataFrame([(1, "Which green lamp? Stone."), (2, ""), (3, "word " * 3 + "end")], "item_id long, text string")
     docs = spark.createDataFrame([(1, "Once: which GREEN lamp? Stone. Then which green lamp? stone"), (2, "which green lamp, then stone"),
