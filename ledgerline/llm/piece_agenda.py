@@ -8,8 +8,9 @@ When no pair is left, a symbol that is no piece is spelled in byte pieces.
 A merge never crosses two characters that stand together in no piece, so a
 text may be cut there and every part has an agenda of its own: words at their
 spaces, and words of great length wherever they can be cut. Words already seen
-are remembered in a table of bounded size. Neither the cuts nor the table
-change a result.
+are remembered in a table of bounded size; new words are merged together, each
+with an agenda of its own in one row of a matrix. Neither the cuts nor the
+table nor the rows change a result.
 """
 
 from __future__ import annotations
@@ -17,7 +18,8 @@ from __future__ import annotations
 import hashlib
 import heapq
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import islice
 from operator import add
 
 import numpy as np
@@ -33,6 +35,10 @@ REMEMBERED = 1_000_000
 #: Characters up to which a word is remembered, and its agenda is a list
 #: searched for its best pair; longer parts have heaps.
 SHORT = 48
+#: Characters of new words merged together, and of texts looked at together.
+MATRIX_CELLS, STEP_CHARS = 1 << 18, 1 << 20
+#: Numbers of characters in no piece, in the matrix.
+STRANGE = 1 << 24
 
 
 class Remembered(dict):
@@ -46,10 +52,26 @@ class Remembered(dict):
     def __missing__(self, word: str) -> str:
         found = self.older.get(word) or self.work(word)
         if len(word) <= SHORT:
-            if len(self) >= REMEMBERED:
-                self.older = dict(self)
-                self.clear()
-            self[word] = found
+            self.note(word, found)
+        return found
+
+    def note(self, word: str, found: str) -> None:
+        if len(self) >= REMEMBERED:
+            self.older = dict(self)
+            self.clear()
+        self[word] = found
+
+
+class Spelled(dict):
+    """Decimal ids by number of a symbol; those of characters in no piece
+    (``STRANGE`` and the code point) are worked out at first sight."""
+
+    def __init__(self, decimal: list[str], ids):
+        super().__init__(enumerate(decimal))
+        self.ids = ids
+
+    def __missing__(self, number: int) -> str:
+        found = self[number] = ",".join(map(str, self.ids(chr(number - STRANGE))))
         return found
 
 
@@ -108,7 +130,16 @@ class AgendaEncoder:
                 a, b = symbol.get(piece[:cut]), symbol.get(piece[cut:])
                 if a is not None and b is not None:
                     self.place[a << 32 | b], self.joined[a << 32 | b] = order[score], number
+        # The same for rows of a matrix: character -> number, and sorted pairs with their places and numbers
+        self.by_code = np.arange(STRANGE, STRANGE + 0x110000)
+        for c, n in self.number.items():
+            self.by_code[ord(c)] = n
+        pairs = sorted(self.place)
+        self.pair_keys = np.array([*pairs, np.iinfo(np.int64).max], np.int64)
+        self.pair_place = np.array([*map(self.place.get, pairs), self.last], np.int32)
+        self.pair_joined = np.array([*map(self.joined.get, pairs), -1], np.int32)
         self.decimal = [str(i) for i in range(len(model.pieces))] + [",".join(map(str, self._ids(c))) for c in others]
+        self.spelled = Spelled(self.decimal, self._ids)
 
     def normalised(self, text: str) -> str:
         """The text the merges work on: the model's own rule."""
@@ -136,6 +167,52 @@ class AgendaEncoder:
             return ",".join([decimal[s] if s >= 0 else ",".join(map(str, self._ids(next(strange)))) for s in symbols])
         return ",".join([decimal[s] for s in symbols])
 
+    def _pair(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Place and number of what a and b join to."""
+        key = a << 32 | b
+        at = np.searchsorted(self.pair_keys, key)
+        at[self.pair_keys[at] != key] = len(self.pair_keys) - 1
+        return self.pair_place[at], self.pair_joined[at]
+
+    def matrix(self, words: list[str]) -> list[str]:
+        """Ids of short words of similar length: every row is the agenda of
+        one word, each round joins the best pair of every row."""
+        length = np.fromiter(map(len, words), np.int64, len(words))
+        width = int(length.max()) + 2  # a column before and one after
+        symbol = np.full((len(words), width), -1, np.int64)
+        inside = np.arange(1, width - 1) <= length[:, None]
+        symbol[:, 1:-1][inside] = self.by_code[np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)]
+        flat, last = symbol.reshape(-1), self.last
+        places, joined = self._pair(flat, np.append(flat[1:], -1))
+        agenda = places.reshape(symbol.shape)
+        after, before = np.arange(1, flat.size + 1), np.arange(-1, flat.size - 1)
+        rows = np.arange(len(words))
+        while len(rows):
+            at = rows * width + agenda[rows].argmin(axis=1)  # the leftmost of equal scores
+            going = places[at] < last
+            rows, at = rows[going], at[going]
+            gone, new = after[at], joined[at].astype(np.int64)
+            right, left = after[gone], before[at]
+            flat[at], flat[gone], places[gone] = new, -1, last
+            after[at], before[right] = right, at
+            places[at], joined[at] = self._pair(new, flat[right])
+            places[left], joined[left] = self._pair(flat[left], new)
+        kept = symbol >= 0
+        decimal = map(self.spelled.__getitem__, symbol[kept].tolist())
+        return [",".join(islice(decimal, n)) for n in kept.sum(axis=1).tolist()]
+
+    def learn(self, new: set[str]) -> None:
+        """Note the ids of the short ones of words that are not in the table."""
+        if self.unused:  # left to the heap
+            return
+        older, spaced = self._word.older, self.spaced
+        keys = sorted((k for k in new if len(k) < SHORT and k not in older), key=len)
+        words = [SPACE + k if spaced and k[0] != SPACE else k for k in keys]
+        step = MATRIX_CELLS // SHORT
+        for lo in range(0, len(words), step):
+            for key, found in zip(keys[lo:lo + step], self.matrix(words[lo:lo + step]), strict=True):
+                self._word.note(key, found)
+
     def long(self, part: str) -> str:
         """Ids of a part of any length: the agenda is a heap."""
         symbols: list[str | None] = list(part)
@@ -186,19 +263,51 @@ class AgendaEncoder:
         parts.append(word[at:])
         return ",".join([self.short(p) if len(p) <= SHORT and not self.unused else self.long(p) for p in parts])
 
-    def encode_decimal(self, text: str) -> str:
-        """Ids of ``text`` in decimal, joined by commas (no ids: empty)."""
+    def split(self, text: str) -> list[str]:
+        """Words of ``text`` as the table has them."""
         if self.spaced and text and SPACE not in text and "  " not in text and text[0] != " " and text[-1] != " ":
-            words = text.split(" ")  # without the space before them
-        else:
-            words = self.words(self.normalised(text))
-        out = ",".join(map(self._word.__getitem__, words))
+            return text.split(" ")  # without the space before them
+        return self.words(self.normalised(text))
+
+    def joined_ids(self, found: Iterable[str]) -> str:
+        """Ids of a text's words as one list."""
+        out = ",".join(found)
         if self.byte_ids or not out:
             return out
         unknown = str(self.unknown)  # without byte pieces, neighbouring unknown symbols are one
         ids = out.split(",")
         return ",".join(i for k, i in enumerate(ids) if i != unknown or not k or ids[k - 1] != unknown)
 
+    def encode_decimal(self, text: str) -> str:
+        """Ids of ``text`` in decimal, joined by commas (no ids: empty)."""
+        return self.joined_ids(map(self._word.__getitem__, self.split(text)))
+
+    def encode_all(self, texts: Iterable[str]) -> Iterator[tuple[str, str]]:
+        """(text, its ids in decimal) of every text, in order; the new words
+        of some ``STEP_CHARS`` characters are merged together."""
+        step, held = [], 0
+        for text in texts:
+            step.append(text)
+            held += len(text)
+            if held >= STEP_CHARS:
+                yield from self._step(step)
+                step, held = [], 0
+        yield from self._step(step)
+
+    def _step(self, texts: list[str]) -> Iterator[tuple[str, str]]:
+        word, new, parts = self._word, set(), []
+        for text in texts:
+            own = self.split(text)
+            found = list(map(word.get, own))
+            if None in found:
+                new.update([w for w, f in zip(own, found, strict=True) if f is None])
+                parts.append(own)
+            else:
+                parts.append(self.joined_ids(found))
+        self.learn(new)
+        for text, part in zip(texts, parts, strict=True):
+            yield text, part if isinstance(part, str) else self.joined_ids(map(word.__getitem__, part))
+
     def encode(self, text: str) -> list[int]:
         decimal = self.encode_decimal(text)
         return list(map(int, decimal.split(","))) if decimal else []
@@ -233,9 +342,7 @@ def encode_documents(docs: DataFrame, model_path: str, keep: list[str], with_ids
         enc = encoder(model_path)
         for batch in batches:
             n, ids_sha, dec_sha, agrees, packed = [], [], [], [], []
-            for value in batch.column("__text"):
-                text = value.as_py() or ""
-                decimal = enc.encode_decimal(text)
+            for text, decimal in enc.encode_all(value.as_py() or "" for value in batch.column("__text")):
                 ids = np.fromstring(decimal, np.int32, sep=",").tolist() if decimal else []
                 n.append(len(ids))
                 ids_sha.append(hashlib.sha256(decimal.encode("ascii")).hexdigest())

@@ -185,12 +185,31 @@ def test_agenda_as_list_and_as_heap():
         assert enc.short(part) == enc.long(part)
 
 
+def test_agenda_as_rows_of_a_matrix(monkeypatch):
+    enc, rng = piece_agenda.AgendaEncoder(MODEL), random.Random(5)
+    words = ["".join(rng.choice(["▁", "▁▁▁", "t", "h", "e", "in", "g", "é", ".", "\U00012345", "日", "0"]) for _ in range(rng.randrange(1, 16)))
+             for _ in range(3000)]
+    for found, word in zip(enc.matrix(words), words, strict=True):
+        assert found == enc.short(word)
+    monkeypatch.setattr(piece_agenda, "MATRIX_CELLS", 64)
+    monkeypatch.setattr(piece_agenda, "STEP_CHARS", 100)
+    texts = ["", " ".join(words[:700]), "", *(w.replace("▁", " ") for w in words), "x" * 500 + " y", " ", ""]
+    fresh = piece_agenda.AgendaEncoder(MODEL)
+    got = list(fresh.encode_all(texts))
+    assert [t for t, _ in got] == texts
+    assert [[int(i) for i in d.split(",") if i] for _, d in got] == fresh.library.encode(texts)
+    assert list(fresh.encode_all([])) == []
+
+
 def test_agenda_tables_are_bounded(monkeypatch):
     monkeypatch.setattr(piece_agenda, "REMEMBERED", 8)
     enc = piece_agenda.AgendaEncoder(MODEL)
     text = " ".join(f"word{i} über{i}" for i in range(300))
     assert enc.encode(text) == enc.library.encode(text)
     assert len(enc._word) <= 8 and len(enc._word.older) <= 8
+    texts = [f"word{i} über{i} {text}" for i in range(3)]
+    assert [[int(i) for i in d.split(",")] for _, d in enc.encode_all(texts)] == enc.library.encode(texts)
+    assert len(enc._word) <= 8 and len(enc._word.older) <= 8
 
 
 def test_agenda_ids_column(spark):
