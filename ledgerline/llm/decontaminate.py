@@ -10,25 +10,30 @@ threshold are retrieved (a fixed share of the score the item gives itself, so
 long and short items are treated alike). A retrieved item counts as a leak
 when the passage also covers its question and its answer.
 
-The index is broadcast in blocks of a fixed number of text bytes; a larger
-benchmark takes several passes over the documents, one per block, with
-document frequencies and lengths of the whole benchmark.
+An index of a fixed number of text bytes is broadcast. A larger benchmark is
+indexed by Spark in blocks of that size, with document frequencies and lengths
+of the whole benchmark, and written to the shared folder; the documents are
+still scanned once, and every task reads the blocks one after the other for
+some megabytes of documents at a time.
 """
 
 from __future__ import annotations
 
+import pickle
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs
+import pyarrow.parquet
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import prepare, texts_of
+from .common import materialise, prepare, texts_of
 
 K1, B = 1.2, 0.75
 #: Share of an item's own score that a passage must reach.
@@ -40,8 +45,10 @@ MIN_QUESTION, MIN_ANSWER = 0.6, 0.6
 #: Shorter items cannot be told from chance by shares: their full word
 #: sequence must be there.
 MIN_ITEM_WORDS = 8
-#: Item text broadcast at a time.
+#: Item text in one block of the index; up to one block is broadcast.
 BLOCK_BYTES = 1 << 20
+#: Document text held while the blocks of a larger index pass by.
+STEP_BYTES = 8 << 20
 #: Items per block of the posting lists (blocks are aligned across lists).
 ITEM_BLOCK = 4
 #: Passages bounded together in one step, and words and sums of item blocks
@@ -255,12 +262,50 @@ def length_class(text: str) -> int:
     return n.bit_length() if n >= MIN_ITEM_WORDS else 0
 
 
-def item_indexes(items: DataFrame, block_bytes: int = BLOCK_BYTES, threshold: float = THRESHOLD) -> Iterator[list[ItemIndex]]:
-    """The index, block by block, one per length class in it. NULL and empty items are left out; items are
-    assigned to blocks by a hash, so a block's size follows ``block_bytes``."""
+class Held:
+    """Index of one block, broadcast."""
+
+    step_bytes = 0  # every batch by itself
+
+    def __init__(self, shared):
+        self.shared = shared
+
+    def __iter__(self) -> Iterator[ItemIndex]:
+        return iter(self.shared.value)
+
+
+class Stored:
+    """Index in files of the shared folder, one block in memory at a time."""
+
+    step_bytes = STEP_BYTES
+
+    def __init__(self, uris: list[str]):
+        self.uris = sorted(uris)
+
+    def __iter__(self) -> Iterator[ItemIndex]:
+        for uri in self.uris:
+            system, path = pyarrow.fs.FileSystem.from_uri(uri)
+            with system.open_input_file(path) as file:
+                for batch in pyarrow.parquet.ParquetFile(file).iter_batches(batch_size=1, columns=["indexes"]):
+                    for value in batch.column("indexes"):
+                        yield from pickle.loads(value.as_py())
+
+
+def _by_class(rows: Iterable[tuple], n_items: int, mean_words: float, frequency: dict[bytes, int], threshold: float) -> list[ItemIndex]:
+    classes: dict[int, list] = {}
+    for r in rows:
+        classes.setdefault(length_class(r[1]), []).append(r)
+    return [ItemIndex(found, n_items, mean_words, frequency, threshold) for _, found in sorted(classes.items())]
+
+
+def item_indexes(items: DataFrame, block_bytes: int = BLOCK_BYTES, threshold: float = THRESHOLD) -> Held | Stored:
+    """The index, block by block, one per length class in it. NULL and empty
+    items are left out. Items are assigned to blocks by a hash, so a block's
+    size follows ``block_bytes``; an item repeated is indexed once, its ids
+    are (item_id, rows of it)."""
     spark = items.sparkSession
     prepare(spark)
-    source = items.where(F.col("text").isNotNull()).select("item_id", "text")
+    source = items.where(F.col("text").isNotNull()).groupBy("item_id", "text").agg(F.count("*").alias("times"))
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -270,30 +315,53 @@ def item_indexes(items: DataFrame, block_bytes: int = BLOCK_BYTES, threshold: fl
                 found.append([w.decode("utf-8") for w in set(split)])
                 lengths.append(len(split))
                 sizes.append(len(raw))
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.string())), pa.array(lengths, pa.int64()),
-                                              pa.array(sizes, pa.int64())], ["words", "n", "bytes"])
-
-    cut = source.mapInArrow(words, "words array<string>, n long, bytes long")
-    total = cut.where("n > 0").agg(F.count("*"), F.avg("n"), F.sum("bytes")).first()
-    if not total[0]:
-        return
-    n_blocks = -(-total[2] // block_bytes)
-    spread = F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks))
-    frequency = cut.select(F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("df"))
-    for block in range(n_blocks):
-        part = source.where(spread == block) if n_blocks > 1 else source
-        rows = sorted(((r["item_id"], r["text"]) for r in part.collect()), key=lambda r: (r[0] is None, r[0], r[1]))
-        if n_blocks > 1:
-            wanted = (part.mapInArrow(words, "words array<string>, n long, bytes long")
-                      .select(F.explode("words").alias("word")).distinct())
-            known = frequency.join(wanted, "word", "left_semi")
-        else:
-            known = frequency
-        df = {r["word"].encode("utf-8"): r["df"] for r in known.collect()}
-        classes: dict[int, list] = {}
-        for r in rows:
-            classes.setdefault(length_class(r[1]), []).append(r)
-        yield [ItemIndex(found, total[0], total[1], df, threshold) for _, found in sorted(classes.items())]
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.string())), pa.array(lengths, pa.int64()), pa.array(sizes, pa.int64()),
+                                              batch.column("times"), batch.column("__hash")], ["words", "n", "bytes", "times", "__hash"])
+
+    cut = (source.withColumn("__hash", F.xxhash64("item_id", "text")).select("text", "times", "__hash")
+           .mapInArrow(words, "words array<string>, n long, bytes long, times long, __hash long"))
+    total, summed, size = cut.where("n > 0").agg(F.sum("times"), F.sum(F.col("n") * F.col("times")), F.sum("bytes")).first()
+    if not total:
+        return Held(spark.sparkContext.broadcast([]))
+    mean, n_blocks = summed / total, -(-size // block_bytes)
+    each = cut.select(F.pmod("__hash", F.lit(n_blocks)).alias("block"), "times", F.explode("words").alias("word"))
+    frequency = each.groupBy("word").agg(F.sum("times").alias("df"))
+    if n_blocks == 1:
+        rows = sorted((((r["item_id"], r["times"]), r["text"]) for r in source.collect()), key=lambda r: (r[0][0] is None, r[0][0], r[1]))
+        known = {r["word"].encode("utf-8"): r["df"] for r in frequency.collect()}
+        return Held(spark.sparkContext.broadcast(_by_class(rows, total, mean, known, threshold)))
+
+    def build(part: pa.Table, known: pa.Table) -> pa.Table:
+        rows = [((r["item_id"], r["times"]), r["text"]) for r in part.to_pylist()]
+        df = {w.encode("utf-8"): n for w, n in zip(known["word"].to_pylist(), known["df"].to_pylist(), strict=True)}
+        rows.sort(key=lambda r: (r[0][0] is None, r[0][0], r[1]))
+        indexes = _by_class(rows, total, mean, df, threshold)
+        return pa.table({"indexes": pa.array([pickle.dumps(indexes)], pa.binary())})
+
+    blocks = source.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks)))
+    by_block = each.select("block", "word").distinct().join(frequency, "word")
+    built = blocks.groupBy("block").cogroup(by_block.groupBy("block")).applyInArrow(build, "indexes binary")
+    return Stored(materialise(built, "item-index").inputFiles())
+
+
+def _steps(batches: Iterable[pa.RecordBatch], step_bytes: int) -> Iterator[tuple[pa.RecordBatch, list[list[bytes]]]]:
+    """Batches put together up to some bytes, with the words of their texts."""
+
+    def together() -> Iterator[tuple[pa.RecordBatch, list[list[bytes]]]]:
+        at = 0
+        for batch in pa.Table.from_batches(held).combine_chunks().to_batches() if len(held) > 1 else held:
+            yield batch, words[at:at + batch.num_rows]
+            at += batch.num_rows
+
+    held, words, size = [], [], 0
+    for batch in batches:
+        held.append(batch)
+        words += [terms_of(raw) for raw in texts_of(batch)]
+        size += batch.nbytes
+        if size >= step_bytes:
+            yield from together()
+            held, words, size = [], [], 0
+    yield from together()
 
 
 def leaks(docs: DataFrame, items: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -308,15 +376,16 @@ def leaks(docs: DataFrame, items: DataFrame, block_bytes: int = BLOCK_BYTES) ->
                            T.StructField("n_passages", T.LongType()), T.StructField("bm25_score", T.DoubleType()),
                            T.StructField("question_overlap", T.DoubleType()), T.StructField("answer_overlap", T.DoubleType())])
     id_type = to_arrow_type(items.schema["item_id"].dataType)
-    result = spark.createDataFrame([], schema)
-    for indexes in item_indexes(items, block_bytes):
-        shared = spark.sparkContext.broadcast(indexes)
-
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                words = [terms_of(raw) for raw in texts_of(batch)]
-                rows = [(i, index.ids[slot], *hit) for index in shared.value for i, hits in enumerate(index.leaks_in(words))
-                        for slot, hit in sorted(hits.items())]
+    indexes = item_indexes(items, block_bytes)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, words in _steps(batches, indexes.step_bytes):
+            for index in indexes:
+                rows = []
+                for i, hits in enumerate(index.leaks_in(words)):
+                    for slot, hit in sorted(hits.items()):
+                        item_id, times = index.ids[slot]
+                        rows += [(i, item_id, *hit)] * times
                 if rows:
                     at, ids, n, score, q, a = zip(*rows, strict=True)
                     yield pa.RecordBatch.from_arrays(
@@ -324,8 +393,7 @@ def leaks(docs: DataFrame, items: DataFrame, block_bytes: int = BLOCK_BYTES) ->
                          pa.array(score, pa.float64()), pa.array(q, pa.float64()), pa.array(a, pa.float64())],
                         schema.names)
 
-        result = result.unionByName(docs.select("doc_id", "text").mapInArrow(run, schema))
-    return result
+    return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
 def keep_clean(docs: DataFrame, items: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -333,14 +401,13 @@ def keep_clean(docs: DataFrame, items: DataFrame, block_bytes: int = BLOCK_BYTES
     repeated rows stay, NULL texts are clean."""
     spark = docs.sparkSession
     prepare(spark)
-    for indexes in item_indexes(items, block_bytes):
-        shared = spark.sparkContext.broadcast(indexes)
+    indexes = item_indexes(items, block_bytes)
 
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                words = [terms_of(raw) for raw in texts_of(batch)]
-                hits = zip(*(index.leaks_in(words) for index in shared.value), strict=True) if shared.value else repeat((), len(words))
-                yield batch.filter(pa.array([not any(found) for found in hits], pa.bool_()))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, words in _steps(batches, indexes.step_bytes):
+            clean = np.ones(len(words), bool)
+            for index in indexes:
+                clean &= [not found for found in index.leaks_in(words)]
+            yield batch.filter(pa.array(clean))
 
-        docs = docs.mapInArrow(run, docs.schema)
-    return docs
+    return docs.mapInArrow(run, docs.schema)

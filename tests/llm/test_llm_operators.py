@@ -221,6 +221,33 @@ def test_benchmark_in_blocks(spark, llm_dir):
     assert {r.doc_id for r in clean.collect()} == {r.doc_id for r in docs.collect()} - {d for d, _ in one}
 
 
+@pytest.mark.parametrize("step_bytes", [1, 5_000, 1 << 23])
+def test_index_blocks_in_files_are_the_broadcast_index(spark, monkeypatch, step_bytes):
+    """Repeated items, items with one id or none, short and empty ones: the
+    same rows from blocks in the shared folder, in one scan of the documents."""
+    monkeypatch.setattr(decontaminate.Stored, "step_bytes", step_bytes)
+    rng = random.Random(8)
+    items = [(f"i{i // 2}", " ".join(f"w{rng.randrange(60)}" for _ in range(n)) + ". The last answer is here.") for i, n in enumerate([5, 9, 14, 30, 70, 150])]
+    items += [items[2], items[2], (None, items[3][1]), ("", items[4][1]), ("e", ""), ("n", None), ("s", "seldom seen"), ("p", "?!")]
+    texts = [(d, f"w1 w2 {rng.choice(items)[1] or ''} w3 " * rng.randrange(3)) for d in range(40)] + [(None, items[3][1]), (7, None), (50, "Seldom, seen!")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    bench = spark.createDataFrame(items, "item_id string, text string")
+
+    def rows(**more):
+        return sorted(((*tuple(r)[:3], *(round(x, 9) for x in tuple(r)[3:])) for r in decontaminate.leaks(docs, bench, **more).collect()), key=repr)
+
+    one, many = rows(), rows(block_bytes=150)
+    assert one == many and {i for _, i, *_ in one} >= {None, "", "s", "i1"}
+    repeated = [r for r in one if r[1] == "i1"]
+    assert repeated and all(repeated.count(r) >= 3 or items[3][1] in (dict(texts)[r[0]] or "") for r in repeated)
+    kept = [sorted((r.doc_id or -1 for r in decontaminate.keep_clean(docs, bench, **more).collect())) for more in ({}, {"block_bytes": 150})]
+    assert kept[0] == kept[1] == sorted(d or -1 for d, _ in texts if d not in {r[0] for r in one})
+    plan = decontaminate.leaks(docs, bench, block_bytes=150)._jdf.queryExecution().toString()
+    assert plan.split("== Physical Plan ==")[1].count("MapInArrow") == 1
+    assert isinstance(decontaminate.item_indexes(bench, 150), decontaminate.Stored)
+    assert decontaminate.leaks(docs, bench.limit(0)).count() == 0 and decontaminate.keep_clean(docs, bench.limit(0)).count() == len(texts)
+
+
 def test_an_item_is_looked_for_in_spans_of_its_own_length(spark):
     """Another item's length, and the blocks, change no verdict: an item whose
     answer stands far from its question is not found because a long one exists."""
