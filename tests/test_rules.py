@@ -146,3 +146,8 @@ def test_name_hash_in_both_encodings(spark):
     for encoding in ("UTF-8", "UTF-16LE"):
         got = one(spark, "a string", [(" Café ",)], sha256_hex_upper("a", encoding))[0]
         assert got == hashlib.sha256("CAFÉ".encode(encoding.lower())).hexdigest().upper()
+
+
+def test_complaint_ratio_beyond_the_int_range(spark):
+    assert one(spark, "v int", [(429_497,), (2_147_483_647,), (None,)], R.bcr("v")) == [2_147_485_000, 10_737_418_235_000, None]
+    assert one(spark, "v decimal(10,2)", [(Decimal("1.50"),)], R.bcr("v")) == [Decimal("7500.00")]
