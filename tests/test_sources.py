@@ -93,3 +93,23 @@ def test_every_output_column_has_values(src, name):
     df = getattr(gold, name)(src, Params.testing())
     row = df.agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in df.columns]).first().asDict()
     assert [c for c, n in row.items() if not n] == []
+
+
+def test_every_request_has_an_account(spark, tmp_path):
+    """Requests are dealt over the orders that have line items, in key order, also where keys are missing."""
+    from ledgerline.plans import common as C
+
+    sf = "/root/testdata/sf0.001"
+    for table in ("events", "orders"):
+        spark.read.parquet(f"{sf}/{table}.parquet").write.parquet(str(tmp_path / f"{table}.parquet"))
+    items = spark.read.parquet(f"{sf}/lineitem.parquet").where("l_orderkey % 3 <> 1")
+    items = items.withColumn("l_orderkey", items["l_orderkey"] * 7001).unionByName(items.limit(1).selectExpr("* except (l_orderkey)", "cast(null as bigint) as l_orderkey"))
+    items.write.parquet(str(tmp_path / "lineitem.parquet"))
+    src = Sources.from_testdata(spark, str(tmp_path))
+    keys = sorted(r[0] for r in items.where("l_orderkey is not null").select("l_orderkey").distinct().collect())
+    quarter = len(keys) // 4
+    got = [(r["Id"], r["DebtAccountId"]) for r in src["request"].select("Id", "DebtAccountId").collect()]
+    assert len(got) == spark.read.parquet(f"{sf}/events.parquet").count()
+    assert all(account.split("-")[0] == str(keys[i % quarter * 4 + i % quarter % 4]) for i, account in got)
+    paid = {a for i, a in got if i % 8 == 1}
+    assert {r["DebtAccountId"] for r in C.pifsif_hits(src).collect()} == paid
