@@ -156,3 +156,38 @@ def test_products_are_the_same_when_salted(src, monkeypatch, name):
     monkeypatch.setattr(gold, "keyed_join", salted)
     monkeypatch.setattr(gold, "only_keys", lambda fact, *_, **__: fact)
     assert sorted(map(repr, product(src, prm).collect())) == want
+
+
+def test_lookups_by_key_equal_plain_joins(spark):
+    """Repeated and missing ids on both sides, references that find nothing, one row or several."""
+    from ledgerline.operators import lookups_by_key
+
+    fact = spark.createDataFrame([(1, "a", "b", "x"), (1, "a", "c", "y"), (2, "b", "b", "z"), (2, "b", "b", "z"), (3, None, "a", "u"), (4, "q", None, "v")],
+                                 "k int, s string, b string, pay string")
+    dim = spark.createDataFrame([("a", 1), ("a", 1), ("a", None), ("b", 2), (None, 9), ("c", None)], "id string, v int")
+    got = lookups_by_key(fact, "k", {"s": {"v": "sv"}, "b": {"v": "bv"}}, dim, "id")
+    plain = fact.join(dim.selectExpr("id as i1", "v as sv"), fact["s"] == F.col("i1"), "left").join(dim.selectExpr("id as i2", "v as bv"), F.col("b") == F.col("i2"), "left")
+    assert sorted(map(str, got.select("k", "s", "b", "pay", "sv", "bv").collect())) == sorted(map(str, plain.select("k", "s", "b", "pay", "sv", "bv").collect()))
+
+
+def test_wide_rows_are_shuffled_once_beyond_the_broadcast_size(spark, sf_dir, monkeypatch):
+    """D01, D06 and D18 with parties too large to broadcast: the same rows, the parties found by row id."""
+    from collections import Counter
+
+    from ledgerline.operators import relational
+    from ledgerline.params import Params
+    from ledgerline.plans import gold, staging
+    from ledgerline.sources import Sources
+
+    src = Sources.from_testdata(spark, sf_dir)
+    orphan = src["portfolio"].limit(40).withColumn("Id", F.lit(None).cast("string"))
+    frames = {n: src[n] for n in src} | {"portfolio": src["portfolio"].unionByName(orphan).unionByName(src["portfolio"].limit(30))}
+    src = Sources.from_frames(spark, frames)
+    for product in (gold.d01_portfolio, gold.d06_complaints, staging.d18_silver_base):
+        before = product(src, Params.testing())
+        with monkeypatch.context() as m:
+            m.setattr(relational, "DEFAULT_BROADCAST_LIMIT", -1)
+            after = product(src, Params.testing())
+        assert after.columns == before.columns
+        assert Counter(map(str, after.collect())) == Counter(map(str, before.collect())), product.__name__
+        assert after._jdf.queryExecution().optimizedPlan().toString().count("_lk_found") > 0, product.__name__
