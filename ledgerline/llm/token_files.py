@@ -15,6 +15,7 @@ ascending ranges of doc_id, frames ascend within a shard.
 from __future__ import annotations
 
 import json
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -65,16 +66,25 @@ def decode_ranks(control: bytes, data: bytes, count: int) -> np.ndarray:
 
 
 # -------------------------------------------------------------- tokenizer
+#: The split of these files, and the same split of lower-cased text of the
+#: characters in ``LATIN_TEXT`` for the faster ``re``.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+LATIN_SPLIT = r"[^\W\d_²³¹¼½¾]+|[0-9²³¹¼½¾]|'(?:s|t|re|ve|m|ll|d)|(?:[^\s\w]|_)+"
+LATIN_TEXT = "[\t\n\r\x20-\x7e\xa1-\u012f\u0131-\u024f]*"
+
+
 class WordTokenizer:
     """A ``tokenizers`` file applied to whole texts, word by word.
 
     The pipeline of these files (NFC, lower case, split into letters, digits
     and other characters, byte-level BPE with word ends) never joins anything
     across ASCII white space, so a text's ids are those of its words in turn.
-    Words of Latin characters are split
-    by the file's own pattern and their pieces go straight to the file's BPE
-    model; every other word, and any with a special token's text, goes through
-    the whole library pipeline. ``limit`` bounds memory only."""
+    Texts of Latin characters are lower-cased first, so spellings of a word
+    that differ in case or in a mark at the end share one entry, and
+    their pieces go straight to the file's BPE model. In other texts words of
+    Latin characters are split by the file's own pattern; every other word, and
+    any with a special token's text, goes through the whole library pipeline.
+    ``limit`` bounds memory only."""
 
     def __init__(self, path: str, limit: int = 500_000):
         self.tokenizer = Tokenizer.from_file(path)
@@ -90,10 +100,13 @@ class WordTokenizer:
         self.worded = steps[1].get("pattern") == {"Regex": r"\s+"} if self.direct else False
         self.split = regex.compile(splits[0]["pattern"]["Regex"]).findall if self.direct else None
         self.special = [t["content"] for t in spec["added_tokens"]]
+        self.latin_split = re.compile(LATIN_SPLIT).findall if self.worded and splits[0]["pattern"]["Regex"] == SPLIT else None
+        self.latin_text = re.compile(LATIN_TEXT).fullmatch
         self.latin = regex.compile("[\x21-\u012f\u0131-\u024f]+").fullmatch
         self.byte_char = _byte_characters()
         self.words = _Memory(self._word, limit)
         self.pieces = _Memory(self._piece, limit)
+        self.latin_words = _Memory(self._latin_word, 2 * limit)
 
     def _piece(self, piece: str) -> bytes:
         if not (piece.isascii() and piece.isprintable()):
@@ -101,6 +114,13 @@ class WordTokenizer:
             piece = "".join([chars[b] for b in piece.encode("utf-8")])
         return _packed([t.id for t in self.tokenizer.model.tokenize(piece)])
 
+    def _latin_word(self, low: str) -> bytes:
+        if low.isalpha():  # letters alone are one piece
+            return self._piece(low)
+        if low[-1] in ".,;:!?" and low[:-1].isalpha():
+            return self.latin_words[low[:-1]] + self.pieces[low[-1]]
+        return b"".join([self.pieces[piece] for piece in self.latin_split(low)])
+
     def _word(self, raw: bytes) -> bytes:
         word = raw.decode("utf-8")
         if not self.direct or not (raw.isascii() and word.isprintable() or self.latin(word)) or (
@@ -117,6 +137,9 @@ class WordTokenizer:
         """Ids of a text, without special tokens added."""
         if not self.worded:
             return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
+        if self.latin_split and (text.isascii() and text.isprintable() or self.latin_text(text)) and not (
+                "<" in text and any(s in text for s in self.special)):
+            return np.frombuffer(b"".join(map(self.latin_words.__getitem__, text.lower().split())), "<u4")
         # bytes.split() parts at ASCII white space only
         return np.frombuffer(b"".join(map(self.words.__getitem__, text.encode("utf-8").split())), "<u4")
 
@@ -188,11 +211,13 @@ def _tokenise(docs: DataFrame, path: str, end_id: int, width: str) -> DataFrame:
             packed, n = [], []
             for raw in texts_of(batch):
                 ids = np.concatenate([tok.encode(raw.decode("utf-8")), end])
-                if ids.max() >= len(counts):
-                    counts = np.concatenate([counts, np.zeros(int(ids.max()) + 1, np.int64)])
-                counts += np.bincount(ids, minlength=len(counts))
                 packed.append(ids.astype(width).tobytes())
                 n.append(len(ids))
+            if packed:
+                seen = np.bincount(np.frombuffer(b"".join(packed), width))
+                if len(seen) > len(counts):
+                    counts = np.concatenate([counts, np.zeros(len(seen) - len(counts), np.int64)])
+                counts[:len(seen)] += seen
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(packed, pa.binary()),
                                               pa.array(n, pa.int64()), pa.nulls(len(n), pa.binary())], names)
         used = np.flatnonzero(counts)

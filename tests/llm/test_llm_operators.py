@@ -67,6 +67,19 @@ def test_token_files_general_interface(spark, tmp_path):
     assert [counts[i] for i in ranks] == sorted(counts.values(), reverse=True)
 
 
+def test_spellings_of_a_latin_word_meet_the_model_once():
+    """Case and a mark at the end make no new word; ids are the library's."""
+    tok = token_files.WordTokenizer(WORD_BPE)
+    asked = []
+    tok.latin_words.make = lambda low: asked.append(low) or tok._latin_word(low)
+    text = " ".join(["Quuxling", "quuxling", "QUUXLING,", "quuxling.", "Quuxling."] * 3)
+    assert tok.encode(text).tolist() == tok.tokenizer.encode(text, add_special_tokens=False).ids
+    assert sorted(asked) == ["quuxling", "quuxling,", "quuxling."]
+    for odd in ("It's I'LL ''s ...'s _a_b ²x½ ª É.É! Ǆ,", "a\x0bb\x85c\xa0d\x1ce", "İ ı. Σς", "<|endoftext|> B <|ENDOFTEXT|>", "e\u0301 E\u0301."):
+        fresh = token_files.WordTokenizer(WORD_BPE, 2)
+        assert fresh.encode(odd).tolist() == fresh.tokenizer.encode(odd, add_special_tokens=False).ids
+
+
 def test_blocks_answer_like_one_block(spark, llm_dir, monkeypatch):
     docs = spark.read.parquet(f"{llm_dir}/documents.parquet")
     whole = sorted(map(repr, substring_graph.remove_repeats(docs).collect()))
