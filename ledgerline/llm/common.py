@@ -135,7 +135,7 @@ class WordHasher:
         self._restart()
 
     def _restart(self) -> None:
-        self.number = _Noted()
+        self.number = Noted()
         self._done = 0
 
     def ids(self, words: list[bytes]) -> np.ndarray:
@@ -159,7 +159,7 @@ class WordHasher:
         return self._hashes
 
 
-class _Noted(dict):
+class Noted(dict):
     """``Numbering`` that lists the words it numbered since last asked."""
 
     def __init__(self):

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import WordHasher, materialise, pair_hash, prepare, texts_of
+from .common import Noted, WordHasher, materialise, pair_hash, prepare, texts_of
 
 BUCKETS = 1 << 16
 #: Pseudo-count per bucket, in target n-grams; the raw counts get the same one
@@ -76,7 +76,10 @@ def _ngrams(hasher: WordHasher, words: list[bytes], buckets: int) -> np.ndarray:
     if not words:
         return np.zeros(0, np.int64)
     ids = hasher.ids(words)
-    one = hasher.hashes()[ids]
+    return _gram_buckets(hasher.hashes()[ids], buckets)
+
+
+def _gram_buckets(one: np.ndarray, buckets: int) -> np.ndarray:
     both = np.concatenate([one, pair_hash(one[:-1], one[1:])])
     return (both % np.uint64(buckets)).astype(np.int64)
 
@@ -99,7 +102,11 @@ class ToxicRatio:
     threshold: float = float("inf")
 
     def score(self, of_word: WordValues, words: list[bytes]) -> float:
-        return highest(of_word.of(words)) - self.slope * float(np.log(len(words)))
+        return self.scaled(of_word.of(words), len(words))
+
+    def scaled(self, values: np.ndarray, n: int) -> float:
+        """Score of ``n`` words, of whose values the highest are given."""
+        return highest(values) - self.slope * float(np.log(n))
 
 
 class WordValues(dict):
@@ -108,10 +115,10 @@ class WordValues(dict):
 
     def __init__(self, values: np.ndarray):
         super().__init__()
-        self.values = values
+        self.values, self.buckets = values.tolist(), len(values)
 
     def __missing__(self, word: bytes) -> float:
-        value = self[word] = float(self.values[word_features(word, len(self.values))].max())
+        value = self[word] = max(map(self.values.__getitem__, word_features(word, self.buckets)))
         return value
 
     def of(self, words: list[bytes]) -> np.ndarray:
@@ -120,6 +127,60 @@ class WordValues(dict):
         return np.fromiter(map(self.__getitem__, words), np.float64, len(words))
 
 
+class WordTable:
+    """Words as numbers, each with the hash of its lower-cased form and what
+    the toxic ratio makes of the bare words in it: how many there are, and the
+    three highest values (more of one word cannot count). A text is looked up
+    once for all rules. Emptied between texts when it holds ``limit`` words;
+    results do not depend on it."""
+
+    def __init__(self, toxic: ToxicRatio | None, limit: int = WORDS_KEPT):
+        self.of_word = WordValues(toxic.values) if toxic else None
+        self.limit = limit
+        self._restart()
+
+    def _restart(self) -> None:
+        self.number = Noted()
+        self.hashes, self.bare, self.highest = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros((0, 3))
+
+    def ids(self, words: list[bytes]) -> np.ndarray:
+        if len(self.number) > self.limit:
+            self._restart()
+        found = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
+        if self.number.fresh:
+            self._learn(len(self.number) - len(self.number.fresh))
+        return found
+
+    def _learn(self, done: int) -> None:
+        fresh, total = self.number.fresh, len(self.number)
+        if total > len(self.hashes):
+            size = max(total, 2 * len(self.hashes), 1024)
+            self.hashes, self.bare = np.resize(self.hashes, size), np.resize(self.bare, size)
+            self.highest = np.resize(self.highest, (size, 3))
+        digest = xxhash.xxh64_intdigest
+        self.hashes[done:total] = np.fromiter((digest(w.lower(), SEED) for w in fresh), np.uint64, len(fresh))
+        if self.of_word is not None:
+            self.bare[done:total] = 0
+            self.highest[done:total] = -np.inf
+            for number, word in enumerate(fresh, done):
+                values = sorted(map(self.of_word.__getitem__, _bare_words(word)), reverse=True)
+                self.bare[number] = len(values)
+                self.highest[number, :len(values[:3])] = values[:3]
+            if len(self.of_word) > self.limit:
+                self.of_word.clear()
+        fresh.clear()
+
+    def ngrams(self, ids: np.ndarray, buckets: int) -> np.ndarray:
+        """``_ngrams`` of the lower-cased words."""
+        return _gram_buckets(self.hashes[ids], buckets)
+
+    def toxicity(self, toxic: ToxicRatio, ids: np.ndarray) -> float | None:
+        """Toxic score of a text, None without a bare word."""
+        n = int(self.bare[ids].sum())
+        values = self.highest[ids].reshape(-1)
+        return toxic.scaled(values[values > -np.inf], n) if n else None
+
+
 def word_features(word: bytes, buckets: int) -> list[int]:
     """Buckets of a word and of its beginnings."""
     digest = xxhash.xxh64_intdigest
@@ -315,8 +376,12 @@ def fit_toxic(docs: DataFrame, labels: DataFrame, buckets: int = TOXIC_BUCKETS,
 
 def _base_rules(hasher: WordHasher, words: list[bytes]) -> tuple[int, bool]:
     """Repeated words of a text, and whether it fails the plain rules."""
-    n = len(words)
-    repeat = repeated_words(hasher.ids(words)) if n else 0
+    return _rules_of_ids(hasher.ids(words))
+
+
+def _rules_of_ids(ids: np.ndarray) -> tuple[int, bool]:
+    n = len(ids)
+    repeat = repeated_words(ids) if n else 0
     return repeat, n < MIN_WORDS or 100 * repeat > MAX_REPEAT_PERCENT * n
 
 
@@ -406,20 +471,17 @@ def _judged(docs: DataFrame, ratio_of_bucket: np.ndarray, keep: list[str], names
     fields = [docs.schema[c] for c in keep]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = WordHasher(SEED)
         ratio, toxic = shared.value
-        of_word = WordValues(toxic.values) if toxic else None
+        known = WordTable(toxic)
         for batch in batches:
             out: list[list] = [[] for _ in RULE_FIELDS]
             for text in texts_of(batch, "__rule_text"):
-                words = text.split()
-                n = len(words)
-                repeat, failed = _base_rules(hasher, words)
-                grams = _ngrams(hasher, text.lower().split(), buckets)
-                score = float(ratio[grams].mean()) if n else None
+                ids = known.ids(text.split())
+                n = len(ids)
+                repeat, failed = _rules_of_ids(ids)
+                score = float(ratio[known.ngrams(ids, buckets)].mean()) if n else None
                 good = not failed and score >= threshold
-                bare = _bare_words(text) if toxic else []
-                toxicity = toxic.score(of_word, bare) if bare else None
+                toxicity = known.toxicity(toxic, ids) if toxic else None
                 good = good and (toxicity is None or toxicity <= toxic.threshold)
                 row = (n, _code_points(text.translate(None, _WHITE)), len(text) - len(text.translate(None, _SYMBOLS)),
                        duplicate_lines(text), repeat, failed, score, toxicity, good)

@@ -80,6 +80,21 @@ def test_spellings_of_a_latin_word_meet_the_model_once():
         assert fresh.encode(odd).tolist() == fresh.tokenizer.encode(odd, add_special_tokens=False).ids
 
 
+def test_quality_rules_look_a_text_up_once():
+    """One table answers for n-grams, repeats and toxic words, at any limit."""
+    values = np.random.default_rng(4).normal(size=1 << 10)
+    toxic = quality_llr.ToxicRatio(values, 0.3, 1.0)
+    texts = [b"One one, ONE two-three four!five", b"...", b"", b"a\x1cb \xc3\x89t\xc3\xa9 c. c. C.", b"x", b"x y"] * 2
+    for limit in (1, 100):
+        table, hasher, plain = quality_llr.WordTable(toxic, limit), quality_llr.WordHasher(quality_llr.SEED), quality_llr.WordValues(values)
+        for text in texts:
+            ids = table.ids(text.split())
+            assert quality_llr._rules_of_ids(ids) == quality_llr._base_rules(hasher, text.split())
+            assert table.ngrams(ids, 512).tolist() == quality_llr._ngrams(hasher, text.lower().split(), 512).tolist()
+            bare = quality_llr._bare_words(text)
+            assert table.toxicity(toxic, ids) == (toxic.score(plain, bare) if bare else None)
+
+
 def test_blocks_answer_like_one_block(spark, llm_dir, monkeypatch):
     docs = spark.read.parquet(f"{llm_dir}/documents.parquet")
     whole = sorted(map(repr, substring_graph.remove_repeats(docs).collect()))
