@@ -191,3 +191,48 @@ def test_wide_rows_are_shuffled_once_beyond_the_broadcast_size(spark, sf_dir, mo
         assert after.columns == before.columns
         assert Counter(map(str, after.collect())) == Counter(map(str, before.collect())), product.__name__
         assert after._jdf.queryExecution().optimizedPlan().toString().count("_lk_found") > 0, product.__name__
+
+
+def test_dealt_by_key_is_the_inner_join(spark):
+    """Keys of several parts, repeated rows on both sides, NULL keys; no part longer than about the limit."""
+    from ledgerline.operators import dealt_by_key
+
+    fact = spark.range(300).selectExpr("case when id < 200 then 'hot' when id % 9 = 0 then null else concat('k', id % 7) end as k", "cast(id as string) as guid")
+    dim = spark.createDataFrame([("hot", 1), ("hot", 2), ("k1", 3), ("k2", 4), (None, 5), ("gone", 6)], "d string, v int")
+    left, right = dealt_by_key(fact, dim, "k", "d", "guid", "_deal", rows_per_deal=20)
+    got = left.join(right, F.col("_deal") == F.col("_deal_of"), "inner").select("k", "guid", "d", "v")
+    want = fact.join(dim, F.col("k") == F.col("d"), "inner").select("k", "guid", "d", "v")
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    assert left.where("k = 'hot'").select("_deal").distinct().count() == 10
+
+
+@pytest.mark.parametrize("name", ["d03_portfolio_row", "d05_portfolio_bid", "d12_postsale"])
+def test_parties_beyond_the_broadcast_size_come_back_in_lists(spark, sf_dir, monkeypatch, name):
+    """The wide rows are shuffled on one key, with the same rows: also of repeated and NULL portfolio and party ids."""
+    from collections import Counter
+
+    from ledgerline.operators import relational
+    from ledgerline.params import Params
+    from ledgerline.plans import gold
+    from ledgerline.sources import Sources
+
+    src = Sources.from_testdata(spark, sf_dir)
+    p, bids = src["portfolio"], src["portfolio_bid"]
+    odd = p.limit(40).withColumn("Id", F.lit(None).cast("string"))
+    lost = bids.limit(60).withColumn("PortfolioId", F.lit(None).cast("string")).unionByName(bids.limit(50).withColumn("PlacedByUserId", F.lit(None).cast("string")))
+    frames = {n: src[n] for n in src} | {"portfolio": p.unionByName(odd).unionByName(p.limit(30)), "portfolio_bid": bids.unionByName(lost).unionByName(bids.limit(20))}
+    src, product = Sources.from_frames(spark, frames), getattr(gold, name)
+    before = product(src, Params.testing())
+    with monkeypatch.context() as m:
+        m.setattr(relational, "DEFAULT_BROADCAST_LIMIT", -1)
+        after = product(src, Params.testing())
+    assert after.columns == before.columns
+    assert Counter(map(str, after.collect())) == Counter(map(str, before.collect()))
+    assert "_lk_found" in after._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_heavy_keys_are_counted_once(spark):
+    """Both sides of a salted join read the one kept count."""
+    fact, dim = spark.range(100).selectExpr("id % 3 as k", "id"), spark.range(3).selectExpr("id as d")
+    plan = salted_join(fact, dim, "k", "d", "id", rows_per_task=10)._jdf.queryExecution().withCachedData().toString()
+    assert plan.count("InMemoryRelation") == 2 and "count(1)" not in plan.split("InMemoryRelation")[0]
