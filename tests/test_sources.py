@@ -113,3 +113,20 @@ def test_every_request_has_an_account(spark, tmp_path):
     assert all(account.split("-")[0] == str(keys[i % quarter * 4 + i % quarter % 4]) for i, account in got)
     paid = {a for i, a in got if i % 8 == 1}
     assert {r["DebtAccountId"] for r in C.pifsif_hits(src).collect()} == paid
+
+
+def test_requests_in_steps_are_the_requests(spark):
+    """The steps give the rows of the one query, with repeated, NULL and far apart order keys; all line items are grouped by order once."""
+    from ledgerline.sources.fixtures import FIXTURE_SQL, REQUEST_STEPS
+
+    events = spark.range(500).selectExpr("case when id % 50 = 7 then null else id end as event_id", "timestamp '2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, 0, 0, id) as ts")
+    lineitem = spark.range(3000).selectExpr("case when id % 41 = 0 then null else (id % 700) * 37 end as l_orderkey", "cast(id % 5 as int) as l_linenumber",
+                                            "id % 90 as l_partkey", "id % 8 as l_suppkey", "cast(id as double) / 7 as l_extendedprice")
+    frames = {"events": events, "lineitem": lineitem}
+    want = spark.sql(FIXTURE_SQL["request"], **frames)
+    frames["request_order"] = spark.sql(REQUEST_STEPS["request_order"], lineitem=lineitem)
+    frames["request_span"] = spark.sql(REQUEST_STEPS["request_span"], request_order=frames["request_order"])
+    got = spark.sql(REQUEST_STEPS["request"], **{k: v for k, v in frames.items() if k != "lineitem"})
+    assert got.schema == want.schema and got.where("DebtAccountId is not null").count() > 400
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    assert "{lineitem}" not in REQUEST_STEPS["request"]
