@@ -236,3 +236,68 @@ def test_heavy_keys_are_counted_once(spark):
     fact, dim = spark.range(100).selectExpr("id % 3 as k", "id"), spark.range(3).selectExpr("id as d")
     plan = salted_join(fact, dim, "k", "d", "id", rows_per_task=10)._jdf.queryExecution().withCachedData().toString()
     assert plan.count("InMemoryRelation") == 2 and "count(1)" not in plan.split("InMemoryRelation")[0]
+
+
+def _with_odd_rows(spark, sf_dir):
+    """Sources with repeated and NULL ids of portfolios, bids, businesses and users, and ids in other case or with trailing spaces."""
+    from ledgerline.sources import Sources
+
+    src = Sources.from_testdata(spark, sf_dir)
+    p, bids, b, u = (src[n] for n in ("portfolio", "portfolio_bid", "business", "app_user"))
+    nameless = p.limit(40).withColumn("Id", F.lit(None).cast("string"))
+    lost = bids.limit(60).withColumn("PortfolioId", F.lit(None).cast("string")).unionByName(bids.limit(50).withColumn("PlacedByUserId", F.lit(None).cast("string")))
+    spelled = b.filter("Id like 'B1%'").withColumn("Id", F.concat(F.lower("Id"), F.lit(" "))).withColumn("ClientId", F.lit("C1"))
+    return Sources.from_frames(spark, {n: src[n] for n in src} | {
+        "portfolio": p.unionByName(nameless).unionByName(p.limit(30)), "portfolio_bid": bids.unionByName(lost).unionByName(bids.limit(20)),
+        "business": b.unionByName(b.limit(20).withColumn("ClientId", F.lit("C2"))).unionByName(spelled), "app_user": u.unionByName(u.limit(20))})
+
+
+@pytest.mark.parametrize("name", ["d01_portfolio", "d05_portfolio_bid", "d13_silver_expanded"])
+def test_narrow_products_have_the_same_rows(spark, sf_dir, monkeypatch, name):
+    from collections import Counter
+
+    from ledgerline.operators import relational
+    from ledgerline.params import Params
+    from ledgerline.plans import gold, silver
+
+    src, product = _with_odd_rows(spark, sf_dir), getattr(silver if name.startswith("d13") else gold, name)
+    monkeypatch.setattr(relational, "DEFAULT_BROADCAST_LIMIT", -1)
+    wide, narrow = product(src, Params.testing()), product(src, Params.testing(), narrow=True)
+    assert narrow.columns == wide.columns
+    assert Counter(map(str, narrow.collect())) == Counter(map(str, wide.collect()))
+    assert "_lk_found" not in narrow._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_bidders_beyond_the_broadcast_size_are_joined_narrow(spark, sf_dir, monkeypatch):
+    """The rows of a plain reading of D13, D05 and D02; no lists of names, and no bid meets the users."""
+    from ledgerline.operators import relational
+    from ledgerline.params import Params
+    from ledgerline.plans import gold, silver, views
+
+    src, prm = _with_odd_rows(spark, sf_dir), Params.testing()
+    pe, pb, b = (f(src, prm).collect() for f in (silver.d13_silver_expanded, gold.d05_portfolio_bid, gold.d02_business))
+    monkeypatch.setattr(relational, "DEFAULT_BROADCAST_LIMIT", -1)
+    got = views.d08_bidders(src, prm)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "_lk_found" not in plan and "_su_id" not in plan and "FullOuter" not in plan
+
+    def ci(text):
+        return None if text is None else text.lower().rstrip(" ")
+
+    firms = {}
+    for r in b:
+        firms.setdefault(ci(r.Id), []).append(r)
+    bidders = {}
+    for r in pb:
+        if r.Status is not None:
+            bidders.setdefault(ci(r.PortfolioNumber), set()).add(ci(r.BuyerId))
+    want = set()
+    for r in pe:
+        closed = r.PortfolioCloseUtc
+        if r.Status is None or r.Status == "Purged" or closed is None or closed.year <= prm.min_close_year:
+            continue
+        for buyer in bidders.get(ci(r.PortfolioNumber), ()):
+            known = firms.get(buyer, [])
+            want |= {(c, n, closed.month, closed.year) for c in {x.ClientId for x in known} or {None} for n in {x.BusinessName for x in known} or {None}}
+    rows = list(map(tuple, got.collect()))
+    assert len(rows) == len(set(rows)) and set(rows) == want and len(want) > 100
