@@ -301,3 +301,18 @@ def test_bidders_beyond_the_broadcast_size_are_joined_narrow(spark, sf_dir, monk
             want |= {(c, n, closed.month, closed.year) for c in {x.ClientId for x in known} or {None} for n in {x.BusinessName for x in known} or {None}}
     rows = list(map(tuple, got.collect()))
     assert len(rows) == len(set(rows)) and set(rows) == want and len(want) > 100
+
+
+def test_plain_keys_are_equal_where_the_collation_is(spark):
+    """No pair equal under the collation is lost: final sigma, Kelvin sign, dotted I, sharp s, trailing spaces."""
+    from ledgerline.plans.views import ci, ci_equal, plain
+
+    texts = ["b1", "B1 ", "B1  ", " b1", "ΑΣ", "ας", "ασ", "ΑΣ ", "ΑΣΑ", "K", "k", "K", "İ", "i̇", "i", "ı", "I", "ß", "ẞ", "SS", "ss", "Å", "å", "ǅ", "Ǆ", "ǆ", "", " ", "B1\t", "é", "É", "é", None]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    left = rows.select(F.col("i").alias("a"), F.col("t").alias("x"), plain("t").alias("k"))
+    right = rows.select(F.col("i").alias("b"), F.col("t").alias("y"), plain("t").alias("l"))
+    want = sorted((r.a, r.b) for r in left.crossJoin(right).filter(ci("x") == ci("y")).collect())
+    got = left.join(right, (F.col("k") == F.col("l")) & ci_equal("x", "y"), "inner")
+    assert sorted((r.a, r.b) for r in got.collect()) == want
+    assert len(want) > len(texts)
+    assert "SortMergeJoin [collate" not in got._jdf.queryExecution().toString()
