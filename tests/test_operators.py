@@ -316,3 +316,41 @@ def test_plain_keys_are_equal_where_the_collation_is(spark):
     assert sorted((r.a, r.b) for r in got.collect()) == want
     assert len(want) > len(texts)
     assert "SortMergeJoin [collate" not in got._jdf.queryExecution().toString()
+
+
+def test_likely_keys_lose_no_row_of_a_key_and_few_others_pass(spark, monkeypatch):
+    """Repeated and NULL keys on both sides, negative numbers; whole where the fact is small or the keys are of two types."""
+    from ledgerline.operators import likely_keys, relational
+
+    fact = spark.range(20000).selectExpr("case when id % 50 = 0 then null else concat('g', id % 9000) end as g", "id % 9000 - 4500 as n", "id")
+    keys = spark.range(1200).selectExpr("case when id % 40 = 0 then null else concat('g', id % 900 * 7) end as k", "id % 900 * 7 - 4500 as m")
+    assert likely_keys(fact, keys, "g", "k") is fact
+    monkeypatch.setattr(relational, "DEFAULT_BROADCAST_LIMIT", 16 * 1024)
+    assert likely_keys(fact, keys, "g", "m") is fact
+    for a, b in (("g", "k"), ("n", "m")):
+        some = likely_keys(fact, keys, a, b)
+        want = fact.join(keys.select(b).distinct(), F.col(a) == F.col(b), "left_semi")
+        assert sorted(map(str, some.join(keys.select(b).distinct(), F.col(a) == F.col(b), "left_semi").collect())) == sorted(map(str, want.collect()))
+        assert 1500 < want.count() <= some.count() < 4000
+    few = spark.createDataFrame([("g1",), ("lost",)], "k string")
+    assert {r["g"] for r in likely_keys(fact, few, "g", "k").collect()} >= {"g1"} and likely_keys(fact, few.limit(0), "g", "k").count() == 0
+
+
+def test_complaints_move_only_the_accounts_complained_about(spark, sf_dir, monkeypatch):
+    """D06 beyond the broadcast size: accounts that no complaint names are not shuffled, with the same rows."""
+    from collections import Counter
+
+    from ledgerline.operators import relational
+    from ledgerline.params import Params
+    from ledgerline.plans import gold
+    from ledgerline.sources import Sources
+
+    src = Sources.from_testdata(spark, sf_dir)
+    ct, pr = src["complaint"], src["portfolio_row"]
+    ct = ct.unionByName(ct.limit(30)).unionByName(ct.limit(20).withColumn("PortfolioRowId", F.lit(None).cast("string")))
+    src = Sources.from_frames(spark, {n: src[n] for n in src} | {"complaint": ct, "portfolio_row": pr.unionByName(pr.limit(40)).unionByName(pr.limit(20).withColumn("PortfolioRowGuid", F.lit(None).cast("string")))})
+    before = Counter(map(str, gold.d06_complaints(src, Params.testing()).collect()))
+    monkeypatch.setattr(relational, "DEFAULT_BROADCAST_LIMIT", 16 * 1024)
+    after = gold.d06_complaints(src, Params.testing())
+    assert Counter(map(str, after.collect())) == before and len(before) > 500
+    assert "bitmap_construct_agg" in after._jdf.queryExecution().optimizedPlan().toString()

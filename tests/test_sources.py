@@ -130,3 +130,18 @@ def test_requests_in_steps_are_the_requests(spark):
     assert got.schema == want.schema and got.where("DebtAccountId is not null").count() > 400
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
     assert "{lineitem}" not in REQUEST_STEPS["request"]
+
+
+def test_large_projections_are_read_again_and_only_the_requests_kept(spark, monkeypatch):
+    """Whole rows of large tables do not fill the executors' memory and disk."""
+    from ledgerline.sources import Sources, loader
+
+    sf = "/root/testdata/sf0.001"
+    small = Sources.from_testdata(spark, sf, cache=True)
+    assert "InMemoryRelation" in small["portfolio_bid"]._jdf.queryExecution().withCachedData().toString()
+    spark.catalog.clearCache()
+    monkeypatch.setattr(loader, "DEFAULT_BROADCAST_LIMIT", 1024)
+    large = Sources.from_testdata(spark, sf, cache=True)
+    for name, kept in (("portfolio_bid", False), ("portfolio", False), ("complaint", False), ("request", True)):
+        assert ("InMemoryRelation" in large[name]._jdf.queryExecution().withCachedData().toString()) is kept, name
+    assert large["portfolio_bid"].count() == small["portfolio_bid"].count()
