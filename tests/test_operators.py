@@ -354,3 +354,29 @@ def test_complaints_move_only_the_accounts_complained_about(spark, sf_dir, monke
     after = gold.d06_complaints(src, Params.testing())
     assert Counter(map(str, after.collect())) == before and len(before) > 500
     assert "bitmap_construct_agg" in after._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_silver_base_does_not_shuffle_accounts_without_requests_or_complaints(spark, sf_dir, monkeypatch):
+    """D18 and the fold beyond the broadcast size: the same rows, also of repeated and NULL accounts and portfolios."""
+    from collections import Counter
+
+    from ledgerline.operators import relational
+    from ledgerline.params import Params
+    from ledgerline.plans import staging
+
+    src = _with_odd_rows(spark, sf_dir)
+    pr, ct, rq = src["portfolio_row"], src["complaint"], src["request"]
+    homeless = pr.limit(300).withColumn("PortfolioId", F.lit(None).cast("string"))
+    nameless = pr.limit(20).withColumn("PortfolioRowGuid", F.lit(None).cast("string"))
+    frames = {"portfolio_row": pr.unionByName(pr.limit(40)).unionByName(homeless).unionByName(nameless), "complaint": ct.unionByName(ct.limit(30)),
+              "request": rq.unionByName(rq.limit(30).withColumn("DebtAccountId", F.lit(None).cast("string")))}
+    src = src.from_frames(spark, {n: src[n] for n in src} | frames)
+    products = (staging.account_fold, staging.d18_silver_base)
+    before = [Counter(map(str, f(src, Params.testing()).collect())) for f in products]
+    monkeypatch.setattr(relational, "DEFAULT_BROADCAST_LIMIT", 16 * 1024)
+    for f, want in zip(products, before):
+        after = f(src, Params.testing())
+        assert Counter(map(str, after.collect())) == want and len(want) > 1000, f.__name__
+        plan = after._jdf.queryExecution().optimizedPlan().toString()
+        assert "bitmap_construct_agg" in plan and "_account" in plan, f.__name__
+    assert any(r["PortfolioId"] is None and r["ComplaintCount"] and r["RequestCount"] for r in staging.account_fold(src, Params.testing()).collect())
