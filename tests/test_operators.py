@@ -380,3 +380,34 @@ def test_silver_base_does_not_shuffle_accounts_without_requests_or_complaints(sp
         plan = after._jdf.queryExecution().optimizedPlan().toString()
         assert "bitmap_construct_agg" in plan and "_account" in plan, f.__name__
     assert any(r["PortfolioId"] is None and r["ComplaintCount"] and r["RequestCount"] for r in staging.account_fold(src, Params.testing()).collect())
+
+
+@pytest.mark.parametrize("name", ["d13_silver_expanded", "d20_formula_complete"])
+def test_silver_products_are_built_on_the_narrow_fold(src, monkeypatch, name):
+    from ledgerline.operators import relational
+    from ledgerline.params import Params
+    from ledgerline.plans import silver, staging
+
+    monkeypatch.setattr(relational, "DEFAULT_BROADCAST_LIMIT", 16 * 1024)
+    plan = getattr(silver if name.startswith("d13") else staging, name)(src, Params.testing())._jdf.queryExecution().optimizedPlan().toString()
+    assert "bitmap_construct_agg" in plan and "_account" in plan
+
+
+def test_postsale_moves_only_the_accounts_with_requests(spark, sf_dir, monkeypatch):
+    """D12 beyond the broadcast size: the same rows, also of repeated and NULL accounts."""
+    from collections import Counter
+
+    from ledgerline.operators import relational
+    from ledgerline.params import Params
+    from ledgerline.plans import gold
+
+    src = _with_odd_rows(spark, sf_dir)
+    pr, rq = src["portfolio_row"], src["request"]
+    frames = {"portfolio_row": pr.unionByName(pr.limit(40)).unionByName(pr.limit(20).withColumn("PortfolioRowGuid", F.lit(None).cast("string"))),
+              "request": rq.unionByName(rq.limit(30).withColumn("DebtAccountId", F.lit(None).cast("string")))}
+    src = src.from_frames(spark, {n: src[n] for n in src} | frames)
+    before = Counter(map(str, gold.d12_postsale(src, Params.testing()).collect()))
+    monkeypatch.setattr(relational, "DEFAULT_BROADCAST_LIMIT", 16 * 1024)
+    after = gold.d12_postsale(src, Params.testing())
+    assert Counter(map(str, after.collect())) == before and len(before) > 500
+    assert "bitmap_construct_agg" in after._jdf.queryExecution().optimizedPlan().toString()
