@@ -411,3 +411,21 @@ def test_postsale_moves_only_the_accounts_with_requests(spark, sf_dir, monkeypat
     after = gold.d12_postsale(src, Params.testing())
     assert Counter(map(str, after.collect())) == before and len(before) > 500
     assert "bitmap_construct_agg" in after._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_bids_portfolios_auctions_and_dates_meet_on_one_deal(src, monkeypatch):
+    """D05 beyond the broadcast size: no shuffle of portfolios or auctions on the plain portfolio id."""
+    from ledgerline.operators import dealt_by_key, relational
+    from ledgerline.params import Params
+    from ledgerline.plans import gold
+
+    s = src["portfolio"].sparkSession
+    fact = s.range(60).selectExpr("case when id < 40 then 'hot' else 'k' end as k", "cast(id as string) as g")
+    dim, side = (s.createDataFrame([("hot", x), ("hot", x + 1), (None, 9)], f"{c} string, {c}v int") for c, x in (("d", 1), ("e", 5)))
+    left, right, third = dealt_by_key(fact, dim, "k", "d", "g", "_deal", rows_per_deal=9, more=[(side, "e")])
+    got = left.join(right, F.col("_deal") == F.col("_deal_of"), "inner").join(third, F.col("_deal") == F.col("_deal_of1"), "left")
+    want = fact.join(dim, F.col("k") == F.col("d"), "inner").join(side, F.col("k") == F.col("e"), "left")
+    assert sorted(map(str, got.select("g", "dv", "ev").collect())) == sorted(map(str, want.select("g", "dv", "ev").collect())) and got.count() == 160
+    monkeypatch.setattr(relational, "DEFAULT_BROADCAST_LIMIT", -1)
+    plan = gold.d05_portfolio_bid(src, Params.testing())._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(_p_id" not in plan and "hashpartitioning(_a_pid" not in plan and "hashpartitioning(_deal_of1" in plan
